@@ -61,7 +61,7 @@ def repeated_bits(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.
     """The merged sketch over the hashes of each batch of df, as bits."""
     rows = df.mapInArrow(_touch(hashes, log_cells), "block int, cells binary").repartition("block").mapInArrow(_merge, "block int, bits binary")
     out = np.zeros((ROWS << log_cells) >> 3, np.uint8)
-    for block, bits in rows.toLocalIterator():  # at most ROWS * 2^log_cells bits in all
+    for block, bits in rows.collect():  # at most ROWS * 2^log_cells bits in all
         out[block << 13 : (block + 1) << 13] = np.frombuffer(bits, np.uint8)
     return out
 

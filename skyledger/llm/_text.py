@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 U64 = np.uint64
 TOP = U64(0xFFFFFFFFFFFFFFFF)
 # Odd multipliers of the polynomial hashes; any odd 64-bit numbers serve.

@@ -27,6 +27,7 @@ from skyledger.llm import _text as X
 from skyledger.llm._spark import columns
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
+SLICE = 4 << 20  # bytes whose distinct pretokens are encoded together
 LONG = 48  # bytes from which a pretoken runs by itself
 
 
@@ -295,7 +296,7 @@ class Codec:
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each slice of rows: its first row, ids, and offsets of each row's ids."""
         data, at = X.view(texts)
-        for a, b in X.slices(at):
+        for a, b in X.slices(at, SLICE):
             part, rows = data[at[a] : at[b]], at[a : b + 1] - at[a]
             starts = pretokens(part, rows)
             ends = np.concatenate((starts[1:], [len(part)])) if len(starts) else starts
