@@ -1 +1 @@
-""""""
+"""Column functions: units, states, statistics, meteorology."""
