@@ -7,9 +7,9 @@ verified only if they share prefix tokens under B and C as well (but for pivots,
 
 Sets that are equal fall into one class first.  Within the classes that share a token under A no pairs are spelt out:
 each is compared with a pivot, classes linked so far are joined into components, and only pairs of different
-components that the triangle inequality of the Jaccard distance leaves open are compared further: with new pivots,
-until what is left is in proportion to the number of classes, then pair by pair after the filters under B and C.
-No link is lost and no count is capped.
+components that the triangle inequality of the Jaccard distance leaves open are compared further: in large groups with
+more and more pivots, until the pairs left are in proportion to the number of classes, then pair by pair; all after the
+filters under B and C.  No component is missed and no count is capped.
 
 Tokens are 64-bit hashes of the words' bytes; a class is known by a 64-bit sum and its size.  Edge cases: null and
 empty texts have no shingles and link with nothing; texts of fewer words than the shingle form one shingle; rows
@@ -31,7 +31,8 @@ from skyledger.llm.components import connected_components
 
 U64 = X.U64
 ORDER_CELLS = 24  # log2 of the sketch's cells: 16 MB, whatever the input
-OPEN_PAIRS = 8  # pairs left for each class at which the last round compares them all
+SMALL = 32  # classes of a token up to which its open pairs are all taken at once
+OPEN_PAIRS = 4  # open pairs of the other tokens, for each class, up to which the last round takes them all
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -177,21 +178,31 @@ def _buckets():
     return run
 
 
-def _open_pairs(pct: int):
+def _open_pairs(pct: int, pivots: int | None):
     """Rows (token, fp, n, c, pfp, pn, d) of a partition: the pairs still open.  Two classes are open if their
-    sizes allow a link, their components differ and their distances from the pivot differ by a link's at most."""
+    sizes allow a link, their components differ and their distances from the pivot differ by a link's at most.
+    Given a number of pivots, tokens of more than SMALL classes only have the pairs with so many of them."""
     reach = 1 - pct / 100 + 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches([pa.RecordBatch.from_arrays(b.columns, schema=_OPEN) for b in batches], schema=_OPEN).sort_by([("token", "ascending"), ("n", "ascending"), ("fp", "ascending")])
         token, fp, n, c, d = (table.column(k).to_numpy() for k in ("token", "fp", "n", "c", "d"))
-        end = np.searchsorted(token, token, "right")
-        for i in range(len(token)):
-            hi = i + 1 + np.searchsorted(n[i + 1 : end[i]] * pct, n[i] * 100, "right")
-            j = np.arange(i + 1, hi)
-            j = j[(c[j] != c[i]) & (np.abs(d[j] - d[i]) <= reach)]
-            if len(j):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (fp[j], n[j], np.full(len(j), fp[i]), np.full(len(j), n[i]))], ["fp", "n", "pfp", "pn"])
+        cut = np.concatenate(([0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)])) if len(token) else np.zeros(1, np.int64)
+        out = []
+        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            heads, every = np.arange(lo, hi), np.arange(lo, hi)
+            if pivots and hi - lo > max(SMALL, pivots):  # the same classes for all tokens that they share
+                heads = lo + np.argsort(X.mix(fp[lo:hi].view(np.uint64), pivots), kind="stable")[:pivots]
+            chosen = np.zeros(hi - lo, bool)
+            chosen[heads - lo] = True
+            for i in heads.tolist():
+                small, large = np.minimum(n[lo:hi], n[i]), np.maximum(n[lo:hi], n[i])
+                ok = (small * 100 >= large * pct) & (c[lo:hi] != c[i]) & (np.abs(d[lo:hi] - d[i]) <= reach)
+                j = every[ok & (~chosen | (every > i))]
+                if len(j):
+                    out.append(np.column_stack((fp[j], n[j], np.full(len(j), fp[i]), np.full(len(j), n[i]))))
+        rows = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 4), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, k])) for k in range(4)], ["fp", "n", "pfp", "pn"])
 
     return run
 
@@ -221,7 +232,9 @@ def _verify(size: int, pct: int, measure: bool):
                     continue
                 common = len(np.intersect1d(s, pivot, assume_unique=True))
                 union = len(s) + len(pivot) - common
-                out.append((x, y, 1 - common / union, 100 * common >= pct * union))
+                linked = 100 * common >= pct * union
+                if linked or measure:
+                    out.append((x, y, 1 - common / union, linked))
             cols = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.bool_()))], ["a", "b", "d", "linked"])
 
@@ -229,8 +242,8 @@ def _verify(size: int, pct: int, measure: bool):
 
 
 def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links): links join texts whose shingle sets have 100*|A and B| >= pct*|A or B|.
-    n_links counts the verified links of the document's class."""
+    """(doc_id, n_shingles, component_id): links join texts whose shingle sets have 100*|A and B| >= pct*|A or B|;
+    component_id is the smallest doc_id that links reach."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = 4 * shuffle_partitions(spark)
     order = spark.sparkContext.broadcast(_token_order(docs, size, ORDER_CELLS))
@@ -253,40 +266,29 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
 
     reach = 1 - pct / 100
     near = F.least("n", "pn") >= (1 - 2 * reach) * F.greatest("n", "pn") - 1e-6  # sizes further apart: a distance beyond 2*reach
-    verified = None
-    while True:
-        found = compare(members.where(near & ((F.col("fp") != F.col("pfp")) | (F.col("n") != F.col("pn")))).select("fp", "n", "pfp", "pn"), True)
-        verified = found if verified is None else verified.union(found)
-        component = connected_components(verified.where("linked"), spark)
-        distance = F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(F.coalesce("d", 1 - F.least("n", "pn") / F.greatest("n", "pn")))
-        known = verified.groupBy("a", "b").agg(F.first("d").alias("d"))
-        rows = members.join(ids, ["fp", "n"]).join(pivots, ["pfp", "pn"]).join(known, ["a", "b"], "left").join(component.withColumnRenamed("node", "a"), "a", "left")
-        rows = stored(rows.select("token", "fp", "n", F.coalesce("component", "a").alias("c"), "pfp", "pn", distance.alias("d")), spark)
-        mixed = rows.groupBy("token").agg((F.min("c") < F.max("c")).alias("mixed"), F.count(F.lit(1)).alias("k")).where("mixed")
-        left = mixed.agg(F.sum(F.col("k") * (F.col("k") - 1) / 2)).first()[0] or 0
+    verified = compare(members.where(near & ((F.col("fp") != F.col("pfp")) | (F.col("n") != F.col("pn")))).select("fp", "n", "pfp", "pn"), True)
+    component = connected_components(verified.where("linked"), spark)
+    known = F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(F.coalesce("d", 1 - F.least("n", "pn") / F.greatest("n", "pn")))
+    rows = members.join(ids, ["fp", "n"]).join(pivots, ["pfp", "pn"]).join(verified.select("a", "b", "d").distinct(), ["a", "b"], "left")
+    rows = stored(rows.select("a", "token", "fp", "n", "pfp", "pn", known.alias("d")), spark)
+    several, last = 8, False
+    while not last:
+        named = rows.join(component.withColumnRenamed("node", "a"), "a", "left").withColumn("c", F.coalesce("component", "a"))
+        parts = named.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k"))
+        mixed = stored(parts.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same")).where("k * k > same"), spark)
+        left, of_large = mixed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("k") > SMALL, (F.col("k") * F.col("k") - F.col("same")) / 2)), F.lit(0))).first()
         if not left:
             break
-        rows = rows.join(mixed.select("token"), "token", "left_semi")
-        if left <= OPEN_PAIRS * max(n_classes, 10_000):
-            open_ = rows.select(*_OPEN.names).repartition("token").mapInArrow(_open_pairs(pct), "fp long, n long, pfp long, pn long")
-            verified = verified.union(compare(open_, False))
-            component = connected_components(verified.where("linked"), spark)
-            break
-        # The pivots are done with.  Those beyond a link from them go on among themselves; those within one can
-        # only link with classes within two, and go on with these under a pivot from between.
-        rows = rows.where((F.col("fp") != F.col("pfp")) | (F.col("n") != F.col("pn")))
-        middle = F.col("d").between(reach, 2 * reach + 1e-9)
-        beyond = rows.where(F.col("d") > reach - 1e-9).select(F.xxhash64("token", F.lit(1)).alias("token"), "fp", "n", F.lit(True).alias("may"))
-        within = rows.where(F.col("d") <= 2 * reach + 1e-9).select(F.xxhash64("token", F.lit(2)).alias("token"), "fp", "n", middle.alias("may"))
-        both = beyond.union(within)
-        pivot = both.where("may").groupBy("token").agg(F.min(F.struct("n", "fp")).alias("p")).select("token", F.col("p.fp").alias("pfp"), F.col("p.n").alias("pn"))
-        members = stored(both.join(pivot, "token").select("token", "fp", "n", "pfp", "pn"), spark)
-
-    links = verified.where("linked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    n_links = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    named = classes.join(component.select(F.col("node").alias("id"), "component"), "id", "left").join(n_links, "id", "left")
-    named = named.select("n", "fp", F.coalesce("component", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return described.join(named, ["n", "fp"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        last = of_large <= OPEN_PAIRS * max(n_classes, 10_000)
+        open_ = named.select("a", *_OPEN.names).join(mixed.select("token", "k"), "token")
+        pairs = open_.select(*_OPEN.names).repartition("token").mapInArrow(_open_pairs(pct, None if last else several), "fp long, n long, pfp long, pn long")
+        verified = verified.union(compare(pairs, False))
+        component = connected_components(verified.where("linked"), spark)
+        rows = stored(open_.where(F.col("k") > SMALL).select("a", "token", "fp", "n", "pfp", "pn", "d"), spark) if not last else rows
+        several *= 4
+
+    named = classes.join(component.select(F.col("node").alias("id"), "component"), "id", "left").select("n", "fp", F.coalesce("component", "id").alias("component_id"))
+    return described.join(named, ["n", "fp"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, spark: SparkSession, *, pct: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
