@@ -104,16 +104,17 @@ def rs_period_ratio(df: DataFrame, *, key: str, date: str = "date", rs: str = "r
     """Adds rs_period_factor, rs_corrected and rs_state to a daily series with clear-sky radiation.
 
     In each period of 60 rows the largest ratios of measured to clear-sky radiation, without spikes, give a factor;
-    outside 0.5..1.5 the period is removed (fail where the measure exceeds the clear sky), within 0.97..1.03 it is
-    left alone.  Series of fewer than 60 rows pass.  One group is one station's daily series.
+    outside 0.5..1.5 the period is removed, within 0.97..1.03 it is left alone.  Values beyond twice the largest clear sky
+    and zeros are removed first.  A removed value that exceeds the clear sky fails.  Series of fewer than 60 rows pass.  One group is one station's daily series.
     """
 
     def fix(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(date, kind="stable").reset_index(drop=True)
         x, top = pdf[rs].to_numpy(float).copy(), pdf[rso].to_numpy(float)
-        factor, fixed, state = np.full(len(x), np.nan), x.copy(), np.full(len(x), "pass", object)
+        factor, fixed = np.full(len(x), np.nan), x.copy()
         if len(x) >= period and np.isfinite(top).any():
             clean = np.where((x > 2 * np.nanmax(top)) | (x == 0), np.nan, x)
+            fixed = clean.copy()
             for lo in range(0, len(x), period):
                 part = slice(lo, min(lo + period, len(x)))
                 with np.errstate(invalid="ignore", divide="ignore"):
@@ -131,7 +132,7 @@ def rs_period_ratio(df: DataFrame, *, key: str, date: str = "date", rs: str = "r
                     fixed[part] = clean[part] * f
                 else:
                     fixed[part] = np.nan
-                    state[part] = np.where(x[part] > top[part], "fail", "pass")
+        state = np.where(np.isfinite(x) & np.isnan(fixed) & (x > top), "fail", "pass")
         return pdf.assign(rs_period_factor=factor, rs_corrected=fixed, rs_state=state)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
