@@ -276,10 +276,10 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
         named = rows.join(component.withColumnRenamed("node", "a"), "a", "left").withColumn("c", F.coalesce("component", "a"))
         parts = named.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k"))
         mixed = stored(parts.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same")).where("k * k > same"), spark)
-        left, of_large = mixed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("k") > SMALL, (F.col("k") * F.col("k") - F.col("same")) / 2)), F.lit(0))).first()
+        left, largest, of_large = mixed.agg(F.count(F.lit(1)), F.max("k"), F.coalesce(F.sum(F.when(F.col("k") > SMALL, (F.col("k") * F.col("k") - F.col("same")) / 2)), F.lit(0))).first()
         if not left:
             break
-        last = of_large <= OPEN_PAIRS * max(n_classes, 10_000)
+        last = of_large <= OPEN_PAIRS * max(n_classes, 10_000) or several >= largest  # every class has been a pivot
         open_ = named.select("a", *_OPEN.names).join(mixed.select("token", "k"), "token")
         pairs = open_.select(*_OPEN.names).repartition("token").mapInArrow(_open_pairs(pct, None if last else several), "fp long, n long, pfp long, pn long")
         verified = verified.union(compare(pairs, False))
