@@ -2,14 +2,15 @@
 
 A set of n tokens that reaches the similarity with another must share one of its first n-ceil(pct*n/100)+1 tokens
 with it under *any* order of all tokens.  Order A puts tokens last that repeat within partitions (lossy counts of all
-documents in a sketch of fixed size), and B and C are two orders by hash.  Candidates come from A; pairs are
-verified only if they share prefix tokens under B and C as well (but for pivots, whose distances prune others).
+documents in a sketch of fixed size), and B and C are two orders by hash.  Sets that share a prefix token under A meet
+in a group; within it the filters under B and C are intersected, and the pairs that pass both are verified.
 
-Sets that are equal fall into one class first.  Within the classes that share a token under A no pairs are spelt out:
-each is compared with a pivot, classes linked so far are joined into components, and only pairs of different
-components that the triangle inequality of the Jaccard distance leaves open are compared further: in large groups with
-more and more pivots, until the pairs left are in proportion to the number of classes, then pair by pair; all after the
-filters under B and C.  No component is missed and no count is capped.
+Sets that are equal fall into one class first.  The classes of a token form a group under the name of the least of
+them, so tokens with nearly the same classes make one group, and a class comes to it once.  A group is split into
+parts of bounded sets and tokens.  First each part is searched by itself; then, where the links so far have not joined
+a group of several parts into one component, each two of its parts are, for pairs of different components.  Overlaps
+in a part are counted by matrix products, and only edges of a spanning forest leave it, so rows grow with the classes
+and not with the pairs.  No component is missed and no count is capped.
 
 Tokens are 64-bit hashes of the words' bytes; a class is known by a 64-bit sum and its size.  Edge cases: null and
 empty texts have no shingles and link with nothing; texts of fewer words than the shingle form one shingle; rows
@@ -31,8 +32,9 @@ from skyledger.llm.components import connected_components
 
 U64 = X.U64
 ORDER_CELLS = 24  # log2 of the sketch's cells: 16 MB, whatever the input
-SMALL = 32  # classes of a token up to which its open pairs are all taken at once
-OPEN_PAIRS = 4  # open pairs of the other tokens, for each class, up to which the last round takes them all
+MOST_SETS, MOST_TOKENS = 2048, 1 << 21  # of a part, about; a longer set is a part by itself
+FEW = 6  # sets up to which pairs are compared one by one
+BLOCK = 1024  # columns of a matrix product
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -148,8 +150,9 @@ def _emit(size: int, pct: int, order, buckets: int):
     return run
 
 
-def _buckets():
-    """From tokens to the classes that share one: each class with a pivot of middle size."""
+def _buckets(pct: int):
+    """From tokens to groups: rows (fp, n, pfp, pn), the classes that share a token and the least class among them.
+    Sizes with a gap that no link can cross are apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
@@ -163,84 +166,151 @@ def _buckets():
             fresh = np.ones(len(t), bool)
             fresh[1:] = (t[1:] != t[:-1]) | (fp[1:] != fp[:-1]) | (n[1:] != n[:-1])
             t, fp, n = t[fresh], fp[fresh], n[fresh]
-            new = np.concatenate(([True], t[1:] != t[:-1]))
-            counts = np.diff(np.concatenate((np.flatnonzero(new), [len(t)])))
-            many = np.repeat(counts > 1, counts)
-            t, fp, n, new = t[many], fp[many], n[many], new[many]
-            if not len(t):
+            new = np.concatenate(([True], (t[1:] != t[:-1]) | (n[:-1] * 100 < n[1:] * pct)))
+            run_ = np.cumsum(new) - 1
+            many = np.bincount(run_)[run_] > 1
+            fp, n, run_ = fp[many], n[many], run_[many]
+            if not len(fp):
                 continue
-            heads = np.flatnonzero(new)
-            counts = np.diff(np.concatenate((heads, [len(t)])))
-            pivot = np.repeat(heads + counts // 2, counts)  # of middle size
-            token = np.int64(bucket) * np.int64(1 << 32) + t.astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, fp, n, fp[pivot], n[pivot])], ["token", "fp", "n", "pfp", "pn"])
+            rank = X.mix(fp.view(U64) ^ n.view(U64), 31)
+            order = np.lexsort((rank, run_))
+            fp, n, run_ = fp[order], n[order], run_[order]
+            heads = np.flatnonzero(np.concatenate(([True], run_[1:] != run_[:-1])))
+            pivot = np.repeat(heads, np.diff(np.concatenate((heads, [len(fp)]))))
+            rows = np.unique(np.column_stack((fp, n, fp[pivot], n[pivot])), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, k])) for k in range(4)], ["fp", "n", "pfp", "pn"])
 
     return run
 
 
-def _open_pairs(pct: int, pivots: int | None):
-    """Rows (token, fp, n, c, pfp, pn, d) of a partition: the pairs still open.  Two classes are open if their
-    sizes allow a link, their components differ and their distances from the pivot differ by a link's at most.
-    Given a number of pivots, tokens of more than SMALL classes only have the pairs with so many of them."""
-    reach = 1 - pct / 100 + 1e-9
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches([pa.RecordBatch.from_arrays(b.columns, schema=_OPEN) for b in batches], schema=_OPEN).sort_by([("token", "ascending"), ("n", "ascending"), ("fp", "ascending")])
-        token, fp, n, c, d = (table.column(k).to_numpy() for k in ("token", "fp", "n", "c", "d"))
-        cut = np.concatenate(([0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)])) if len(token) else np.zeros(1, np.int64)
-        out = []
-        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            heads, every = np.arange(lo, hi), np.arange(lo, hi)
-            if pivots and hi - lo > max(SMALL, pivots):  # the same classes for all tokens that they share
-                heads = lo + np.argsort(X.mix(fp[lo:hi].view(np.uint64), pivots), kind="stable")[:pivots]
-            chosen = np.zeros(hi - lo, bool)
-            chosen[heads - lo] = True
-            for i in heads.tolist():
-                small, large = np.minimum(n[lo:hi], n[i]), np.maximum(n[lo:hi], n[i])
-                ok = (small * 100 >= large * pct) & (c[lo:hi] != c[i]) & (np.abs(d[lo:hi] - d[i]) <= reach)
-                j = every[ok & (~chosen | (every > i))]
-                if len(j):
-                    out.append(np.column_stack((fp[j], n[j], np.full(len(j), fp[i]), np.full(len(j), n[i]))))
-        rows = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 4), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, k])) for k in range(4)], ["fp", "n", "pfp", "pn"])
-
-    return run
-
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The size of the intersection of each two sets: products of indicator columns for tokens of many sets, pair by
+    pair for the others."""
+    k = len(sets)
+    row = np.repeat(np.arange(k), [len(s) for s in sets])
+    _, col, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    dense = df > max(k // 8, 1)
+    out = np.zeros((k, k), np.int32)
+    at = np.cumsum(dense) - 1
+    here = dense[col]
+    c, r = at[col[here]], row[here]
+    order = np.argsort(c, kind="stable")
+    c, r = c[order], r[order]
+    for lo in range(0, int(dense.sum()), BLOCK):
+        i, j = np.searchsorted(c, (lo, lo + BLOCK))
+        m = np.zeros((k, BLOCK), np.float32)
+        m[r[i:j], c[i:j] - lo] = 1
+        out += (m @ m.T).astype(np.int32)
+    here = (df[col] > 1) & ~here
+    c, r = col[here], row[here]
+    order = np.argsort(c, kind="stable")
+    c, r = c[order], r[order]
+    start = np.searchsorted(c, c)
+    size, flat = df[c], out.reshape(-1)
+    cut = np.concatenate(([0], np.cumsum(size)))
+    lo = 0
+    while lo < len(c):  # some two million pairs at a time
+        hi = max(int(np.searchsorted(cut, cut[lo] + (1 << 21), "right")) - 1, lo + 1)
+        first = np.repeat(r[lo:hi], size[lo:hi])
+        other = r[np.repeat(start[lo:hi] - cut[lo:hi] + cut[lo], size[lo:hi]) + np.arange(len(first))]
+        np.add.at(flat, first * k + other, 1)
+        lo = hi
+    return out
 
-_OPEN = pa.schema([("token", pa.int64()), ("fp", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("pfp", pa.int64()), ("pn", pa.int64()), ("d", pa.float64())])
 
+def _first(s: np.ndarray, pct: int, seed: int) -> np.ndarray:
+    """The prefix of a set under an order by hash."""
+    p = _prefix(len(s), pct)
+    return np.partition(X.mix(s, seed), p - 1)[:p]
+
+
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (from, to) of a spanning forest of a symmetric matrix of links."""
+    out, free = [], np.ones(len(linked), bool)
+    for i in np.flatnonzero(linked.any(0)).tolist():
+        if not free[i]:
+            continue
+        free[i], front = False, [i]
+        while front:
+            j = front.pop()
+            new = np.flatnonzero(linked[j] & free).tolist()
+            free[new] = False
+            out += [(j, x) for x in new]
+            front += new
+    return out
 
-def _verify(size: int, pct: int, measure: bool):
-    """measure: the distance is wanted of every pair, to prune others; else orders B and C filter first."""
 
-    def share(x: np.ndarray, y: np.ndarray, seed: int) -> bool:
-        x, y = X.mix(x, seed), X.mix(y, seed)
-        p, q = _prefix(len(x), pct), _prefix(len(y), pct)
-        return len(np.intersect1d(np.partition(x, p - 1)[:p], np.partition(y, q - 1)[:q])) > 0
+def _links(sets: list[np.ndarray], apart: np.ndarray, pct: int) -> list[tuple[int, int]]:
+    """Links of a part that span its components.  apart: the pairs that are of interest, symmetric."""
+    n = np.array([len(s) for s in sets], np.int64)
+    ok = apart & (np.minimum.outer(n, n) * 100 >= np.maximum.outer(n, n) * pct)
+    np.fill_diagonal(ok, False)
+    for seed in (11, 12):  # orders B and C
+        kept = np.flatnonzero(ok.any(0))
+        if not len(kept):
+            return []
+        prefixes = [_first(sets[i], pct, seed) for i in kept]
+        if len(kept) > FEW:
+            ok[np.ix_(kept, kept)] &= _overlaps(prefixes) > 0
+        else:
+            for x, i in enumerate(kept):
+                for y, j in enumerate(kept[:x]):
+                    if ok[i, j] and not len(np.intersect1d(prefixes[x], prefixes[y])):
+                        ok[i, j] = ok[j, i] = False
+    kept = np.flatnonzero(ok.any(0))
+    if not len(kept):
+        return []
+    if int(ok.sum()) > FEW * len(kept):
+        common = _overlaps([sets[i] for i in kept])
+        ok[np.ix_(kept, kept)] &= 100 * common >= pct * (n[kept][:, None] + n[kept] - common)
+    else:
+        for i, j in np.argwhere(np.triu(ok)):
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            ok[i, j] = ok[j, i] = 100 * common >= pct * (n[i] + n[j] - common)
+    return _forest(ok)
+
+
+def _search(size: int, pct: int):
+    """Rows sorted by (pfp, pn, x, y), the part or two parts x < y of a group, become links of its sets.  c: the
+    component known so far."""
+
+    def edges(x: int, y: int, ids: list, parts: list, known: list, sets: list) -> list[tuple[int, int]]:
+        fresh = list({a: i for i, a in enumerate(ids)}.values())  # a repeated id is one document
+        if len(fresh) < 2:
+            return []
+        sets = [sets[i] for i in fresh]
+        c = np.array([known[i] for i in fresh], np.int64)
+        apart = c[:, None] != c
+        if x != y:
+            part = np.array([parts[i] for i in fresh], np.int64)
+            apart &= part[:, None] != part
+        return [(ids[fresh[i]], ids[fresh[j]]) for i, j in _links(sets, apart, pct)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, out = None, ([], [], [], []), []
         for batch in batches:
-            a, b, at, bt = columns(batch, "a", "b", "a_text", "b_text")
-            out, last, pivot = [], None, None
-            names = b.to_pylist()
-            heads = [i for i, x in enumerate(names) if i == 0 or x != names[i - 1]]
-            pivots = shingle_sets(bt.take(pa.array(heads, pa.int64())), size)
-            for x, y, s in zip(a.to_pylist(), names, shingle_sets(at, size)):
-                if y != last:
-                    last, pivot = y, next(pivots)
-                if not measure and not (share(s, pivot, 11) and share(s, pivot, 12)):
-                    continue
-                common = len(np.intersect1d(s, pivot, assume_unique=True))
-                union = len(s) + len(pivot) - common
-                linked = 100 * common >= pct * union
-                if linked or measure:
-                    out.append((x, y, 1 - common / union, linked))
-            cols = list(zip(*out)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.bool_()))], ["a", "b", "d", "linked"])
+            pfp, pn, xs, ys, ids, parts, known, texts = columns(batch, "pfp", "pn", "x", "y", "a", "part", "c", "text")
+            keys = zip(*(v.to_pylist() for v in (pfp, pn, xs, ys)))
+            for key, a, part, c, s in zip(keys, ids.to_pylist(), parts.to_pylist(), known.to_pylist(), shingle_sets(texts, size)):
+                if key != now:
+                    if now:
+                        out += edges(*now[2:], *held)
+                    now, held = key, ([], [], [], [])
+                for v, into in zip((a, part, c, s), held):
+                    into.append(v)
+            yield _pairs(out)
+            out = []
+        if now:
+            yield _pairs(edges(*now[2:], *held))
 
     return run
 
 
+def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*rows) if rows else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): links join texts whose shingle sets have 100*|A and B| >= pct*|A or B|;
     component_id is the smallest doc_id that links reach."""
@@ -250,42 +320,29 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
 
     described = stored(docs.mapInArrow(_describe(size), "doc_id long, n long, fp long"), spark)
     classes = stored(described.where("n > 0").groupBy("n", "fp").agg(F.min("doc_id").alias("id")), spark)
-    n_classes = classes.count()
     members = docs.select("text").mapInArrow(_emit(size, pct, order, buckets), "bucket int, token binary, fp binary, n binary")
-    members = stored(members.repartition("bucket").mapInArrow(_buckets(), "token long, fp long, n long, pfp long, pn long"), spark)
-
-    ids = classes.select("fp", "n", F.col("id").alias("a"))
-    pivots = classes.select(F.col("fp").alias("pfp"), F.col("n").alias("pn"), F.col("id").alias("b"))
-
-    def compare(pairs: DataFrame, measure: bool) -> DataFrame:
-        """Verified pairs (a, b, d, linked) of class ids, b the pivot."""
-        named = pairs.distinct().join(ids, ["fp", "n"]).join(pivots, ["pfp", "pn"]).where("a <> b").select("a", "b")
-        with_a = named.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a")
-        with_b = with_a.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b")
-        return stored(with_b.select("a", "b", "a_text", "b_text").mapInArrow(_verify(size, pct, measure), "a long, b long, d double, linked boolean"), spark)
-
-    reach = 1 - pct / 100
-    near = F.least("n", "pn") >= (1 - 2 * reach) * F.greatest("n", "pn") - 1e-6  # sizes further apart: a distance beyond 2*reach
-    verified = compare(members.where(near & ((F.col("fp") != F.col("pfp")) | (F.col("n") != F.col("pn")))).select("fp", "n", "pfp", "pn"), True)
-    component = connected_components(verified.where("linked"), spark)
-    known = F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(F.coalesce("d", 1 - F.least("n", "pn") / F.greatest("n", "pn")))
-    rows = members.join(ids, ["fp", "n"]).join(pivots, ["pfp", "pn"]).join(verified.select("a", "b", "d").distinct(), ["a", "b"], "left")
-    rows = stored(rows.select("a", "token", "fp", "n", "pfp", "pn", known.alias("d")), spark)
-    several, last = 8, False
-    while not last:
-        named = rows.join(component.withColumnRenamed("node", "a"), "a", "left").withColumn("c", F.coalesce("component", "a"))
-        parts = named.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k"))
-        mixed = stored(parts.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same")).where("k * k > same"), spark)
-        left, largest, of_large = mixed.agg(F.count(F.lit(1)), F.max("k"), F.coalesce(F.sum(F.when(F.col("k") > SMALL, (F.col("k") * F.col("k") - F.col("same")) / 2)), F.lit(0))).first()
-        if not left:
-            break
-        last = of_large <= OPEN_PAIRS * max(n_classes, 10_000) or several >= largest  # every class has been a pivot
-        open_ = named.select("a", *_OPEN.names).join(mixed.select("token", "k"), "token")
-        pairs = open_.select(*_OPEN.names).repartition("token").mapInArrow(_open_pairs(pct, None if last else several), "fp long, n long, pfp long, pn long")
-        verified = verified.union(compare(pairs, False))
-        component = connected_components(verified.where("linked"), spark)
-        rows = stored(open_.where(F.col("k") > SMALL).select("a", "token", "fp", "n", "pfp", "pn", "d"), spark) if not last else rows
-        several *= 4
+    members = stored(members.repartition("bucket").mapInArrow(_buckets(pct), "fp long, n long, pfp long, pn long").distinct(), spark)
+
+    groups = members.groupBy("pfp", "pn").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("tokens")).where("k > 1")
+    parts = F.ceil(F.greatest(F.col("k") / MOST_SETS, F.col("tokens") / MOST_TOKENS)).cast("int")
+    rows = members.join(groups.select("pfp", "pn", parts.alias("parts")), ["pfp", "pn"]).join(classes.withColumnRenamed("id", "a"), ["fp", "n"])
+    rows = stored(rows.select("a", "pfp", "pn", "parts", F.pmod(F.xxhash64("fp", F.lit(5)), "parts").cast("int").alias("part")), spark)
+
+    def search(named: DataFrame) -> DataFrame:
+        """Links (a, b) of rows (a, pfp, pn, x, y, part, c)."""
+        key = ["pfp", "pn", "x", "y"]
+        full = named.join(docs.select(F.col("doc_id").alias("a"), "text"), "a").select(*key, "a", "part", "c", "text")
+        return stored(full.repartition(*key).sortWithinPartitions(*key).mapInArrow(_search(size, pct), "a long, b long"), spark)
+
+    links = search(rows.withColumn("x", F.col("part")).withColumn("y", F.col("part")).withColumn("c", F.col("a")))
+    component = connected_components(links, spark)
+    split = rows.where("parts > 1").join(component.withColumnRenamed("node", "a"), "a", "left").withColumn("c", F.coalesce("component", "a"))
+    mixed = split.groupBy("pfp", "pn").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("pfp", "pn")
+    split = stored(split.join(mixed, ["pfp", "pn"]).drop("component"), spark)
+    if not split.isEmpty():
+        other = split.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("o <> part")
+        links = links.union(search(other.withColumn("x", F.least("o", "part")).withColumn("y", F.greatest("o", "part"))))
+        component = connected_components(links, spark)
 
     named = classes.join(component.select(F.col("node").alias("id"), "component"), "id", "left").select("n", "fp", F.coalesce("component", "id").alias("component_id"))
     return described.join(named, ["n", "fp"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

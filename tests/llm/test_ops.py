@@ -114,7 +114,7 @@ def test_jaccard_components(spark, docs, rows, pct, size):
 
 
 def test_jaccard_large_group(spark, monkeypatch):
-    """A group of near copies that mostly are no links of one another: several rounds of pivots, same components."""
+    """A group of near copies that mostly are no links of one another, in several parts: same components."""
     r = random.Random(5)
     base = [f"w{k}" for k in range(60)]
     texts = []
@@ -123,8 +123,7 @@ def test_jaccard_large_group(spark, monkeypatch):
         for _ in range(r.randint(0, 4)):
             w[r.randrange(60)] = f"x{i}"
         texts.append((i, " ".join(w)))
-    monkeypatch.setattr(jaccard_join, "SMALL", 8)
-    monkeypatch.setattr(jaccard_join, "OPEN_PAIRS", 0)
+    monkeypatch.setattr(jaccard_join, "MOST_SETS", 8)
     df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
     got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(df, spark).collect()}
     assert got == jaccard_brute(texts, 90, 3)
