@@ -28,9 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
-def stored(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """df written as a table in the shared folder and read again: it survives lost executors and is computed once."""
+ID_SHARE = 8  # tables of ids are small beside the texts: so many shuffle partitions of theirs make one file
+
+
+def stored(df: DataFrame, spark: SparkSession, *, ids: bool = False) -> DataFrame:
+    """df written as a table in the shared folder and read again: it survives lost executors and is computed once.
+    ids: rows of a few numbers, in fewer files."""
     path = f"{shared_dir(spark)}/skyledger-{uuid.uuid4().hex}"
+    if ids:
+        df = df.coalesce(max(8, shuffle_partitions(spark) // ID_SHARE))
     df.write.parquet(path)
     return spark.read.parquet(path)
 

@@ -16,9 +16,9 @@ def connected_components(links: DataFrame, spark: SparkSession, *, a: str = "a",
     pre-aggregated on the map side, so a hub costs one row for each task.
     """
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    edges = stored(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), spark)
+    edges = stored(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), spark, ids=True)
     labels = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("component"))
-    labels = stored(labels, spark)
+    labels = stored(labels, spark, ids=True)
     for _ in range(most_rounds):
         near = edges.join(labels, edges.v == labels.node).groupBy(F.col("u").alias("node")).agg(F.min("component").alias("m"))
         low = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "m").alias("low"))
@@ -26,7 +26,7 @@ def connected_components(links: DataFrame, spark: SparkSession, *, a: str = "a",
         hook = low.where("low < was").groupBy(F.col("was").alias("node")).agg(F.min("low").alias("m"))
         moved = low.join(hook, "node", "left").select("node", "was", F.least("low", F.coalesce("m", "low")).alias("low"))
         jump = moved.select(F.col("node").alias("low"), F.col("low").alias("next"))
-        new = stored(moved.join(jump, "low", "left").select("node", "was", F.least("low", F.coalesce("next", "low")).alias("component")), spark)
+        new = stored(moved.join(jump, "low", "left").select("node", "was", F.least("low", F.coalesce("next", "low")).alias("component")), spark, ids=True)
         if new.where("was <> component").isEmpty():
             return labels
         labels = new.select("node", "component")

@@ -319,14 +319,14 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
     order = spark.sparkContext.broadcast(_token_order(docs, size, ORDER_CELLS))
 
     described = stored(docs.mapInArrow(_describe(size), "doc_id long, n long, fp long"), spark)
-    classes = stored(described.where("n > 0").groupBy("n", "fp").agg(F.min("doc_id").alias("id")), spark)
+    classes = stored(described.where("n > 0").groupBy("n", "fp").agg(F.min("doc_id").alias("id")), spark, ids=True)
     members = docs.select("text").mapInArrow(_emit(size, pct, order, buckets), "bucket int, token binary, fp binary, n binary")
     members = stored(members.repartition("bucket").mapInArrow(_buckets(pct), "fp long, n long, pfp long, pn long").distinct(), spark)
 
     groups = members.groupBy("pfp", "pn").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("tokens")).where("k > 1")
     parts = F.ceil(F.greatest(F.col("k") / MOST_SETS, F.col("tokens") / MOST_TOKENS)).cast("int")
     rows = members.join(groups.select("pfp", "pn", parts.alias("parts")), ["pfp", "pn"]).join(classes.withColumnRenamed("id", "a"), ["fp", "n"])
-    rows = stored(rows.select("a", "pfp", "pn", "parts", F.pmod(F.xxhash64("fp", F.lit(5)), "parts").cast("int").alias("part")), spark)
+    rows = stored(rows.select("a", "pfp", "pn", "parts", F.pmod(F.xxhash64("fp", F.lit(5)), "parts").cast("int").alias("part")), spark, ids=True)
 
     def search(named: DataFrame) -> DataFrame:
         """Links (a, b) of rows (a, pfp, pn, x, y, part, c)."""
@@ -338,7 +338,7 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
     component = connected_components(links, spark)
     split = rows.where("parts > 1").join(component.withColumnRenamed("node", "a"), "a", "left").withColumn("c", F.coalesce("component", "a"))
     mixed = split.groupBy("pfp", "pn").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("pfp", "pn")
-    split = stored(split.join(mixed, ["pfp", "pn"]).drop("component"), spark)
+    split = stored(split.join(mixed, ["pfp", "pn"]).drop("component"), spark, ids=True)
     if not split.isEmpty():
         other = split.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("o <> part")
         links = links.union(search(other.withColumn("x", F.least("o", "part")).withColumn("y", F.greatest("o", "part"))))
