@@ -3,7 +3,8 @@
 A set of n tokens that reaches the similarity with another must share one of its first n-ceil(pct*n/100)+1 tokens
 with it under *any* order of all tokens.  Order A puts tokens last that repeat within partitions (lossy counts of all
 documents in a sketch of fixed size), and B and C are two orders by hash.  Sets that share a prefix token under A meet
-in a group; within it the filters under B and C are intersected, and the pairs that pass both are verified.
+in a group; within it the filters under B and C are intersected, first on signatures (the prefixes' hashes), so that
+only texts with a pair that passes both are sent to be verified.
 
 Sets that are equal fall into one class first.  The classes of a token form a group under the name of the least of
 them, so tokens with nearly the same classes make one group, and a class comes to it once.  A group is split into
@@ -33,6 +34,7 @@ from skyledger.llm.components import connected_components
 U64 = X.U64
 ORDER_CELLS = 24  # log2 of the sketch's cells: 16 MB, whatever the input
 MOST_SETS, MOST_TOKENS = 2048, 1 << 21  # of a part, about; a longer set is a part by itself
+ORDERS = (11, 12)  # seeds of the orders B and C
 FEW = 6  # sets up to which pairs are compared one by one
 BLOCK = 1024  # columns of a matrix product
 
@@ -63,13 +65,24 @@ def _prefix(n: int, pct: int) -> int:
     return n - (pct * n + 99) // 100 + 1
 
 
-def _describe(size: int):
+def _first(s: np.ndarray, pct: int, seed: int) -> np.ndarray:
+    """The prefix of a set under an order by hash."""
+    p = _prefix(len(s), pct)
+    return np.partition(X.mix(s, seed), p - 1)[:p]
+
+
+def _describe(size: int, pct: int):
+    """Size and name of each set, and 32 bits of each token of its prefixes under B, then C."""
+
+    def signature(s: np.ndarray) -> bytes:
+        return b"".join(_first(s, pct, k).astype(np.uint32).tobytes() for k in ORDERS) if len(s) else b""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = columns(batch, "doc_id", "text")
-            sets = [(len(s), _fingerprint(s)) for s in shingle_sets(texts, size)]
-            n, fp = (np.array(x, np.int64) for x in zip(*sets)) if sets else (np.zeros(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(n), pa.array(fp)], ["doc_id", "n", "fp"])
+            sets = [(len(s), _fingerprint(s), signature(s)) for s in shingle_sets(texts, size)]
+            n, fp, signs = zip(*sets) if sets else ((), (), ())
+            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(np.array(n, np.int64)), pa.array(np.array(fp, np.int64)), pa.array(signs, pa.binary())], ["doc_id", "n", "fp", "signature"])
 
     return run
 
@@ -218,12 +231,6 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _first(s: np.ndarray, pct: int, seed: int) -> np.ndarray:
-    """The prefix of a set under an order by hash."""
-    p = _prefix(len(s), pct)
-    return np.partition(X.mix(s, seed), p - 1)[:p]
-
-
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     """Edges (from, to) of a spanning forest of a symmetric matrix of links."""
     out, free = [], np.ones(len(linked), bool)
@@ -240,23 +247,26 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _links(sets: list[np.ndarray], apart: np.ndarray, pct: int) -> list[tuple[int, int]]:
-    """Links of a part that span its components.  apart: the pairs that are of interest, symmetric."""
-    n = np.array([len(s) for s in sets], np.int64)
+def _candidates(n: np.ndarray, prefixes: list[list[np.ndarray]], apart: np.ndarray, pct: int) -> np.ndarray:
+    """The symmetric matrix of pairs of interest whose sizes allow a link and that share a token in each list of prefixes."""
     ok = apart & (np.minimum.outer(n, n) * 100 >= np.maximum.outer(n, n) * pct)
     np.fill_diagonal(ok, False)
-    for seed in (11, 12):  # orders B and C
+    for under in prefixes:
         kept = np.flatnonzero(ok.any(0))
-        if not len(kept):
-            return []
-        prefixes = [_first(sets[i], pct, seed) for i in kept]
         if len(kept) > FEW:
-            ok[np.ix_(kept, kept)] &= _overlaps(prefixes) > 0
+            ok[np.ix_(kept, kept)] &= _overlaps([under[i] for i in kept]) > 0
         else:
             for x, i in enumerate(kept):
-                for y, j in enumerate(kept[:x]):
-                    if ok[i, j] and not len(np.intersect1d(prefixes[x], prefixes[y])):
+                for j in kept[:x]:
+                    if ok[i, j] and not len(np.intersect1d(under[i], under[j])):
                         ok[i, j] = ok[j, i] = False
+    return ok
+
+
+def _links(sets: list[np.ndarray], apart: np.ndarray, pct: int) -> list[tuple[int, int]]:
+    """Links of a part that span its components.  apart: the pairs that are of interest, symmetric."""
+    n = np.array([len(s) for s in sets], np.int64)
+    ok = _candidates(n, [[_first(s, pct, k) for s in sets] for k in ORDERS], apart, pct)
     kept = np.flatnonzero(ok.any(0))
     if not len(kept):
         return []
@@ -270,38 +280,69 @@ def _links(sets: list[np.ndarray], apart: np.ndarray, pct: int) -> list[tuple[in
     return _forest(ok)
 
 
-def _search(size: int, pct: int):
-    """Rows sorted by (pfp, pn, x, y), the part or two parts x < y of a group, become links of its sets.  c: the
-    component known so far."""
-
-    def edges(x: int, y: int, ids: list, parts: list, known: list, sets: list) -> list[tuple[int, int]]:
-        fresh = list({a: i for i, a in enumerate(ids)}.values())  # a repeated id is one document
-        if len(fresh) < 2:
-            return []
-        sets = [sets[i] for i in fresh]
-        c = np.array([known[i] for i in fresh], np.int64)
+def _tiles(batches: Iterator[pa.RecordBatch], values) -> Iterator[tuple[tuple, list[tuple], np.ndarray]]:
+    """(key, rows, apart) of the runs of equal keys (pfp, pn, x, y): the part or the two parts x < y of a group.  A row
+    is (a, part, c, value), c the component known so far; a repeated id is one document.  apart: the pairs of different
+    components and, of two parts, across them."""
+
+    def tile(key: tuple, held: dict) -> tuple:
+        rows = list(held.values())
+        part, c = (np.array([r[k] for r in rows], np.int64) for k in (1, 2))
         apart = c[:, None] != c
-        if x != y:
-            part = np.array([parts[i] for i in fresh], np.int64)
-            apart &= part[:, None] != part
-        return [(ids[fresh[i]], ids[fresh[j]]) for i, j in _links(sets, apart, pct)]
+        return key, rows, apart & (part[:, None] != part) if key[2] != key[3] else apart
+
+    now, held = None, {}
+    for batch in batches:
+        *key, ids, parts, known = (v.to_pylist() for v in columns(batch, "pfp", "pn", "x", "y", "a", "part", "c"))
+        for key, a, part, c, v in zip(zip(*key), ids, parts, known, values(batch)):
+            if key != now:
+                if len(held) > 1:
+                    yield tile(now, held)
+                now, held = key, {}
+            held[a] = (a, part, c, v)
+    if len(held) > 1:
+        yield tile(now, held)
+
+
+def _sift(pct: int):
+    """The rows (pfp, pn, x, y, a, part, c) that have a candidate in their tile, by the orders B and C."""
+
+    def values(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+        for n, sign in zip(*(v.to_pylist() for v in columns(batch, "n", "signature"))):
+            yield n, np.frombuffer(sign, np.uint32).reshape(len(ORDERS), -1)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        cols = zip(*rows) if rows else ((),) * len(_TILE)
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, _TILE.types)], schema=_TILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, out = None, ([], [], [], []), []
-        for batch in batches:
-            pfp, pn, xs, ys, ids, parts, known, texts = columns(batch, "pfp", "pn", "x", "y", "a", "part", "c", "text")
-            keys = zip(*(v.to_pylist() for v in (pfp, pn, xs, ys)))
-            for key, a, part, c, s in zip(keys, ids.to_pylist(), parts.to_pylist(), known.to_pylist(), shingle_sets(texts, size)):
-                if key != now:
-                    if now:
-                        out += edges(*now[2:], *held)
-                    now, held = key, ([], [], [], [])
-                for v, into in zip((a, part, c, s), held):
-                    into.append(v)
-            yield _pairs(out)
-            out = []
-        if now:
-            yield _pairs(edges(*now[2:], *held))
+        out = []
+        for key, rows, apart in _tiles(batches, values):
+            n = np.array([r[3][0] for r in rows], np.int64)
+            ok = _candidates(n, [[r[3][1][k] for r in rows] for k in range(len(ORDERS))], apart, pct)
+            out += [(*key, *rows[i][:3]) for i in np.flatnonzero(ok.any(0))]
+            if len(out) > MOST_SETS:
+                yield batch_of(out)
+                out = []
+        yield batch_of(out)
+
+    return run
+
+
+_TILE = pa.schema([("pfp", pa.int64()), ("pn", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("a", pa.int64()), ("part", pa.int32()), ("c", pa.int64())])
+
+
+def _search(size: int, pct: int):
+    """The links (a, b) of the sets of each tile."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for _, rows, apart in _tiles(batches, lambda b: shingle_sets(columns(b, "text")[0], size)):
+            out += [(rows[i][0], rows[j][0]) for i, j in _links([r[3] for r in rows], apart, pct)]
+            if len(out) > MOST_SETS:
+                yield _pairs(out)
+                out = []
+        yield _pairs(out)
 
     return run
 
@@ -318,20 +359,25 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
     buckets = 4 * shuffle_partitions(spark)
     order = spark.sparkContext.broadcast(_token_order(docs, size, ORDER_CELLS))
 
-    described = stored(docs.mapInArrow(_describe(size), "doc_id long, n long, fp long"), spark)
+    described = stored(docs.mapInArrow(_describe(size, pct), "doc_id long, n long, fp long, signature binary"), spark)
     classes = stored(described.where("n > 0").groupBy("n", "fp").agg(F.min("doc_id").alias("id")), spark, ids=True)
     members = docs.select("text").mapInArrow(_emit(size, pct, order, buckets), "bucket int, token binary, fp binary, n binary")
     members = stored(members.repartition("bucket").mapInArrow(_buckets(pct), "fp long, n long, pfp long, pn long").distinct(), spark)
 
     groups = members.groupBy("pfp", "pn").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("tokens")).where("k > 1")
     parts = F.ceil(F.greatest(F.col("k") / MOST_SETS, F.col("tokens") / MOST_TOKENS)).cast("int")
-    rows = members.join(groups.select("pfp", "pn", parts.alias("parts")), ["pfp", "pn"]).join(classes.withColumnRenamed("id", "a"), ["fp", "n"])
-    rows = stored(rows.select("a", "pfp", "pn", "parts", F.pmod(F.xxhash64("fp", F.lit(5)), "parts").cast("int").alias("part")), spark, ids=True)
+    groups = stored(groups.select("pfp", "pn", parts.alias("parts")), spark, ids=True)  # so that the join can split a large group
+    rows = members.join(groups, ["pfp", "pn"]).join(classes.withColumnRenamed("id", "a"), ["fp", "n"])
+    rows = stored(rows.select("a", "n", "pfp", "pn", "parts", F.pmod(F.xxhash64("fp", F.lit(5)), "parts").cast("int").alias("part")), spark, ids=True)
 
     def search(named: DataFrame) -> DataFrame:
-        """Links (a, b) of rows (a, pfp, pn, x, y, part, c)."""
+        """Links (a, b) of rows (a, n, pfp, pn, x, y, part, c).  The orders B and C sift by signature first, so that texts
+        go to the tiles of candidates only.  Neither side has a proven bound: both joins shuffle."""
         key = ["pfp", "pn", "x", "y"]
-        full = named.join(docs.select(F.col("doc_id").alias("a"), "text"), "a").select(*key, "a", "part", "c", "text")
+        signed = named.hint("merge").join(described.select(F.col("doc_id").alias("a"), "signature"), "a").select(*_TILE.names, "n", "signature")
+        kinds = "pfp long, pn long, x int, y int, a long, part int, c long"
+        sifted = stored(signed.repartition(*key).sortWithinPartitions(*key).mapInArrow(_sift(pct), kinds), spark)
+        full = sifted.hint("merge").join(docs.select(F.col("doc_id").alias("a"), "text"), "a").select(*_TILE.names, "text")
         return stored(full.repartition(*key).sortWithinPartitions(*key).mapInArrow(_search(size, pct), "a long, b long"), spark)
 
     links = search(rows.withColumn("x", F.col("part")).withColumn("y", F.col("part")).withColumn("c", F.col("a")))
