@@ -320,7 +320,11 @@ def _sift(pct: int):
         for key, rows, apart in _tiles(batches, values):
             n = np.array([r[3][0] for r in rows], np.int64)
             ok = _candidates(n, [[r[3][1][k] for r in rows] for k in range(len(ORDERS))], apart, pct)
-            out += [(*key, *rows[i][:3]) for i in np.flatnonzero(ok.any(0))]
+            kept = [rows[i] for i in np.flatnonzero(ok.any(0))]
+            if key[2] == key[3] and 0 < len(kept) <= FEW:  # named by its least id, a pair of several groups is sent once
+                out += [(min(r[0] for r in kept), -1, 0, 0, a, 0, c) for a, _, c, _ in kept]
+            else:
+                out += [(*key, *r[:3]) for r in kept]
             if len(out) > MOST_SETS:
                 yield batch_of(out)
                 out = []
@@ -376,7 +380,7 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
         key = ["pfp", "pn", "x", "y"]
         signed = named.hint("merge").join(described.select(F.col("doc_id").alias("a"), "signature"), "a").select(*_TILE.names, "n", "signature")
         kinds = "pfp long, pn long, x int, y int, a long, part int, c long"
-        sifted = stored(signed.repartition(*key).sortWithinPartitions(*key).mapInArrow(_sift(pct), kinds), spark)
+        sifted = stored(signed.repartition(*key).sortWithinPartitions(*key).mapInArrow(_sift(pct), kinds).distinct(), spark)
         full = sifted.hint("merge").join(docs.select(F.col("doc_id").alias("a"), "text"), "a").select(*_TILE.names, "text")
         return stored(full.repartition(*key).sortWithinPartitions(*key).mapInArrow(_search(size, pct), "a long, b long"), spark)
 
