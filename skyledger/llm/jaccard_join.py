@@ -13,6 +13,11 @@ a group of several parts into one component, each two of its parts are, for pair
 in a part are counted by matrix products, and only edges of a spanning forest leave it, so rows grow with the classes
 and not with the pairs.  No component is missed and no count is capped.
 
+One task groups all classes of a token, but for tokens that the sketch counts more than MOST_CLASSES times: theirs
+stay rows of a table, the least is found by an aggregation with partial results, and the join that names the group is
+salted.  The sketch leaves out a token that occurs once in a batch, so a task holds MOST_CLASSES of a token and one
+more for each batch at most.
+
 Tokens are 64-bit hashes of the words' bytes; a class is known by a 64-bit sum and its size.  Edge cases: null and
 empty texts have no shingles and link with nothing; texts of fewer words than the shingle form one shingle; rows
 that repeat an id are one document (their texts should agree); an empty table gives an empty result.
@@ -34,6 +39,8 @@ from skyledger.llm.components import connected_components
 U64 = X.U64
 ORDER_CELLS = 24  # log2 of the sketch's cells: 16 MB, whatever the input
 MOST_SETS, MOST_TOKENS = 2048, 1 << 21  # of a part, about; a longer set is a part by itself
+MOST_CLASSES = 1 << 20  # of a token that one task groups; those of more are dealt out over SALTS
+SALTS = 64
 ORDERS = (11, 12)  # seeds of the orders B and C
 FEW = 6  # sets up to which pairs are compared one by one
 BLOCK = 1024  # columns of a matrix product
@@ -133,26 +140,54 @@ def _order_a(s: np.ndarray, logs: np.ndarray) -> np.ndarray:
     return (logs[(s & U64(len(logs) - 1)).astype(np.int64)].astype(U64) << U64(56)) | (s >> U64(8))
 
 
-def _emit(size: int, pct: int, order, buckets: int):
-    """The prefix tokens under A of each different set of the batch, dealt out by token."""
+def _level(count: int) -> int:
+    """The sketch's logarithm of a count."""
+    return int(min(np.log2(1.0 + count) * 4, 255))
+
+
+def _prefix_tokens(batch: pa.RecordBatch, size: int, pct: int, logs: np.ndarray, level: int, hot: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token, fp, n): the prefix tokens under A of each different set of the batch, either the hot ones or the others."""
+    seen, tokens, fps, ns = set(), [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    for s in shingle_sets(columns(batch, "text")[0], size):
+        n, fp = len(s), _fingerprint(s)
+        if not n or (n, int(fp)) in seen:
+            continue
+        seen.add((n, int(fp)))
+        p = _prefix(n, pct)
+        key = np.partition(_order_a(s, logs), p - 1)[:p]
+        key = key[(key >> U64(56) > U64(level)) == hot]
+        tokens.append(X.mix(key, 5))
+        fps.append(np.full(len(key), fp))
+        ns.append(np.full(len(key), min(n, 0xFFFFFFFF), np.uint32))
+    return np.concatenate(tokens), np.concatenate(fps), np.concatenate(ns)
+
 
+def _emit_hot(size: int, pct: int, order, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = order.value
         for batch in batches:
-            seen, tokens, fps, ns = set(), [], [], []
-            for s in shingle_sets(columns(batch, "text")[0], size):
-                n, fp = len(s), _fingerprint(s)
-                if not n or (n, int(fp)) in seen:
-                    continue
-                seen.add((n, int(fp)))
-                p = _prefix(n, pct)
-                key = _order_a(s, logs)
-                tokens.append(X.mix(np.partition(key, p - 1)[:p], 5))
-                fps.append(np.full(p, fp))
-                ns.append(np.full(p, min(n, 0xFFFFFFFF), np.uint32))
-            if not tokens:
+            t, fp, n = _prefix_tokens(batch, size, pct, order.value, level, True)
+            yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(fp), pa.array(n.astype(np.int64))], ["token", "fp", "n"])
+
+    return run
+
+
+def _hot_groups(docs: DataFrame, size: int, pct: int, order, level: int) -> DataFrame:
+    """Rows (fp, n, pfp, pn) as of _buckets for the hot tokens, without one task that sees all classes of one."""
+    rows = docs.select("text").mapInArrow(_emit_hot(size, pct, order, level), "token long, fp long, n long").distinct()
+    least = rows.groupBy("token").agg(F.min(F.struct("fp", "n")).alias("p"))
+    least = least.select("token", F.col("p.fp").alias("pfp"), F.col("p.n").alias("pn"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("fp", "n"), F.lit(SALTS)).cast("int"))
+    return salted.hint("merge").join(least, ["token", "salt"]).select("fp", "n", "pfp", "pn")
+
+
+def _emit(size: int, pct: int, order, level: int, buckets: int):
+    """The prefix tokens under A of each different set of the batch, dealt out by token; hot ones are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t, fp, n = _prefix_tokens(batch, size, pct, order.value, level, False)
+            if not len(t):
                 continue
-            t, fp, n = np.concatenate(tokens), np.concatenate(fps), np.concatenate(ns)
             bucket = ((t >> U64(32)) % U64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
             cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
@@ -356,17 +391,21 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, size: int = 3, id_col: str = "doc_id", text_col: str = "text", most_classes: int = MOST_CLASSES) -> DataFrame:
     """(doc_id, n_shingles, component_id): links join texts whose shingle sets have 100*|A and B| >= pct*|A or B|;
     component_id is the smallest doc_id that links reach."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = 4 * shuffle_partitions(spark)
-    order = spark.sparkContext.broadcast(_token_order(docs, size, ORDER_CELLS))
+    logs, level = _token_order(docs, size, ORDER_CELLS), _level(most_classes)
+    order = spark.sparkContext.broadcast(logs)
 
     described = stored(docs.mapInArrow(_describe(size, pct), "doc_id long, n long, fp long, signature binary"), spark)
     classes = stored(described.where("n > 0").groupBy("n", "fp").agg(F.min("doc_id").alias("id")), spark, ids=True)
-    members = docs.select("text").mapInArrow(_emit(size, pct, order, buckets), "bucket int, token binary, fp binary, n binary")
-    members = stored(members.repartition("bucket").mapInArrow(_buckets(pct), "fp long, n long, pfp long, pn long").distinct(), spark)
+    members = docs.select("text").mapInArrow(_emit(size, pct, order, level, buckets), "bucket int, token binary, fp binary, n binary")
+    members = members.repartition("bucket").mapInArrow(_buckets(pct), "fp long, n long, pfp long, pn long")
+    if logs.max() > level:
+        members = members.union(_hot_groups(docs, size, pct, order, level))
+    members = stored(members.distinct(), spark)
 
     groups = members.groupBy("pfp", "pn").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("tokens")).where("k > 1")
     parts = F.ceil(F.greatest(F.col("k") / MOST_SETS, F.col("tokens") / MOST_TOKENS)).cast("int")

@@ -113,8 +113,10 @@ def test_jaccard_components(spark, docs, rows, pct, size):
     assert got == jaccard_brute(rows, pct, size)
 
 
-def test_jaccard_large_group(spark, monkeypatch):
-    """A group of near copies that mostly are no links of one another, in several parts: same components."""
+@pytest.mark.parametrize("most", [jaccard_join.MOST_CLASSES, 8])
+def test_jaccard_large_group(spark, monkeypatch, most):
+    """A group of near copies that mostly are no links of one another, in several parts: same components, also where
+    its tokens have more classes than one task is to group."""
     r = random.Random(5)
     base = [f"w{k}" for k in range(60)]
     texts = []
@@ -125,10 +127,19 @@ def test_jaccard_large_group(spark, monkeypatch):
         texts.append((i, " ".join(w)))
     monkeypatch.setattr(jaccard_join, "MOST_SETS", 8)
     df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
-    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(df, spark).collect()}
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(df, spark, most_classes=most).collect()}
     assert got == jaccard_brute(texts, 90, 3)
 
 
+def test_jaccard_hot_tokens(spark, docs, rows, monkeypatch):
+    """Tokens of more classes than one task is to group (here all that repeat in a batch): same components."""
+    used, hot = [], jaccard_join._hot_groups
+    monkeypatch.setattr(jaccard_join, "_hot_groups", lambda *a: used.append(hot(*a)) or used[-1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs, spark, most_classes=0).collect()}
+    assert got == jaccard_brute(rows, 90, 3)
+    assert not used[0].isEmpty()
+
+
 def test_keep_one(spark, docs, rows):
     want = sorted(i for i, (_, c) in jaccard_brute(rows, 80, 5).items() if i == c)
     left = jaccard_join.keep_one(docs, spark)
