@@ -348,6 +348,74 @@ def station_por(spark: SparkSession, d: str) -> DataFrame:
     return done.series.select("station_key", "date", "obs_count", r6("tmean").alias("tmean"))
 
 
+@query("""WITH b AS (SELECT *, CASE user_id % 4 WHEN 0 THEN 999 WHEN 1 THEN NULL ELSE value END AS v FROM events)
+SELECT event_id, CASE WHEN v IS NULL OR v IN (99, 999, 9999) THEN 'fail' ELSE 'pass' END AS state, CASE WHEN v IS NULL THEN 'value_none' WHEN v IN (99, 999, 9999) THEN 'sentinel_detected' END AS reason FROM b""")
+def sentinel_values(spark: SparkSession, d: str) -> DataFrame:
+    m = F.col("user_id") % 4
+    rows = read(spark, d, "events").select("event_id", F.when(m == 0, 999.0).when(m == 1, None).otherwise(F.col("value")).alias("v"))
+    rank, reason = rules.sentinel().check(F.col("v"), "v", {})
+    return rows.select("event_id", C.state_of(rank).alias("state"), reason.alias("reason"))
+
+
+@query("""SELECT event_id, CASE WHEN value / 4 > value / 5 + 5 + 3.0 THEN 'fail' ELSE 'pass' END AS td_state FROM events""")
+def dewpoint_against_minimum(spark: SparkSession, d: str) -> DataFrame:
+    v = F.col("value")
+    return read(spark, d, "events").select("event_id", temporal.dewpoint_daily(v / 4, v / 5 + 5).alias("td_state"))
+
+
+@query("""WITH b AS (SELECT event_id, CASE WHEN value + 200 BETWEEN 223.15 AND 333.15 AND event_type <> 'view' AND (user_id & 115) = 0 THEN value + 200 END AS t,
+  CASE WHEN value / 10 BETWEEN 0 AND 35 THEN value / 10 END AS w FROM events)
+SELECT event_id, round(t, 6) AS temperature, round(w, 6) AS wind_speed, t IS NOT NULL OR w IS NOT NULL AS qc_passed FROM b""")
+def extract_qc(spark: SparkSession, d: str) -> DataFrame:
+    e, v = read(spark, d, "events"), F.col("value")
+    flag = F.when(F.col("event_type") == "view", "Q").otherwise("V")
+    rows = e.select("event_id", (v + 200).alias("temperature"), flag.alias("temperatureDD"), F.col("user_id").alias("temperatureQCR"), (v / 10).alias("windSpeed"))
+    return rules.madis_extract_qc(rows).select("event_id", r6("temperature").alias("temperature"), r6("windSpeed").alias("wind_speed"), "qc_passed")
+
+
+@query("""SELECT event_id, CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 8 IN (1, 5) THEN value END AS tair FROM events""")
+def quality_code_mask(spark: SparkSession, d: str) -> DataFrame:
+    rows = hourly(spark, d).select("event_id", F.col("value").alias("tair"), (F.col("k") % 8).alias("tair_qc"))
+    return rules.isd_mask(rows, ["tair"]).select("event_id", "tair")
+
+
+@query("""WITH x AS (SELECT o_custkey AS station_key, year(o_orderdate) AS y, o_orderkey, o_totalprice / 5000 AS rh FROM orders),
+a AS (SELECT *, count(*) OVER (PARTITION BY station_key) AS total, count(*) OVER (PARTITION BY station_key, y) AS n, row_number() OVER (PARTITION BY station_key, y ORDER BY rh DESC, o_orderkey) AS rk FROM x),
+t AS (SELECT *, avg(CASE WHEN rk <= greatest(1, ceil(n * 0.01)) THEN rh END) OVER (PARTITION BY station_key, y) AS top FROM a),
+f AS (SELECT station_key, count(*) AS n, avg(CASE WHEN total >= 5 AND top > 0 THEN least(greatest(rh * 100 / top, 0), 100) ELSE rh END / rh) AS factor FROM t GROUP BY station_key)
+SELECT station_key, round(factor, 6) AS factor, CASE WHEN n < 5 THEN 'pass' WHEN greatest(factor, 1 / factor) >= 1.15 THEN 'fail' WHEN greatest(factor, 1 / factor) >= 1.05 THEN 'suspect' ELSE 'pass' END AS state FROM f""")
+def humidity_drift(spark: SparkSession, d: str) -> DataFrame:
+    o = read(spark, d, "orders").select(F.col("o_custkey").alias("station_key"), F.col("o_orderdate").alias("date"), (F.col("o_totalprice") / 5000).alias("rh"))
+    return temporal.rh_drift(o, "rh", keys=["station_key"], least=5).select("station_key", r6("factor").alias("factor"), "state")
+
+
+@query("""SELECT user_id % 50 AS station_key, CAST(ts AS DATE) AS date, arg_min(value, event_id) FILTER (WHERE event_type = 'view') AS tair, arg_min(value, event_id) FILTER (WHERE event_type = 'click') AS td FROM events GROUP BY ALL""")
+def stitch_cycles(spark: SparkSession, d: str) -> DataFrame:
+    t, v = F.col("event_type"), F.col("value")
+    rows = read(spark, d, "events").select((F.col("user_id") % 50).alias("station_key"), F.date_trunc("day", "ts").alias("datetime_utc"), F.col("event_id").alias("cycle"), F.when(t == "view", v).alias("tair"), F.when(t == "click", v).alias("td"))
+    return temporal.prepare_gdas(rows).select("station_key", F.to_date("datetime_utc").alias("date"), "tair", "td")
+
+
+@query("""WITH s AS (SELECT 'sup:' || s_suppkey AS station_key, s_suppkey % 3 = 0 AS has, CAST(s_suppkey % 120 AS DOUBLE) AS lat, CASE WHEN s_suppkey % 7 <> 0 THEN 2000.0 * (s_suppkey % 6) END AS z FROM supplier),
+r AS (SELECT *, CASE WHEN has THEN NULL WHEN z IS NULL THEN 'missing_lat_or_elev' WHEN lat > 90 THEN 'invalid_lat' WHEN z > 9000 THEN 'invalid_elev_m' END AS reason FROM s)
+SELECT station_key, CASE WHEN has THEN 'raster' WHEN reason IS NULL THEN 'asce' END AS method, reason FROM r""")
+def radiation_source(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    s = read(spark, d, "supplier").select(k, F.concat(F.lit("sup:"), k.cast("string")).alias("station_key"), (k % 120).alias("lat"), F.when(k % 7 != 0, 2000.0 * (k % 6)).alias("elev_m"))
+    return temporal.resolve_rso(s, s.where("s_suppkey % 3 = 0"))
+
+
+@query("""WITH b AS (SELECT o_orderkey, month(o_orderdate) AS m, o_custkey % 2 AS k, o_totalprice / 500 AS prcp, (o_totalprice / 100000) * (o_totalprice / 100000) AS td FROM orders),
+m AS (SELECT *, median(td) OVER (PARTITION BY k, m) AS med, count(*) OVER (PARTITION BY k, m) AS n FROM b), a AS (SELECT *, median(abs(td - med)) OVER (PARTITION BY k, m) AS mad FROM m),
+z AS (SELECT *, coalesce(CASE WHEN n >= 90 AND mad > 0 THEN 0.6745 * abs(td - med) / mad END, 0) AS z FROM a)
+SELECT o_orderkey, CASE WHEN z > 7 OR prcp > 610 THEN 'fail' WHEN z > 3.5 THEN 'suspect' ELSE 'pass' END AS qc_state,
+  array_to_string(list_filter([CASE WHEN z > 3.5 THEN 'zscore_td' END, CASE WHEN prcp > 610 THEN 'prcp_exceeds_daily_max' END], lambda x: x IS NOT NULL), ',') AS qc_reason_codes FROM z""")
+def tier2_checks(spark: SparkSession, d: str) -> DataFrame:
+    x = F.col("o_totalprice") / 100000
+    rows = read(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 2).alias("station_key"), F.col("o_orderdate").alias("date"), (F.col("o_totalprice") / 500).alias("prcp"), (x * x).alias("td"))
+    return temporal.tier2(rows, ["td", "prcp"]).select("o_orderkey", "qc_state", "qc_reason_codes")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
