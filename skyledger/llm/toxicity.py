@@ -1,13 +1,16 @@
 """Operator 4: toxicity by noisy-channel restoration of disguised words.
 
-A character language model (bigrams of letters, with word borders) is counted over all documents.  Words that look
+A character language model (four letters at a time, with word borders) is counted over all documents.  Words that look
 disguised - letters mixed with look-alike signs, letters drawn out three times or more, letters set apart by blanks -
 become lattices in which each sign may stand for a letter, be dropped, or draw out the letter before it; Viterbi's
-algorithm finds the likeliest letters.  A linear model on the distinct restored words scores each document.
+algorithm finds the likeliest letters (by bigrams within a word).  In a run of single letters each blank may be dropped
+or be a word border; each word found is a feature, and so is the run as one word (up to 48 signs).  Two words
+of which the model says that the blank between them was put into a word are a feature as one, too.  A linear model on the
+distinct restored words scores each document.
 
 Labels of rows whose crc32(doc_id as text) mod 4 is 2 are held out; labels, lang, source and id are no features.  The
-fit uses at most ``most_rows`` labelled rows; language model and scores cover all rows and whole texts.  Words of
-more than 48 bytes are no disguises (hashes, links): their letters are taken as they are.
+fit uses at most ``most_rows`` labelled rows; language model and scores cover all rows and whole texts.  Of words of
+more than 48 bytes, repeats of a sign are cut to two first; what is still longer is restored in overlapping pieces.
 
 Edge cases: null and empty texts have no words and get the score of the bias; without labels every score is 0.5;
 null labels are ignored; rows that repeat an id are scored each; a null id is never held out.
@@ -15,6 +18,7 @@ null labels are ignored; rows that repeat an id are scored each; a null id is ne
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +40,7 @@ LOOK_ALIKES = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "{": "c", "#": "h", "&": "a", "%": "x", "*": "aeiou",
 }
 SWAP, DROP, DROP_DIGIT, DRAWN = -1.5, -3.0, -14.0, -3.0  # log costs of the channel
+SPLIT, JOIN, CUT = -1.6, -0.2, -3.0  # of a blank between single letters as a border or as none, and of one put into a word
 
 
 def _letters() -> np.ndarray:
@@ -65,26 +70,39 @@ def _channel() -> tuple[np.ndarray, np.ndarray]:
 
 
 EMIT, DROPPED = _channel()
+_WAYS = [[(int(c), float(EMIT[b, c])) for c in np.flatnonzero(EMIT[b] > -1e8)] for b in range(256)]
+_REPEATS = re.compile(rb"(.)\1{2,}", re.DOTALL)
+
+
+def _stream(part: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Letters with one border between words and rows, three at both ends; the place of each byte's letter or border."""
+    c = np.zeros(len(part) + len(rows) + 1, np.int64)
+    place = np.arange(1, len(part) + 1) + X.row_of(rows)
+    c[place] = LETTER[part]
+    keep = (c > 0) | np.concatenate(([True], c[:-1] > 0))
+    at = np.cumsum(keep) + 1
+    return np.concatenate(([0, 0], c[keep], [0, 0])), at[place]
 
 
 def letter_counts(docs: DataFrame) -> np.ndarray:
-    """Bigram counts of the letters of all documents."""
+    """Counts of four letters or borders in a row, over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(A * A, np.int64)
+        total = np.zeros(A**4, np.int64)
         for batch in batches:
             data, at = X.view(columns(batch, "text")[0])
             for a, b in X.slices(at):
-                c = np.concatenate(([0], LETTER[data[at[a] : at[b]]], [0]))
-                total += np.bincount(c[:-1] * A + c[1:], minlength=A * A)
-        pair = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(pair.astype(np.int32)), pa.array(total[pair])], ["pair", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()  # A*A rows at most
-    out = np.zeros(A * A, np.int64)
-    for pair, n in rows:
-        out[pair] = n
-    return out.reshape(A, A)
+                c, _ = _stream(data[at[a] : at[b]], at[a : b + 1] - at[a])
+                total += np.bincount(((c[:-3] * A + c[1:-2]) * A + c[2:-1]) * A + c[3:], minlength=A**4)
+        gram = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int32)), pa.array(total[gram])], ["gram", "n"])
+
+    got = docs.select("text").mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # A**4 rows at most
+    out = np.zeros(A**4, np.int64)
+    out[got["gram"].to_numpy()] = got["n"].to_numpy()
+    out = out.reshape(A, A, A, A)
+    out[0, 0] = out[:, 0, 0] = out[:, :, 0, 0] = 0  # the ends of slices
+    return out
 
 
 def language_model(counts: np.ndarray) -> np.ndarray:
@@ -92,9 +110,54 @@ def language_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p / p.sum(1, keepdims=True)).astype(np.float32)
 
 
-def restore(words: list[bytes], lm: np.ndarray) -> list[bytes]:
-    """The likeliest letters behind each word (bytes of other scripts as one sign each, '{')."""
-    out: list[bytes] = [b""] * len(words)
+def long_model(counts: np.ndarray) -> np.ndarray:
+    """Log probability of a letter after three, each order mixed with the one below."""
+    p = np.full(A, 1 / A)
+    for k in (3, 2, 1, 0):
+        c = counts.sum(tuple(range(k)))
+        p = (c + 4 * p) / (c.sum(-1, keepdims=True) + 4)
+    return np.log(p).astype(np.float32)
+
+
+def split(run: bytes, lm: memoryview) -> list[bytes]:
+    """The likeliest words behind signs set apart by blanks, of which each may be a border; lm: the flat long model."""
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}  # by the last three letters; the letters so far, last first
+    for o in run:
+        then: dict[int, tuple[float, tuple | None]] = {}
+        ways = [(0, SPLIT)] if o == 32 else _WAYS[o]
+        stay = JOIN if o == 32 else float(DROPPED[o])
+        for ctx, (score, chain) in states.items():
+            last = ctx % A
+            for c, cost in ways:
+                new, key = score + lm[ctx * A + c] + cost, ctx * A % A**3 + c
+                if key not in then or new > then[key][0]:
+                    then[key] = (new, (c, chain))
+            same = max(stay, float(EMIT[o, last]) + DRAWN) if last else stay
+            if same > -1e8 and (ctx not in then or score + same > then[ctx][0]):
+                then[ctx] = (score + same, chain)
+        states = then
+    chain = max(((score + lm[ctx * A], chain) for ctx, (score, chain) in states.items()), key=lambda x: x[0])[1]
+    letters = bytearray()
+    while chain is not None:
+        c, chain = chain
+        letters.append(96 + c if c else 32)
+    return bytes(reversed(letters)).split()
+
+
+def _cut_words(c: np.ndarray, lm: np.ndarray) -> np.ndarray:
+    """Whether each border of a stream is likelier to have been put into a word than to part two."""
+    out = np.zeros(len(c), bool)
+    at = np.flatnonzero(c[3:-3] == 0) + 3
+    a, b, d, e, f, g = (c[at + k] for k in (-3, -2, -1, 1, 2, 3))
+    one = lm[a, b, d, e] + lm[b, d, e, f] + lm[d, e, f, g]
+    two = lm[a, b, d, 0] + lm[b, d, 0, e] + lm[d, 0, e, f] + lm[0, e, f, g]
+    out[at] = (one + CUT > two) & (d > 0) & (e > 0)
+    return out
+
+
+def _restored(words: list[bytes], lm: np.ndarray) -> list[list[tuple[int, int]]]:
+    """The likeliest letters behind each word, each with the place of its sign, last first."""
+    out: list[list[tuple[int, int]]] = [[] for _ in words]
     order = sorted(range(len(words)), key=lambda i: -len(words[i]))
     for lo in range(0, len(order), 2048):
         some = [i for i in order[lo : lo + 2048] if words[i]]
@@ -118,18 +181,28 @@ def restore(words: list[bytes], lm: np.ndarray) -> list[bytes]:
             back[j, :k] = np.where(same, -1, best)
             score[:k] = np.where(same, stay, new)
         at = (score + lm[:, 0]).argmax(1)
-        letters: list[list[int]] = [[] for _ in some]
         for j in range(int(n[0]) - 1, -1, -1):
             k = int(np.searchsorted(-n, -j, "left"))
             b = back[j, np.arange(k), at[:k]]
             for r in np.flatnonzero(b >= 0).tolist():
-                letters[r].append(int(at[r]))
+                out[some[r]].append((j, int(at[r])))
                 at[r] = b[r]
-        for r, i in enumerate(some):
-            out[i] = bytes(96 + c for c in reversed(letters[r]) if c)
     return out
 
 
+def restore(words: list[bytes], lm: np.ndarray) -> list[bytes]:
+    """The likeliest letters behind each word (bytes of other scripts as one sign each, '{').  Words of more than LONGEST
+    bytes are restored in pieces of that length, each but the ends read in its middle half."""
+    short = [w if len(w) <= LONGEST else _REPEATS.sub(rb"\1\1", w) for w in words]
+    half, edge = LONGEST // 2, LONGEST // 4
+    at = [(i, k) for i, w in enumerate(short) for k in range(0, max(len(w) - half, 1), half)]
+    out = [bytearray() for _ in words]
+    for (i, k), letters in zip(at, _restored([short[i][k : k + LONGEST] for i, k in at], lm)):
+        lo, hi = edge if k else 0, half + edge if k + LONGEST < len(short[i]) else LONGEST
+        out[i] += bytes(96 + c for j, c in reversed(letters) if c and lo <= j < hi)
+    return [bytes(w) for w in out]
+
+
 def _hash_letters(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of the letters of each word, signs around and between them left out of account."""
     c = LETTER[part]
@@ -151,8 +224,24 @@ def _joined(part, starts, ends, of) -> list[tuple[int, int]]:
     return [(i - 1, j) for i, j in zip(a.tolist(), b.tolist()) if j - i >= 2]
 
 
-def word_features(lm: np.ndarray):
+def _cut(part, rows, starts, ends, row, lm) -> tuple[np.ndarray, np.ndarray]:
+    """First and last words of what is likelier one word with blanks put in: each two, and each longer row of them."""
+    if len(starts) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    c, place = _stream(part, rows)
+    near = (row[1:] == row[:-1]) & (starts[1:] - ends[:-1] == 1) & (LETTER[part[ends[:-1] - 1]] > 0) & (LETTER[part[starts[1:]]] > 0)
+    near &= _cut_words(c, lm)[place[ends[:-1]]]
+    two = np.flatnonzero(near)
+    a, b = X.runs(near)
+    more = b - a > 1
+    return np.concatenate((two, a[more])), np.concatenate((two + 1, b[more]))
+
+
+def word_features(lm: np.ndarray, shared):
+    """Features of texts by the bigrams and a broadcast long model."""
+
     def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        far, flat = shared.value, memoryview(shared.value.ravel())
         data, at = X.view(texts)
         for a, b in X.slices(at):
             part, rows = data[at[a] : at[b]], at[a : b + 1] - at[a]
@@ -165,23 +254,29 @@ def word_features(lm: np.ndarray):
                 drawn[2:] = (LETTER[part[2:]] > 0) & (low[2:] == low[1:-1]) & (low[2:] == low[:-2]) & (part[2:] < 128)
             draws = np.concatenate(([0], np.cumsum(drawn)))
             n = ends - starts
-            odd = (n <= LONGEST) & (letters[ends] > letters[starts]) & ((signs[ends] > signs[starts]) | (draws[ends] > draws[np.minimum(starts + 2, ends)]))
+            odd = (letters[ends] > letters[starts]) & ((signs[ends] > signs[starts]) | (draws[ends] > draws[np.minimum(starts + 2, ends)]))
             which = np.flatnonzero(odd)
             raw = X.word_hashes(low, starts[which], ends[which], 42)
             _, one, back = np.unique(raw, return_index=True, return_inverse=True)
             lowered = low.tobytes()
             words = [lowered[starts[i] : ends[i]] for i in which[one].tolist()]
             runs = _joined(part, starts, ends, of)
-            words += [b"".join(lowered[starts[k] : ends[k]] for k in range(i, j)) if j - i <= LONGEST else b"" for i, j in runs]
-            fixed = restore(words, lm)
-            flat = np.frombuffer(b"".join(fixed).replace(b"{", b"\xff"), np.uint8)
+            runs_of = [b" ".join(lowered[starts[k] : ends[k]] for k in range(i, j)) for i, j in runs]
+            # A run as one word, where it is no longer than a word, and always as the words that it may hold.
+            extra = [(r, w.replace(b" ", b"")) for (r, _), w in zip(runs, runs_of) if len(w) < 2 * LONGEST]
+            parted = {w: split(w, flat) for w in set(runs_of)}
+            found = [(r, w) for (r, _), run in zip(runs, runs_of) for w in set(parted[run])]
+            fixed = restore(words + [w for _, w in extra], lm) + [w for _, w in found]
+            flat_letters = np.frombuffer(b"".join(fixed).replace(b"{", b"\xff"), np.uint8)
             cut = np.concatenate(([0], np.cumsum([len(w) for w in fixed]))).astype(np.int64)
-            hashes = _hash_letters(flat, cut[:-1], cut[1:]) if len(flat) else np.zeros(len(fixed), np.uint64)
+            hashes = _hash_letters(flat_letters, cut[:-1], cut[1:]) if len(flat_letters) else np.zeros(len(fixed), np.uint64)
             h = h.copy()
             h[which] = hashes[: len(one)][back] if len(which) else h[which]
-            extra_rows = np.searchsorted(of, [i for i, _ in runs], "right") - 1
-            row = np.concatenate((X.row_of(of), extra_rows)).astype(np.int64)
-            h = np.concatenate((h, hashes[len(one) :]))
+            row_of = X.row_of(of)
+            i, j = _cut(part, rows, starts, ends, row_of, far)
+            joined = _hash_letters(part[LETTER[part] > 0], letters[starts[i]], letters[ends[j]])
+            row = np.concatenate((row_of, row_of[np.array([r for r, _ in extra + found], np.int64)], row_of[i])).astype(np.int64)
+            h = np.concatenate((h, hashes[len(one) :], joined))
             order = np.lexsort((h, row))
             row, h = row[order], h[order]
             keep = h != 0
@@ -195,7 +290,8 @@ def word_features(lm: np.ndarray):
 def toxicity_scores(docs: DataFrame, labels: DataFrame, spark: SparkSession, *, id_col: str = "doc_id", text_col: str = "text", most_rows: int = MOST_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    features = word_features(language_model(letter_counts(docs)))
+    counts = letter_counts(docs)
+    features = word_features(language_model(counts.sum((0, 1))), spark.sparkContext.broadcast(long_model(counts)))
     model = L.train(docs, labels, "toxic", crc_mod(F.col("doc_id"), 4) == 2, features, spark, most_rows=most_rows, least=3)
     return L.verdicts(L.score(docs, model, features, spark), 4, 2)
 

@@ -290,6 +290,33 @@ def test_restoration(spark):
     assert toxicity.restore([b"stup1d", b"1d10t", b"m0r0n!!", b"stupiiiid", b"s.t.u.p.i.d", b""], lm) == [b"stupid", b"idiot", b"moron", b"stupid", b"stupid", b""]
 
 
+def test_disguised_by_blanks_or_length(spark):
+    """Insults set apart by blanks among other words, in runs of any length, cut in two or drawn out past 48 bytes give the
+    features of the plain words."""
+    plain = "you are such a stupid idiot and this is the plain text of a moron with a lot of other words about the people in it"
+    texts = [" ".join(random.Random(i).sample(plain.split(), 20)) for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = toxicity.letter_counts(df)
+    features = toxicity.word_features(toxicity.language_model(counts.sum((0, 1))), spark.sparkContext.broadcast(toxicity.long_model(counts)))
+
+    def of(t):
+        return {x for _, h, _ in features(pa.array([t])) for x in h.tolist()}
+
+    idiot, moron = of("idiot"), of("moron")
+    assert len(idiot) == len(moron) == 1 and not of("plain text of the people") & (idiot | moron)
+    for t in ("y o u i d i o t", "such a i d i o t", "y o u 1 d 1 0 t", "y o u " * 30 + "i d i o t", "this id iot", "id" + "i" * 60 + "ot", "id" + "i" * 60 + "0t", "a " * 3000 + "i d i o t"):
+        assert idiot <= of(t), t[:40]
+    assert moron <= of("m o r o n") and idiot | moron <= of("i d i o t m o r o n") and not of("idi.\not") & idiot
+
+
+def test_long_words_in_pieces():
+    counts = np.ones((28, 28), np.int64)
+    for a, b in zip(b"abcdefghijklmnopqrstuvwxyz", b"bcdefghijklmnopqrstuvwxyza"):
+        counts[a - 96, b - 96] += 500
+    word = b"abcdefghijklmnopqrstuvwxyz" * 9
+    assert toxicity.restore([word.replace(b"o", b"0").replace(b"s", b"$"), word], toxicity.language_model(counts)) == [word, word]
+
+
 @pytest.mark.parametrize("name,fn,label", [("toxic", toxicity.toxicity_scores, "toxic"), ("quality", quality.quality_scores, "quality")])
 def test_classifiers(spark, name, fn, label):
     d = "/root/testdata/sf0.01"
