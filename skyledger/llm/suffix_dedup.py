@@ -9,7 +9,7 @@ In a bucket, equal segments are settled whole by rank; the windows of different
 ties are resolved by comparing the bytes themselves, so results never rest on a hash alone.
 
 Edge cases: null and empty texts, and texts of under 100 bytes, lose nothing; rows that repeat an id are one document
-to this rule; a row with a null id is never marked and marks nothing; an empty table gives an empty result.
+to this rule, and a string at the same place of them is no repeat of itself; a row with a null id is never marked and marks nothing; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -99,6 +99,9 @@ def _segments(window: int, bits, log_cells: int, buckets: int):
             for i in np.flatnonzero(later):
                 (p, s), (q, t) = ((pieces[which[order[j]]][0], offset[order[j]]) for j in (i, i - 1))
                 later[i] = p[s : s + l[i] + window - 1].tobytes() == q[t : t + l[i] + window - 1].tobytes()
+            # The same place again, of a row that repeats an id, says no more: it is neither sent nor marked.
+            twice = np.zeros(len(order), bool)
+            twice[1:] = later[1:] & (doc[order][1:] == doc[order][:-1]) & (start[order][1:] == start[order][:-1])
             send = order[~later]
             cut = np.searchsorted(bucket[send], np.arange(buckets + 1))
             raw = [pieces[w][0][o : o + k + window - 1] for w, o, k in zip(which[send].tolist(), offset[send].tolist(), n[send].tolist())]
@@ -112,7 +115,7 @@ def _segments(window: int, bits, log_cells: int, buckets: int):
                     [pa.array(np.arange(lo, hi, dtype=np.int32)), *(X.blobs(v[send][x].astype(d), c) for v, d in ((gram, U64), (doc, np.int64), (start, np.uint32), (n, np.uint32))), X.blobs(data[e[0] : e[-1]], e - e[0])],
                     ["bucket", "gram", "doc", "start", "n", "bytes"],
                 ).filter(pa.array(np.diff(c) > 0))
-            again = order[later]
+            again = order[later & ~twice]
             if len(again):
                 mk = mark_rows(doc[again], start[again], n[again])
                 d, k = mk.column(0).to_numpy(), mk.num_rows
@@ -159,12 +162,13 @@ def _settle(data, at, doc, start, n, window) -> Iterator[pa.RecordBatch]:
     # Whole segments first: equal bytes, earliest first.
     first: dict[bytes, int] = {}
     raw = data.tobytes()
-    repeats = np.zeros(len(at), bool)
+    repeats, later = np.zeros(len(at), bool), np.zeros(len(at), bool)  # later: not at the place of the first either
     for i, (a, k) in enumerate(zip(at.tolist(), n.tolist())):
-        if first.setdefault(raw[a : a + k + window - 1], i) != i:
-            repeats[i] = True
-    if repeats.any():
-        yield mark_rows(doc[repeats], start[repeats], n[repeats])
+        f = first.setdefault(raw[a : a + k + window - 1], i)
+        if f != i:
+            repeats[i], later[i] = True, doc[f] != doc[i] or start[f] != start[i]
+    if later.any():
+        yield mark_rows(doc[later], start[later], n[later])
     at, doc, start, n = at[~repeats], doc[~repeats], start[~repeats], n[~repeats]
     if not len(at):
         return
@@ -187,22 +191,24 @@ def _settle(data, at, doc, start, n, window) -> Iterator[pa.RecordBatch]:
     where = start[seg] + step
     order = np.lexsort((where, doc[seg], h))
     tied = np.flatnonzero(np.concatenate(([False], h[order][1:] == h[order][:-1])))
+    new = np.ones(len(order), bool)  # not the place of the one before
+    new[1:] = (doc[seg[order]][1:] != doc[seg[order]][:-1]) | (where[order][1:] != where[order][:-1])
     good = _same(data, place[order[tied]], place[order[tied - 1]], window)
     if not good.all():  # two strings share a hash: those hashes are settled by their bytes alone
         odd = np.unique(h[order[tied[~good]]])
         clash = np.isin(h[order], odd)
         tied = tied[~clash[tied]]
-        seen: set[bytes] = set()
+        seen: dict[bytes, tuple[int, int]] = {}
         extra = []
         mixed = order[clash]
         for i in mixed[np.lexsort((where[mixed], doc[seg[mixed]]))].tolist():
             key = raw[place[i] : place[i] + window]
-            if key in seen:
+            if seen.setdefault(key, (doc[seg[i]], where[i])) != (doc[seg[i]], where[i]):
                 extra.append(i)
-            seen.add(key)
+        tied = tied[new[tied]]
         hit = np.concatenate((order[tied], np.array(extra, np.int64)))
     else:
-        hit = order[tied]
+        hit = order[tied[new[tied]]]
     if len(hit):
         yield mark_rows(doc[seg[hit]], where[hit], np.ones(len(hit), np.int64))
 

@@ -213,6 +213,16 @@ def test_suffix_dedup(spark, docs, rows, window):
         assert r.kept_sha256 == hashlib.sha256(want[r.doc_id][3]).hexdigest()
 
 
+@pytest.mark.parametrize("parts", [1, 6])
+def test_suffix_dedup_repeated_rows(spark, parts):
+    """Rows that repeat an id and a text, or its beginning, do not erase each other; other ids' copies go."""
+    r = random.Random(9)
+    t, u = ("".join(r.choice("abcdefgh ") for _ in range(k)) for k in (700, 300))
+    rows = [(1, t), (1, t), (1, t + u), (2, t), (3, u + t), (3, u + t)]
+    got = suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), spark, log_cells=SMALL).collect()
+    assert sorted((x.doc_id, x.n_bytes, x.n_removed) for x in got) == [(1, 700, 0), (1, 700, 0), (1, 1000, 0), (2, 700, 700), (3, 1000, 1000), (3, 1000, 1000)]
+
+
 def test_full_sketch_loses_nothing(spark, docs):
     a, b = (sorted(map(tuple, substring_dedup.substring_dedup(docs, spark, keep_text=False, log_cells=k).collect())) for k in (16, SMALL))
     assert a == b
