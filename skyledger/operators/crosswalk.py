@@ -75,7 +75,7 @@ def build_crosswalk(index: DataFrame, *, degrees: float = 0.02, most_m: float =
 
 
 def candidate_pairs(crosswalk: DataFrame, overlap: DataFrame, *, most_m: float, most_elev: float, least_days: int, limit: int | None = None) -> DataFrame:
-    """Pairs of stations of one canonical id by distance, elevation and days in common; the ``limit`` closest."""
+    """Pairs of stations of one canonical id by distance, elevation (known of both) and days in common; the ``limit`` closest."""
     a, b = (crosswalk.select(*(F.col(c).alias(f"{c}_{s}") for c in ("source_station_key", "lat", "lon", "elev_m")), "canonical_station_id") for s in ("a", "b"))
     pairs = a.join(b, "canonical_station_id").where("source_station_key_a < source_station_key_b")
     pairs = pairs.withColumns({"distance_m": C.haversine(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b")), "elev_diff": F.abs(F.col("elev_m_a") - F.col("elev_m_b"))})
@@ -83,7 +83,7 @@ def candidate_pairs(crosswalk: DataFrame, overlap: DataFrame, *, most_m: float,
     for s in ("a", "b"):
         pairs = pairs.join(o.select(F.col("station_key").alias(f"source_station_key_{s}"), F.col("por_start").alias(f"from_{s}"), F.col("por_end").alias(f"to_{s}")), f"source_station_key_{s}")
     days = F.datediff(F.least("to_a", "to_b"), F.greatest("from_a", "from_b")) + 1
-    out = pairs.withColumn("overlap_days", days).where((F.col("distance_m") <= most_m) & (F.coalesce("elev_diff", F.lit(0.0)) <= most_elev) & (F.col("overlap_days") >= least_days))
+    out = pairs.withColumn("overlap_days", days).where((F.col("distance_m") <= most_m) & (F.col("elev_diff") <= most_elev) & (F.col("overlap_days") >= least_days))
     out = out.orderBy("distance_m", "source_station_key_a", "source_station_key_b")
     return out.limit(limit) if limit is not None else out
 

@@ -338,6 +338,21 @@ def closest_pairs_topk(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "customer").select("c_custkey", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey").limit(25)
 
 
+@query(f"""WITH {_NETS}, m AS (SELECT c.id, s.id AS rid, {_HAV} AS m FROM c JOIN s ON abs(c.lat - s.lat) < 0.02 AND abs(c.lon - s.lon) < 0.02),
+n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, 'ghcn:' || rid) AS i FROM m WHERE m <= 1000) WHERE i = 1),
+k AS (SELECT 'ghcnh:' || id AS k, id AS canonical, id, lat, lon FROM s UNION ALL SELECT 'madis:' || c.id, n.rid, c.id, c.lat, c.lon FROM c JOIN n USING (id)),
+v AS (SELECT *, (id % 7) * 20.0 AS z, DATE '2020-01-01' + CAST(id % 400 AS INTEGER) AS f FROM k),
+p AS (SELECT c.k AS a, s.k AS b, {_HAV} AS m, abs(c.z - s.z) AS elev_diff, 500 - abs(date_diff('day', c.f, s.f)) + 1 AS days FROM v AS c JOIN v AS s ON c.canonical = s.canonical AND c.k < s.k)
+SELECT a AS source_station_key_a, b AS source_station_key_b, round(m, 4) AS distance_m, elev_diff, CAST(days AS INTEGER) AS overlap_days FROM p WHERE m <= 900 AND elev_diff <= 50 AND days >= 365""")
+def closest_station_pairs(spark: SparkSession, d: str) -> DataFrame:
+    s, c = (network(spark, d, n).withColumns({"source_station_id": F.col("id").cast("string"), "elev_m": F.col("id") % 7 * F.lit(20.0)}) for n in ("supplier", "customer"))
+    index = s.withColumn("source", F.lit("ghcnh")).union(c.withColumn("source", F.lit("madis")))
+    start = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 400).cast("int"))
+    spans = index.select(F.concat_ws(":", "source", "source_station_id").alias("station_key"), start.alias("por_start"), F.date_add(start, 500).alias("por_end"))
+    pairs = crosswalk.candidate_pairs(crosswalk.build_crosswalk(index), spans, most_m=900.0, most_elev=50.0, least_days=365)
+    return pairs.select("source_station_key_a", "source_station_key_b", F.round("distance_m", 4).alias("distance_m"), "elev_diff", "overlap_days")
+
+
 @query("""WITH b AS (SELECT user_id, ts, value / 5 - 40 AS tair, CASE WHEN user_id % 17 = 0 AND value > 300 THEN 'fail' ELSE 'pass' END AS q FROM events),
 k AS (SELECT user_id, CAST(ts AS DATE) AS date, tair FROM b WHERE q <> 'fail'),
 d AS (SELECT user_id, date, count(*) AS n, avg(tair) AS t FROM k GROUP BY ALL), s AS (SELECT *, count(CASE WHEN n >= 4 THEN 1 END) OVER (PARTITION BY user_id) AS days FROM d)

@@ -132,6 +132,18 @@ def test_crosswalk(spark):
     assert got == {"ghcnh:A1": ("ghcn:A1", "exact_match"), "ghcnd:A1": ("ghcn:A1", "exact_match"), "madis:X": ("ghcn:A1", "probable_match"), "madis:Y": ("madis:Y", "no_match"), "madis:Z": ("madis:Z", "no_match")}
 
 
+def test_closest_pairs(spark):
+    """Filters on distance, elevation (pairs of unknown elevation go) and days in common, then the closest."""
+    walk = spark.createDataFrame(
+        [("a:1", 40.0, -100.0, 10.0, "x"), ("b:1", 40.001, -100.0, 20.0, "x"), ("b:2", 40.0004, -100.0, 15.0, "x"), ("b:3", 40.0, -100.0, None, "x"), ("b:4", 40.0, -100.0, 99.0, "x"), ("b:5", 40.0, -100.0, 10.0, "y")],
+        "source_station_key string, lat double, lon double, elev_m double, canonical_station_id string",
+    )
+    spans = spark.sql("SELECT k AS station_key, DATE'2020-01-01' AS por_start, CASE WHEN k = 'b:1' THEN DATE'2020-04-09' ELSE DATE'2021-12-31' END AS por_end FROM VALUES ('a:1'), ('b:1'), ('b:2'), ('b:3'), ('b:4'), ('b:5') t(k)")
+    found = lambda **how: [(r.source_station_key_a, r.source_station_key_b, r.overlap_days) for r in crosswalk.candidate_pairs(walk, spans, most_m=500.0, most_elev=50.0, **how).collect()]
+    assert found(least_days=100) == [("a:1", "b:2", 731), ("b:1", "b:2", 100), ("a:1", "b:1", 100)]
+    assert found(least_days=365) == [("a:1", "b:2", 731)] and len(found(least_days=1, limit=2)) == 2
+
+
 def test_fabric_precedence(spark):
     d = [date(2024, 1, k) for k in (1, 2, 3)]
     rows = [("ghcnd", d[0], 25.0, "pass"), ("ghcnd", d[1], 99.0, "fail"), ("ghcnd", d[2], 27.0, "pass"), ("snotel", d[1], 25.5, "pass"), ("snotel", d[0], 1.0, "pass")]
