@@ -1,9 +1,10 @@
 """Operator 3: benchmark decontamination by suffix arrays over the training words.
 
 Each slice of documents gets a suffix array of its words (ranks of 1, 2, 4, 8, ... words by doubling; suffixes end with
-their document).  Every suffix of every benchmark item is searched in it by bisection; the neighbours give its longest
-verbatim match and where.  Documents are not shuffled.  The benchmark goes out in blocks of a checked size: one broadcast
-as a rule, and one pass for each block where it is larger.
+their document).  For the verdict each suffix that begins a full window is searched in it by bisection, to the window's
+length: a longer match is a row of windows, so its words are hit all the same.  ``longest_matches`` searches every suffix to
+its end; the neighbours give its longest verbatim match and where.  Documents are not shuffled.  The benchmark goes out in
+blocks of a checked size: one broadcast as a rule, and one pass for each block where it is larger.
 
 Edge cases: null and empty texts have no words, hit nothing and are clean; items without words never occur; an item of
 fewer words than the window is one window; items with equal texts count each; repeated rows are judged each; an empty
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -212,10 +214,7 @@ def contamination(
     raise AssertionError
 
 
-def longest_matches(docs: DataFrame, benchmark: DataFrame, spark: SparkSession, *, least: int = 13, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(item, item_word, doc_id, doc_word, n_words): for each suffix of each item and each shard of documents the longest
-    verbatim match of at least ``least`` words, where it begins in the item and in a document that has it."""
-
+def _longest(block, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: Items = block.value
         q = np.arange(len(items.words))
@@ -236,11 +235,20 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, spark: SparkSession,
                 cols = ([items.ids[i] for i in items.item[some].tolist()], (some - items.rows[items.item[some]]).tolist(), [ids[a + r] for r in row.tolist()], (at - rows[row]).tolist(), n[some].tolist())
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.string(), *[pa.int64()] * 4))], ["item", "item_word", "doc_id", "doc_word", "n_words"])
 
+    return run
+
+
+def longest_matches(docs: DataFrame, benchmark: DataFrame, spark: SparkSession, *, least: int = 13, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(item, item_word, doc_id, doc_word, n_words): for each suffix of each item and each shard of documents the longest
+    verbatim match of at least ``least`` words, where it begins in the item and in a document that has it."""
+
     items, k = _blocks(benchmark, block_bytes, "item_id", "text")
-    if k > 1:
-        raise ValueError("the benchmark is larger than a block: call once for each part of it")
-    block = spark.sparkContext.broadcast(Items([tuple(r) for r in items.select("item", "text").collect()], least))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "item string, item_word long, doc_id long, doc_word long, n_words long")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = []
+    for i in range(k):
+        block = spark.sparkContext.broadcast(Items([tuple(r) for r in items.where(F.col("block") == i).select("item", "text").collect()], least))  # of a checked size
+        found.append(docs.mapInArrow(_longest(block, least), "item string, item_word long, doc_id long, doc_word long, n_words long"))
+    return reduce(DataFrame.unionAll, found)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, spark: SparkSession, *, window: int = 13, percent: int = 5) -> DataFrame:

@@ -180,6 +180,18 @@ def test_decontamination(spark, docs, rows):
     assert not any(r.contaminated for r in decontaminate.contamination(docs, bench.limit(0), spark).collect())
 
 
+def test_longest_matches_in_blocks(spark):
+    """Lengths and places of the longest matches, the same for one block of items and for several."""
+    r = random.Random(4)
+    text = [f"w{r.randrange(10**6)}" for _ in range(200)]
+    docs = spark.createDataFrame([(1, " ".join(text[:90])), (2, None), (3, " ".join(text[60:]))], "doc_id long, text string").repartition(1)
+    items = [("a", text[10:40]), ("b", ["x", *text[100:150], "y"]), ("c", text[:5]), ("d", text[70:75] + ["z"] * 20)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id string, text string")
+    want = {("a", k, 1, 10 + k, 30 - k) for k in range(18)} | {("b", 1 + k, 3, 40 + k, 50 - k) for k in range(38)}
+    for block in (1 << 20, 60):
+        assert sorted(map(tuple, decontaminate.longest_matches(docs, bench, spark, block_bytes=block).collect())) == sorted(want)
+
+
 def test_substring_dedup(spark, docs, rows):
     first = {}
     for i, t in rows:
