@@ -5,8 +5,8 @@ difference cover, two equal windows share a cover sample at the same distance; u
 3 % of all places instead of 14 % and gives equal windows one bucket.  A segment is a run of windows with the same
 least gram.  A merged sketch drops the segments whose gram occurs once.  The others go, with the bytes their windows
 span, to the bucket of their gram; a partition sends equal segments once, for the earliest, and marks the later ones.
-In a bucket, equal segments are settled whole by rank; the windows of different segments are sorted and long
-ties are resolved by comparing the bytes themselves, so results never rest on a hash alone.
+In a bucket, equal segments are settled whole by a table of their bytes; the windows of different segments are sorted
+by a hash and ties are resolved by comparing the bytes themselves, so results never rest on a hash alone.  No suffixes are sorted.
 
 Edge cases: null and empty texts, and texts of under 100 bytes, lose nothing; rows that repeat an id are one document
 to this rule, and a string at the same place of them is no repeat of itself; a row with a null id is never marked and marks nothing; an empty table gives an empty result.
