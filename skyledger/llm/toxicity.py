@@ -6,7 +6,7 @@ become lattices in which each sign may stand for a letter, be dropped, or draw o
 algorithm finds the likeliest letters (by bigrams within a word).  In a run of single letters each blank may be dropped
 or be a word border; each word found is a feature, and so is the run as one word (up to 48 signs).  Two words
 of which the model says that the blank between them was put into a word are a feature as one, too.  A linear model on the
-distinct restored words scores each document.
+distinct restored words scores each document.  Letters beyond a to z are one class to the model, and themselves in features.
 
 Labels of rows whose crc32(doc_id as text) mod 4 is 2 are held out; labels, lang, source and id are no features.  The
 fit uses at most ``most_rows`` labelled rows; language model and scores cover all rows and whole texts.  Of words of
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,7 +72,7 @@ def _channel() -> tuple[np.ndarray, np.ndarray]:
 
 EMIT, DROPPED = _channel()
 _WAYS = [[(int(c), float(EMIT[b, c])) for c in np.flatnonzero(EMIT[b] > -1e8)] for b in range(256)]
-_REPEATS = re.compile(rb"(.)\1{2,}", re.DOTALL)
+_REPEATS = re.compile(rb"([\x00-\x7f])\1{2,}")
 
 
 def _stream(part: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,7 +177,7 @@ def _restored(words: list[bytes], lm: np.ndarray) -> list[list[tuple[int, int]]]
             best = (s[:, :, None] + lm[None]).argmax(1)
             new = np.take_along_axis(s, best, 1) + lm[best, np.arange(A)] + EMIT[o]
             # A letter that the sign may stand for can be drawn out; a sign can be dropped.
-            stay = s + np.maximum(DROPPED[o][:, None], np.where(EMIT[o] > -1e8, EMIT[o] + DRAWN, -1e9))
+            stay = s + np.maximum(DROPPED[o][:, None], np.where((EMIT[o] > -1e8) & (o < 128)[:, None], EMIT[o] + DRAWN, -1e9))
             same = stay > new
             back[j, :k] = np.where(same, -1, best)
             score[:k] = np.where(same, stay, new)
@@ -191,7 +192,7 @@ def _restored(words: list[bytes], lm: np.ndarray) -> list[list[tuple[int, int]]]
 
 
 def restore(words: list[bytes], lm: np.ndarray) -> list[bytes]:
-    """The likeliest letters behind each word (bytes of other scripts as one sign each, '{').  Words of more than LONGEST
+    """The likeliest letters behind each word (bytes of other scripts stay as they are).  Words of more than LONGEST
     bytes are restored in pieces of that length, each but the ends read in its middle half."""
     short = [w if len(w) <= LONGEST else _REPEATS.sub(rb"\1\1", w) for w in words]
     half, edge = LONGEST // 2, LONGEST // 4
@@ -199,14 +200,14 @@ def restore(words: list[bytes], lm: np.ndarray) -> list[bytes]:
     out = [bytearray() for _ in words]
     for (i, k), letters in zip(at, _restored([short[i][k : k + LONGEST] for i, k in at], lm)):
         lo, hi = edge if k else 0, half + edge if k + LONGEST < len(short[i]) else LONGEST
-        out[i] += bytes(96 + c for j, c in reversed(letters) if c and lo <= j < hi)
+        out[i] += bytes(96 + c if c < 27 else short[i][k + j] for j, c in reversed(letters) if c and lo <= j < hi)
     return [bytes(w) for w in out]
 
 
 def _hash_letters(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of the letters of each word, signs around and between them left out of account."""
     c = LETTER[part]
-    sums, down = X.prefix_sums(np.where(c > 0, X.byte_codes(40)[c], X.U64(0)), X.P_BYTE)
+    sums, down = X.prefix_sums(np.where(c > 0, X.byte_codes(40)[np.where(c < 27, c, part)], X.U64(0)), X.P_BYTE)
     place = np.flatnonzero(c > 0)
     first = np.searchsorted(place, starts)
     at = place[np.minimum(first, max(len(place) - 1, 0))] if len(place) else starts
@@ -242,7 +243,7 @@ def word_features(lm: np.ndarray, shared):
 
     def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         far, flat = shared.value, memoryview(shared.value.ravel())
-        data, at = X.view(texts)
+        data, at = X.view(pc.utf8_lower(texts))
         for a, b in X.slices(at):
             part, rows = data[at[a] : at[b]], at[a : b + 1] - at[a]
             starts, ends, of = X.words(part, rows, X.SPACED)
@@ -267,7 +268,7 @@ def word_features(lm: np.ndarray, shared):
             parted = {w: split(w, flat) for w in set(runs_of)}
             found = [(r, w) for (r, _), run in zip(runs, runs_of) for w in set(parted[run])]
             fixed = restore(words + [w for _, w in extra], lm) + [w for _, w in found]
-            flat_letters = np.frombuffer(b"".join(fixed).replace(b"{", b"\xff"), np.uint8)
+            flat_letters = np.frombuffer(b"".join(fixed), np.uint8)
             cut = np.concatenate(([0], np.cumsum([len(w) for w in fixed]))).astype(np.int64)
             hashes = _hash_letters(flat_letters, cut[:-1], cut[1:]) if len(flat_letters) else np.zeros(len(fixed), np.uint64)
             h = h.copy()

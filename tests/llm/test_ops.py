@@ -331,6 +331,18 @@ def test_disguised_by_blanks_or_length(spark):
     assert moron <= of("m o r o n") and idiot | moron <= of("i d i o t m o r o n") and not of("idi.\not") & idiot
 
 
+def test_letters_of_other_scripts(spark):
+    """Words of one length in other scripts, and of other accents, are told apart, in any case and when drawn out."""
+    counts = np.ones((28,) * 4, np.int64)
+    features = toxicity.word_features(toxicity.language_model(counts.sum((0, 1))), spark.sparkContext.broadcast(toxicity.long_model(counts)))
+    words = ["идиот", "добро", "μωρός", "καλός", "笨蛋", "你好", "été", "êtê", "idiöt"]
+    of = [[x for _, h, _ in features(pa.array([w])) for x in h.tolist()] for w in words]
+    assert all(len(h) == 1 for h in of) and len({h[0] for h in of}) == len(words)
+    for t in ("ИДИОТ", "ÉTÉ", "IDIÖT"):
+        assert [x for _, h, _ in features(pa.array([t])) for x in h.tolist()] == of[words.index(t.lower())]
+    assert toxicity.restore(["1diöt".encode()], toxicity.language_model(counts.sum((0, 1)))) in (["idiöt".encode()], ["ldiöt".encode()])
+
+
 def test_long_words_in_pieces():
     counts = np.ones((28, 28), np.int64)
     for a, b in zip(b"abcdefghijklmnopqrstuvwxyz", b"bcdefghijklmnopqrstuvwxyza"):
