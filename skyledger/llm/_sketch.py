@@ -1,23 +1,28 @@
-"""Count-min sketch merged from partitions: which hashes may occur twice.
+"""Count-min sketch merged from partitions: which hashes may occur twice, and which may occur very often.
 
-Cells count to two and stop, as only "repeated" is asked.  Each partition sends the cells it touches (twice where it
-touches them twice) as 16-bit places within blocks of 65,536 cells; blocks merge on executors; the result is one bit
-a cell, of a size that does not depend on the input (2 rows of 2^27 cells: 32 MB).  It overestimates, so no repeated
-hash is lost; a full sketch only lets more through to the exact pass.
+Each partition sends the cells that it touches with their counts, as 16-bit places within blocks of 65,536 cells; blocks
+merge on executors, one at a time, and come back as bits.  The number of cells follows the input between two bounds
+(2 rows of 2^20 to 2^29 cells, two bits a cell: 256 MB at most).  It overestimates, so no repeated hash is lost; a sketch
+that is too small only lets more through to the exact pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from skyledger.llm import _text as X
 from skyledger.llm._spark import columns
 
-ROWS, LOG_CELLS = 2, 27
+ROWS = 2
+LEAST_LOG, MOST_LOG = 20, 29
+CELLS_EACH = 8  # cells for each hash that is expected
+OFTEN = 1 << 16  # counts from which a hash is dealt out by its surroundings
 U64 = X.U64
 
 
@@ -27,6 +32,33 @@ def _cells(h: np.ndarray, row: int, log_cells: int) -> np.ndarray:
     return ((h >> U64(row * 32)) & U64((1 << log_cells) - 1)).astype(np.uint32)
 
 
+@dataclass
+class Sketch:
+    repeated: np.ndarray  # one bit a cell
+    often: np.ndarray
+    log_cells: int
+
+    def _all(self, h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        ok = np.ones(len(h), bool)
+        for row in range(ROWS):
+            cell = _cells(h, row, self.log_cells)
+            at = (cell >> np.uint32(3)).astype(np.int64) + ((row << self.log_cells) >> 3)
+            ok &= (bits[at] >> (cell & np.uint32(7)).astype(np.uint8)) & 1 > 0
+        return ok
+
+    def may_repeat(self, h: np.ndarray) -> np.ndarray:
+        return self._all(h, self.repeated)
+
+    def may_be_often(self, h: np.ndarray) -> np.ndarray:
+        return self._all(h, self.often) if len(self.often) else np.zeros(len(h), bool)
+
+
+def log_cells_for(docs: DataFrame, share: float) -> int:
+    """For texts of which so many hashes a byte are expected."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return int(np.clip(np.ceil(np.log2(max(size * share * CELLS_EACH, 1))), LEAST_LOG, MOST_LOG))
+
+
 def _touch(hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], log_cells: int):
     blocks = 1 << (log_cells - 16)
 
@@ -35,41 +67,48 @@ def _touch(hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], log_cells:
             h = np.concatenate([np.zeros(0, U64), *hashes(batch)])
             for row in range(ROWS):
                 cell = np.sort(_cells(h, row, log_cells))
-                keep = np.ones(len(cell), bool)
-                keep[2:] = cell[2:] != cell[:-2]  # the third and later touches say no more
-                cell = cell[keep]
+                heads = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.zeros(0, np.int64)
+                n = np.diff(np.concatenate((heads, [len(cell)])))
+                cell = cell[heads]
                 cut = np.searchsorted(cell, np.arange(blocks + 1, dtype=np.int64) << 16)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(blocks, dtype=np.int32) + row * blocks), X.blobs((cell & 0xFFFF).astype(np.uint16), cut)], ["block", "cells"]).filter(
-                    pa.array(np.diff(cut) > 0)
-                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(blocks, dtype=np.int32) + row * blocks), X.blobs((cell & 0xFFFF).astype(np.uint16), cut), X.blobs(np.minimum(n, 0xFFFF).astype(np.uint16), cut)], ["block", "cells", "counts"]
+                ).filter(pa.array(np.diff(cut) > 0))
 
     return run
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, cells in zip(*(c.to_pylist() for c in columns(batch, "block", "cells"))):
-            counts = np.bincount(np.frombuffer(cells, np.uint16), minlength=1 << 16)
-            into = held.setdefault(block, np.zeros(1 << 16, np.uint8))
-            np.minimum(into + counts, 2, out=into, casting="unsafe")
-    bits = [np.packbits(v > 1, bitorder="little").tobytes() for v in held.values()]
-    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(bits, pa.binary())], ["block", "bits"])
+def _merge(often: int):
+    def bits(total: np.ndarray) -> tuple[bytes, bytes | None]:
+        many = total >= often
+        return np.packbits(total > 1, bitorder="little").tobytes(), np.packbits(many, bitorder="little").tobytes() if many.any() else None
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total, done = None, None, []
+        for batch in batches:
+            for block, cells, counts in zip(*(c.to_pylist() for c in columns(batch, "block", "cells", "counts"))):
+                if block != now:
+                    if now is not None:
+                        done.append((now, *bits(total)))
+                    now, total = block, np.zeros(1 << 16, np.int64)
+                total[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.uint16)
+        if now is not None:
+            done.append((now, *bits(total)))
+        cols = zip(*done) if done else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.binary(), pa.binary()))], ["block", "repeated", "often"])
 
-def repeated_bits(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], log_cells: int = LOG_CELLS) -> np.ndarray:
-    """The merged sketch over the hashes of each batch of df, as bits."""
-    rows = df.mapInArrow(_touch(hashes, log_cells), "block int, cells binary").repartition("block").mapInArrow(_merge, "block int, bits binary")
-    out = np.zeros((ROWS << log_cells) >> 3, np.uint8)
-    for block, bits in rows.collect():  # at most ROWS * 2^log_cells bits in all
-        out[block << 13 : (block + 1) << 13] = np.frombuffer(bits, np.uint8)
-    return out
+    return run
 
 
-def may_repeat(h: np.ndarray, bits: np.ndarray, log_cells: int = LOG_CELLS) -> np.ndarray:
-    ok = np.ones(len(h), bool)
-    for row in range(ROWS):
-        cell = _cells(h, row, log_cells)
-        at = (cell >> np.uint32(3)).astype(np.int64) + ((row << log_cells) >> 3)
-        ok &= (bits[at] >> (cell & np.uint32(7)).astype(np.uint8)) & 1 > 0
-    return ok
+def sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], log_cells: int, often: int = OFTEN) -> Sketch:
+    """The merged sketch over the hashes of each batch of df."""
+    rows = df.mapInArrow(_touch(hashes, log_cells), "block int, cells binary, counts binary").repartition("block").sortWithinPartitions("block")
+    rows = rows.mapInArrow(_merge(often), "block int, repeated binary, often binary")
+    size = (ROWS << log_cells) >> 3
+    out, many = np.zeros(size, np.uint8), None
+    for block, bits, hot in rows.collect():  # two bits a cell at most
+        out[block << 13 : (block + 1) << 13] = np.frombuffer(bits, np.uint8)
+        if hot is not None:
+            many = np.zeros(size, np.uint8) if many is None else many
+            many[block << 13 : (block + 1) << 13] = np.frombuffer(hot, np.uint8)
+    return Sketch(out, np.zeros(0, np.uint8) if many is None else many, log_cells)

@@ -1,10 +1,11 @@
 """Operator 7: removal of words in windows that an earlier document holds, with a count-min prefilter.
 
-First pass: partitions count the least 5-word gram of each 13-word window (equal windows have equal least grams,
-so a window whose least gram occurs once is unique) into sketches that are merged.  Second pass: windows whose
-least gram may be repeated are grouped exactly, by a 64-bit hash of the words within buckets by an independent one.
-A partition sends a window once, for its smallest document; its other documents are marked there and then, so a
-window that a third of all documents hold costs one entry for each partition batch.
+First pass: partitions count the least 5-word gram of each 13-word window into sketches that are merged.  Equal windows
+have equal least grams, so the count of a window's least gram overestimates that of the window, and a window whose least
+gram occurs once is unique.  Second pass: runs of windows whose least gram may be repeated go, as their words, to the
+bucket of that gram; there equal runs are settled whole and the windows of the others are grouped by a hash and compared
+word by word, so results never rest on a hash.  A partition sends equal runs once, for the smallest document, and marks
+the others there and then, so a passage that a third of all documents hold costs one entry for each partition batch.
 
 Edge cases: a null or empty text has no words; texts shorter than a window lose nothing; repeats within one document
 do not count; rows that repeat an id are one document to this rule; a row with a null id is never marked and marks
@@ -14,19 +15,21 @@ nothing; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm import _segments as S
 from skyledger.llm import _text as X
-from skyledger.llm._marks import MARKS, cover, gather, mark_rows, marked_starts, with_marks
-from skyledger.llm._sketch import LOG_CELLS, may_repeat, repeated_bits
+from skyledger.llm._marks import MARKS, cover, marked_starts, with_marks
+from skyledger.llm._sketch import OFTEN, Sketch, log_cells_for, sketch
 from skyledger.llm._spark import columns, shuffle_partitions
 
 U64 = X.U64
+SHARE = 0.05  # least grams for each byte, about
 
 
 def _gram(window: int) -> int:
@@ -34,7 +37,8 @@ def _gram(window: int) -> int:
 
 
 def _slices(texts: pa.Array, window: int):
-    """For each slice: first row, word hashes, offsets of rows' words, whether a window starts at each word, least grams, their places."""
+    """For each slice: first row, bytes, words' starts and ends, word hashes, offsets of rows' words, whether a window
+    starts at each word, least grams, their places."""
     data, at = X.view(texts)
     g = _gram(window)
     for a, b in X.slices(at):
@@ -43,88 +47,119 @@ def _slices(texts: pa.Array, window: int):
         w = X.word_hashes(part, starts, ends, 7)
         valid = X.inside_rows(rows, window, len(w))
         low, places = X.minima(X.gram_hashes(w, g, seed=70), valid, window - g + 1)
-        yield a, w, rows, valid, low, places
+        yield a, part, starts, ends, w, rows, valid, low, places
 
 
 def _grams(window: int):
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, w, _, _, _, places in _slices(columns(batch, "text")[0], window):
+        for *_, w, _, _, _, places in _slices(columns(batch, "text")[0], window):
             yield X.gram_hashes(w, _gram(window), seed=70)[places]
 
     return hashes
 
 
-def _candidates(window: int, bits, log_cells: int, buckets: int):
+def _spaced(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words with one blank after each, and where each begins."""
+    size = ends - starts + 1
+    at = np.concatenate(([0], np.cumsum(size)))
+    out = part[np.minimum(np.repeat(starts - at[:-1], size) + np.arange(at[-1]), max(len(part) - 1, 0))] if len(starts) else part[:0]
+    out[at[1:] - 1] = 32
+    return out, at
+
+
+def _runs(window: int, shared, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = bits.value
+        counts: Sketch = shared.value
         for batch in batches:
             ids, texts = columns(batch, "doc_id", "text")
             ids = ids.cast(pa.int64())
             known, ids = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
-            hs, ks, docs, places = [], [], [], []
-            for a, w, rows, valid, low, _ in _slices(texts, window):
-                at = np.flatnonzero(valid)
-                at = at[may_repeat(low[at], sketch, log_cells)]
-                row = X.row_of(rows)[at]
-                at, row = at[known[row + a]], row[known[row + a]]
-                hs.append(X.gram_hashes(w, window, seed=71)[at])
-                ks.append((X.gram_hashes(w, window, base=X.P_BYTE, seed=72)[at] % U64(buckets)).astype(np.int32))
-                docs.append(ids[row + a])
-                places.append((at - rows[row]).astype(np.uint32))
-            if not hs:
-                continue
-            h, k, doc, place = (np.concatenate(x) for x in (hs, ks, docs, places))
-            yield from _split(k, h, doc, place, buckets)
+            parts = []
+            for a, part, starts, ends, w, rows, valid, low, _ in _slices(texts, window):
+                if not valid.any():
+                    continue
+                s, n = S.runs_of(low, valid)
+                row = np.searchsorted(rows, s, "right") - 1
+                ok = counts.may_repeat(low[s]) & known[row + a]
+                s, n = s[ok], n[ok]
+                s, n, single = S.singly(s, n, counts.may_be_often(low[s]))
+                row = np.searchsorted(rows, s, "right") - 1
+                sums, down = X.prefix_sums(w, X.P_BYTE)
+                name = X.mix((sums[s + n + window - 1] - sums[s]) * down[s], 71)
+                text, at = _spaced(part, starts, ends)
+                parts.append(S.Segments(np.where(single, name, low[s]), ids[row + a], s - rows[row], n, name, at[s], at[s + n + window - 1] - 1, text))
+            yield from S.send(parts, buckets, across=True)
 
     return run
 
 
-def _split(k, h, doc, place, buckets) -> Iterator[pa.RecordBatch]:
-    """By window: what is of the batch's smallest document goes on to the bucket, the rest is marked."""
-    order = np.lexsort((doc, h, k))
-    k, h, doc, place = k[order], h[order], doc[order], place[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (k[1:] != k[:-1])
-    first = np.flatnonzero(new)
-    least = np.repeat(doc[first], np.diff(np.concatenate((first, [len(h)])))) if len(h) else doc
-    later = doc > least
-    cut = np.searchsorted(k[~later], np.arange(buckets + 1))
-    none = np.full(buckets, b"", object)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.arange(buckets, dtype=np.int32)), X.blobs(h[~later], cut), X.blobs(doc[~later], cut), X.blobs(place[~later], cut), pa.array(none, pa.binary())], ["bucket", "h", "doc", "place", "lengths"]
-    ).filter(pa.array(np.diff(cut) > 0))
-    if later.any():
-        m = mark_rows(doc[later], place[later].astype(np.int64), np.ones(later.sum(), np.int64))
-        n = m.num_rows
-        d = m.column(0).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array((d % buckets - buckets).astype(np.int32)), pa.array(np.full(n, b"", object), pa.binary()), X.blobs(d, np.arange(n + 1)), m.column(1), m.column(2)], ["bucket", "h", "doc", "place", "lengths"])
-
-
-_ROW = "bucket int, h binary, doc binary, place binary, lengths binary"
-
-
-def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = gather(batches)
-    for bucket in list(held):
-        hs, docs, places, lengths = zip(*held.pop(bucket))
-        if bucket < 0:  # marks made on the map side
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(docs), np.int64)), pa.array(places, pa.binary()), pa.array(lengths, pa.binary())], ["doc_id", "starts", "lengths"])
-            continue
-        h, doc, place = (np.frombuffer(b"".join(x), d) for x, d in ((hs, U64), (docs, np.int64), (places, np.uint32)))
-        order = np.lexsort((doc, h))
-        h, doc, place = h[order], doc[order], place[order]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        later = doc > np.repeat(doc[first], np.diff(np.concatenate((first, [len(h)]))))
-        if later.any():
-            yield mark_rows(doc[later], place[later].astype(np.int64), np.ones(later.sum(), np.int64))
-
-
-def repeated_windows(docs: DataFrame, spark: SparkSession, *, window: int = 13, log_cells: int = LOG_CELLS) -> DataFrame:
+def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a:a+size] and data[b:b+size] agree, for arrays of places and sizes of one byte at least."""
+    out = np.zeros(len(a), bool)
+    cut = np.concatenate(([0], np.cumsum(size)))
+    lo = 0
+    while lo < len(a):  # some four MB at a time
+        hi = max(int(np.searchsorted(cut, cut[lo] + (1 << 22), "right")) - 1, lo + 1)
+        at = cut[lo:hi] - cut[lo]
+        step = np.arange(cut[hi] - cut[lo]) - np.repeat(at, size[lo:hi])
+        same = data[np.repeat(a[lo:hi], size[lo:hi]) + step] == data[np.repeat(b[lo:hi], size[lo:hi]) + step]
+        out[lo:hi] = np.logical_and.reduceat(same, at)
+        lo = hi
+    return out
+
+
+def _hash_windows(words: np.ndarray, window: int) -> np.ndarray:
+    return X.gram_hashes(words, window, seed=71)
+
+
+def _windows(window: int, hash_of: Callable[[np.ndarray, int], np.ndarray]):
+    """What repeats among the different runs of a bucket: windows grouped by hash, ties compared by their bytes."""
+
+    def run(bucket: S.Bucket) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        data, size = bucket.data, bucket.b - bucket.a
+        cut = np.concatenate(([0], np.cumsum(size)))
+        cols: list[tuple] = []
+        lo = 0
+        while lo < len(size):  # blocks of runs
+            hi = max(int(np.searchsorted(cut, cut[lo] + X.SLICE_BYTES, "right")) - 1, lo + 1)
+            rows = cut[lo : hi + 1] - cut[lo]
+            part = data[np.repeat(bucket.a[lo:hi] - rows[:-1], size[lo:hi]) + np.arange(rows[-1])]
+            starts, ends, of = X.words(part, rows, X.SPACED)
+            at = np.flatnonzero(X.inside_rows(of, window, len(starts)))
+            r = np.searchsorted(of, at, "right") - 1
+            begin = bucket.a[lo + r] + starts[at] - rows[r]
+            cols.append((hash_of(X.word_hashes(part, starts, ends, 7), window)[at], bucket.doc[lo + r], bucket.start[lo + r] + at - of[r], begin, ends[at + window - 1] - starts[at]))
+            lo = hi
+        h, doc, start, begin, size = (np.concatenate(x) for x in zip(*cols))
+        order = np.lexsort((size, h))
+        h, doc, start, begin, size = (x[order] for x in (h, doc, start, begin, size))
+        same = np.zeros(len(h), bool)
+        same[1:] = (h[1:] == h[:-1]) & (size[1:] == size[:-1])
+        tied = np.flatnonzero(same)
+        good = _equal(data, begin[tied], begin[tied - 1], size[tied])
+        if not good.all():  # different windows share a hash: those hashes are settled by their bytes alone
+            clash = np.flatnonzero(np.isin(h, h[tied[~good]]))
+            raw, number = data.tobytes(), {}
+            text = np.zeros(len(h), np.int64)
+            text[clash] = [number.setdefault(raw[x : x + k], len(number)) for x, k in zip(begin[clash].tolist(), size[clash].tolist())]
+            order = np.lexsort((text, size, h))
+            h, doc, start, size, text = (x[order] for x in (h, doc, start, size, text))
+            same[1:] = (h[1:] == h[:-1]) & (size[1:] == size[:-1]) & (text[1:] == text[:-1])
+        later = S.first_of(doc, start, same, across=True)
+        yield doc[later], start[later], np.ones(int(later.sum()), np.int64)
+
+    return run
+
+
+def repeated_windows(
+    docs: DataFrame, spark: SparkSession, *, window: int = 13, log_cells: int | None = None, often: int = OFTEN, hash_of: Callable[[np.ndarray, int], np.ndarray] = _hash_windows
+) -> DataFrame:
     """Marks (doc_id, starts, lengths): runs of window starts whose words also start in a smaller document."""
-    buckets = max(64, 2 * shuffle_partitions(spark))
-    bits = spark.sparkContext.broadcast(repeated_bits(docs.select("text"), _grams(window), log_cells))
-    rows = docs.select("doc_id", "text").mapInArrow(_candidates(window, bits, log_cells, buckets), _ROW)
-    return rows.repartition("bucket").mapInArrow(_resolve, MARKS)
+    buckets = max(64, 4 * shuffle_partitions(spark))
+    texts = docs.select("text")
+    counts = spark.sparkContext.broadcast(sketch(texts, _grams(window), log_cells or log_cells_for(texts, SHARE), often))
+    rows = docs.select("doc_id", "text").mapInArrow(_runs(window, counts, buckets), S.ROW)
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(S.settle(_windows(window, hash_of), across=True), MARKS)
 
 
 def _finish(window: int, keep_text: bool):
@@ -155,10 +190,10 @@ def _finish(window: int, keep_text: bool):
 
 
 def substring_dedup(
-    docs: DataFrame, spark: SparkSession, *, window: int = 13, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, log_cells: int = LOG_CELLS
+    docs: DataFrame, spark: SparkSession, *, window: int = 13, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, **how
 ) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256[, kept_text]) for each row of docs."""
+    """(doc_id, n_words, n_removed, kept_sha256[, kept_text]) for each row of docs; how: as for repeated_windows."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marks = repeated_windows(docs, spark, window=window, log_cells=log_cells)
+    marks = repeated_windows(docs, spark, window=window, **how)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
     return with_marks(docs, marks).select("doc_id", "text", "starts", "lengths").mapInArrow(_finish(window, keep_text), schema)

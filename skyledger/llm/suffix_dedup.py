@@ -1,15 +1,14 @@
-"""Operator 10: removal of bytes in 100-byte strings that start earlier, one suffix bucket at a time.
+"""Operator 10: removal of bytes in 100-byte strings that start earlier, by suffix order in buckets.
 
-The cover is chosen by content: in each 100-byte window the least hash of its 44-byte grams.  As with a
-difference cover, two equal windows share a cover sample at the same distance; unlike one by position it marks some
-3 % of all places instead of 14 % and gives equal windows one bucket.  A segment is a run of windows with the same
-least gram.  A merged sketch drops the segments whose gram occurs once.  The others go, with the bytes their windows
-span, to the bucket of their gram; a partition sends equal segments once, for the earliest, and marks the later ones.
-In a bucket, equal segments are settled whole by a table of their bytes; the windows of different segments are sorted
-by a hash and ties are resolved by comparing the bytes themselves, so results never rest on a hash alone.  No suffixes are sorted.
+A merged sketch drops the strings whose least 44-byte gram occurs once: those are unique.  What is left goes, as runs of
+strings with one least gram, to the bucket of that gram; a partition sends equal runs once, for the earliest, and marks the
+others.  One bucket at a time is held: equal runs are settled whole, and the suffixes of the others are sorted, blockwise
+by their leading bytes, with ties resolved by precomputed ranks of a difference cover (``_suffixes``).  Equal strings are
+then neighbours, and the first of them by (document, place) stays.  Results never rest on a hash.
 
 Edge cases: null and empty texts, and texts of under 100 bytes, lose nothing; rows that repeat an id are one document
-to this rule, and a string at the same place of them is no repeat of itself; a row with a null id is never marked and marks nothing; an empty table gives an empty result.
+to this rule, and a string at the same place of them is no repeat of itself; a row with a null id is never marked and
+marks nothing; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,12 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm import _segments as S
 from skyledger.llm import _text as X
-from skyledger.llm._marks import MARKS, cover, gather, mark_rows, marked_starts, with_marks
-from skyledger.llm._sketch import LOG_CELLS, may_repeat, repeated_bits
+from skyledger.llm._marks import MARKS, cover, marked_starts, with_marks
+from skyledger.llm._sketch import OFTEN, Sketch, log_cells_for, sketch
 from skyledger.llm._spark import columns, shuffle_partitions
+from skyledger.llm._suffixes import Suffixes
 
 U64 = X.U64
+SHARE = 0.035  # least grams for each byte, about
 
 
 def _gram(window: int) -> int:
@@ -54,165 +56,55 @@ def _grams(window: int):
     return hashes
 
 
-_ROW = "bucket int, gram binary, doc binary, start binary, n binary, bytes binary"
-
-
-def _segments(window: int, bits, log_cells: int, buckets: int):
+def _runs(window: int, shared, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = bits.value
+        counts: Sketch = shared.value
         for batch in batches:
             ids, texts = columns(batch, "doc_id", "text")
             ids = ids.cast(pa.int64())
             known, ids = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
-            grams, docs, starts, ns, names, pieces = [], [], [], [], [], []
+            parts = []
             for a, part, rows, codes, _, valid, low, _ in _slices(texts, window):
                 if not valid.any():
                     continue
-                # Runs of valid windows of one row and one least gram.  A row's last windows are invalid, which parts rows.
-                change = np.ones(len(valid) + 1, bool)
-                change[1:-1] = (low[1:] != low[:-1]) | (valid[1:] != valid[:-1])
-                cut = np.flatnonzero(change)
-                s, n = cut[:-1], np.diff(cut)
-                s, n = s[valid[s]], n[valid[s]]
-                ok = may_repeat(low[s], sketch, log_cells)
+                s, n = S.runs_of(low, valid)
+                row = np.searchsorted(rows, s, "right") - 1
+                ok = counts.may_repeat(low[s]) & known[row + a]
+                s, n = s[ok], n[ok]
+                s, n, single = S.singly(s, n, counts.may_be_often(low[s]))
                 row = np.searchsorted(rows, s, "right") - 1
-                ok &= known[row + a]
-                s, n, row = s[ok], n[ok], row[ok]
                 sums, down = X.prefix_sums(codes, X.P_BYTE)
-                names.append(X.mix((sums[s + n + window - 1] - sums[s]) * down[s], 101))
-                grams.append(low[s])
-                docs.append(ids[row + a])
-                starts.append(s - rows[row])
-                ns.append(n)
-                pieces.append((part, s))
-            if not grams:
-                continue
-            gram, doc, start, n, name = (np.concatenate(x) for x in (grams, docs, starts, ns, names))
-            which = np.repeat(np.arange(len(pieces)), [len(s) for _, s in pieces])
-            offset = np.concatenate([s for _, s in pieces])
-            bucket = (gram % U64(buckets)).astype(np.int64)
-            order = np.lexsort((start, doc, n, name, gram, bucket))
-            g, m, l = gram[order], name[order], n[order]
-            later = np.zeros(len(order), bool)
-            later[1:] = (g[1:] == g[:-1]) & (m[1:] == m[:-1]) & (l[1:] == l[:-1])
-            # Equal name, length and gram: the bytes decide whether the segment repeats the one before.
-            for i in np.flatnonzero(later):
-                (p, s), (q, t) = ((pieces[which[order[j]]][0], offset[order[j]]) for j in (i, i - 1))
-                later[i] = p[s : s + l[i] + window - 1].tobytes() == q[t : t + l[i] + window - 1].tobytes()
-            # The same place again, of a row that repeats an id, says no more: it is neither sent nor marked.
-            twice = np.zeros(len(order), bool)
-            twice[1:] = later[1:] & (doc[order][1:] == doc[order][:-1]) & (start[order][1:] == start[order][:-1])
-            send = order[~later]
-            cut = np.searchsorted(bucket[send], np.arange(buckets + 1))
-            raw = [pieces[w][0][o : o + k + window - 1] for w, o, k in zip(which[send].tolist(), offset[send].tolist(), n[send].tolist())]
-            ends = np.concatenate(([0], np.cumsum(n[send] + window - 1))).astype(np.int64)
-            data = np.concatenate([np.zeros(0, np.uint8), *raw])
-            for lo in range(0, buckets, 64):  # rows of a few MB
-                hi = min(lo + 64, buckets)
-                c, x = cut[lo : hi + 1] - cut[lo], slice(cut[lo], cut[hi])
-                e = ends[cut[lo : hi + 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(lo, hi, dtype=np.int32)), *(X.blobs(v[send][x].astype(d), c) for v, d in ((gram, U64), (doc, np.int64), (start, np.uint32), (n, np.uint32))), X.blobs(data[e[0] : e[-1]], e - e[0])],
-                    ["bucket", "gram", "doc", "start", "n", "bytes"],
-                ).filter(pa.array(np.diff(c) > 0))
-            again = order[later & ~twice]
-            if len(again):
-                mk = mark_rows(doc[again], start[again], n[again])
-                d, k = mk.column(0).to_numpy(), mk.num_rows
-                none = pa.array(np.full(k, b"", object), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array((d % buckets - buckets).astype(np.int32)), none, X.blobs(d, np.arange(k + 1)), mk.column(1), mk.column(2), none], ["bucket", "gram", "doc", "start", "n", "bytes"])
+                end = s + n + window - 1
+                name = X.mix((sums[end] - sums[s]) * down[s], 101)
+                parts.append(S.Segments(np.where(single, name, low[s]), ids[row + a], s - rows[row], n, name, s, end, part))
+            yield from S.send(parts, buckets, across=False)
 
     return run
 
 
-def _same(data: np.ndarray, a: np.ndarray, b: np.ndarray, window: int) -> np.ndarray:
-    """Whether data[a:a+window] and data[b:b+window] agree, for arrays of places."""
-    out = np.zeros(len(a), bool)
-    span = np.arange(window)
-    for i in range(0, len(a), 1 << 16):
-        out[i : i + (1 << 16)] = (data[a[i : i + (1 << 16), None] + span] == data[b[i : i + (1 << 16), None] + span]).all(1)
-    return out
+def _windows(window: int):
+    """What repeats among the different runs of a bucket, by suffix order."""
 
-
-def _resolve(window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = gather(batches)
-        for bucket in list(held):
-            gs, docs, starts, ns, bytes_ = zip(*held.pop(bucket))
-            if bucket < 0:
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(docs), np.int64)), pa.array(starts, pa.binary()), pa.array(ns, pa.binary())], ["doc_id", "starts", "lengths"])
+    def run(bucket: S.Bucket) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        size, n = bucket.b - bucket.a, bucket.n
+        base = np.cumsum(size) - size
+        suffixes = Suffixes(bucket.data[np.repeat(bucket.a - base, size) + np.arange(size.sum())], window)
+        first = np.cumsum(n) - n
+        places = np.repeat(base - first, n) + np.arange(n.sum())
+        for some in suffixes.buckets(places):
+            order, same = suffixes.order(places[some])
+            tied = np.flatnonzero(same | np.concatenate((same[1:], [False])))
+            if not len(tied):
                 continue
-            gram, doc, start, n = (np.frombuffer(b"".join(x), d) for x, d in ((gs, U64), (docs, np.int64), (starts, np.uint32), (ns, np.uint32)))
-            n, start = n.astype(np.int64), start.astype(np.int64)
-            data = np.frombuffer(b"".join(bytes_), np.uint8)
-            at = np.concatenate(([0], np.cumsum(n + window - 1)))[:-1]
-            # A gram's only segment of one window repeats nothing; a longer one may repeat within itself.
-            by, cut = X.groups(gram)
-            sizes = np.diff(cut)
-            live = by[np.repeat(sizes > 1, sizes) | (n[by] > 1)]
-            if len(live):
-                yield from _settle(data, at[live], doc[live], start[live], n[live], window)
+            i = some[order[tied]]
+            run_ = np.searchsorted(first, i, "right") - 1
+            doc, start = bucket.doc[run_], bucket.start[run_] + i - first[run_]
+            later = S.first_of(doc, start, same[tied], across=False)
+            yield doc[later], start[later], np.ones(int(later.sum()), np.int64)
 
     return run
 
 
-def _settle(data, at, doc, start, n, window) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((start, doc))  # by where they begin
-    at, doc, start, n = at[order], doc[order], start[order], n[order]
-    # Whole segments first: equal bytes, earliest first.
-    first: dict[bytes, int] = {}
-    raw = data.tobytes()
-    repeats, later = np.zeros(len(at), bool), np.zeros(len(at), bool)  # later: not at the place of the first either
-    for i, (a, k) in enumerate(zip(at.tolist(), n.tolist())):
-        f = first.setdefault(raw[a : a + k + window - 1], i)
-        if f != i:
-            repeats[i], later[i] = True, doc[f] != doc[i] or start[f] != start[i]
-    if later.any():
-        yield mark_rows(doc[later], start[later], n[later])
-    at, doc, start, n = at[~repeats], doc[~repeats], start[~repeats], n[~repeats]
-    if not len(at):
-        return
-    # Then the windows of what differs: sorted by hash, ties by the bytes, each in order of (doc, start).
-    seg = np.repeat(np.arange(len(at)), n)
-    step = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
-    place = at[seg] + step
-    h = np.zeros(len(seg), U64)
-    lo = 0
-    while lo < len(at):  # blocks of segments, so that the sums stay small
-        hi = lo + 1 + int(np.searchsorted(np.cumsum(n[lo + 1 :] + window - 1), X.SLICE_BYTES))
-        spans = n[lo:hi] + window - 1
-        base = np.cumsum(spans) - spans
-        index = np.repeat(at[lo:hi] - base, spans) + np.arange(spans.sum())
-        sums, down = X.prefix_sums(X.byte_codes(11)[data[index]], X.P_BYTE)
-        rng = slice(int(np.sum(n[:lo])), int(np.sum(n[:hi])))
-        p = base[seg[rng] - lo] + step[rng]
-        h[rng] = X.mix((sums[p + window] - sums[p]) * down[p], 102)
-        lo = hi
-    where = start[seg] + step
-    order = np.lexsort((where, doc[seg], h))
-    tied = np.flatnonzero(np.concatenate(([False], h[order][1:] == h[order][:-1])))
-    new = np.ones(len(order), bool)  # not the place of the one before
-    new[1:] = (doc[seg[order]][1:] != doc[seg[order]][:-1]) | (where[order][1:] != where[order][:-1])
-    good = _same(data, place[order[tied]], place[order[tied - 1]], window)
-    if not good.all():  # two strings share a hash: those hashes are settled by their bytes alone
-        odd = np.unique(h[order[tied[~good]]])
-        clash = np.isin(h[order], odd)
-        tied = tied[~clash[tied]]
-        seen: dict[bytes, tuple[int, int]] = {}
-        extra = []
-        mixed = order[clash]
-        for i in mixed[np.lexsort((where[mixed], doc[seg[mixed]]))].tolist():
-            key = raw[place[i] : place[i] + window]
-            if seen.setdefault(key, (doc[seg[i]], where[i])) != (doc[seg[i]], where[i]):
-                extra.append(i)
-        tied = tied[new[tied]]
-        hit = np.concatenate((order[tied], np.array(extra, np.int64)))
-    else:
-        hit = order[tied[new[tied]]]
-    if len(hit):
-        yield mark_rows(doc[seg[hit]], where[hit], np.ones(len(hit), np.int64))
-
-
 def _finish(window: int, keep_bytes: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,13 +130,14 @@ def _finish(window: int, keep_bytes: bool):
 
 
 def suffix_dedup(
-    docs: DataFrame, spark: SparkSession, *, window: int = 100, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = True, log_cells: int = LOG_CELLS
+    docs: DataFrame, spark: SparkSession, *, window: int = 100, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = True, log_cells: int | None = None, often: int = OFTEN
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept_bytes]) for each row of docs."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = max(64, 4 * shuffle_partitions(spark))
-    bits = spark.sparkContext.broadcast(repeated_bits(docs.select("text"), _grams(window), log_cells))
-    rows = docs.mapInArrow(_segments(window, bits, log_cells, buckets), _ROW)
-    marks = rows.repartition("bucket").mapInArrow(_resolve(window), MARKS)
+    texts = docs.select("text")
+    counts = spark.sparkContext.broadcast(sketch(texts, _grams(window), log_cells or log_cells_for(texts, SHARE), often))
+    rows = docs.mapInArrow(_runs(window, counts, buckets), S.ROW)
+    marks = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(S.settle(_windows(window), across=False), MARKS)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * keep_bytes
     return with_marks(docs, marks).select("doc_id", "text", "starts", "lengths").mapInArrow(_finish(window, keep_bytes), schema)

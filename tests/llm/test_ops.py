@@ -11,7 +11,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, packing, quality, queries, substring_dedup, suffix_dedup, toxicity
+from skyledger.llm import _suffixes, bpe, decontaminate, exact_dedup, html_extract, jaccard_join, packing, quality, queries, substring_dedup, suffix_dedup, toxicity
+from skyledger.llm._marks import mark_rows, marked_starts
+from skyledger.llm._suffixes import Suffixes
 from skyledger.llm.components import connected_components
 
 SMALL = 20  # log2 of sketch cells in tests
@@ -192,13 +194,15 @@ def test_longest_matches_in_blocks(spark):
         assert sorted(map(tuple, decontaminate.longest_matches(docs, bench, spark, block_bytes=block).collect())) == sorted(want)
 
 
-def test_substring_dedup(spark, docs, rows):
+@pytest.mark.parametrize("how", [{}, {"often": 2}, {"hash_of": lambda w, k: np.zeros(max(len(w) - k + 1, 0), np.uint64)}])
+def test_substring_dedup(spark, docs, rows, how):
+    """The second time all repeated grams count as very frequent, the third all windows share one hash."""
     first = {}
     for i, t in rows:
         w = spaced(t)
         for k in range(len(w) - 12):
             first.setdefault(tuple(w[k : k + 13]), i)
-    for r in substring_dedup.substring_dedup(docs, spark, log_cells=SMALL).collect():
+    for r in substring_dedup.substring_dedup(docs, spark, log_cells=SMALL, **how).collect():
         w = spaced(dict(rows)[r.doc_id])
         gone = [0] * len(w)
         for k in range(len(w) - 12):
@@ -208,8 +212,8 @@ def test_substring_dedup(spark, docs, rows):
         assert (r.n_words, r.n_removed, r.kept_text, r.kept_sha256) == (len(w), sum(gone), kept, hashlib.sha256(kept.encode()).hexdigest())
 
 
-@pytest.mark.parametrize("window", [100, 7])
-def test_suffix_dedup(spark, docs, rows, window):
+@pytest.mark.parametrize("window,how", [(100, {}), (7, {}), (40, {"often": 2}), (100, {"often": 3})])
+def test_suffix_dedup(spark, docs, rows, window, how):
     seen = set()
     want = {}
     for i, t in rows:
@@ -220,7 +224,7 @@ def test_suffix_dedup(spark, docs, rows, window):
                 gone[k : k + window] = b"\1" * window
             seen.add(b[k : k + window])
         want[i] = (len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), bytes(c for c, g in zip(b, gone) if not g))
-    for r in suffix_dedup.suffix_dedup(docs, spark, window=window, log_cells=SMALL).collect():
+    for r in suffix_dedup.suffix_dedup(docs, spark, window=window, log_cells=SMALL, **how).collect():
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) == want[r.doc_id]
         assert r.kept_sha256 == hashlib.sha256(want[r.doc_id][3]).hexdigest()
 
@@ -235,6 +239,35 @@ def test_suffix_dedup_repeated_rows(spark, parts):
     assert sorted((x.doc_id, x.n_bytes, x.n_removed) for x in got) == [(1, 700, 0), (1, 700, 0), (1, 1000, 0), (2, 700, 700), (3, 1000, 1000), (3, 1000, 1000)]
 
 
+@pytest.mark.parametrize("documents", [1, 2, (1 << 23) + 3])
+def test_marks_of_many_documents(documents):
+    """Two marks far apart stay two, whatever the number of documents; touching and nested ones become one."""
+    doc = np.repeat(np.arange(documents, dtype=np.int64), 2)
+    start = np.tile(np.array([50, 0], np.int64), documents)
+    m = mark_rows(doc, start, np.ones(len(doc), np.int64))
+    for i in (0, documents // 2, documents - 1):
+        assert [x.tolist() for x in marked_starts([m.column(1)[i].as_py()], [m.column(2)[i].as_py()])] == [[0, 50], [1, 1]]
+    m = mark_rows(np.array([3, 3, 3, 9]), np.array([5, 0, 6, 1 << 31]), np.array([10, 5, 2, 1 << 30]))
+    assert [x.tolist() for x in marked_starts([m.column(1)[0].as_py()], [m.column(2)[0].as_py()])] == [[0], [15]]
+
+
+@pytest.mark.parametrize("window", [1, 7, 8, 13, 16, 17, 40, 100])
+@pytest.mark.parametrize("letters", [1, 2, 30])
+def test_suffix_order(monkeypatch, window, letters):
+    """Windows come in the order of their bytes, ties are found, and buckets part the windows without parting ties."""
+    r = np.random.default_rng(window)
+    part = r.integers(0, letters, 300).astype(np.uint8)
+    data = np.concatenate((part, part[40:250], r.integers(0, letters, 90).astype(np.uint8), part))
+    places = r.permutation(len(data) - window + 1)
+    suffixes = Suffixes(data, window)
+    order, same = suffixes.order(places)
+    found = [data[p : p + window].tobytes() for p in places[order]]
+    assert found == sorted(found) and same.tolist() == [False] + [a == b for a, b in zip(found, found[1:])]
+    monkeypatch.setattr(_suffixes, "BUCKET", 100)
+    buckets = [{data[places[i] : places[i] + window].tobytes() for i in b} for b in suffixes.buckets(places)]
+    assert sum(map(len, suffixes.buckets(places))) == len(places) and sum(map(len, buckets)) == len(set(found))
+
+
 def test_full_sketch_loses_nothing(spark, docs):
     a, b = (sorted(map(tuple, substring_dedup.substring_dedup(docs, spark, keep_text=False, log_cells=k).collect())) for k in (16, SMALL))
     assert a == b
