@@ -89,6 +89,16 @@ def test_repeated_rows_leave_one(spark):
     assert [r.group_size for r in exact_dedup.exact_groups(df).where("text_sha256 = sha2('x', 256)").collect()] == [3, 3, 3]
 
 
+@pytest.mark.parametrize("keep,want", [("min", None), ("max", 5)])
+def test_exact_dedup_null_ids_and_maps(spark, keep, want):
+    """A null id is less than all others in both forms; columns without an order are kept."""
+    df = spark.createDataFrame([(None, "x", {"a": 1}), (5, "x", {"a": 2}), (5, "x", {"a": 1}), (3, None, {}), (4, "", None)], "doc_id long, text string, more map<string,int>")
+    got = sorted({(r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(df, keep=keep).collect() if r.group_size == 3}, key=str)
+    assert {k for k, _, _ in got} == {want}
+    left = {r.text or "": r for r in exact_dedup.drop_copies(df, keep=keep).collect()}
+    assert left["x"].doc_id == want and left["x"].more == ({"a": 1} if keep == "min" else {"a": 2}) and left[""].doc_id == (3 if keep == "min" else 4)
+
+
 def jaccard_brute(rows, pct, size):
     sets = {}
     for i, t in rows:
