@@ -345,6 +345,54 @@ def test_html(spark):
     assert got[4].n_chars == 49999 and got[5].text == "a < b > c"
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<article><p>a <a title="a > b" href=x>link</a> in the text of it</p></article>', "a link in the text of it"),
+    ('<div class="sidebar" data-x="a>b">beside the text</div><article><p>the text itself</p></article>', "the text itself"),
+    ("<article><p don't=1>one word more than two</p><p title=\"it's\">three words here</p></article>", "one word more than two\nthree words here"),
+    ('<article><header class="entry-header"><h1>The title of it</h1></header><p>' + "word " * 40 + "</p></article>", "The title of it\n" + "word " * 39 + "word"),
+    ('<article><p>' + "word " * 40 + '</p><a href=x><h3>Another story here</h3><p>Read all of it now</p></a></article>', "word " * 39 + "word"),
+    ('<article><p><a href=x>unclosed <p>' + "word " * 30 + "</p></article>", "word " * 29 + "word"),
+    ('<article><p>' + "word " * 30 + '<script>if (a < b) { document.write("</p><p>no") }</script></p><titles>kept words here</titles></article>', "word " * 29 + "word\nkept words here"),
+    ('<article><p class="unclosed>' + "word " * 30 + "</p></article>", "word " * 29 + "word"),
+])
+def test_html_tags(page, want):
+    assert html_extract.main_text(page) == want
+
+
+def test_html_against_a_parser():
+    """Pages made of parts: what the standard parser finds in the article's own blocks."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.blocks = 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside += tag == "article"
+            if tag in ("p", "h1", "li", "div"):
+                self.blocks.append("")
+
+        def handle_endtag(self, tag):
+            self.inside -= tag == "article"
+            if tag in ("p", "h1", "li", "div", "article"):
+                self.blocks.append("")
+
+        def handle_data(self, data):
+            if self.inside:
+                self.blocks[-1] += data
+
+    r = random.Random(8)
+    words = lambda a, b: " ".join(r.choice(["plain", "x &lt; y", "&eacute;t&eacute;", "<b>bold</b>", "<i title='a>b'>it</i>", "&#8211;", "of", "the"]) for _ in range(r.randint(a, b)))
+    menu = lambda: "<nav><ul>" + "".join(f'<li><a href="/{k}">{words(1, 1)}</a></li>' for k in range(r.randint(2, 7))) + "</ul></nav>"
+    for _ in range(200):
+        body = f"<h1>{words(3, 9)}</h1>" + "".join(r.choice([f"<p>{words(8, 80)}</p>", f"<p>{words(1, 4)}</p>", f"<ul><li>{words(2, 9)}</li>\n<li>{words(2, 9)}</li></ul>", f'<div>{words(9, 40)} <a href="x">{words(1, 2)}</a></div>']) for _ in range(r.randint(2, 12)))
+        page = f"<html><head><title>{words(2, 5)}</title></head><body>{menu()}<div class='ad'>{words(4, 30)}</div><article>{body}</article><aside>{words(5, 60)}</aside><footer>&copy; {words(3, 12)}</footer></body></html>"
+        parser = Article()
+        parser.feed(page)
+        assert html_extract.main_text(page) == "\n".join(t for b in parser.blocks if (t := " ".join(b.split())))
+
+
 def test_restoration(spark):
     counts = np.ones((28, 28), np.int64)
     for w in ("stupid", "idiot", "moron", "plain"):
