@@ -72,6 +72,25 @@ def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 0.01)), float(b)
 
 
+FOLDS = 5
+
+
+def _scaled(ratio: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """A row's values: the ratios of its features, of length one together."""
+    return ratio[row] / np.sqrt(max(ratio[row] @ ratio[row], 1e-12))
+
+
+def _weigh(rows: list[np.ndarray], y: np.ndarray, n: int, use: np.ndarray, *, smooth: float, c: float, epochs: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Log-count ratios, hinge weights and bias from the rows in use."""
+    pos, neg = np.full(n, smooth), np.full(n, smooth)
+    some = np.flatnonzero(use)
+    for i in some:
+        (pos if y[i] > 0 else neg)[rows[i]] += 1
+    ratio = np.log(pos / ((y[use] > 0).sum() + 2 * smooth)) - np.log(neg / ((y[use] < 0).sum() + 2 * smooth))
+    w, b = hinge_dual([rows[i] for i in some], [_scaled(ratio, rows[i]) for i in some], y[use], n, c=c, epochs=epochs)
+    return ratio, w, b
+
+
 def fit(samples: list[tuple[int, np.ndarray]], *, smooth: float = 1.0, least: int = 3, c: float = 1.0, epochs: int = 12) -> Model:
     """samples: label and distinct feature hashes of each row.  Features of fewer than ``least`` rows are left out."""
     none = np.zeros(0)
@@ -88,30 +107,36 @@ def fit(samples: list[tuple[int, np.ndarray]], *, smooth: float = 1.0, least: in
     for _, f in samples:
         at = np.minimum(np.searchsorted(keys, f), len(keys) - 1)
         rows.append(at[keys[at] == f])
-    train = np.arange(len(samples)) % 5 != 0
-    pos, neg = np.full(len(keys), smooth), np.full(len(keys), smooth)
-    for r, label, use in zip(rows, y, train):
-        if use:
-            (pos if label > 0 else neg)[r] += 1
-    n_pos, n_neg = (y[train] > 0).sum() + 2 * smooth, (y[train] < 0).sum() + 2 * smooth
-    ratio = np.log(pos / n_pos) - np.log(neg / n_neg)
-    values = [ratio[r] / np.sqrt(max(ratio[r] @ ratio[r], 1e-12)) for r in rows]
-    use = np.flatnonzero(train)
-    w, b = hinge_dual([rows[i] for i in use], [values[i] for i in use], y[use], len(keys), c=c, epochs=epochs)
-    margin = np.array([w[r] @ v + b for r, v in zip(rows, values)])
-    rest = np.flatnonzero(~train) if len(samples) >= 50 else np.arange(len(samples))
-    slope, offset = _calibrate(margin[rest], (y[rest] > 0).astype(float))
+    how = dict(smooth=smooth, c=c, epochs=epochs)
+    everything = np.ones(len(y), bool)
+    ratio, w, b = _weigh(rows, y, len(keys), everything, **how)
+    # The curve is fitted to margins that each row gets from a model without it, a fifth of the rows at a time.
+    fold = np.arange(len(y)) % FOLDS
+    margin = np.zeros(len(y))
+    for k in range(FOLDS):
+        out = fold == k if len(y) >= 50 else everything
+        r, v, d = (ratio, w, b) if len(y) < 50 else _weigh(rows, y, len(keys), ~out, **how)
+        for i in np.flatnonzero(out):
+            margin[i] = v[rows[i]] @ _scaled(r, rows[i]) + d
+    slope, offset = _calibrate(margin, (y > 0).astype(float))
     return Model(keys, w * ratio, ratio, b, slope, offset)
 
 
 Features = Callable[[pa.Array], Iterator[tuple[int, np.ndarray, np.ndarray]]]  # first row, features, offsets of rows
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, features: Features, spark: SparkSession, *, most_rows: int, **how) -> Model:
-    """Fits on at most ``most_rows`` labelled rows that are not held out: those of the least hash of their id."""
+MOST_BYTES = 256 << 20  # of features that a model is fitted on
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, label: str, held_out: Column, features: Features, spark: SparkSession, *, most_rows: int, most_bytes: int = MOST_BYTES, **how
+) -> Model:
+    """Fits on at most ``most_rows`` labelled rows that are not held out, those of the least hash of their id, and on no
+    more of them than have ``most_bytes`` of features."""
     chosen = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out).select("doc_id", F.col(label).cast("int").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64(F.col("doc_id").cast("long")), "doc_id", "label").limit(most_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    first = [F.xxhash64(F.col("doc_id").cast("long")), "doc_id", "label"]
+    chosen = chosen.orderBy(*first).limit(most_rows)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")  # most_rows rows of three numbers
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,16 +145,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, feat
             yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), y, pa.array(found, pa.binary())], ["doc_id", "label", "features"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = [(i, l, f) for b in batches for i, l, f in zip(*(x.to_pylist() for x in columns(b, "doc_id", "label", "features")))]
-        table.sort()
-        m = fit([(l, np.frombuffer(f, np.uint64)) for _, l, f in table], **how)
+        table, size = [], 0
+        for b in batches:
+            for y, f in zip(*(x.to_pylist() for x in columns(b, "label", "features"))):
+                if size <= most_bytes:
+                    table.append((y, np.frombuffer(f, np.uint64)))
+                size += len(f)
+        m = fit(table, **how)
         keep = np.abs(m.ratios) > 0
         yield pa.RecordBatch.from_arrays(
             [pa.array([m.keys[keep].tobytes()]), pa.array([m.weights[keep].tobytes()]), pa.array([m.ratios[keep].tobytes()]), *(pa.array([x], pa.float64()) for x in (m.bias, m.slope, m.offset))],
             ["keys", "weights", "ratios", "bias", "slope", "offset"],
         )
 
-    one = rows.mapInArrow(describe, "doc_id long, label int, features binary").repartition(1)  # most_rows rows at most
+    # Ids may repeat in the documents, so the rows are bounded again; they come sorted into one partition.
+    one = rows.mapInArrow(describe, "doc_id long, label int, features binary").orderBy(*first, "features").limit(most_rows)
     got = one.mapInArrow(learn, "keys binary, weights binary, ratios binary, bias double, slope double, offset double").collect()
     if not got:
         return fit([])
@@ -151,6 +181,19 @@ def score(docs: DataFrame, model: Model, features: Features, spark: SparkSession
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
 
 
+def keep_below(docs: DataFrame, model: Model, features: Features, spark: SparkSession, text_col: str, threshold: float) -> DataFrame:
+    """The rows of docs, with all their columns, whose score is below the threshold."""
+    shared = spark.sparkContext.broadcast(model)  # bounded by the sample's features
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            out = [m.scores(f, rows) for _, f, rows in features(columns(batch, text_col)[0].cast(pa.string()))]
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0), *out]) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def verdicts(scored: DataFrame, mod: int, held: int, threshold: float = 0.3) -> DataFrame:
     return scored.select("doc_id", F.coalesce(crc_mod(F.col("doc_id"), mod) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 

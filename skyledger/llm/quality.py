@@ -2,7 +2,8 @@
 
 Features are the distinct word unigrams and bigrams and byte trigrams of the lower-cased text.  Labels of rows whose
 crc32(doc_id as text) mod 5 is 0 are held out; labels, lang, source and id are no features.  The fit uses at most
-``most_rows`` labelled rows (those of the least hash of their id); everything is scored, on whole texts.
+``most_rows`` labelled rows (those of the least hash of their id) and 256 MB of their features, and leaves out features
+that fewer than ``least`` of them have; everything is scored, on whole texts.
 
 Edge cases: null and empty texts have no features and get the score of the bias; without labels every score is 0.5;
 null labels are ignored; rows that repeat an id are scored each; a null id is never held out.
@@ -22,6 +23,7 @@ from skyledger.llm import _text as X
 from skyledger.llm._spark import crc_mod
 
 MOST_ROWS = 5000
+LEAST = 3  # rows of the fit that a feature must be met in
 
 
 def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -46,8 +48,8 @@ def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield a, np.concatenate([np.zeros(0, np.uint64), *parts]), np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, spark: SparkSession, *, id_col: str = "doc_id", text_col: str = "text", most_rows: int = MOST_ROWS) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, spark: SparkSession, *, id_col: str = "doc_id", text_col: str = "text", most_rows: int = MOST_ROWS, least: int = LEAST) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    model = L.train(docs, labels, "quality", crc_mod(F.col("doc_id"), 5) == 0, features, spark, most_rows=most_rows)
+    model = L.train(docs, labels, "quality", crc_mod(F.col("doc_id"), 5) == 0, features, spark, most_rows=most_rows, least=least)
     return L.verdicts(L.score(docs, model, features, spark), 5, 0)

@@ -4,21 +4,22 @@ A character language model (four letters at a time, with word borders) is counte
 disguised - letters mixed with look-alike signs, letters drawn out three times or more, letters set apart by blanks -
 become lattices in which each sign may stand for a letter, be dropped, or draw out the letter before it; Viterbi's
 algorithm finds the likeliest letters (by bigrams within a word).  In a run of single letters each blank may be dropped
-or be a word border; each word found is a feature, and so is the run as one word (up to 48 signs).  Two words
+or be a word border; each word found is a feature, and so is the run as one word.  Two words
 of which the model says that the blank between them was put into a word are a feature as one, too.  A linear model on the
 distinct restored words scores each document.  Letters beyond a to z are one class to the model, and themselves in features.
 
 Labels of rows whose crc32(doc_id as text) mod 4 is 2 are held out; labels, lang, source and id are no features.  The
-fit uses at most ``most_rows`` labelled rows; language model and scores cover all rows and whole texts.  Of words of
-more than 48 bytes, repeats of a sign are cut to two first; what is still longer is restored in overlapping pieces.
+fit uses at most ``most_rows`` labelled rows and ``most_bytes`` of their features, and leaves out features that fewer
+than ``least`` of them have; language model and scores cover all rows and whole texts.  Each document is counted by
+itself, so the language model does not depend on how the input is split.
 
 Edge cases: null and empty texts have no words and get the score of the bias; without labels every score is 0.5;
-null labels are ignored; rows that repeat an id are scored each; a null id is never held out.
+null labels are ignored; rows that repeat an id are scored each; a null id is never held out, and ``drop_toxic`` judges
+each row of a null id, and of an id that repeats, by its own text.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,8 @@ from skyledger.llm import _text as X
 from skyledger.llm._spark import columns, crc_mod
 
 MOST_ROWS = 12_000
-LONGEST = 48
+TOGETHER, CELLS = 2048, 1 << 18  # words, and signs about, whose lattices are held at once
+LEAST = 3  # rows of the fit that a feature must be met in
 A = 28  # border, a-z, all bytes of other scripts
 
 # Signs and the letters that they imitate.
@@ -72,21 +74,24 @@ def _channel() -> tuple[np.ndarray, np.ndarray]:
 
 EMIT, DROPPED = _channel()
 _WAYS = [[(int(c), float(EMIT[b, c])) for c in np.flatnonzero(EMIT[b] > -1e8)] for b in range(256)]
-_REPEATS = re.compile(rb"([\x00-\x7f])\1{2,}")
+
+
+BEFORE = 4  # borders before each row: one that ends the row before, and three that no letters cross
 
 
 def _stream(part: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Letters with one border between words and rows, three at both ends; the place of each byte's letter or border."""
-    c = np.zeros(len(part) + len(rows) + 1, np.int64)
-    place = np.arange(1, len(part) + 1) + X.row_of(rows)
+    """Letters with one border after each word and BEFORE more before each row and at the end; the place of each byte's
+    letter or border."""
+    c = np.zeros(len(part) + BEFORE * len(rows), np.int64)
+    place = np.arange(len(part)) + BEFORE * (X.row_of(rows) + 1)
     c[place] = LETTER[part]
-    keep = (c > 0) | np.concatenate(([True], c[:-1] > 0))
-    at = np.cumsum(keep) + 1
-    return np.concatenate(([0, 0], c[keep], [0, 0])), at[place]
+    keep = np.ones(len(c), bool)
+    keep[place] = (c[place] > 0) | (c[place - 1] > 0)
+    return c[keep], (np.cumsum(keep) - 1)[place]
 
 
 def letter_counts(docs: DataFrame) -> np.ndarray:
-    """Counts of four letters or borders in a row, over all documents."""
+    """Counts of four letters or borders in a row, over all documents, each by itself (before its first letter: borders)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(A**4, np.int64)
@@ -94,16 +99,15 @@ def letter_counts(docs: DataFrame) -> np.ndarray:
             data, at = X.view(columns(batch, "text")[0])
             for a, b in X.slices(at):
                 c, _ = _stream(data[at[a] : at[b]], at[a : b + 1] - at[a])
-                total += np.bincount(((c[:-3] * A + c[1:-2]) * A + c[2:-1]) * A + c[3:], minlength=A**4)
+                e = np.flatnonzero((c[1:] > 0) | (c[:-1] > 0)) + 1  # letters, and the borders that follow them
+                total += np.bincount(((c[e - 3] * A + c[e - 2]) * A + c[e - 1]) * A + c[e], minlength=A**4)
         gram = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int32)), pa.array(total[gram])], ["gram", "n"])
 
     got = docs.select("text").mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # A**4 rows at most
     out = np.zeros(A**4, np.int64)
     out[got["gram"].to_numpy()] = got["n"].to_numpy()
-    out = out.reshape(A, A, A, A)
-    out[0, 0] = out[:, 0, 0] = out[:, :, 0, 0] = 0  # the ends of slices
-    return out
+    return out.reshape(A, A, A, A)
 
 
 def language_model(counts: np.ndarray) -> np.ndarray:
@@ -157,13 +161,14 @@ def _cut_words(c: np.ndarray, lm: np.ndarray) -> np.ndarray:
 
 
 def _restored(words: list[bytes], lm: np.ndarray) -> list[list[tuple[int, int]]]:
-    """The likeliest letters behind each word, each with the place of its sign, last first."""
+    """The likeliest letters behind each word, each with the place of its sign, last first: Viterbi's algorithm, column by
+    column for some words of like length at a time."""
     out: list[list[tuple[int, int]]] = [[] for _ in words]
-    order = sorted(range(len(words)), key=lambda i: -len(words[i]))
-    for lo in range(0, len(order), 2048):
-        some = [i for i in order[lo : lo + 2048] if words[i]]
-        if not some:
-            continue
+    order = sorted((i for i, w in enumerate(words) if w), key=lambda i: -len(words[i]))
+    lo = 0
+    while lo < len(order):
+        some = order[lo : lo + min(TOGETHER, max(CELLS // len(words[order[lo]]), 1))]
+        lo += len(some)
         n = np.array([len(words[i]) for i in some])
         grid = np.zeros((len(some), int(n[0])), np.uint8)
         for r, i in enumerate(some):
@@ -192,16 +197,8 @@ def _restored(words: list[bytes], lm: np.ndarray) -> list[list[tuple[int, int]]]
 
 
 def restore(words: list[bytes], lm: np.ndarray) -> list[bytes]:
-    """The likeliest letters behind each word (bytes of other scripts stay as they are).  Words of more than LONGEST
-    bytes are restored in pieces of that length, each but the ends read in its middle half."""
-    short = [w if len(w) <= LONGEST else _REPEATS.sub(rb"\1\1", w) for w in words]
-    half, edge = LONGEST // 2, LONGEST // 4
-    at = [(i, k) for i, w in enumerate(short) for k in range(0, max(len(w) - half, 1), half)]
-    out = [bytearray() for _ in words]
-    for (i, k), letters in zip(at, _restored([short[i][k : k + LONGEST] for i, k in at], lm)):
-        lo, hi = edge if k else 0, half + edge if k + LONGEST < len(short[i]) else LONGEST
-        out[i] += bytes(96 + c if c < 27 else short[i][k + j] for j, c in reversed(letters) if c and lo <= j < hi)
-    return [bytes(w) for w in out]
+    """The likeliest letters behind each word, of any length (bytes of other scripts stay as they are)."""
+    return [bytes(96 + c if c < 27 else w[j] for j, c in reversed(letters) if c) for w, letters in zip(words, _restored(words, lm))]
 
 
 def _hash_letters(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -263,8 +260,8 @@ def word_features(lm: np.ndarray, shared):
             words = [lowered[starts[i] : ends[i]] for i in which[one].tolist()]
             runs = _joined(part, starts, ends, of)
             runs_of = [b" ".join(lowered[starts[k] : ends[k]] for k in range(i, j)) for i, j in runs]
-            # A run as one word, where it is no longer than a word, and always as the words that it may hold.
-            extra = [(r, w.replace(b" ", b"")) for (r, _), w in zip(runs, runs_of) if len(w) < 2 * LONGEST]
+            # A run as one word, and as the words that it may hold.
+            extra = [(r, w.replace(b" ", b"")) for (r, _), w in zip(runs, runs_of)]
             parted = {w: split(w, flat) for w in set(runs_of)}
             found = [(r, w) for (r, _), run in zip(runs, runs_of) for w in set(parted[run])]
             fixed = restore(words + [w for _, w in extra], lm) + [w for _, w in found]
@@ -288,16 +285,23 @@ def word_features(lm: np.ndarray, shared):
     return features
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, spark: SparkSession, *, id_col: str = "doc_id", text_col: str = "text", most_rows: int = MOST_ROWS) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, spark: SparkSession, *, id_col: str = "doc_id", text_col: str = "text", most_rows: int = MOST_ROWS, least: int = LEAST) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs."""
+    docs, model, features = _fitted(docs, labels, spark, id_col, text_col, most_rows, least)
+    return L.verdicts(L.score(docs, model, features, spark), 4, 2)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, spark: SparkSession, id_col: str, text_col: str, most_rows: int, least: int):
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     counts = letter_counts(docs)
     features = word_features(language_model(counts.sum((0, 1))), spark.sparkContext.broadcast(long_model(counts)))
-    model = L.train(docs, labels, "toxic", crc_mod(F.col("doc_id"), 4) == 2, features, spark, most_rows=most_rows, least=3)
-    return L.verdicts(L.score(docs, model, features, spark), 4, 2)
+    model = L.train(docs, labels, "toxic", crc_mod(F.col("doc_id"), 4) == 2, features, spark, most_rows=most_rows, least=least)
+    return docs, model, features
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, spark: SparkSession, **how) -> DataFrame:
-    """docs without the rows predicted toxic (an id's rows go if one of them is)."""
-    bad = toxicity_scores(docs, labels, spark, **how).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, spark: SparkSession, *, id_col: str = "doc_id", text_col: str = "text", most_rows: int = MOST_ROWS, least: int = LEAST, threshold: float = 0.3
+) -> DataFrame:
+    """docs without the rows whose text is predicted toxic.  No shuffle of the documents."""
+    _, model, features = _fitted(docs, labels, spark, id_col, text_col, most_rows, least)
+    return L.keep_below(docs, model, features, spark, text_col, threshold)

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.llm import _suffixes, bpe, decontaminate, exact_dedup, html_extract, jaccard_join, packing, quality, queries, substring_dedup, suffix_dedup, toxicity
+from skyledger.llm import _linear, _suffixes, bpe, decontaminate, exact_dedup, html_extract, jaccard_join, packing, quality, queries, substring_dedup, suffix_dedup, toxicity
 from skyledger.llm._marks import mark_rows, marked_starts
 from skyledger.llm._suffixes import Suffixes
 from skyledger.llm.components import connected_components
@@ -417,7 +417,7 @@ def test_disguised_by_blanks_or_length(spark):
 
     idiot, moron = of("idiot"), of("moron")
     assert len(idiot) == len(moron) == 1 and not of("plain text of the people") & (idiot | moron)
-    for t in ("y o u i d i o t", "such a i d i o t", "y o u 1 d 1 0 t", "y o u " * 30 + "i d i o t", "this id iot", "id" + "i" * 60 + "ot", "id" + "i" * 60 + "0t", "a " * 3000 + "i d i o t"):
+    for t in ("y o u i d i o t", "such a i d i o t", "y o u 1 d 1 0 t", "y o u " * 30 + "i d i o t", "this id iot", "id" + "i" * 60 + "ot", "id" + "i" * 60 + "0t", "1" + "d" * 200 + "10t", "a " * 3000 + "i d i o t"):
         assert idiot <= of(t), t[:40]
     assert moron <= of("m o r o n") and idiot | moron <= of("i d i o t m o r o n") and not of("idi.\not") & idiot
 
@@ -434,7 +434,7 @@ def test_letters_of_other_scripts(spark):
     assert toxicity.restore(["1diöt".encode()], toxicity.language_model(counts.sum((0, 1)))) in (["idiöt".encode()], ["ldiöt".encode()])
 
 
-def test_long_words_in_pieces():
+def test_long_words():
     counts = np.ones((28, 28), np.int64)
     for a, b in zip(b"abcdefghijklmnopqrstuvwxyz", b"bcdefghijklmnopqrstuvwxyza"):
         counts[a - 96, b - 96] += 500
@@ -442,6 +442,96 @@ def test_long_words_in_pieces():
     assert toxicity.restore([word.replace(b"o", b"0").replace(b"s", b"$"), word], toxicity.language_model(counts)) == [word, word]
 
 
+def test_restoration_against_all_readings(monkeypatch):
+    """Viterbi against every reading of short words: each sign as a letter that it may stand for, dropped, or drawing
+    out the letter before it.  Scores are compared, as readings may tie; the lattices are held in groups of several sizes."""
+    r = random.Random(6)
+    lm = toxicity.language_model(np.random.default_rng(3).integers(0, 60, (28, 28)))
+    words = [bytes(r.choice(b"abeiost013$!@*.-xz\xc3") for _ in range(r.randint(1, 6))) for _ in range(150)]
+
+    def readings(word, last, score, letters):
+        if not word:
+            yield score + lm[last, 0], letters
+            return
+        o = word[0]
+        for c in np.flatnonzero(toxicity.EMIT[o] > -1e8).tolist():
+            yield from readings(word[1:], c, score + lm[last, c] + toxicity.EMIT[o, c], letters + (bytes([96 + c]) if c < 27 else word[:1]))
+        drop = toxicity.DROPPED[o]
+        if last and o < 128 and toxicity.EMIT[o, last] > -1e8:
+            drop = max(drop, toxicity.EMIT[o, last] + toxicity.DRAWN)
+        if drop > -1e8:
+            yield from readings(word[1:], last, score + drop, letters)
+
+    for cells in (1 << 18, 8):
+        monkeypatch.setattr(toxicity, "CELLS", cells)
+        for w, found in zip(words, toxicity.restore(words, lm)):
+            every = {}
+            for score, letters in readings(w, 0, 0.0, b""):
+                every[letters] = max(every.get(letters, -1e18), score)
+            assert every[found] >= max(every.values()) - 1e-3, (w, found)
+
+
+def test_language_model_by_document(spark, docs):
+    """The same counts however the documents are split and sliced, and as counted one by one."""
+    some = docs.select("doc_id", "text")
+    one, many = (toxicity.letter_counts(some.repartition(k, "doc_id")) for k in (1, 7))
+    assert (one == many).all()
+    want = collections.Counter()
+    for r in some.collect():
+        raw = (r.text or "").encode()
+        runs = re.findall(rb"[A-Za-z\x80-\xff]+", raw)
+        s = [0, 0, 0] + [x for w in runs for x in [*(int(toxicity.LETTER[b]) for b in w), 0]]
+        want.update(tuple(s[k - 3 : k + 1]) for k in range(3, len(s)))
+    assert {k: int(one[k]) for k in zip(*(x.tolist() for x in np.nonzero(one)))} == dict(want)
+
+
+def test_drop_toxic_by_row(spark):
+    """Rows of a null id and of an id that repeats are judged by their own text; all columns stay."""
+    docs = [(i, f"what a lovely {w} day", "a") for i, w in enumerate(["sunny", "warm", "fine", "long"] * 40)] + [(1000 + i, f"you {w} idiot moron", "b") for i, w in enumerate(["silly", "stupid", "total", "poor"] * 40)]
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, *_ in docs], "doc_id long, toxic int").withColumn("text", F.lit("clash"))
+    more = [(None, "you total idiot moron", "x"), (None, "what a fine day", "y"), (7, "you stupid idiot moron", "z"), (8, None, "n")]
+    left = toxicity.drop_toxic(spark.createDataFrame(docs + more, "doc_id long, text string, score string"), labels, spark)
+    kept = {r.score for r in left.collect()}
+    assert left.columns == ["doc_id", "text", "score"] and {"a", "y"} <= kept and not kept & {"b", "x", "z"}
+
+
+def test_log_count_ratios():
+    """Ratios by counting."""
+    r = np.random.default_rng(5)
+    samples = [(int(y), np.unique(r.integers(0, 30, 8)).astype(np.uint64)) for y in r.integers(0, 2, 200)]
+    model = _linear.fit(samples, least=1)
+    pos, neg = ([f for y, f in samples if y == k] for k in (1, 0))
+    for key, ratio in zip(model.keys, model.ratios):
+        p, q = ((sum(key in f for f in rows) + 1) / (len(rows) + 2) for rows in (pos, neg))
+        assert np.isclose(ratio, np.log(p / q))
+
+
+def test_dual_descent_closes_the_gap():
+    """The weights' loss meets the bound that the dual gives, within a small part, and beats random weights."""
+    r = np.random.default_rng(7)
+    x = r.normal(size=(120, 10))
+    y = np.where(x[:, 0] + 0.5 * r.normal(size=120) > 0, 1.0, -1.0)
+    w, b = _linear.hinge_dual([np.arange(10)] * 120, list(x), y, 10, c=1.0, epochs=4000)
+    cost = np.where(y > 0, (y < 0).mean(), (y > 0).mean()) * 2
+    loss = lambda w, b: (w @ w + b * b) / 2 + cost @ np.maximum(0, 1 - y * (x @ w + b))
+    best = loss(w, b)
+    # Subgradient descent from there finds nothing better.
+    v, d = w.copy(), b
+    for k in range(4000):
+        hit = y * (x @ v + d) < 1
+        v -= (v - (cost * y * hit) @ x) * 0.02 / (k + 50)
+        d -= (d - (cost * y * hit).sum()) * 0.02 / (k + 50)
+        assert loss(v, d) >= best * (1 - 1e-4)
+    assert all(loss(w + 0.05 * r.normal(size=10), b) > best for _ in range(50))
+
+
+def test_fit_is_bounded(spark):
+    """Ids that repeat add no rows beyond the bound."""
+    docs = spark.createDataFrame([(i % 3, f"word{i % 2} text") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    assert quality.quality_scores(docs, labels, spark, most_rows=5).count() == 300
+
+
 @pytest.mark.parametrize("name,fn,label", [("toxic", toxicity.toxicity_scores, "toxic"), ("quality", quality.quality_scores, "quality")])
 def test_classifiers(spark, name, fn, label):
     d = "/root/testdata/sf0.01"
