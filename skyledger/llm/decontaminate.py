@@ -1,13 +1,14 @@
 """Operator 3: benchmark decontamination by suffix arrays over the training words.
 
 Each slice of documents gets a suffix array of its words (ranks of 1, 2, 4, 8, ... words by doubling; suffixes end with
-their document).  For the verdict each suffix that begins a full window is searched in it by bisection, to the window's
-length: a longer match is a row of windows, so its words are hit all the same.  ``longest_matches`` searches every suffix to
-its end; the neighbours give its longest verbatim match and where.  Documents are not shuffled.  The benchmark goes out in
-blocks of a checked size: one broadcast as a rule, and one pass for each block where it is larger.
+their document).  Each suffix of the benchmark that begins a full window is searched in it by bisection; all places that
+share the window are extended to the longest verbatim match, whose length and place are returned, and its words are hit.
+``longest_matches`` searches the other suffixes, too, and lists the longest match of each.  Documents are not shuffled.
+The benchmark goes out in blocks of a checked size: one broadcast as a rule, and one pass for each block where it is larger.
 
 Edge cases: null and empty texts have no words, hit nothing and are clean; items without words never occur; an item of
-fewer words than the window is one window; items with equal texts count each; repeated rows are judged each; an empty
+fewer words than the window is one window; items with equal texts count each; an item with a null id hits words, but has
+no name to be listed or counted; repeated rows, and rows of a null id, are judged each by their own text; an empty
 benchmark or table gives clean rows or none.
 """
 
@@ -104,7 +105,7 @@ class Items:
         data = X.lower_ascii(data)
         starts, ends, self.rows = X.words(data, at, X.ALNUM)
         self.words = X.word_hashes(data, starts, ends, 3)
-        self.ids = [str(r[0]) for r in rows]
+        self.ids = [None if r[0] is None else str(r[0]) for r in rows]
         self.item = X.row_of(self.rows)  # of each word
         self.end = np.repeat(self.rows[1:], np.diff(self.rows))
         n = np.repeat(np.diff(self.rows), np.diff(self.rows))
@@ -141,77 +142,135 @@ def _occurrences(sa: SuffixArray, items: Items) -> tuple[np.ndarray, np.ndarray]
     return (np.concatenate(at), np.concatenate(which)) if at else (np.zeros(0, np.int64),) * 2
 
 
+def _extend(sa: SuffixArray, items: Items, at: np.ndarray, q: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Words that the document suffixes at ``at`` share with the item suffixes q, of which n are known to agree."""
+    n = n.copy()
+    open_ = np.arange(len(at))
+    while len(open_):
+        x, y = at[open_] + n[open_], q[open_] + n[open_]
+        ok = (x < sa.end[at[open_]]) & (y < items.end[q[open_]])
+        open_ = open_[ok][sa.words[x[ok]] == items.words[y[ok]]]
+        n[open_] += 1
+    return n
+
+
 def _depth(window: int) -> int:
     return 1 << (window - 1).bit_length()
 
 
-def _judge(block, window: int, percent: int, last: bool):
-    """Adds a block's hits to the bits and items so far; the last pass gives the verdict."""
+STATE = ("__hit_bits", "__hit_items", "__hit_longest", "__hit_at")  # of a document, from one block to the next
+STATE_TYPES = (pa.binary(), pa.list_(pa.string()), pa.int64(), pa.int64())
+VERDICT = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_at")
+VERDICT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64())
+
+
+def _states(items: Items, window: int, texts: pa.Array, before: list[tuple]) -> list[tuple]:
+    """For each text (words, hit words as flags, names of items, length and place of the longest match), with what is
+    known before."""
+    out = []
+    for a, b, sa, rows in _slices(texts, _depth(window)):
+        gone = np.zeros(int(rows[-1]), bool)
+        met: dict[int, set] = {}
+        best: dict[int, tuple[int, int]] = {}
+        if sa is not None:
+            at, which = _occurrences(sa, items)
+            if len(at):
+                q = items.starts[which]
+                n = _extend(sa, items, at, q, items.need[q])
+                d = np.zeros(sa.n + 1, np.int64)
+                np.add.at(d, at, 1)
+                np.add.at(d, at + items.need[q], -1)
+                gone = np.cumsum(d[:-1]) > 0
+                row = np.searchsorted(rows, at, "right") - 1
+                for r, i in np.unique(np.column_stack((row, items.item[q])), axis=0).tolist():
+                    if items.ids[i] is not None:
+                        met.setdefault(r, set()).add(items.ids[i])
+                order = np.lexsort((at, -n, row))
+                r, first = np.unique(row[order], return_index=True)
+                first = order[first]
+                best = {i: (k, p) for i, k, p in zip(r.tolist(), n[first].tolist(), (at[first] - rows[row[first]]).tolist())}
+        for r in range(b - a):
+            mine = gone[rows[r] : rows[r + 1]]
+            bits, names, longest, place = before[a + r]
+            if bits:
+                mine = mine | np.unpackbits(np.frombuffer(bits, np.uint8), count=len(mine)).astype(bool)
+            known = (longest or 0, place)
+            now = best.get(r, (0, None))
+            better = max((known, now), key=lambda x: (x[0], -(x[1] or 0)))
+            out.append((len(mine), mine, sorted({*(names or ()), *met.get(r, ())}), *better))
+    return out
+
+
+def _judge(block, window: int, percent: int, text: str, last: str | None):
+    """Adds a block's hits to what is known of each row.  last: None carries it on, "verdict" gives the verdict's
+    columns after the id, "filter" keeps the rows that are clean."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: Items = block.value
         for batch in batches:
-            ids, texts, bits, names = columns(batch, "doc_id", "text", "bits", "items")
-            bits, names = bits.to_pylist(), names.to_pylist()
-            out = []
-            for a, b, sa, rows in _slices(texts, _depth(window)):
-                gone = np.zeros(int(rows[-1]), bool)
-                met: dict[int, set] = {}
-                if sa is not None:
-                    at, which = _occurrences(sa, items)
-                    if len(at):
-                        d = np.zeros(sa.n + 1, np.int64)
-                        np.add.at(d, at, 1)
-                        np.add.at(d, at + items.need[items.starts[which]], -1)
-                        gone = np.cumsum(d[:-1]) > 0
-                        row = np.searchsorted(rows, at, "right") - 1
-                        for r, i in np.unique(np.column_stack((row, items.item[items.starts[which]])), axis=0).tolist():
-                            met.setdefault(r, set()).add(items.ids[i])
-                for r in range(b - a):
-                    mine = gone[rows[r] : rows[r + 1]]
-                    if bits[a + r]:
-                        mine = mine | np.unpackbits(np.frombuffer(bits[a + r], np.uint8), count=len(mine)).astype(bool)
-                    # Items are kept with repetition across blocks only where ids repeat; a list, as ids may be equal.
-                    named = [*(names[a + r] or []), *met.get(r, ())]
-                    if not last:
-                        out.append((np.packbits(mine).tobytes(), named))
-                        continue
-                    hit, named = int(mine.sum()), sorted(set(named))
-                    out.append((len(mine), hit, len(named), hashlib.sha256(",".join(named).encode()).hexdigest(), hit > 0 and 100 * hit >= percent * len(mine)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()) if last else (pa.binary(), pa.list_(pa.string()))
-            cols = list(zip(*out)) if out else [[]] * len(kinds)
-            arrays = [pa.array(v, k) for v, k in zip(cols, kinds)]
-            if last:
-                yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), *arrays], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+            before = list(zip(*(c.to_pylist() for c in columns(batch, *STATE))))
+            found = _states(items, window, columns(batch, text)[0].cast(pa.string()), before)
+            bad = [bool(m.any()) and 100 * int(m.sum()) >= percent * n for n, m, *_ in found]
+            own = batch.select([c for c in batch.schema.names if c not in STATE])
+            if last == "filter":
+                yield own.filter(pa.array(np.logical_not(np.array(bad, bool))))
+                continue
+            if last == "verdict":
+                rows = [(n, int(m.sum()), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), x, k, p) for (n, m, names, k, p), x in zip(found, bad)]
+                own, names_, types = batch.select(["doc_id"]), VERDICT, VERDICT_TYPES
             else:
-                yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), texts.cast(pa.string()), *arrays], ["doc_id", "text", "bits", "items"])
+                rows = [(np.packbits(m).tobytes(), names, k, p) for _, m, names, k, p in found]
+                names_, types = STATE, STATE_TYPES
+            cols = list(zip(*rows)) if rows else [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([*own.columns, *(pa.array(v, t) for v, t in zip(cols, types))], [*own.schema.names, *names_])
 
     return run
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int, item_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """The items, each with the number of its block, and how many blocks there are."""
-    b = benchmark.select(F.col(item_col).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    size = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    k = max(1, -(-2 * size // block_bytes)) if size > block_bytes else 1
-    return b.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(k))), k
+def _blocks(benchmark: DataFrame, block_bytes: int, item_col: str, text_col: str) -> list[DataFrame]:
+    """The items in blocks of at most ``block_bytes`` of text, or of one longer item: parts by hash, halved until they fit."""
+    b = benchmark.select(F.col(item_col).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(item_col, text_col).alias("h"))
+    out, todo = [], [(1, 0)]
+    while todo:
+        k, i = todo.pop()
+        part = b.where(F.pmod("h", F.lit(k)) == i)
+        size, kinds = part.agg(F.sum(F.octet_length("text")), F.count_distinct("h")).first()
+        if (size or 0) <= block_bytes or kinds < 2:
+            if size is not None or not out and not todo:
+                out.append(part)
+        else:
+            todo += [(2 * k, i), (2 * k, i + k)]
+    return out
+
+
+def _items(part: DataFrame, window: int) -> Items:
+    return Items([tuple(r) for r in part.select("item", "text").collect()], window)  # of a checked size
+
+
+def _through_blocks(df: DataFrame, benchmark: DataFrame, spark: SparkSession, text: str, window: int, percent: int, item_col: str, item_text_col: str, block_bytes: int, last: str) -> DataFrame:
+    kinds = ("binary", "array<string>", "long", "long")
+    own = df.schema
+    df = df.withColumns({c: F.lit(None).cast(k) for c, k in zip(STATE, kinds)})
+    blocks = _blocks(benchmark, block_bytes, item_col, item_text_col)
+    for i, part in enumerate(blocks):
+        block = spark.sparkContext.broadcast(_items(part, window))
+        if i == len(blocks) - 1:
+            schema = own if last == "filter" else "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest long, longest_at long"
+            return df.mapInArrow(_judge(block, window, percent, text, last), schema)
+        df = stored(df.mapInArrow(_judge(block, window, percent, text, None), df.schema), spark)
+        block.unpersist()
+    raise AssertionError
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, spark: SparkSession, *, window: int = 13, percent: int = 5, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each row of docs: contaminated if words are hit
-    and they are percent of the document's words or more."""
-    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(None).cast("binary").alias("bits"), F.lit(None).cast("array<string>").alias("items"))
-    items, k = _blocks(benchmark, block_bytes, item_col, item_text_col)
-    for i in range(k):
-        block = spark.sparkContext.broadcast(Items([tuple(r) for r in items.where(F.col("block") == i).select("item", "text").collect()], window))  # of a checked size
-        if i == k - 1:
-            return df.mapInArrow(_judge(block, window, percent, True), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
-        df = stored(df.mapInArrow(_judge(block, window, percent, False), "doc_id long, text string, bits binary, items array<string>"), spark)
-        block.unpersist()
-    raise AssertionError
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest, longest_at) for each row of docs:
+    contaminated if words are hit and they are percent of the document's words or more; longest is the words of the longest
+    verbatim match (0 if none), longest_at the document's word, from 0, where the first such match begins."""
+    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _through_blocks(df, benchmark, spark, "text", window, percent, item_col, item_text_col, block_bytes, "verdict")
 
 
 def _longest(block, least: int):
@@ -242,16 +301,16 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, spark: SparkSession,
     """(item, item_word, doc_id, doc_word, n_words): for each suffix of each item and each shard of documents the longest
     verbatim match of at least ``least`` words, where it begins in the item and in a document that has it."""
 
-    items, k = _blocks(benchmark, block_bytes, "item_id", "text")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = []
-    for i in range(k):
-        block = spark.sparkContext.broadcast(Items([tuple(r) for r in items.where(F.col("block") == i).select("item", "text").collect()], least))  # of a checked size
+    for part in _blocks(benchmark, block_bytes, "item_id", "text"):
+        block = spark.sparkContext.broadcast(_items(part, least))
         found.append(docs.mapInArrow(_longest(block, least), "item string, item_word long, doc_id long, doc_word long, n_words long"))
     return reduce(DataFrame.unionAll, found)
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, spark: SparkSession, *, window: int = 13, percent: int = 5) -> DataFrame:
-    """docs without the contaminated documents (an id's rows go if one of them is contaminated)."""
-    bad = contamination(docs, benchmark, spark, window=window, percent=percent).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+def remove_contaminated(
+    docs: DataFrame, benchmark: DataFrame, spark: SparkSession, *, window: int = 13, percent: int = 5, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """docs without the rows whose text the benchmark contaminates.  No shuffle."""
+    return _through_blocks(docs, benchmark, spark, text_col, window, percent, item_col, item_text_col, block_bytes, "filter")

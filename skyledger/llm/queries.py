@@ -73,20 +73,24 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 OP3_SQL = r"""
-WITH item AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+WITH item AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 windows AS (
-  SELECT DISTINCT item_id, least(13, len(w)) AS m, array_to_string(w[k : k + least(13, len(w)) - 1], ' ') AS s
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS k FROM item WHERE len(w) > 0)),
+  SELECT item, item_id, k AS q, least(13, len(w)) AS m, array_to_string(w[k : k + least(13, len(w)) - 1], ' ') AS s
+  FROM (SELECT item, item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS k FROM item WHERE len(w) > 0)),
 doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 spot AS (
   SELECT d.doc_id, p.m, k, array_to_string(d.w[k : k + p.m - 1], ' ') AS s
   FROM doc d, (SELECT DISTINCT m FROM windows) p, unnest(range(1, len(d.w) - p.m + 2)) AS t(k)),
-hit AS (SELECT s.doc_id, s.k, s.m, x.item_id FROM spot s JOIN windows x USING (m, s)),
+hit AS (SELECT s.doc_id, s.k, s.m, x.item_id, x.item, s.k - x.q AS diagonal FROM spot s JOIN windows x USING (m, s)),
 marks AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + m)) AS p FROM hit) GROUP BY doc_id),
-named AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hit GROUP BY doc_id)
+named AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR)) FILTER (WHERE item_id IS NOT NULL)) AS items FROM hit GROUP BY doc_id),
+island AS (SELECT doc_id, m, k, item, diagonal, k - row_number() OVER (PARTITION BY doc_id, item, diagonal ORDER BY k) AS part FROM hit),
+matched AS (SELECT doc_id, count(*) + any_value(m) - 1 AS n, min(k) - 1 AS at FROM island GROUP BY doc_id, item, diagonal, part),
+best AS (SELECT doc_id, max(n) AS longest, arg_min(at, (-n, at)) AS longest_at FROM matched GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
-       sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
-FROM doc d LEFT JOIN marks USING (doc_id) LEFT JOIN named USING (doc_id)
+       sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated,
+       CAST(coalesce(longest, 0) AS BIGINT) AS longest, CAST(longest_at AS BIGINT) AS longest_at
+FROM doc d LEFT JOIN marks USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN best USING (doc_id)
 """
 
 OP7_SQL = r"""

@@ -164,32 +164,44 @@ def test_components(spark):
     assert got == {**dict.fromkeys(range(1, 31), 1), 40: 40, 50: 40, 60: 40}
 
 
-def test_decontamination(spark, docs, rows):
-    some = [t for _, t in rows if len(t.split()) > 30][:4]
-    items = [("b", " ".join(some[0].split()[3:25]).upper()), ("a", " ".join(some[1].split()[:14])), ("c", some[2].split()[5]), ("d", None), ("e", " !? "), ("a", some[3])]
-    bench = spark.createDataFrame(items, "item_id string, text string")
+def benchmark_brute(rows, items):
+    """By the contract, with the longest match and its place."""
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t or ""))
     want = {}
     for i, t in rows:
         w = words(t)
-        hit, met = [0] * len(w), set()
+        hit, met, best = [0] * len(w), set(), (0, None)
         for name, text in items:
             q = words(text)
             m = min(13, len(q))
-            for s in {tuple(q[k : k + m]) for k in range(len(q) - m + 1)} if m else ():
+            for j in range(len(q) - m + 1) if m else ():
                 for k in range(len(w) - m + 1):
-                    if tuple(w[k : k + m]) == s:
+                    if w[k : k + m] == q[j : j + m]:
+                        n = m
+                        while k + n < len(w) and j + n < len(q) and w[k + n] == q[j + n]:
+                            n += 1
                         hit[k : k + m] = [1] * m
-                        met.add(name)
+                        met |= {name} - {None}
+                        best = max(best, (n, k), key=lambda x: (x[0], -(x[1] or 0)))
         n = sum(hit)
-        want[i] = (len(w), n, len(met), hashlib.sha256(",".join(sorted(met)).encode()).hexdigest(), n > 0 and 20 * n >= len(w))
+        want[i] = (len(w), n, len(met), hashlib.sha256(",".join(sorted(met)).encode()).hexdigest(), n > 0 and 20 * n >= len(w), *best)
+    return want
+
+
+def test_decontamination(spark, docs, rows):
+    some = [t for _, t in rows if len(t.split()) > 30][:5]
+    items = [("b", " ".join(some[0].split()[3:25]).upper()), ("a", " ".join(some[1].split()[:14])), ("c", some[2].split()[5]), ("d", None), ("e", " !? "), ("a", some[3]), (None, some[4])]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    want = benchmark_brute(rows, items)
     for block in (1 << 20, 60):  # one block, and several
         got = {r[0]: tuple(r[1:]) for r in decontaminate.contamination(docs, bench, spark, block_bytes=block).collect()}
         assert got == want
-    left = decontaminate.remove_contaminated(docs, bench, spark)
-    assert sorted(r.doc_id for r in left.collect()) == sorted(i for i, v in want.items() if not v[4])
+        left = decontaminate.remove_contaminated(docs, bench, spark, block_bytes=block)
+        assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == sorted(i for i, v in want.items() if not v[4])
     assert all(r.n_words >= 13 for r in decontaminate.longest_matches(docs, bench, spark).collect())
     assert not any(r.contaminated for r in decontaminate.contamination(docs, bench.limit(0), spark).collect())
+    same = spark.createDataFrame([(None, some[3], "x"), (None, "clean words only", "y"), (1, some[3], "z"), (1, "clean", "w")], "doc_id long, text string, items string")
+    assert sorted(r["items"] for r in decontaminate.remove_contaminated(same, bench, spark).collect()) == ["w", "y"]
 
 
 def test_longest_matches_in_blocks(spark):
