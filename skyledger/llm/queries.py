@@ -72,6 +72,21 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+OP2_SQL = r"""
+WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[k : k + least(3, len(w)) - 1], ' ') AS s, least(3, len(w)) AS m FROM doc, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS t(k) WHERE len(w) > 0),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+class AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS rep FROM (SELECT g.doc_id, string_agg(s, chr(0) ORDER BY s) || m AS text FROM grams g GROUP BY g.doc_id, m)),
+one AS MATERIALIZED (SELECT g.* FROM grams g JOIN class c ON c.doc_id = g.doc_id AND c.rep = g.doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM one a JOIN one b ON a.s = b.s AND a.m = b.m AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT DISTINCT a AS node, a AS low FROM edge UNION SELECT e.b, r.low FROM reach r JOIN edge e ON e.a = r.node WHERE r.low < e.b),
+least_ AS (SELECT node, min(low) AS low FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, CAST(coalesce(l.low, c.rep, d.doc_id) AS BIGINT) AS component_id
+FROM doc d LEFT JOIN size USING (doc_id) LEFT JOIN class c USING (doc_id) LEFT JOIN least_ l ON l.node = c.rep
+"""
+
 OP3_SQL = r"""
 WITH item AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 windows AS (
@@ -85,8 +100,8 @@ hit AS (SELECT s.doc_id, s.k, s.m, x.item_id, x.item, s.k - x.q AS diagonal FROM
 marks AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + m)) AS p FROM hit) GROUP BY doc_id),
 named AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR)) FILTER (WHERE item_id IS NOT NULL)) AS items FROM hit GROUP BY doc_id),
 island AS (SELECT doc_id, m, k, item, diagonal, k - row_number() OVER (PARTITION BY doc_id, item, diagonal ORDER BY k) AS part FROM hit),
-matched AS (SELECT doc_id, count(*) + any_value(m) - 1 AS n, min(k) - 1 AS at FROM island GROUP BY doc_id, item, diagonal, part),
-best AS (SELECT doc_id, max(n) AS longest, arg_min(at, (-n, at)) AS longest_at FROM matched GROUP BY doc_id)
+matched AS (SELECT doc_id, count(*) + any_value(m) - 1 AS n, min(k) - 1 AS place FROM island GROUP BY doc_id, item, diagonal, part),
+best AS (SELECT doc_id, max(n) AS longest, arg_min(place, ROW(-n, place)) AS longest_at FROM matched GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
        sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated,
        CAST(coalesce(longest, 0) AS BIGINT) AS longest, CAST(longest_at AS BIGINT) AS longest_at
@@ -103,6 +118,20 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS
 FROM doc d LEFT JOIN gone USING (doc_id)
 """
 
+OP10_SQL = r"""
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+win AS (SELECT doc_id, k, substr(h, 2 * k + 1, 200) AS s FROM doc, unnest(range(0, n - 99)) AS t(k)),
+dup AS (SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY s ORDER BY doc_id, k) AS i FROM win) WHERE i > 1),
+step AS (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM dup),
+span AS (SELECT doc_id, k, sum(CASE WHEN before IS NULL OR k > before + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS part FROM step),
+run AS (SELECT doc_id, min(k) AS a, max(k) + 100 AS b FROM span GROUP BY doc_id, part),
+gap AS (SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM run UNION ALL SELECT doc_id, 0, min(a) FROM run GROUP BY doc_id),
+kept AS (SELECT g.doc_id, string_agg(substr(h, 2 * g.a + 1, 2 * (coalesce(g.b, n) - g.a)), '' ORDER BY g.a) AS h FROM gap g JOIN doc USING (doc_id) GROUP BY g.doc_id),
+total AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM run GROUP BY doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM doc d LEFT JOIN total USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op3_benchmark_decontamination": OP3_SQL, "op7_substring_dedup": OP7_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op2_ngram_jaccard_join": OP2_SQL, "op3_benchmark_decontamination": OP3_SQL, "op7_substring_dedup": OP7_SQL, "op10_suffix_array_dedup": OP10_SQL}
