@@ -1,22 +1,21 @@
 """Operator 6: packed token-id rows by best-fit decreasing.
 
-Documents become ids (byte-level BPE) and are packed into rows of ``length`` ids.  A document longer than a row is cut
-into whole rows and a rest, so nothing is lost.  Pieces go, longest first, to the fullest row that still has room,
-found by a segment tree over the room that rows have left.  Packing is done for each Arrow batch where its documents
-lie: no shuffle, and memory that follows the batch.
-
-Edge cases: null and empty texts have no ids and are in no row; ties keep the input's order; repeated rows are packed
-each; an empty table gives no rows; which documents share a row depends on how the input is split.
+Documents are dealt out by a hash of id and text over groups of some ``group_bytes`` of text each, whose number follows
+the whole input, so which documents share a row does not depend on how the input is split.  In a group, documents become
+ids (byte-level BPE) and are packed into rows of ``length`` ids.  A document longer than a row is cut into whole rows and a
+rest, so nothing is lost.  Pieces go, longest first, to the fullest row that still has room, found by a segment tree over
+the room that rows have left.  One group is held at a time; one shuffle.
+
+Edge cases: null and empty texts have no ids and are in no row; pieces of one size keep the order of id, then text, then
+place; repeated rows are packed each; a null id comes first and is carried as null; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,50 +73,73 @@ def best_fit_decreasing(sizes: list[int], length: int) -> list[list[int]]:
     return rows
 
 
-SCHEMA = (
-    "part int, batch int, row int, n_tokens int, doc_ids array<long>, doc_offsets array<int>, cu_seqlens array<int>, ids_sha256 string, positions_sha256 string"
-)
-BLOBS = ", ids binary, positions binary"
+SCHEMA = "bin int, row int, n_tokens int, doc_ids array<long>, doc_offsets array<int>, cu_seqlens array<int>, ids binary, positions binary"
+TYPES = (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+NAMES = tuple(x.split()[0] for x in SCHEMA.split(", "))
+GROUP_BYTES = 16 << 20
+OUT_ROWS = 512  # packed rows in one Arrow batch
+
+
+def _rows(group: int, docs: list, pieces: list[tuple[int, int, np.ndarray]], length: int, pad: int) -> Iterator[pa.RecordBatch]:
+    """The packed rows of a group: id and position rows as little-endian 32-bit integers."""
+    out = []
+    for row, items in enumerate(best_fit_decreasing([len(p[2]) for p in pieces], length)):
+        mine = [pieces[i] for i in items]
+        cu = np.concatenate(([0], np.cumsum([len(p[2]) for p in mine])))
+        full = np.full(length, pad, "<u4")
+        full[: cu[-1]] = np.concatenate([p[2] for p in mine])
+        # Positions begin anew with each piece, and with the padding.
+        marks = np.concatenate((cu, [length])) if cu[-1] < length else cu
+        positions = (np.arange(length) - np.repeat(marks[:-1], np.diff(marks))).astype("<i4")
+        out.append((group, row, int(cu[-1]), [docs[p[0]] for p in mine], [p[1] for p in mine], cu.tolist(), full.tobytes(), positions.tobytes()))
+        if len(out) == OUT_ROWS:
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out), TYPES)], NAMES)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out), TYPES)], NAMES)
+
 
+def _pack(path: str, length: int, pad: int):
+    """For mapInArrow over rows sorted by group, id and text."""
 
-def _pack(path: str, length: int, pad: int, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, part = codec(path), TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
-            doc, texts = columns(batch, "doc_id", "text")
-            doc = doc.to_pylist()
-            pieces: list[tuple[int, int, np.ndarray]] = []
-            for first, ids, rows in c.encode(texts):
-                ids = ids.astype("<u4")
-                for i, (lo, hi) in enumerate(zip(rows[:-1].tolist(), rows[1:].tolist())):
-                    pieces += [(first + i, k - lo, ids[k : min(k + length, hi)]) for k in range(lo, hi, length)]
-            out = []
-            for row, items in enumerate(best_fit_decreasing([len(p[2]) for p in pieces], length)):
-                mine = [pieces[i] for i in items]
-                cu = np.concatenate(([0], np.cumsum([len(p[2]) for p in mine])))
-                full = np.full(length, pad, "<u4")
-                full[: cu[-1]] = np.concatenate([p[2] for p in mine])
-                # Positions begin anew with each piece, and with the padding.
-                marks = np.concatenate((cu, [length])) if cu[-1] < length else cu
-                positions = (np.arange(length) - np.repeat(marks[:-1], np.diff(marks))).astype("<i4")
-                a, b = full.tobytes(), positions.tobytes()
-                out.append((part, number, row, int(cu[-1]), [doc[p[0]] for p in mine], [p[1] for p in mine], cu.tolist(), hashlib.sha256(a).hexdigest(), hashlib.sha256(b).hexdigest(), a if keep else None, b if keep else None))
-            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string(), pa.string(), pa.binary(), pa.binary())
-            cols = list(zip(*out)) if out else [[]] * len(kinds)
-            arrays = [pa.array(v, k) for v, k in zip(cols, kinds)]
-            names = ["part", "batch", "row", "n_tokens", "doc_ids", "doc_offsets", "cu_seqlens", "ids_sha256", "positions_sha256", "ids", "positions"]
-            yield pa.RecordBatch.from_arrays(arrays if keep else arrays[:-2], names if keep else names[:-2])
+        c, now, docs, pieces = codec(path), None, [], []
+        for batch in batches:
+            group, doc, texts = columns(batch, "group", "doc_id", "text")
+            group, doc = group.to_numpy(), doc.to_pylist()
+            cut = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
+            for lo, hi in zip(cut, cut[1:]):
+                if lo == hi:
+                    continue
+                if group[lo] != now:
+                    yield from _rows(now, docs, pieces, length, pad)
+                    now, docs, pieces = int(group[lo]), [], []
+                for first, ids, rows in c.encode(texts.slice(lo, hi - lo)):
+                    ids = ids.astype("<u4")
+                    for i, (a, b) in enumerate(zip(rows[:-1].tolist(), rows[1:].tolist())):
+                        pieces += [(len(docs) + first + i, k - a, ids[k : min(k + length, b)]) for k in range(a, b, length)]
+                docs += doc[lo:hi]
+        yield from _rows(now, docs, pieces, length, pad)
 
     return run
 
 
-def pack_tokens(docs: DataFrame, path: str, *, length: int = 2048, pad: int = 50256, id_col: str = "doc_id", text_col: str = "text", keep: bool = True) -> DataFrame:
+def pack_tokens(
+    docs: DataFrame, path: str, *, length: int = 2048, pad: int = 50256, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = GROUP_BYTES
+) -> DataFrame:
     """One row per packed row: its documents, where each piece begins in its document (in ids) and in the row
-    (cumulative lengths), and the id and position rows with their SHA-256."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return docs.mapInArrow(_pack(path, length, pad, keep), SCHEMA + BLOBS * keep)
+    (cumulative lengths), and the id and position rows."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text <> ''")
+    groups = -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 1) // group_bytes)
+    rows = docs.withColumn("group", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"))
+    return rows.repartition("group").sortWithinPartitions("group", "doc_id", "text").mapInArrow(_pack(path, length, pad), SCHEMA)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
-    """The packed rows as Parquet with binary id and position rows."""
+    """The packed rows as Parquet: matrices of ids and positions as binary rows, with their cumulative lengths."""
     packed.write.mode("overwrite").parquet(path)
+
+
+def digests(packed: DataFrame) -> DataFrame:
+    """The packed rows with the SHA-256 of their ids and positions in place of these."""
+    return packed.select(*NAMES[:-2], *(F.sha2(c, 256).alias(f"{c}_sha256") for c in NAMES[-2:]))

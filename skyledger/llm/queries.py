@@ -39,7 +39,7 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_tokens(table(ship(spark), sf_dir, "documents"), vocabulary(), keep=False)
+    return packing.digests(packing.pack_tokens(table(ship(spark), sf_dir, "documents"), vocabulary()))
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

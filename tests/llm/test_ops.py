@@ -326,21 +326,64 @@ def test_bpe_query_columns(docs, rows, library):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256, r.decoded) == (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(t.encode()).hexdigest(), t)
 
 
-def test_packing(docs, rows, library):
-    got = packing.pack_tokens(docs, queries.vocabulary(), length=64).collect()
+@pytest.mark.parametrize("group_bytes", [1 << 24, 20_000])
+def test_packing(docs, rows, library, tmp_path, group_bytes):
+    packed = packing.pack_tokens(docs, queries.vocabulary(), length=64, group_bytes=group_bytes)
+    packing.write_packed(packed, str(tmp_path / "packed"))
+    got = docs.sparkSession.read.parquet(str(tmp_path / "packed")).collect()
     back = collections.defaultdict(list)
+    bins = collections.defaultdict(dict)
     for r in got:
         ids, pos = np.frombuffer(r.ids, "<u4"), np.frombuffer(r.positions, "<i4")
         assert len(ids) == 64 and r.cu_seqlens[-1] == r.n_tokens <= 64 and (ids[r.n_tokens :] == 50256).all()
         for d, o, a, b in zip(r.doc_ids, r.doc_offsets, r.cu_seqlens, r.cu_seqlens[1:]):
             back[d].append((o, ids[a:b].tolist()))
             assert pos[a:b].tolist() == list(range(b - a))
+        assert pos[r.n_tokens :].tolist() == list(range(64 - r.n_tokens))
+        bins[r.bin][r.row] = [(d, o, b - a) for d, o, a, b in zip(r.doc_ids, r.doc_offsets, r.cu_seqlens, r.cu_seqlens[1:])]
     for i, t in rows:
         assert [x for _, p in sorted(back[i]) for x in p] == library.encode_ordinary(t)
-    sizes = [random.Random(k).randint(1, 64) for k in range(500)]
+    for packed_rows in bins.values():  # the same rows as by a plain scan of the group's pieces
+        pieces = sorted((p for r in packed_rows.values() for p in r), key=lambda p: (p[0], p[1]))
+        assert [[pieces[i] for i in b] for b in best_fit_by_scan([p[2] for p in pieces], 64)] == [packed_rows[k] for k in range(len(packed_rows))]
+    again = packing.digests(packing.pack_tokens(docs.repartition(2), queries.vocabulary(), length=64, group_bytes=group_bytes)).collect()
+    assert sorted(map(tuple, packing.digests(packed).collect())) == sorted(map(tuple, again))
+
+
+def best_fit_by_scan(sizes, length):
+    """Best fit decreasing by looking at all rows: of the fullest with room, the one that came to its room last."""
+    rows, room, came = [], [], []
+    for step, i in enumerate(sorted(range(len(sizes)), key=lambda i: -sizes[i])):
+        fit = [r for r in range(len(rows)) if room[r] >= sizes[i] and room[r]]
+        if fit:
+            r = min(fit, key=lambda r: (room[r], -came[r]))
+        else:
+            r = len(rows)
+            rows.append([])
+            room.append(length)
+            came.append(step)
+        rows[r].append(i)
+        room[r] -= sizes[i]
+        came[r] = step
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_best_fit_decreasing(seed):
+    r = random.Random(seed)
+    sizes = [r.randint(1, r.choice([5, 64])) for _ in range(500)]
     bins = packing.best_fit_decreasing(sizes, 64)
+    assert bins == best_fit_by_scan(sizes, 64)
     assert sorted(i for b in bins for i in b) == list(range(500)) and max(sum(sizes[i] for i in b) for b in bins) <= 64
-    assert len(bins) <= 1.1 * -(-sum(sizes) // 64)
+    assert packing.best_fit_decreasing([], 64) == []
+
+
+def test_packing_odd_rows(spark, library):
+    """Null ids, null and empty texts, repeated rows and a clashing column."""
+    df = spark.createDataFrame([(None, "one two", 1), (1, None, 2), (2, "", 3), (3, "three", 4), (3, "three", 5), (3, "four five six", 6)], "doc_id long, text string, `group` int")
+    got = packing.pack_tokens(df, queries.vocabulary(), length=16).collect()
+    found = sorted(((str(d), np.frombuffer(r.ids, "<u4")[a:b].tolist()) for r in got for d, a, b in zip(r.doc_ids, r.cu_seqlens, r.cu_seqlens[1:])), key=str)
+    assert found == sorted(((str(i), library.encode_ordinary(t)) for i, t, _ in map(tuple, df.where("text <> ''").collect())), key=str)
 
 
 PAGE = """<html><head><title>t</title><script>var a = "<p>no</p>";</script></head><body><header class="site"><a href=/>Home</a> Name</header><nav><ul><li><a>x</a></ul></nav>
