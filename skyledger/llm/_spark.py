@@ -34,11 +34,34 @@ ID_SHARE = 8  # tables of ids are small beside the texts: so many shuffle partit
 def stored(df: DataFrame, spark: SparkSession, *, ids: bool = False) -> DataFrame:
     """df written as a table in the shared folder and read again: it survives lost executors and is computed once.
     ids: rows of a few numbers, in fewer files."""
-    path = f"{shared_dir(spark)}/skyledger-{uuid.uuid4().hex}"
-    if ids:
-        df = df.coalesce(max(8, shuffle_partitions(spark) // ID_SHARE))
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return Scratch(spark).stored(df, ids=ids)
+
+
+class Scratch:
+    """The stored tables of one operator; those that its result does not read are deleted at the end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._tables = spark, []
+
+    def stored(self, df: DataFrame, *, ids: bool = False) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/skyledger-{uuid.uuid4().hex}"
+        if ids:
+            df = df.coalesce(max(8, shuffle_partitions(self.spark) // ID_SHARE))
+        df.write.parquet(path)
+        out = self.spark.read.parquet(path)
+        self._tables.append((path, out))
+        return out
+
+    def close(self, *kept: DataFrame) -> None:
+        for path, df in self._tables:
+            if not any(df is k for k in kept):
+                delete(self.spark, path)
+        self._tables = [(p, d) for p, d in self._tables if any(d is k for k in kept)]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def crc_mod(doc_id: Column, m: int) -> Column:

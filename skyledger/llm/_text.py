@@ -177,6 +177,21 @@ def covered(starts: np.ndarray, n: int, total: int) -> np.ndarray:
     return np.cumsum(d[:-1]) > 0
 
 
+def equal_stretches(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a:a+size] and data[b:b+size] agree, for arrays of places and sizes of one byte at least."""
+    out = np.zeros(len(a), bool)
+    cut = np.concatenate(([0], np.cumsum(size)))
+    lo = 0
+    while lo < len(a):  # some four MB at a time
+        hi = max(int(np.searchsorted(cut, cut[lo] + (1 << 22), "right")) - 1, lo + 1)
+        at = cut[lo:hi] - cut[lo]
+        step = np.arange(cut[hi] - cut[lo]) - np.repeat(at, size[lo:hi])
+        same = data[np.repeat(a[lo:hi], size[lo:hi]) + step] == data[np.repeat(b[lo:hi], size[lo:hi]) + step]
+        out[lo:hi] = np.logical_and.reduceat(same, at)
+        lo = hi
+    return out
+
+
 def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A stable order that sorts keys, and n+1 offsets of the runs of equal keys in it."""
     order = np.argsort(keys, kind="stable")

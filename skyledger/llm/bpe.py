@@ -301,13 +301,26 @@ class Codec:
             starts = pretokens(part, rows)
             ends = np.concatenate((starts[1:], [len(part)])) if len(starts) else starts
             h = X.word_hashes(part, starts, ends, 8)
-            _, one, which = np.unique(h, return_index=True, return_inverse=True)
+            one, which = self._distinct(part, starts, ends - starts, h)
             ids, cut = self.machine.encode_all(part, starts[one], (ends - starts)[one])
             if self.odd:
                 ids, cut = self._fix(part, starts[one], (ends - starts)[one], ids, cut)
             ids, cut = take_lists(ids, cut, which)
             yield a, ids, cut[np.searchsorted(starts, rows)]
 
+    @staticmethod
+    def _distinct(part: np.ndarray, starts: np.ndarray, size: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One pretoken of each text, and which of them each is: by hash, and by the bytes where a hash is shared."""
+        _, one, which = np.unique(h, return_index=True, return_inverse=True)
+        same = size == size[one[which]]
+        at = np.flatnonzero(same & (size > 0))
+        same[at] = X.equal_stretches(part, starts[at], starts[one[which[at]]], size[at])
+        if not same.all():
+            number: dict[bytes, int] = {}
+            which = np.array([number.setdefault(part[a : a + n].tobytes(), len(number)) for a, n in zip(starts.tolist(), size.tolist())], np.int64)
+            one = np.unique(which, return_index=True)[1]
+        return one, which
+
     def _fix(self, part, starts, lengths, ids, cut):
         pieces = [part[s : s + n].tobytes() for s, n in zip(starts.tolist(), lengths.tolist())]
         lists = [[self.odd[p]] if p in self.odd else ids[cut[i] : cut[i + 1]].tolist() for i, p in enumerate(pieces)]

@@ -158,7 +158,7 @@ def _depth(window: int) -> int:
     return 1 << (window - 1).bit_length()
 
 
-STATE = ("__hit_bits", "__hit_items", "__hit_longest", "__hit_at")  # of a document, from one block to the next
+STATE = ("hit_bits", "hit_items", "hit_longest", "hit_at")  # of a document, from one block to the next
 STATE_TYPES = (pa.binary(), pa.list_(pa.string()), pa.int64(), pa.int64())
 VERDICT = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "longest_at")
 VERDICT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64())
@@ -201,17 +201,17 @@ def _states(items: Items, window: int, texts: pa.Array, before: list[tuple]) ->
     return out
 
 
-def _judge(block, window: int, percent: int, text: str, last: str | None):
-    """Adds a block's hits to what is known of each row.  last: None carries it on, "verdict" gives the verdict's
+def _judge(block, window: int, percent: int, text: str, state: list[str], last: str | None):
+    """Adds a block's hits to what is known of each row, in the columns ``state``.  last: None carries it on, "verdict" gives the verdict's
     columns after the id, "filter" keeps the rows that are clean."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: Items = block.value
         for batch in batches:
-            before = list(zip(*(c.to_pylist() for c in columns(batch, *STATE))))
+            before = list(zip(*(c.to_pylist() for c in columns(batch, *state))))
             found = _states(items, window, columns(batch, text)[0].cast(pa.string()), before)
             bad = [bool(m.any()) and 100 * int(m.sum()) >= percent * n for n, m, *_ in found]
-            own = batch.select([c for c in batch.schema.names if c not in STATE])
+            own = batch.select([c for c in batch.schema.names if c not in state])
             if last == "filter":
                 yield own.filter(pa.array(np.logical_not(np.array(bad, bool))))
                 continue
@@ -220,7 +220,7 @@ def _judge(block, window: int, percent: int, text: str, last: str | None):
                 own, names_, types = batch.select(["doc_id"]), VERDICT, VERDICT_TYPES
             else:
                 rows = [(np.packbits(m).tobytes(), names, k, p) for _, m, names, k, p in found]
-                names_, types = STATE, STATE_TYPES
+                names_, types = state, STATE_TYPES
             cols = list(zip(*rows)) if rows else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([*own.columns, *(pa.array(v, t) for v, t in zip(cols, types))], [*own.schema.names, *names_])
 
@@ -250,14 +250,17 @@ def _items(part: DataFrame, window: int) -> Items:
 def _through_blocks(df: DataFrame, benchmark: DataFrame, spark: SparkSession, text: str, window: int, percent: int, item_col: str, item_text_col: str, block_bytes: int, last: str) -> DataFrame:
     kinds = ("binary", "array<string>", "long", "long")
     own = df.schema
-    df = df.withColumns({c: F.lit(None).cast(k) for c, k in zip(STATE, kinds)})
+    taken = {c.lower() for c in df.columns}
+    mark = next(m for n in range(len(taken) + 1) if not taken & {f"{c}{(m := '_' * n)}" for c in STATE})
+    state = [f"{c}{mark}" for c in STATE]  # names that the table does not have
+    df = df.withColumns({c: F.lit(None).cast(k) for c, k in zip(state, kinds)})
     blocks = _blocks(benchmark, block_bytes, item_col, item_text_col)
     for i, part in enumerate(blocks):
         block = spark.sparkContext.broadcast(_items(part, window))
         if i == len(blocks) - 1:
             schema = own if last == "filter" else "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest long, longest_at long"
-            return df.mapInArrow(_judge(block, window, percent, text, last), schema)
-        df = stored(df.mapInArrow(_judge(block, window, percent, text, None), df.schema), spark)
+            return df.mapInArrow(_judge(block, window, percent, text, state, last), schema)
+        df = stored(df.mapInArrow(_judge(block, window, percent, text, state, None), df.schema), spark)
         block.unpersist()
     raise AssertionError
 

@@ -20,7 +20,9 @@ more for each batch at most.
 
 Tokens are 64-bit hashes of the words' bytes; a class is known by a 64-bit sum and its size.  Edge cases: null and
 empty texts have no shingles and link with nothing; texts of fewer words than the shingle form one shingle; rows
-that repeat an id are one document (their texts should agree); an empty table gives an empty result.
+that repeat an id are one document: linked if one of its texts is, though each row shows the component of its own text
+and a tile holds one of its sets; a null id takes the component of equal texts and links no others; an empty table gives
+an empty result; further columns do not matter.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import _text as X
-from skyledger.llm._spark import columns, shuffle_partitions, stored
+from skyledger.llm._spark import Scratch, columns, shuffle_partitions
 from skyledger.llm.components import connected_components
 
 U64 = X.U64
@@ -356,8 +358,10 @@ def _sift(pct: int):
             n = np.array([r[3][0] for r in rows], np.int64)
             ok = _candidates(n, [[r[3][1][k] for r in rows] for k in range(len(ORDERS))], apart, pct)
             kept = [rows[i] for i in np.flatnonzero(ok.any(0))]
-            if key[2] == key[3] and 0 < len(kept) <= FEW:  # named by its least id, a pair of several groups is sent once
-                out += [(min(r[0] for r in kept), -1, 0, 0, a, 0, c) for a, _, c, _ in kept]
+            if key[2] == key[3] and 0 < len(kept) <= FEW:  # named by its ids: the same few sets of several groups are sent once
+                ids = np.sort(np.array([r[0] for r in kept], np.int64))
+                name = -1 - int(X.gram_hashes(ids.view(U64), len(ids), seed=13)[0] >> U64(1))
+                out += [(int(ids[0]), name, 0, 0, a, 0, c) for a, _, c, _ in kept]
             else:
                 out += [(*key, *r[:3]) for r in kept]
             if len(out) > MOST_SETS:
@@ -399,19 +403,21 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
     logs, level = _token_order(docs, size, ORDER_CELLS), _level(most_classes)
     order = spark.sparkContext.broadcast(logs)
 
-    described = stored(docs.mapInArrow(_describe(size, pct), "doc_id long, n long, fp long, signature binary"), spark)
-    classes = stored(described.where("n > 0").groupBy("n", "fp").agg(F.min("doc_id").alias("id")), spark, ids=True)
+    scratch = Scratch(spark)
+    stored = scratch.stored
+    described = stored(docs.mapInArrow(_describe(size, pct), "doc_id long, n long, fp long, signature binary"))
+    classes = stored(described.where("n > 0").groupBy("n", "fp").agg(F.min("doc_id").alias("id")), ids=True)
     members = docs.select("text").mapInArrow(_emit(size, pct, order, level, buckets), "bucket int, token binary, fp binary, n binary")
     members = members.repartition("bucket").mapInArrow(_buckets(pct), "fp long, n long, pfp long, pn long")
     if logs.max() > level:
         members = members.union(_hot_groups(docs, size, pct, order, level))
-    members = stored(members.distinct(), spark)
+    members = stored(members.distinct())
 
     groups = members.groupBy("pfp", "pn").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("tokens")).where("k > 1")
     parts = F.ceil(F.greatest(F.col("k") / MOST_SETS, F.col("tokens") / MOST_TOKENS)).cast("int")
-    groups = stored(groups.select("pfp", "pn", parts.alias("parts")), spark, ids=True)  # so that the join can split a large group
+    groups = stored(groups.select("pfp", "pn", parts.alias("parts")), ids=True)  # so that the join can split a large group
     rows = members.join(groups, ["pfp", "pn"]).join(classes.withColumnRenamed("id", "a"), ["fp", "n"])
-    rows = stored(rows.select("a", "n", "pfp", "pn", "parts", F.pmod(F.xxhash64("fp", F.lit(5)), "parts").cast("int").alias("part")), spark, ids=True)
+    rows = stored(rows.select("a", "n", "pfp", "pn", "parts", F.pmod(F.xxhash64("fp", F.lit(5)), "parts").cast("int").alias("part")), ids=True)
 
     def search(named: DataFrame) -> DataFrame:
         """Links (a, b) of rows (a, n, pfp, pn, x, y, part, c).  The orders B and C sift by signature first, so that texts
@@ -419,26 +425,28 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
         key = ["pfp", "pn", "x", "y"]
         signed = named.hint("merge").join(described.select(F.col("doc_id").alias("a"), "signature"), "a").select(*_TILE.names, "n", "signature")
         kinds = "pfp long, pn long, x int, y int, a long, part int, c long"
-        sifted = stored(signed.repartition(*key).sortWithinPartitions(*key).mapInArrow(_sift(pct), kinds).distinct(), spark)
+        sifted = stored(signed.repartition(*key).sortWithinPartitions(*key).mapInArrow(_sift(pct), kinds).distinct())
         full = sifted.hint("merge").join(docs.select(F.col("doc_id").alias("a"), "text"), "a").select(*_TILE.names, "text")
-        return stored(full.repartition(*key).sortWithinPartitions(*key).mapInArrow(_search(size, pct), "a long, b long"), spark)
+        return stored(full.repartition(*key).sortWithinPartitions(*key).mapInArrow(_search(size, pct), "a long, b long"))
 
     links = search(rows.withColumn("x", F.col("part")).withColumn("y", F.col("part")).withColumn("c", F.col("a")))
     component = connected_components(links, spark)
     split = rows.where("parts > 1").join(component.withColumnRenamed("node", "a"), "a", "left").withColumn("c", F.coalesce("component", "a"))
     mixed = split.groupBy("pfp", "pn").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("pfp", "pn")
-    split = stored(split.join(mixed, ["pfp", "pn"]).drop("component"), spark, ids=True)
+    split = stored(split.join(mixed, ["pfp", "pn"]).drop("component"), ids=True)
     if not split.isEmpty():
         other = split.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("o <> part")
         links = links.union(search(other.withColumn("x", F.least("o", "part")).withColumn("y", F.greatest("o", "part"))))
         component = connected_components(links, spark)
 
+    scratch.close(described, classes)
     named = classes.join(component.select(F.col("node").alias("id"), "component"), "id", "left").select("n", "fp", F.coalesce("component", "id").alias("component_id"))
     return described.join(named, ["n", "fp"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, spark: SparkSession, *, pct: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the near copies: of each component the smallest id stays, with all its columns."""
+    """docs without the near copies: of each component the smallest id stays, with all its columns.  An id's rows go if a
+    component with a smaller id holds one of them; rows of a null id stay."""
     found = jaccard_components(docs, spark, pct=pct, size=size, id_col=id_col, text_col=text_col)
     dropped = found.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(dropped, id_col, "left_anti")

@@ -93,21 +93,6 @@ def _runs(window: int, shared, buckets: int):
     return run
 
 
-def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Whether data[a:a+size] and data[b:b+size] agree, for arrays of places and sizes of one byte at least."""
-    out = np.zeros(len(a), bool)
-    cut = np.concatenate(([0], np.cumsum(size)))
-    lo = 0
-    while lo < len(a):  # some four MB at a time
-        hi = max(int(np.searchsorted(cut, cut[lo] + (1 << 22), "right")) - 1, lo + 1)
-        at = cut[lo:hi] - cut[lo]
-        step = np.arange(cut[hi] - cut[lo]) - np.repeat(at, size[lo:hi])
-        same = data[np.repeat(a[lo:hi], size[lo:hi]) + step] == data[np.repeat(b[lo:hi], size[lo:hi]) + step]
-        out[lo:hi] = np.logical_and.reduceat(same, at)
-        lo = hi
-    return out
-
-
 def _hash_windows(words: np.ndarray, window: int) -> np.ndarray:
     return X.gram_hashes(words, window, seed=71)
 
@@ -136,7 +121,7 @@ def _windows(window: int, hash_of: Callable[[np.ndarray, int], np.ndarray]):
         same = np.zeros(len(h), bool)
         same[1:] = (h[1:] == h[:-1]) & (size[1:] == size[:-1])
         tied = np.flatnonzero(same)
-        good = _equal(data, begin[tied], begin[tied - 1], size[tied])
+        good = X.equal_stretches(data, begin[tied], begin[tied - 1], size[tied])
         if not good.all():  # different windows share a hash: those hashes are settled by their bytes alone
             clash = np.flatnonzero(np.isin(h, h[tied[~good]]))
             raw, number = data.tobytes(), {}
