@@ -89,7 +89,7 @@ def main(argv: list[str] | None = None) -> int:
         from skyledger import schema
 
         wide = read(a.rows)
-        save(schema.conform(readers.to_long(wide, schema.QC_COLUMNS[a.source].split()), schema.HOURLY_LONG))
+        save(schema.conform(readers.to_long(wide, list(schema.QC_COLUMNS[a.source])), schema.HOURLY_LONG))
     elif a.command == "build-daily":
         save(daily.aggregate_daily_wide(daily.drop_failed(por.in_dates(read(a.rows), "datetime_utc", a.start, a.end)), source=None if a.source == "all" else a.source))
     elif a.command == "build-station-por":

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EARTH_M = 6_371_000.0
 
@@ -13,7 +14,7 @@ EARTH_M = 6_371_000.0
 def num(c: Column | str) -> Column:
     """A number or null: unreadable text and NaN become null."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.nullif(c.cast("string").try_cast("double"), F.lit(float("nan")))
+    return F.nullif(c.try_cast("double"), F.lit(float("nan")))
 
 
 def or_null(c: Column, *missing: float) -> Column:
@@ -136,5 +137,19 @@ def to_utc(local: Column, offset: Column) -> Column:
     return local - F.make_dt_interval(F.lit(0), F.lit(0), offset.cast("int"), F.lit(0))
 
 
+def ensure_utc(df: DataFrame, *names: str) -> DataFrame:
+    """df, if the named columns are instants; ValueError for a time without a zone."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    for n in names:
+        if not isinstance(kinds[n], T.TimestampType):
+            raise ValueError(f"{n} is {kinds[n].simpleString()}: a time without a zone is not accepted, attach UTC first")
+    return df
+
+
+def attach_utc(df: DataFrame, *names: str) -> DataFrame:
+    """df with times without a zone taken as UTC, which is the zone of our sessions."""
+    return df.withColumns({n: F.col(n).cast("timestamp") for n in names})
+
+
 def utc_date(ts: Column) -> Column:
     return F.to_date(ts)

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 # Canonical unit of each variable.
 CANONICAL = {
-    **dict.fromkeys("tair tmax tmin tmean td tw sst".split(), "degC"), "rh": "percent", **dict.fromkeys("wind u v u2 wind_gust".split(), "m/s"), "wind_dir": "degree",
-    **dict.fromkeys("slp psfc".split(), "Pa"), "prcp": "mm", "rsds": "MJ/m2/day", "rsds_hourly": "W/m2", "ea": "kPa",
+    "tair": "degC", "tmin": "degC", "tmax": "degC", "tmean": "degC", "td": "degC",
+    "rh": "percent", "ea": "kPa", "vpd": "kPa", "q": "kg kg-1",
+    "u": "m s-1", "v": "m s-1", "wind": "m s-1", "u2": "m s-1", "wind_dir": "deg",
+    "psfc": "Pa", "slp": "Pa", "rsds_hourly": "W m-2", "rsds": "MJ m-2 day-1", "prcp": "mm",
 }
+# Further variables of our own readers.
+CANONICAL |= {"tw": "degC", "sst": "degC", "wind_gust": "m s-1"}
 
 
 def linear(scale: float, shift: float = 0.0) -> Callable[[Column], Column]:

@@ -18,10 +18,16 @@ def monthly_factors(obs: DataFrame, baseline: DataFrame, *, variable: str, keys:
     return both.groupBy(*keys, F.month(date).alias("month")).agg(factor.alias("factor"), F.count(F.lit(1)).alias("n"))
 
 
+def paired(a: DataFrame, b: DataFrame, keys: list[str], variables: list[str], left: str, right: str) -> DataFrame:
+    """(keys, variable, left, right) of the cells that both tables have: joined wide on the keys, then made long."""
+    x, y = (t.select(*keys, *(F.col(v).cast("double").alias(f"__{n}_{v}") for v in variables)) for t, n in ((a, "a"), (b, "b")))
+    cells = F.array(*(F.struct(F.lit(v).alias("variable"), F.col(f"__a_{v}").alias(left), F.col(f"__b_{v}").alias(right)) for v in variables))
+    return x.join(y, keys).select(*keys, F.inline(cells)).where(F.col(left).isNotNull() & F.col(right).isNotNull())
+
+
 def correction_comparison(raw: DataFrame, fixed: DataFrame, *, keys: list[str], variables: list[str], most_rsds: float = 100.0) -> DataFrame:
     """(variable, n, mean_raw, mean_fixed, bias, mae, corr) over rows in both tables; radiation beyond the cap is left out."""
-    long = lambda df, name: df.select(*keys, *variables).unpivot(keys, variables, "variable", name)
-    both = long(raw, "raw").join(long(fixed, "fixed"), [*keys, "variable"]).where("raw is not null and fixed is not null")
+    both = paired(raw, fixed, keys, variables, "raw", "fixed")
     both = both.where((F.col("variable") != "rsds") | ((F.abs("raw") <= most_rsds) & (F.abs("fixed") <= most_rsds)))
     d = F.col("fixed") - F.col("raw")
     return both.groupBy("variable").agg(

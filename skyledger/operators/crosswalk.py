@@ -23,7 +23,7 @@ def station_index(rows: DataFrame, *, ts: str = "datetime_utc") -> DataFrame:
 def build_station_index(tables: dict[str, DataFrame], *, exclude: tuple[str, ...] = ("isd",)) -> DataFrame:
     parts = [station_index(df if "source" in df.columns else df.withColumn("source", F.lit(s)), ts="datetime_utc" if "datetime_utc" in df.columns else "date") for s, df in tables.items() if s not in exclude]
     parts = [p.withColumns({"por_start": F.col("por_start").cast("timestamp"), "por_end": F.col("por_end").cast("timestamp")}) for p in parts]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).orderBy("source", "source_station_id")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def cell(c: Column, degrees: float) -> Column:
@@ -71,7 +71,7 @@ def build_crosswalk(index: DataFrame, *, degrees: float = 0.02, most_m: float =
         "match_method": F.when(hit, "proximity").otherwise("none"),
     }).drop("rid")
     cols = ["source_station_key", "source", "source_station_id", "lat", "lon", "elev_m", "canonical_station_id", "confidence", "match_method", "distance_m"]
-    return exact.select(cols).unionByName(rest.select(cols)).orderBy("canonical_station_id", "source")
+    return exact.select(cols).unionByName(rest.select(cols))
 
 
 def candidate_pairs(crosswalk: DataFrame, overlap: DataFrame, *, most_m: float, most_elev: float, least_days: int, limit: int | None = None) -> DataFrame:

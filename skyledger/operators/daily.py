@@ -9,7 +9,7 @@ from skyledger import schema
 from skyledger.functions import columns as C
 
 # How each variable is aggregated.
-AGG_MAP = {**dict.fromkeys("tair td rh wind slp psfc swe snow_depth".split(), "mean"), "prcp": "sum", "wind_dir": "circular_mean"}
+AGG_MAP = {"tair": "mean", "td": "mean", "rh": "mean", "wind": "mean", "slp": "mean", "psfc": "mean", "swe": "mean", "snow_depth": "mean", "prcp": "sum", "wind_dir": "circular_mean"}
 DERIVED = {"tmax": "tair", "tmin": "tair", "tmean": "tair", "rhmax": "rh", "rhmin": "rh", "rsds": "rsds_hourly"}
 AGGREGATABLE = [*AGG_MAP, "rsds_hourly"]
 
@@ -28,23 +28,12 @@ def drop_failed(df: DataFrame) -> DataFrame:
 
 
 def coverage(ts: Column, required: Column | int) -> dict[str, Column]:
-    """Row count and the coverage string of a group: n, enough hours, mornings and afternoons covered."""
-    hour = F.hour(ts)
+    """Row count and the coverage string of a group: n, enough hours, mornings and afternoons covered.  Hours are bits of
+    a mask, so the aggregate merges on the map side in one pass, and streams, which know no distinct counts, can use it."""
+    mask = F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour(ts)))
+    bits = lambda lo, hi: F.bit_count(mask.bitwiseAND(F.lit(sum(1 << h for h in range(lo, hi + 1)))))
     required = F.lit(required) if isinstance(required, int) else required
     yes = lambda c: F.when(c, "Y").otherwise("N")
-    hours = F.count_distinct(hour)
-    half = lambda lo, hi: F.count_distinct(F.when(hour.between(lo, hi), hour)) >= 4
-    return {
-        "obs_count": F.count(F.lit(1)).cast("int"),
-        "coverage_flags": F.concat(F.lit("n="), F.count(F.lit(1)).cast("string"), F.lit(",thresh="), yes(hours >= required), F.lit(",am="), yes(half(6, 11)), F.lit(",pm="), yes(half(12, 17))),
-    }
-
-
-def hour_mask_coverage(ts: str, required: int) -> dict[str, Column]:
-    """The same by a 24-bit mask of hours, for streams, which know no count(distinct)."""
-    mask = f"bit_or(shiftleft(1, hour({ts})))"
-    bits = lambda lo, hi: F.expr(f"bit_count({mask} & {sum(1 << h for h in range(lo, hi + 1))})")
-    yes = lambda c: F.when(c, "Y").otherwise("N")
     return {
         "obs_count": F.count(F.lit(1)).cast("int"),
         "coverage_flags": F.concat(
@@ -71,7 +60,7 @@ def aggregate_daily_wide(
     cols = set(df.columns)
     df = df.withColumn("date", F.to_date("datetime_utc"))
     if source == "madis" and "prcp" in cols and how.get("prcp") == "sum":
-        df = accumulate_increments(df, "prcp", ["station_key", "date"], ["datetime_utc"])
+        df = accumulate_increments(df, "prcp", ["station_key", "date"], ["datetime_utc", "prcp"])
     aggs: dict[str, Column] = {}
     for v, kind in how.items():
         if v in cols:

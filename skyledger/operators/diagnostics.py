@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.operators.corrections import paired
+
 
 def coverage(rows: DataFrame, variables: list[str]) -> DataFrame:
     """(variable, source, n, stations) with totals (null source), exact counts and approximate stations."""
@@ -26,7 +28,6 @@ def qc_rates(rows: DataFrame, by: list[str]) -> DataFrame:
 
 def precedence_study(a: DataFrame, b: DataFrame, *, keys: list[str], variables: list[str]) -> DataFrame:
     """How two sources differ where both have a value: n, mean difference, mean absolute difference, correlation."""
-    long = lambda df, name: df.select(*keys, *variables).unpivot(keys, variables, "variable", name)
-    both = long(a, "a").join(long(b, "b"), [*keys, "variable"]).where("a is not null and b is not null")
+    both = paired(a, b, keys, variables, "a", "b")
     d = F.col("a") - F.col("b")
     return both.groupBy("variable").agg(F.count(F.lit(1)).alias("n"), F.avg(d).alias("bias"), F.avg(F.abs(d)).alias("mae"), F.corr("a", "b").alias("corr"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger import schema
+from skyledger.operators.por import bucket
 
 
 def load_precedence(path: str | None = None) -> dict[str, dict[str, list[str]]]:
@@ -84,4 +85,6 @@ def precedence_audit(fabric: DataFrame) -> DataFrame:
 
 
 def write_fabric(fabric: DataFrame, path: str) -> None:
-    fabric.repartition("canonical_station_id").write.mode("overwrite").partitionBy("canonical_station_id").parquet(path)
+    """One folder for each hash bucket of stations, sorted by station."""
+    rows = fabric.withColumn("bucket", bucket(F.col("canonical_station_id")))
+    rows.repartition("bucket").sortWithinPartitions("bucket", "canonical_station_id").write.mode("overwrite").partitionBy("bucket").parquet(path)

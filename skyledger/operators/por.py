@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger import schema
@@ -53,7 +53,7 @@ class StationPor:
 
 
 def build_station_por(
-    rows: DataFrame, *, source: str, start: date | None = None, end: date | None = None, min_por_days: int = 0, raster: DataFrame | None = None, extra: bool = False, already_daily: bool = False
+    rows: DataFrame, *, source: str, start: date | None = None, end: date | None = None, min_por_days: int = 0, raster: DataFrame | None = None, index: DataFrame | None = None, extra: bool = False, already_daily: bool = False
 ) -> StationPor:
     """Scan to series: date filter, failed values out, daily aggregation, least record, clear sky, tier 2.
 
@@ -78,15 +78,18 @@ def build_station_por(
     skipped = days.where(F.col("__days") < min_por_days).groupBy("station_key").agg(F.max("__days").alias("days"), F.count(F.lit(1)).alias("rows")).withColumn("reason", F.lit("min_por_days"))
     kept = days.where(F.col("__days") >= min_por_days).drop("__days")
     has = set(kept.columns)
+    if index is not None:
+        kept = with_coordinates(kept, index)
+        has |= {"lat", "lon", "elev_m"}
     if {"lat", "elev_m"} <= has:
         stations = kept.groupBy("station_key").agg(F.min_by("lat", F.when(F.col("lat").isNotNull(), F.col("date"))).alias("lat"), F.min_by("elev_m", F.when(F.col("elev_m").isNotNull(), F.col("date"))).alias("elev_m"))
     else:
         stations = kept.select("station_key").distinct().withColumns({"lat": F.lit(None).cast("double"), "elev_m": F.lit(None).cast("double")})
-    how = T.resolve_rso(stations, raster)
+    how = T.resolve_rso(stations, raster, listed=index)
     formula = T.clear_sky_table(stations.join(how.where("method = 'asce'"), "station_key", "left_semi"))
-    rso = formula if raster is None else formula.unionByName(raster.select("station_key", "doy", F.greatest(F.col("rso"), F.lit(0.0)).alias("rso")))
-    variables = [v for v in [*schema.QC_COLUMNS.get(source, "").split(), *D.DERIVED] if v in has]
-    series = T.tier2(kept, list(dict.fromkeys(variables)), rso=rso if "rsds" in has else None, extra=extra)
+    rso = formula if raster is None else formula.unionByName(raster.select("station_key", "doy", "rso"))
+    variables = [v for v in schema.SERIES_COLUMNS.get(source, schema.QC_COLUMNS.get(source, ())) if v in has]
+    series = T.tier2(kept, variables, rso=rso if "rsds" in has else None, extra=extra)
     return StationPor(series, skipped, how.where("reason is not null").select("station_key", "reason"))
 
 
@@ -97,10 +100,36 @@ def inventory(series: DataFrame) -> DataFrame:
     )
 
 
+def with_coordinates(days: DataFrame, index: DataFrame) -> DataFrame:
+    """days with coordinates from the station index (station_key, lat, lon, elev_m) where they have none."""
+    own = {c: F.col(c) if c in days.columns else F.lit(None).cast("double") for c in ("lat", "lon", "elev_m")}
+    places = index.select("station_key", *(F.col(c).cast("double").alias(f"__{c}") for c in own)).dropDuplicates(["station_key"])
+    joined = days.join(places, "station_key", "left")
+    return joined.withColumns({c: F.coalesce(v, F.col(f"__{c}")) for c, v in own.items()}).drop(*(f"__{c}" for c in own))
+
+
+BUCKETS = 100  # fixed value: folders that stations are dealt out over
+
+
+def bucket(key: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 def safe_name(station_key: str) -> str:
     return station_key.replace(":", "_").replace("/", "_")
 
 
-def write_station_por(series: DataFrame, path: str) -> None:
-    """One folder for each station."""
-    series.repartition("station_key").write.mode("overwrite").partitionBy("station_key").parquet(path)
+def write_station_por(series: DataFrame, path: str, *, buckets: int = BUCKETS) -> None:
+    """One folder for each hash bucket of stations, sorted by station and date, so that a station is found in one folder
+    by the statistics of its files."""
+    rows = series.withColumn("bucket", bucket(F.col("station_key"), buckets))
+    rows.repartition("bucket").sortWithinPartitions("bucket", "station_key", "date").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def load_station_por(spark: SparkSession, path: str, stations: list[str] | None = None, *, buckets: int = BUCKETS) -> DataFrame:
+    """Series that write_station_por wrote, one row for each station and date; for some stations only their buckets are read."""
+    df = spark.read.parquet(path)
+    if stations is not None:
+        wanted = spark.createDataFrame([(s,) for s in stations], "station_key string").select(bucket(F.col("station_key"), buckets).alias("b")).distinct().collect()  # one row a bucket
+        df = df.where(F.col("bucket").isin([r.b for r in wanted])).where(F.col("station_key").isin(stations))
+    return T.keep_first(df.drop("bucket"), ["station_key", "date"], [F.col("obs_count").desc(), F.xxhash64(*sorted(c for c in df.columns if c != "bucket"))])

@@ -69,6 +69,11 @@ GDAS_MARKERS = {"tair": "temperature_qm", "td": "humidity_qm", "psfc": "pressure
 QCR_PROFILES = {"strict": 115, "permissive": 2}
 QCR_BITS = {0: "master", 1: "validity", 2: "reserved", 3: "internal_consistency", 4: "temporal_consistency", 5: "statistical_spatial", 6: "spatial_buddy"}
 ISD_GOOD = ("1", "5")
+GDAS_LABELS = {
+    0: "not_checked", 1: "good", 2: "neutral", 3: "suspect", 4: "reject_level1", 5: "reject_level2", 6: "reject_level3", 7: "reject_level4", 8: "reject_level5", 9: "purged",
+    10: "reject_level6", 11: "reject_level7", 12: "purged", 13: "reject_level8", 14: "reject_level9", 15: "purged",
+}
+ISD_LABELS = {"0": "not_checked", "1": "passed_all", "2": "suspect", "3": "erroneous", "4": "corrected", "5": "estimated", "6": "exception", "9": "missing"}
 
 
 def madis_descriptor(acceptable: tuple[str, ...] = ("V", "S", "C", "G")) -> Rule:
@@ -77,7 +82,7 @@ def madis_descriptor(acceptable: tuple[str, ...] = ("V", "S", "C", "G")) -> Rule
         if name not in row:
             return passed()
         dd = F.trim(row[name])
-        return _cases((dd.isNull() | (dd == ""), 1, "dd_missing"), (~dd.isin(*acceptable), 2, F.concat(F.lit("dd_rejected_"), dd)))
+        return _cases((dd.isNull() | (dd == ""), 1, "dd_missing"), (~dd.isin(*acceptable), 2, F.concat(F.lit("dd_rejected_"), F.lower(dd))))
 
     return Rule("madis_dd", 0, check)
 
@@ -96,24 +101,24 @@ def qcr_detail(qcr: Column, mask: int = QCR_PROFILES["strict"]) -> Column:
     return F.array_join(F.filter(bits, lambda x: x.isNotNull()), ",")
 
 
-def gdas_marker(labels: Mapping[int, str] | None = None) -> Rule:
+def gdas_marker(labels: Mapping[int, str] = GDAS_LABELS) -> Rule:
     def check(v: Column, variable: str, row: Mapping[str, Column]) -> Verdict:
         name = GDAS_MARKERS.get(variable)
         if name not in row:
             return passed()
         qm = row[name].cast("int")
-        return _cases((qm == 3, 1, "qm_suspect"), (qm >= 4, 2, F.concat(F.lit("qm_rejected_"), _labels(qm, labels or {}))))
+        return _cases((qm == 3, 1, "qm_suspect"), (qm >= 4, 2, F.concat(F.lit("qm_rejected_"), _labels(qm, labels))))
 
     return Rule("gdas_qm", 0, check)
 
 
-def isd_quality(labels: Mapping[str, str] | None = None) -> Rule:
+def isd_quality(labels: Mapping[str, str] = ISD_LABELS) -> Rule:
     def check(v: Column, variable: str, row: Mapping[str, Column]) -> Verdict:
         name = f"{variable}_qc"
         if name not in row:
             return passed()
         qc = F.trim(row[name].cast("string"))
-        return _cases((qc.isNull() | (qc == ""), 1, "qc_missing"), (~qc.isin(*ISD_GOOD), 2, F.concat(F.lit("qc_rejected_"), _labels(qc, labels or {}))))
+        return _cases((qc.isNull() | (qc == ""), 1, "qc_missing"), (~qc.isin(*ISD_GOOD), 2, F.concat(F.lit("qc_rejected_"), _labels(qc, labels))))
 
     return Rule("isd_quality", 0, check)
 
@@ -133,7 +138,7 @@ def apply_pipeline(df: DataFrame, pipeline: list[Rule], variables: list[str] | N
     States are seeded from columns that exist and only get worse; null cells keep their seed.  Row reasons come in
     order of variables, then rules.  One projection, no Python.
     """
-    names = variables or schema.QC_COLUMNS.get(source or "", "").split()
+    names = variables or schema.QC_COLUMNS.get(source or "", ())
     names = [v for v in names if v in df.columns]
     row = {c: F.col(c) for c in df.columns}
     new: dict[str, Column] = {}

@@ -11,21 +11,27 @@ from pyspark.sql import functions as F
 from skyledger.functions import columns as C
 
 
-def monthly_zscore(df: DataFrame, value: str, *, keys: list[str], date: str = "date", least: int = 90, suspect: float = 3.5, fail: float = 7.0, out: str | None = None) -> DataFrame:
-    """Adds {out}_z and {out}_state by the modified z-score within each calendar month across years.
+def monthly_zscores(df: DataFrame, names: dict[str, str], *, keys: list[str], date: str = "date", least: int = 90, suspect: float = 3.5, fail: float = 7.0) -> DataFrame:
+    """Adds {out}_z and {out}_state for each value: out of ``names``, by the modified z-score within each calendar month
+    across years.  All values share two windows by month and one by series, so one sort serves any number of them.
 
     Series of fewer than ``least`` values, and months of fewer, pass; where the median deviation is 0 all pass.
     """
-    out = out or value
     month = Window.partitionBy(*keys, F.month(date))
     series = Window.partitionBy(*keys)
-    dev = F.abs(F.col(value) - F.col("__med"))
-    df = df.withColumns({"__n": F.count(value).over(month), "__total": F.count(value).over(series), "__med": F.median(value).over(month)})
-    df = df.withColumn("__mad", F.median(dev).over(month))
-    z = F.when((F.col("__n") >= least) & (F.col("__total") >= least) & (F.col("__mad") > 0), F.lit(0.6745) * dev / F.col("__mad"))
-    df = df.withColumn(f"{out}_z", z)
-    state = F.when(F.col(f"{out}_z") > fail, "fail").when(F.col(f"{out}_z") > suspect, "suspect").otherwise("pass")
-    return df.withColumn(f"{out}_state", state).drop("__n", "__total", "__med", "__mad")
+    df = df.withColumns({f"__total_{o}": F.count(v).over(series) for v, o in names.items()})
+    df = df.withColumns({k: c for v, o in names.items() for k, c in ((f"__n_{o}", F.count(v).over(month)), (f"__med_{o}", F.median(v).over(month)))})
+    dev = {o: F.abs(F.col(v) - F.col(f"__med_{o}")) for v, o in names.items()}
+    df = df.withColumns({f"__mad_{o}": F.median(d).over(month) for o, d in dev.items()})
+    z = {o: F.when((F.col(f"__n_{o}") >= least) & (F.col(f"__total_{o}") >= least) & (F.col(f"__mad_{o}") > 0), F.lit(0.6745) * d / F.col(f"__mad_{o}")) for o, d in dev.items()}
+    df = df.withColumns({f"{o}_z": c for o, c in z.items()})
+    df = df.withColumns({f"{o}_state": F.when(F.col(f"{o}_z") > fail, "fail").when(F.col(f"{o}_z") > suspect, "suspect").otherwise("pass") for o in z})
+    return df.drop(*(f"__{k}_{o}" for k in ("n", "total", "med", "mad") for o in z))
+
+
+def monthly_zscore(df: DataFrame, value: str, *, out: str | None = None, **how) -> DataFrame:
+    """The same for one value."""
+    return monthly_zscores(df, {value: out or value}, **how)
 
 
 def isolated(df: DataFrame, *, keys: list[str], ts: str, hours: float = 6.0, tie: list[str] | None = None, out: str = "isolated") -> DataFrame:
@@ -105,7 +111,7 @@ def rs_period_ratio(df: DataFrame, *, key: str, date: str = "date", rs: str = "r
 
     In each period of 60 rows the largest ratios of measured to clear-sky radiation, without spikes, give a factor;
     outside 0.5..1.5 the period is removed, within 0.97..1.03 it is left alone.  Values beyond twice the largest clear sky
-    and zeros are removed first.  A removed value that exceeds the clear sky fails.  Series of fewer than 60 rows pass.  One group is one station's daily series.
+    and zeros are removed first, and are not judged.  A value that its period removes and that exceeds the clear sky fails.  Series of fewer than 60 rows pass.  One group is one station's daily series.
     """
 
     def fix(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -132,7 +138,9 @@ def rs_period_ratio(df: DataFrame, *, key: str, date: str = "date", rs: str = "r
                     fixed[part] = clean[part] * f
                 else:
                     fixed[part] = np.nan
-        state = np.where(np.isfinite(x) & np.isnan(fixed) & (x > top), "fail", "pass")
+            state = np.where(np.isfinite(clean) & np.isnan(fixed) & (clean > top), "fail", "pass")
+        else:
+            state = np.full(len(x), "pass")
         return pdf.assign(rs_period_factor=factor, rs_corrected=fixed, rs_state=state)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
@@ -151,22 +159,39 @@ def with_clear_sky(daily: DataFrame, rso: DataFrame) -> DataFrame:
     return daily.withColumn("doy", key).join(rso.select("station_key", "doy", "rso"), ["station_key", "doy"], "left").drop("doy")
 
 
-def resolve_rso(stations: DataFrame, raster: DataFrame | None = None) -> DataFrame:
+def resolve_rso(stations: DataFrame, raster: DataFrame | None = None, *, listed: DataFrame | None = None, formula: bool = True) -> DataFrame:
     """(station_key, method, reason): whether clear-sky radiation comes from an extracted raster table, the formula, or
-    nowhere, and then why."""
+    nowhere, and then why.  A raster that has a station without any value is no source.  listed: the station index
+    (station_key, lat, lon), in which a station must have a place if a raster is asked for; formula: False leaves it out."""
     base = stations.select("station_key", F.col("lat").cast("double").alias("lat"), F.col("elev_m").cast("double").alias("elev_m"))
+    no = F.lit(False)
     if raster is not None:
-        base = base.join(raster.select("station_key").distinct().withColumn("has", F.lit(True)), "station_key", "left")
+        base = base.join(raster.groupBy("station_key").agg((F.count("rso") > 0).alias("has")).withColumn("asked", F.lit(True)), "station_key", "left")
     else:
-        base = base.withColumn("has", F.lit(False))
-    reason = (
-        F.when(F.coalesce("has", F.lit(False)), None).when(F.col("lat").isNull() | F.col("elev_m").isNull(), "missing_lat_or_elev")
+        base = base.withColumns({"has": no, "asked": no})
+    if listed is not None:
+        base = base.join(listed.select("station_key", (F.col("lat").isNotNull() & F.col("lon").isNotNull()).alias("placed")), "station_key", "left")
+    else:
+        base = base.withColumn("placed", F.lit(True))
+    has, asked, placed = (F.coalesce(F.col(c), no) for c in ("has", "asked", "placed"))
+    place = (
+        F.when(F.col("lat").isNull() | F.col("elev_m").isNull(), F.when(~placed, "station_index_missing_coords").otherwise("missing_lat_or_elev"))
         .when(~F.col("lat").between(-90, 90), "invalid_lat").when(~F.col("elev_m").between(-500, 9000), "invalid_elev_m")
     )
-    method = F.when(F.coalesce("has", F.lit(False)), "raster").when(reason.isNull(), "asce")
+    rso = C.clear_sky(F.col("lat"), F.col("elev_m"), F.lit(172))
+    failed = F.when(rso.isNull() | F.isnan(rso), F.when(asked, "rsun_and_asce_failed").otherwise("asce_failed"))
+    why = F.coalesce(place, failed) if formula else F.lit("rso_unavailable")
+    reason = F.when(has, None).otherwise(why)
+    method = F.when(has, "raster").when(reason.isNull(), "asce")
     return base.select("station_key", method.alias("method"), reason.alias("reason"))
 
 
+def raster_table(samples: DataFrame) -> DataFrame:
+    """(station_key, doy, rso) in MJ/m2 from raster samples (station_key, doy, value) in Wh/m2: negative ones are 0."""
+    return samples.select("station_key", "doy", F.greatest(F.col("value") * WH_TO_MJ, F.lit(0.0)).alias("rso")).where("rso is not null")
+
+
+WH_TO_MJ = 0.0036  # fixed value
 # Variables that the z-score leaves out, and the daily cap on precipitation in mm.
 ZSCORE_SKIP = {"prcp", "wind", "wind_dir", "tair"}
 PRCP_CAP = 610.0
@@ -188,11 +213,12 @@ def tier2(daily: DataFrame, variables: list[str], *, rso: DataFrame | None = Non
         per_variable.setdefault(variable, []).append(state)
 
     temporary = []
-    for v in variables:
-        if v in own and v not in ZSCORE_SKIP:
-            df = monthly_zscore(df, v, keys=["station_key"], out=f"__z_{v}")
-            note(v, F.col(f"__z_{v}_state"), f"zscore_{v}")
-            temporary += [f"__z_{v}_state", f"__z_{v}_z"]
+    scored = {v: f"__z_{v}" for v in variables if v in own and v not in ZSCORE_SKIP}
+    if scored:
+        df = monthly_zscores(df, scored, keys=["station_key"])
+    for v, z in scored.items():
+        note(v, F.col(f"{z}_state"), f"zscore_{v}")
+        temporary += [f"{z}_state", f"{z}_z"]
     if "prcp" in own:
         note("prcp", F.when(F.col("prcp") > PRCP_CAP, "fail").otherwise("pass"), "prcp_exceeds_daily_max")
     if "rh" in own:

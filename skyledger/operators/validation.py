@@ -17,9 +17,10 @@ def compare(ours: DataFrame, theirs: DataFrame, *, keys: list[str], variables: l
     """Long rows (keys, variable, ours, theirs, reasons, flagged, removed) of keys in both tables.  reasons: those of our
     row that concern the variable; removed: their value is missing where ours is not."""
     rules = F.create_map(*(x for v in variables for x in (F.lit(v), F.array(*(F.lit(r) for r, vs in RULE_VARIABLES.items() if v in vs)).cast("array<string>"))))
-    a = ours.select(*keys, F.coalesce("qc_reason_codes", F.lit("")).alias("all_reasons"), *variables).unpivot([*keys, "all_reasons"], variables, "variable", "ours")
-    b = theirs.select(*keys, *variables).unpivot(keys, variables, "variable", "theirs")
-    both = a.join(b, [*keys, "variable"])
+    a = ours.select(*keys, F.coalesce("qc_reason_codes", F.lit("")).alias("all_reasons"), *(F.col(v).alias(f"__a_{v}") for v in variables))
+    b = theirs.select(*keys, *(F.col(v).alias(f"__b_{v}") for v in variables))
+    cells = F.array(*(F.struct(F.lit(v).alias("variable"), F.col(f"__a_{v}").cast("double").alias("ours"), F.col(f"__b_{v}").cast("double").alias("theirs")) for v in variables))
+    both = a.join(b, keys).select(*keys, "all_reasons", F.inline(cells))  # joined wide, then made long
     mine = F.filter(F.split("all_reasons", ","), lambda r: F.array_contains(rules[F.col("variable")], r))
     return both.select(*keys, "variable", "ours", "theirs", F.array_join(mine, ",").alias("reasons"), (F.size(mine) > 0).alias("flagged"), (F.col("ours").isNotNull() & F.col("theirs").isNull()).alias("removed"))
 
@@ -35,7 +36,7 @@ def flag_agreement(compared: DataFrame) -> DataFrame:
     div = lambda a, b: F.try_divide(a.cast("double"), b.cast("double"))
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     out = out.withColumns({"precision": div(tp, tp + fp), "recall": div(tp, tp + fn), "fp_rate": div(fp, fp + tn), "fn_rate": div(fn, fn + tp)})
-    return out.orderBy(F.desc_nulls_last("fp_rate"), "rule", "variable")
+    return out
 
 
 def load_excel(path: str, spark) -> DataFrame:

@@ -9,36 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions import columns as C
 from skyledger.functions import units
 from skyledger.functions.humidity import compile_humidity
 from skyledger.operators import corrections, crosswalk, daily, diagnostics, fabric, manifest, por, rules, temporal, validation
+from skyledger.plans import registry
+from skyledger.plans.registry import query, r6, read
 from skyledger.sources import readers
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str):
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        _QUERIES[f.__name__], _SQL[f.__name__] = f, sql
-        return f
-
-    return add
-
-
-def read(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
-def r6(c: Column | str) -> Column:
-    """Rounded to six places: trigonometric functions differ in the last bits between engines."""
-    return F.round(c, 6)
-
-
 def hourly(spark: SparkSession, d: str, *, temperature: bool = True) -> DataFrame:
     """events as wide hourly rows; the reading becomes a temperature of -40..~58."""
     e = read(spark, d, "events")
@@ -158,7 +139,7 @@ def qc_pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH q AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) % 8 AS c, event_type AS dd FROM events)
-SELECT event_id, CASE WHEN c <= 2 THEN 'pass' WHEN c = 3 THEN 'suspect' ELSE 'fail' END AS gdas_state, CASE WHEN c = 3 THEN 'qm_suspect' WHEN c >= 4 THEN 'qm_rejected_' || c END AS gdas_reason,
+SELECT event_id, CASE WHEN c <= 2 THEN 'pass' WHEN c = 3 THEN 'suspect' ELSE 'fail' END AS gdas_state, CASE WHEN c = 3 THEN 'qm_suspect' WHEN c >= 4 THEN 'qm_rejected_reject_level' || (c - 3) END AS gdas_reason,
   CASE WHEN c IN (1, 5) THEN 'pass' ELSE 'fail' END AS isd_state, CASE WHEN dd IN ('click', 'view') THEN 'pass' ELSE 'fail' END AS dd_state FROM q""")
 def native_flags(spark: SparkSession, d: str) -> DataFrame:
     rows = hourly(spark, d).select("event_id", "value", (F.col("k") % 8).alias("c"), "source")
@@ -417,7 +398,7 @@ SELECT station_key, CASE WHEN has THEN 'raster' WHEN reason IS NULL THEN 'asce'
 def radiation_source(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("s_suppkey")
     s = read(spark, d, "supplier").select(k, F.concat(F.lit("sup:"), k.cast("string")).alias("station_key"), (k % 120).alias("lat"), F.when(k % 7 != 0, 2000.0 * (k % 6)).alias("elev_m"))
-    return temporal.resolve_rso(s, s.where("s_suppkey % 3 = 0"))
+    return temporal.resolve_rso(s, temporal.raster_table(s.where("s_suppkey % 3 = 0").select("station_key", F.lit(1).alias("doy"), F.lit(5000.0).alias("value"))))
 
 
 @query("""WITH b AS (SELECT o_orderkey, month(o_orderdate) AS m, o_custkey % 2 AS k, o_totalprice / 500 AS prcp, (o_totalprice / 100000) * (o_totalprice / 100000) AS td FROM orders),
@@ -432,9 +413,11 @@ def tier2_checks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    from skyledger.plans import feeds, products  # noqa: F401  they register their queries
 
+    return dict(registry.QUERIES)
 
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
 
+def oracle_sql() -> dict[str, str]:
+    queries()
+    return dict(registry.SQL)

@@ -7,17 +7,20 @@ import io
 import re
 import tarfile
 from collections.abc import Iterator
-from datetime import UTC, datetime
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from skyledger import schema
 from skyledger.functions import columns as C
 from skyledger.functions import units
 from skyledger.operators.temporal import keep_first
-
+from skyledger.sources import netcdf
 
 
 def provenance(df: DataFrame, source: str, run_id: str | None = None) -> DataFrame:
@@ -41,12 +44,17 @@ def _ts(*parts: Column) -> Column:
 # -- ISD ---------------------------------------------------------------------------------------------------------
 def read_isd(spark: SparkSession, path: str, *, apply_qc: bool = True, run_id: str | None = None) -> DataFrame:
     """Fixed-width records (plain or gz) of 105 characters at least."""
+    return parse_isd(spark.read.text(path), apply_qc=apply_qc, run_id=run_id)
+
+
+def parse_isd(lines: DataFrame, *, apply_qc: bool = True, run_id: str | None = None) -> DataFrame:
+    """The same from rows (value)."""
     at = lambda a, b: F.substring("value", a + 1, b - a)
 
     def number(a: int, b: int, scale: float, missing: str) -> Column:
         return F.when(at(a, b) != missing, at(a, b).try_cast("double") / scale)
 
-    df = spark.read.text(path).where(F.length("value") >= 105).select(
+    df = lines.where(F.length("value") >= 105).select(
         F.concat_ws("-", at(4, 10), at(10, 15)).alias("source_station_id"), _ts(at(15, 19), at(19, 21), at(21, 23), at(23, 25), at(25, 27)).alias("datetime_utc"),
         number(28, 34, 1000, "+99999").alias("lat"), number(34, 41, 1000, "+999999").alias("lon"), number(46, 51, 1, "+9999").alias("elev_m"),
         number(60, 63, 1, "999").alias("wind_dir"), at(63, 64).alias("wind_dir_qc"), number(65, 69, 10, "9999").alias("wind"), at(69, 70).alias("wind_qc"),
@@ -72,9 +80,15 @@ GHCNH_BAD = ("3", "6", "7")
 def read_ghcnh(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """Pipe-separated station files; values of codes 3, 6, 7 are nulled and fail; pressures from hPa to Pa."""
     raw = spark.read.csv(path, sep="|", header=True)
+    return normalize_ghcnh(raw.withColumn("__file", F.input_file_name()), run_id)
+
+
+def normalize_ghcnh(raw: DataFrame, run_id: str | None = None) -> DataFrame:
+    """The same from rows of text columns (any case; of about 190 those are read that are named), with __file where no
+    column names the station."""
     col = {c.lower(): F.col(f"`{c}`") for c in raw.columns}
     text = lambda n: F.trim(col[n]) if n in col else F.lit(None).cast("string")
-    station = next((text(n) for n in ("station_id", "station") if n in col), stem(F.input_file_name()))
+    station = next((text(n) for n in ("station_id", "station") if n in col), stem(F.col("__file")) if "__file" in col else F.lit(None))
     out: dict[str, Column] = {
         "source_station_id": station, "datetime_utc": _ts(text("year"), text("month"), text("day"), F.coalesce(text("hour"), F.lit("00")), F.coalesce(text("minute"), F.lit("00"))),
         "lat": C.num(text("latitude")), "lon": C.num(text("longitude")), "elev_m": C.num(text("elevation")),
@@ -95,14 +109,19 @@ def read_ghcnh(spark: SparkSession, path: str, run_id: str | None = None) -> Dat
 
 
 # -- GHCN-Daily --------------------------------------------------------------------------------------------------
+# Native name, variable and scale; quality flags of bad values.
 GHCND = {"TMAX": ("tmax", 0.1), "TMIN": ("tmin", 0.1), "TAVG": ("tmean", 0.1), "PRCP": ("prcp", 0.1), "SNOW": ("snow", 1.0), "SNWD": ("snow_depth", 1.0), "AWND": ("wind", 0.1), "WESD": ("swe", 0.1)}
-GHCND_FLAGS = tuple("DGIKLMNORSTWXZ")
+GHCND_FLAGS = ("D", "I", "K", "L", "N", "O", "R", "S", "T", "W", "X")
 
 
 def read_ghcnd(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """Daily CSV with VALUE and VALUE_ATTRIBUTES columns; the second attribute is the quality flag: the value is
     kept, its own state and the row's fail."""
-    raw = spark.read.csv(path, header=True, quote='"', escape='"')
+    return normalize_ghcnd(spark.read.csv(path, header=True, quote='"', escape='"'), run_id)
+
+
+def normalize_ghcnd(raw: DataFrame, run_id: str | None = None) -> DataFrame:
+    """The same from rows of text columns."""
     has = lambda c: c in raw.columns
     opt = lambda c: C.num(F.col(c)) if has(c) else F.lit(None).cast("double")
     out: dict[str, Column] = {
@@ -123,64 +142,65 @@ def read_ghcnd(spark: SparkSession, path: str, run_id: str | None = None) -> Dat
 
 
 # -- NDBC --------------------------------------------------------------------------------------------------------
-NDBC_COLUMNS = "YY MM DD hh mm WDIR WSPD GST WVHT DPD APD MWD PRES ATMP WTMP DEWP VIS TIDE".split()
+# Columns of a file without a heading, native names, missing values.
+NDBC_COLUMNS = ("YY", "MM", "DD", "hh", "mm", "WDIR", "WSPD", "GST", "WVHT", "DPD", "APD", "MWD", "PRES", "ATMP", "WTMP", "DEWP", "VIS", "TIDE")
 NDBC = {
     "WDIR": "wind_dir", "WD": "wind_dir", "WSPD": "wind", "GST": "wind_gust", "WVHT": "wave_height", "DPD": "dominant_wave_period", "APD": "average_wave_period", "MWD": "mean_wave_dir",
     "PRES": "slp", "BAR": "slp", "ATMP": "tair", "WTMP": "water_temp", "DEWP": "td", "VIS": "vis", "TIDE": "tide",
 }
 NDBC_MISSING = ("MM", "99.0", "99.00", "999", "999.0", "9999", "9999.0", "99")
-
-
-def parse_stdmet(text: str) -> list[dict]:
-    """Rows of a standard meteorological file: an optional heading and units line, two-digit years, missing minutes."""
-    names, rows = NDBC_COLUMNS, []
-    for line in text.splitlines():
-        f = line.strip().split()
-        if not f:
-            continue
-        if f[0].lstrip("#").upper() in ("YY", "YYYY") and "MM" in f:
-            names = ["YY", *f[1:]]
-            continue
-        if not re.fullmatch(r"\d{2,4}", f[0]):
-            continue
-        r = dict(zip(names, f))
-        try:
-            y = int(r["YY"])
-            y += 0 if y > 99 else 1900 if y >= 70 else 2000
-            ts = datetime(y, int(r["MM"]), int(r["DD"]), int(r.get("hh", 0)), int(r.get("mm", 0)), tzinfo=UTC)
-        except (KeyError, ValueError):
-            continue
-        out: dict = {"datetime_utc": ts}
-        for k, v in NDBC.items():
-            if k in r and r[k] not in NDBC_MISSING:
-                try:
-                    out[v] = float(r[k]) * (100.0 if v == "slp" else 1.0)
-                except ValueError:
-                    pass
-        rows.append(out)
-    return rows
-
-
-NDBC_VARS = list(dict.fromkeys(NDBC.values()))
+NDBC_VARS = tuple(dict.fromkeys(NDBC.values()))
+
+
+def parse_stdmet(files: DataFrame) -> DataFrame:
+    """Rows (path, text) of standard meteorological files to (path, datetime_utc, variables): the file's heading, with or
+    without a sign before it, else the usual columns; a units line; two-digit years; missing minutes.  Column functions only."""
+    lines = files.select("path", F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line")).withColumn("f", F.split(F.trim("line"), r"\s+"))
+    heads = F.regexp_replace(F.upper(F.col("f")[0]), "^#+", "").isin("YY", "YYYY") & F.array_contains("f", "MM")
+    heading = F.when(heads, F.concat(F.array(F.lit("YY")), F.slice("f", 2, F.size("f"))))
+    before = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumn("names", F.coalesce(F.last(heading, ignorenulls=True).over(before), F.array(*map(F.lit, NDBC_COLUMNS))))
+    lines = lines.where(F.col("f")[0].rlike(r"^\d{2,4}$"))
+
+    def field(*names: str) -> Column:
+        found = [F.when(F.array_contains("names", n), F.get("f", F.array_position("names", n).cast("int") - 1)) for n in names]
+        return F.coalesce(*found)
+
+    y = field("YY").try_cast("int")
+    year = F.when(y > 99, y).when(y >= 70, y + 1900).otherwise(y + 2000)
+    part = lambda n: F.coalesce(field(n), F.lit("0")).try_cast("int")
+    ts = F.try_make_timestamp(year, field("MM").try_cast("int"), field("DD").try_cast("int"), part("hh"), part("mm"), F.lit(0).cast("decimal(8,6)"), F.lit("UTC"))
+    cols = {}
+    for v in NDBC_VARS:
+        raw = field(*(n for n, to in NDBC.items() if to == v))
+        cols[v] = F.when(~raw.isin(*NDBC_MISSING), raw.try_cast("double")) * (100.0 if v == "slp" else 1.0)
+    return lines.select("path", "line_no", ts.alias("datetime_utc"), *(c.alias(v) for v, c in cols.items())).where("datetime_utc is not null")
 
 
 def _decode(spark: SparkSession, path: str, decode, fields: str) -> DataFrame:
     """Whole files through a Python decoder, one file at a time on executors; rows carry the file's path.  A file that
     cannot be decoded gives one row with its error, so that it is reported and the rest goes on."""
-    names = [f.split()[0] for f in fields.split(",")]
+    schema_ = T._parse_datatype_string(f"{fields}, path string, error string")
+    kinds = to_arrow_schema(schema_)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for path_, content in zip(frame["path"], frame["content"]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path_, content in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
                 try:
-                    rows, error = decode(path_, content), None
+                    rows = [{**r, "path": path_} for r in decode(path_, content)]
+                    out = pa.Table.from_pylist(rows, kinds)
                 except Exception as e:  # noqa: BLE001
-                    rows, error = [{}], f"{type(e).__name__}: {e}"
-                out = pd.DataFrame(rows).reindex(columns=names)
-                yield out.assign(path=path_, error=error)[[*names, "path", "error"]]
+                    out = pa.Table.from_pylist([{"path": path_, "error": f"{type(e).__name__}: {e}"}], kinds)
+                yield from out.to_batches()
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(run, f"{fields}, path string, error string")
+    return files.mapInArrow(run, schema_)
+
+
+def decode_failures(decoded: DataFrame, source: str) -> DataFrame:
+    """The failure report of decoded files: (source, phase, input_file, error_type, error)."""
+    kind = F.regexp_extract("error", r"^(\w+): ", 1)
+    return decoded.where("error is not null").select(F.lit(source).alias("source"), F.lit("decode").alias("phase"), F.col("path").alias("input_file"), kind.alias("error_type"), F.regexp_replace("error", r"^\w+: ", "").alias("error"))
 
 
 def unzip(path: str, content: bytes) -> bytes:
@@ -188,20 +208,27 @@ def unzip(path: str, content: bytes) -> bytes:
 
 
 def read_ndbc_text(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """Standard meteorological files; of a station's rows of one time the first file's stays, history before latest."""
-    fields = "datetime_utc timestamp, " + ", ".join(f"{v} double" for v in NDBC_VARS)
-    df = _decode(spark, path, lambda p, c: parse_stdmet(unzip(p, c).decode("utf-8", "replace")), fields).where("error is null")
+    """Standard meteorological files (plain or gz); of a station's rows of one time the first file's stays, history before latest."""
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    return normalize_ndbc(parse_stdmet(files), run_id)
+
+
+def normalize_ndbc(rows: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Parsed rows with the station of their path, one of each time."""
     sid = F.upper(F.regexp_extract("path", r"([^/]+?)(?:_latest|h\d{4})?\.txt(?:\.gz)?$", 1))
-    df = df.withColumns({"source_station_id": sid, "__late": F.col("path").contains("_latest")})
-    return provenance(keep_first(df, ["source_station_id", "datetime_utc"], ["__late", "path"]).drop("__late", "path", "error"), "ndbc", run_id)
+    df = rows.withColumns({"source_station_id": sid, "__late": F.col("path").contains("_latest")})
+    return provenance(keep_first(df, ["source_station_id", "datetime_utc"], ["__late", "path", "line_no"]).drop("__late", "path", "line_no"), "ndbc", run_id)
 
 
 def read_ndbc_parquet(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """Parsed files: the first column whose name has date or time in it is the time, else the first."""
+    return normalize_ndbc_parsed(spark.read.parquet(path), F.upper(stem(F.input_file_name())), run_id)
+
+
+def normalize_ndbc_parsed(df: DataFrame, station: Column, run_id: str | None = None) -> DataFrame:
     names = {"air_temp": "tair", "dewpoint": "td", "wind_speed": "wind", "pressure": "slp", "visibility": "vis"}
-    df = spark.read.parquet(path)
     ts = next((c for c in df.columns if re.search("date|time", c.lower())), df.columns[0])
-    df = df.withColumnRenamed(ts, "datetime_utc").withColumn("source_station_id", F.upper(stem(F.input_file_name())))
+    df = df.withColumnRenamed(ts, "datetime_utc").withColumn("source_station_id", station)
     df = df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
     if "slp" in df.columns:
         df = df.withColumn("slp", F.col("slp") * 100.0)
@@ -209,7 +236,11 @@ def read_ndbc_parquet(spark: SparkSession, path: str, run_id: str | None = None)
 
 
 # -- RAWS --------------------------------------------------------------------------------------------------------
-RAWS_COLUMNS = "date year doy day_of_run srad_total_kwh_m2 wspd_ave_ms wdir_vec_deg wspd_gust_ms tair_ave_c tair_max_c tair_min_c rh_ave_pct rh_max_pct rh_min_pct prcp_total_mm".split()
+# Columns of the daily table, and native names.
+RAWS_COLUMNS = (
+    "date", "year", "doy", "day_of_run", "srad_total_kwh_m2", "wspd_ave_ms", "wdir_vec_deg", "wspd_gust_ms", "tair_ave_c", "tair_max_c", "tair_min_c",
+    "rh_ave_pct", "rh_max_pct", "rh_min_pct", "prcp_total_mm",
+)
 RAWS = {
     "tair_ave_c": "tmean", "tair_max_c": "tmax", "tair_min_c": "tmin", "wspd_ave_ms": "wind", "wdir_vec_deg": "wind_dir", "wspd_gust_ms": "wind_gust", "rh_ave_pct": "rh", "rh_max_pct": "rh_max",
     "rh_min_pct": "rh_min", "prcp_total_mm": "prcp", "srad_total_kwh_m2": "rsds",
@@ -241,15 +272,26 @@ def read_raws(spark: SparkSession, path: str, run_id: str | None = None) -> Data
 
 
 # -- SNOTEL ------------------------------------------------------------------------------------------------------
+# Native names.
 SNOTEL_DAILY = {"swe": "swe", "tmin": "tmin", "tmax": "tmax", "tavg": "tmean", "prec": "prcp", "rh": "rh", "ws": "wind"}
 SNOTEL_HOURLY = {"WTEQ": "swe", "SNWD": "snow_depth", "PREC": "prcp", "TOBS": "tair"}
 
 
 def read_snotel_daily(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """Legacy daily CSV; precipitation is cumulative."""
+    return normalize_snotel_daily(spark.read.csv(path, header=True).withColumn("__file", F.input_file_name()), run_id)
+
+
+def snotel_station(file: Column) -> Column:
+    """The leading number of a file name such as 100_Some_Place_ID.csv, else the whole name."""
+    return F.coalesce(F.nullif(F.regexp_extract(file, r"([0-9]+)_[^/]*$", 1), F.lit("")), stem(file))
+
+
+def normalize_snotel_daily(raw: DataFrame, run_id: str | None = None) -> DataFrame:
+    """The same from rows of text columns with the file's name as __file; rows without any measure go."""
     from skyledger.operators.temporal import increments
 
-    raw = spark.read.csv(path, header=True).withColumn("source_station_id", stem(F.input_file_name()))
+    raw = raw.withColumn("source_station_id", snotel_station(F.regexp_extract("__file", r"([^/]*)$", 1)))
     raw = raw.toDF(*(c.lower() for c in raw.columns))
     met = [c for c in SNOTEL_DAILY if c in raw.columns]
     df = raw.withColumns({c: C.num(c) for c in met}).withColumn("date", F.col("date").try_cast("date")).dropna(how="all", subset=met)
@@ -261,15 +303,22 @@ def read_snotel_daily(spark: SparkSession, path: str, run_id: str | None = None)
 
 def read_snotel_hourly(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """Hourly Parquet in UTC; elevation in feet; the id is the triplet's first part, else the file's name."""
+    return normalize_snotel_hourly(spark.read.parquet(path), stem(F.input_file_name()), run_id)
+
+
+def normalize_snotel_hourly(df: DataFrame, station: Column, run_id: str | None = None) -> DataFrame:
+    """The same from rows; station: the id where there is no triplet.  Times with a column tz_offset (hours) are local."""
     from skyledger.operators.temporal import increments
 
-    df = spark.read.parquet(path)
     own = F.split("triplet", ":")[0] if "triplet" in df.columns else F.lit(None).cast("string")
     met = [c for c in SNOTEL_HOURLY if c in df.columns]
     ts = "datetime_utc" if "datetime_utc" in df.columns else next(c for c in df.columns if re.search("date|time", c.lower()))
     opt = {"lat": "lat", "lon": "lon"}
+    at = F.col(ts).cast("timestamp")
+    if "tz_offset" in df.columns:
+        at = C.to_utc(at, F.col("tz_offset") * 60)
     out = df.select(
-        F.coalesce(own, stem(F.input_file_name())).alias("source_station_id"), F.col(ts).cast("timestamp").alias("datetime_utc"), *(F.col(c).cast("double").alias(SNOTEL_HOURLY[c]) for c in met),
+        F.coalesce(own, station).alias("source_station_id"), at.alias("datetime_utc"), *(F.col(c).cast("double").alias(SNOTEL_HOURLY[c]) for c in met),
         *(F.col(k).cast("double").alias(v) for k, v in opt.items() if k in df.columns), *([(F.col("elev_ft") * 0.3048).alias("elev_m")] if "elev_ft" in df.columns else []),
     )
     if "prcp" in out.columns:
@@ -278,6 +327,7 @@ def read_snotel_hourly(spark: SparkSession, path: str, run_id: str | None = None
 
 
 # -- ECCC --------------------------------------------------------------------------------------------------------
+# Beginnings of native names, variables and scales; flags.
 ECCC = {"Temp": ("tair", 1.0), "Dew Point Temp": ("td", 1.0), "Rel Hum": ("rh", 1.0), "Precip. Amount": ("prcp", 1.0), "Wind Dir": ("wind_dir", 10.0), "Wind Spd": ("wind", 1 / 3.6), "Stn Press": ("psfc", 1000.0)}
 ECCC_FAIL, ECCC_SUSPECT, ECCC_PASS = ("M", "N", "Y"), ("E", "A", "C", "L", "B", "F", "^", "D"), ("", "S", "T", "†")
 
@@ -285,10 +335,14 @@ ECCC_FAIL, ECCC_SUSPECT, ECCC_PASS = ("M", "N", "Y"), ("E", "A", "C", "L", "B",
 def read_eccc(spark: SparkSession, path: str, *, province: str | None = None, run_id: str | None = None) -> DataFrame:
     """Hourly CSV in Latin-1 and local standard time.  Flags give states; a failed value is nulled, trace precipitation
     is 0; of rows of one time the first file's stays."""
-    raw = spark.read.csv(path, header=True, encoding="ISO-8859-1")
+    return normalize_eccc(spark.read.csv(path, header=True, encoding="ISO-8859-1").withColumn("__file", F.input_file_name()), province=province, run_id=run_id)
+
+
+def normalize_eccc(raw: DataFrame, *, province: str | None = None, run_id: str | None = None) -> DataFrame:
+    """The same from rows of text columns with the file's name as __file."""
     find = lambda start: next((c for c in raw.columns if c.lower().startswith(start.lower()) and "flag" not in c.lower()), None)
     flag_of = lambda start: next((c for c in raw.columns if c.lower().startswith(f"{start.lower()} flag")), None)
-    file = F.input_file_name()
+    file = F.col("__file")
     prov = F.lit(province) if province else F.upper(F.regexp_extract(file, r"_([A-Za-z]{2})_[0-9A-Za-z]+_[^/]*$", 1))
     named = lambda s: next((F.col(f"`{c}`") for c in raw.columns if s in c.lower()), F.lit(None).cast("string"))
     lon, lat = C.num(named("longitude")), C.num(named("latitude"))
@@ -314,6 +368,7 @@ def read_eccc(spark: SparkSession, path: str, *, province: str | None = None, ru
 
 
 # -- MADIS -------------------------------------------------------------------------------------------------------
+# Native names, variables and conversions.
 MADIS = {
     "temperature": ("tair", units.k_to_c), "dewpoint": ("td", units.k_to_c), "relHumidity": ("rh", units.same), "windSpeed": ("wind", units.same), "windDir": ("wind_dir", units.same),
     "precipAccum": ("prcp", units.same), "solarRadiation": ("rsds_hourly", units.same),
@@ -322,21 +377,20 @@ MADIS_CORE = ("temperature", "dewpoint", "relHumidity", "windSpeed", "windDir")
 MADIS_IDS = ("stationId", "dataProvider")
 
 
-def _open_madis(path: str, content: bytes) -> list[dict]:
-    """Rows of an hourly netCDF file (decoder: scipy, optional)."""
-    from scipy.io import netcdf_file  # optional dependency
-
-    f = netcdf_file(io.BytesIO(unzip(path, content)), "r", mmap=False)
+def decode_madis(path: str, content: bytes) -> list[dict]:
+    """Rows of an hourly netCDF file: absent measures are null, absent ids empty, texts stripped."""
+    f = netcdf.variables(unzip(path, content))
     names = [*MADIS_IDS, "latitude", "longitude", "elevation", "observationTime", *MADIS, *(f"{v}{s}" for v in MADIS_CORE for s in ("DD", "QCR"))]
-    n = f.dimensions["recNum"] or len(f.variables["latitude"].data)
+    n = len(f["latitude"])
     cols = {}
     for name in names:
-        if name not in f.variables:
+        if name not in f:
             cols[name] = ["" if name in MADIS_IDS else None] * n
-            continue
-        data = f.variables[name].data
-        cols[name] = [bytes(x.tobytes()).split(b"\0")[0].decode("utf-8", "replace").strip() for x in data] if data.dtype.kind == "S" else [float(x) for x in data]
-    return pd.DataFrame(cols).to_dict("records")
+        elif f[name].dtype.kind == "S":
+            cols[name] = [x.split(b"\0")[0].decode("utf-8", "replace").strip() for x in f[name].tolist()]
+        else:
+            cols[name] = [float(x) if np.isfinite(x) else None for x in f[name].tolist()]
+    return [dict(zip(cols, r)) for r in zip(*cols.values())]
 
 
 MADIS_FIELDS = (
@@ -345,11 +399,21 @@ MADIS_FIELDS = (
 )
 
 
+def scan_madis(spark: SparkSession, path: str) -> DataFrame:
+    """Native rows of hourly netCDF files, and a row with its error for each file that cannot be read."""
+    return _decode(spark, path, decode_madis, MADIS_FIELDS)
+
+
 def read_madis(spark: SparkSession, path: str, *, bounds: tuple[float, float, float, float] | None = None, qcr_mask: int = 115, run_id: str | None = None) -> DataFrame:
-    """Hourly netCDF files; bounds west, south, east, north, half open; then the extract checks and canonical columns."""
+    """Hourly netCDF files; bounds west, south, east, north, half open; then the extract checks and canonical columns.
+    Files that cannot be read are in decode_failures(scan_madis(...))."""
+    return extract_madis(scan_madis(spark, path), bounds=bounds, qcr_mask=qcr_mask, run_id=run_id)
+
+
+def extract_madis(decoded: DataFrame, *, bounds: tuple[float, float, float, float] | None = None, qcr_mask: int = 115, run_id: str | None = None) -> DataFrame:
     from skyledger.operators.rules import madis_extract_qc
 
-    df = _decode(spark, path, _open_madis, MADIS_FIELDS).where("error is null")
+    df = decoded.where("error is null")
     df = df.withColumn("observationTime", F.timestamp_seconds("observationTime"))
     if bounds:
         df = in_bounds(df, *bounds)
@@ -384,6 +448,7 @@ def to_long(wide: DataFrame, variables: list[str], *, flags: dict[str, list[str]
 
 
 # -- GDAS --------------------------------------------------------------------------------------------------------
+# Native names.
 GDAS = {"temperature": "tair", "pressure": "psfc", "specific_humidity": "q", "u_wind": "u", "v_wind": "v", "sst": "sst"}
 
 
@@ -424,26 +489,44 @@ def archive_members(path: str, content: bytes) -> list[tuple[str, int, bytes]]:
     return out
 
 
+def scan_gdas_archive(spark: SparkSession, path: str, decode, fields: str) -> DataFrame:
+    """Native rows of day archives through a BUFR decoder given by the caller: decode(bytes, cycle hour) -> rows as dicts;
+    and a row with its error for each archive that cannot be read."""
+    return _decode(spark, path, lambda p, c: [r for _, h, b in archive_members(p, c) for r in decode(b, h)], fields)
+
+
 def read_gdas_archive(spark: SparkSession, path: str, decode, fields: str, run_id: str | None = None) -> DataFrame:
-    """Day archives through a BUFR decoder given by the caller: decode(bytes, cycle hour) -> rows as dicts."""
-    return normalize_gdas(_decode(spark, path, lambda p, c: [r for _, h, b in archive_members(p, c) for r in decode(b, h)], fields).where("error is null"), run_id)
+    """The same in canonical columns; failures are in decode_failures(scan_gdas_archive(...))."""
+    return normalize_gdas(scan_gdas_archive(spark, path, decode, fields).where("error is null"), run_id)
 
 
 # -- all ---------------------------------------------------------------------------------------------------------
-def readable_parquet(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[tuple[str, str]]]:
-    """Which Parquet files can be opened, and the errors of the others; one task per file, footers only."""
-    good, bad = [], []
-    for p in paths:
-        try:
-            spark.read.parquet(p).schema  # noqa: B018
-            good.append(p)
-        except Exception as e:  # noqa: BLE001
-            bad.append((p, str(e).splitlines()[0][:200]))
-    return good, bad
+def readable_parquet(spark: SparkSession, path: str, source: str = "") -> tuple[list[str], DataFrame]:
+    """The Parquet files under a path that can be opened, and a failure report of the others.  Footers are read in tasks;
+    only names come to the driver, which needs them to scan."""
+
+    def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+
+        for frame in frames:
+            errors = []
+            for content in frame["content"]:
+                try:
+                    pq.ParquetFile(io.BytesIO(content)).schema_arrow  # noqa: B018
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001
+                    errors.append(f"{type(e).__name__}: {str(e).splitlines()[0][:200]}")
+            yield pd.DataFrame({"path": frame["path"], "error": errors})
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    probed = files.select("path", "content").mapInPandas(probe, "path string, error string").persist()
+    good = sorted(r.path for r in probed.where("error is null").select("path").collect())  # names of files
+    report = decode_failures(probed, source).withColumn("phase", F.lit("read"))
+    return good, report
 
 
 def station_metadata(df: DataFrame) -> DataFrame:
-    """One row for each station: the latest place."""
-    w = Window.partitionBy("station_key").orderBy(F.col("datetime_utc").desc())
-    cols = [c for c in ("station_key", "source", "source_station_id", "lat", "lon", "elev_m") if c in df.columns]
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").select(*cols)
+    """One row for each station: the latest place, by an aggregate that merges on the map side."""
+    cols = [c for c in ("source", "source_station_id", "lat", "lon", "elev_m") if c in df.columns]
+    last = F.max_by(F.struct(*cols), F.struct("datetime_utc", *cols)).alias("x")
+    return df.groupBy("station_key").agg(last).select("station_key", "x.*")
