@@ -74,7 +74,7 @@ def build_crosswalk(index: DataFrame, *, degrees: float = 0.02, most_m: float =
     return exact.select(cols).unionByName(rest.select(cols))
 
 
-def candidate_pairs(crosswalk: DataFrame, overlap: DataFrame, *, most_m: float, most_elev: float, least_days: int, limit: int | None = None) -> DataFrame:
+def candidate_pairs(crosswalk: DataFrame, overlap: DataFrame, *, most_m: float, most_elev: float, least_days: int, limit: int | None = None, digits: int = 6) -> DataFrame:
     """Pairs of stations of one canonical id by distance, elevation (known of both) and days in common; the ``limit`` closest."""
     a, b = (crosswalk.select(*(F.col(c).alias(f"{c}_{s}") for c in ("source_station_key", "lat", "lon", "elev_m")), "canonical_station_id") for s in ("a", "b"))
     pairs = a.join(b, "canonical_station_id").where("source_station_key_a < source_station_key_b")
@@ -82,11 +82,32 @@ def candidate_pairs(crosswalk: DataFrame, overlap: DataFrame, *, most_m: float,
     o = overlap.select("station_key", "por_start", "por_end")
     for s in ("a", "b"):
         pairs = pairs.join(o.select(F.col("station_key").alias(f"source_station_key_{s}"), F.col("por_start").alias(f"from_{s}"), F.col("por_end").alias(f"to_{s}")), f"source_station_key_{s}")
-    days = F.datediff(F.least("to_a", "to_b"), F.greatest("from_a", "from_b")) + 1
+    days = F.greatest(F.datediff(F.least("to_a", "to_b"), F.greatest("from_a", "from_b")), F.lit(0))
     out = pairs.withColumn("overlap_days", days).where((F.col("distance_m") <= most_m) & (F.col("elev_diff") <= most_elev) & (F.col("overlap_days") >= least_days))
-    out = out.orderBy("distance_m", "source_station_key_a", "source_station_key_b")
-    return out.limit(limit) if limit is not None else out
+    if limit is None:
+        return out
+    # Equal distances differ in their last bits: ties go by the keys from ``digits`` places on.
+    return out.orderBy(F.round("distance_m", digits), "source_station_key_a", "source_station_key_b").limit(limit)
 
 
-def latest_by(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(order.desc()))).where("__n = 1").drop("__n")
+def sampled(names: list[str], most: int) -> list[str]:
+    """At most so many of the sorted names, evenly spread from the first to the last."""
+    names = sorted(names)
+    return names if len(names) <= most else [names[k * (len(names) - 1) // (most - 1)] if most > 1 else names[0] for k in range(most)]
+
+
+def sampled_days(rows: DataFrame, most: int, *, ts: str = "datetime_utc") -> DataFrame:
+    """Rows of at most so many UTC days, evenly spread from the first to the last, as in ``sampled``."""
+    day = F.to_date(ts)
+    days = rows.select(day.alias("__day")).distinct()
+    days = days.withColumns({"__n": F.row_number().over(Window.orderBy("__day")) - 1, "__all": F.count(F.lit(1)).over(Window.partitionBy())})  # one row a day
+    # The k-th of the sample is the floor(k*(n-1)/(most-1))-th day.
+    k = F.ceil(F.col("__n") * (most - 1) / (F.col("__all") - 1))
+    hit = (F.col("__all") <= most) | (F.floor(k * (F.col("__all") - 1) / (most - 1)) == F.col("__n"))
+    return rows.withColumn("__day", day).join(F.broadcast(days.where(hit).select("__day")), "__day", "left_semi").drop("__day")  # at most ``most`` rows
+
+
+def index_per_day_source(rows: DataFrame, *, sample_days: int = 30) -> DataFrame:
+    """The index of a source with one file a day: coordinates and counts from a sample of days, the period from the first
+    and last days of the sample."""
+    return station_index(sampled_days(rows, sample_days))

@@ -15,6 +15,10 @@ from skyledger.operators import temporal as T
 DAILY_NATIVE = ("ghcnd", "raws", "raws_wrcc", "snotel_daily")
 
 
+# Sources by which files are named, longer names before those that they begin with.
+NAMED_SOURCES = ("raws_wrcc", "gdas_adpsfc", "gdas_sfcshp", "snotel", "ghcnd", "ghcnh", "madis", "ndbc", "eccc", "gdas", "raws", "isd")
+
+
 def in_dates(df: DataFrame, ts: str, start: date | None, end: date | None) -> DataFrame:
     """Rows of whole UTC days from start to end, both included, as a range on the time column so that it is pushed down."""
     if start:
@@ -24,7 +28,7 @@ def in_dates(df: DataFrame, ts: str, start: date | None, end: date | None) -> Da
     return df
 
 
-def daily_passthrough(df: DataFrame, *, file_col: str | None = None) -> DataFrame:
+def daily_passthrough(df: DataFrame, *, file_col: str | None = None, sources: tuple[str, ...] = NAMED_SOURCES) -> DataFrame:
     """Fills the daily contract of sources that are daily already; RAWS names and kWh to MJ.  Where a file has no
     station key at all, the key comes from its name."""
     cols = set(df.columns)
@@ -39,7 +43,7 @@ def daily_passthrough(df: DataFrame, *, file_col: str | None = None) -> DataFram
     if file_col and file_col in cols:
         stem = F.regexp_extract(file_col, r"([^/]+?)(?:\.[^./]*)?$", 1)
         known = F.count("station_key").over(Window.partitionBy(file_col)) > 0
-        df = df.withColumn("station_key", F.when(known, F.col("station_key")).otherwise(F.regexp_replace(stem, "^([a-z_]+?)_", "$1:")))
+        df = df.withColumn("station_key", F.when(known, F.col("station_key")).otherwise(F.regexp_replace(stem, f"^({'|'.join(sources)})_", "$1:")))
     return df.withColumn("obs_count", F.col("obs_count").cast("int"))
 
 

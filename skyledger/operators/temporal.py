@@ -188,7 +188,7 @@ def resolve_rso(stations: DataFrame, raster: DataFrame | None = None, *, listed:
 
 def raster_table(samples: DataFrame) -> DataFrame:
     """(station_key, doy, rso) in MJ/m2 from raster samples (station_key, doy, value) in Wh/m2: negative ones are 0."""
-    return samples.select("station_key", "doy", F.greatest(F.col("value") * WH_TO_MJ, F.lit(0.0)).alias("rso")).where("rso is not null")
+    return samples.select("station_key", "doy", F.greatest(F.col("value") * WH_TO_MJ, F.lit(0.0)).alias("rso"), F.col("value").alias("given")).where("given is not null").drop("given")
 
 
 WH_TO_MJ = 0.0036  # fixed value

@@ -259,7 +259,7 @@ def correction_statistics(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH b AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events), f AS (SELECT user_id % 13 = 0 AS removed, k % 4 = 0 AS a, k % 6 = 0 AS t FROM b),
 c AS (SELECT 'zscore_td' AS rule, 'td' AS variable, a AS hit, removed FROM f UNION ALL SELECT 'td_exceeds_tmin_daily', 'td', t, removed FROM f UNION ALL SELECT 'stuck_sensor', 'td', false, removed FROM f),
 n AS (SELECT rule, variable, CAST(sum(CASE WHEN hit AND removed THEN 1 ELSE 0 END) AS BIGINT) AS tp, CAST(sum(CASE WHEN hit AND NOT removed THEN 1 ELSE 0 END) AS BIGINT) AS fp, CAST(sum(CASE WHEN NOT hit AND removed THEN 1 ELSE 0 END) AS BIGINT) AS fn, CAST(sum(CASE WHEN NOT hit AND NOT removed THEN 1 ELSE 0 END) AS BIGINT) AS tn FROM c GROUP BY ALL)
-SELECT *, round(tp / nullif(tp + fp, 0), 6) AS "precision", round(tp / nullif(tp + fn, 0), 6) AS recall, round(fp / nullif(fp + tn, 0), 6) AS fp_rate, round(fn / nullif(fn + tp, 0), 6) AS fn_rate FROM n""")
+SELECT *, round(tp / nullif(tp + fp, 0), 6) AS "precision", round(tp / nullif(tp + fn, 0), 6) AS recall, round(fp / nullif(tp + fp, 0), 6) AS fp_rate, round(fn / nullif(fn + tp, 0), 6) AS fn_rate FROM n""")
 def flag_agreement(spark: SparkSession, d: str) -> DataFrame:
     rows = hourly(spark, d)
     why = C.join_reasons(F.when(F.col("k") % 4 == 0, "zscore_td"), F.when(F.col("k") % 6 == 0, "td_exceeds_tmin_daily"), F.lit("zscore_wind"))
@@ -314,16 +314,11 @@ def qc_rates(spark: SparkSession, d: str) -> DataFrame:
     return out.select("source", "n", *(r6(c).alias(c) for c in ("pass_rate", "suspect_rate", "fail_rate")))
 
 
-@query("""SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 25""")
-def closest_pairs_topk(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "customer").select("c_custkey", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey").limit(25)
-
-
 @query(f"""WITH {_NETS}, m AS (SELECT c.id, s.id AS rid, {_HAV} AS m FROM c JOIN s ON abs(c.lat - s.lat) < 0.02 AND abs(c.lon - s.lon) < 0.02),
 n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, 'ghcn:' || rid) AS i FROM m WHERE m <= 1000) WHERE i = 1),
 k AS (SELECT 'ghcnh:' || id AS k, id AS canonical, id, lat, lon FROM s UNION ALL SELECT 'madis:' || c.id, n.rid, c.id, c.lat, c.lon FROM c JOIN n USING (id)),
 v AS (SELECT *, (id % 7) * 20.0 AS z, DATE '2020-01-01' + CAST(id % 400 AS INTEGER) AS f FROM k),
-p AS (SELECT c.k AS a, s.k AS b, {_HAV} AS m, abs(c.z - s.z) AS elev_diff, 500 - abs(date_diff('day', c.f, s.f)) + 1 AS days FROM v AS c JOIN v AS s ON c.canonical = s.canonical AND c.k < s.k)
+p AS (SELECT c.k AS a, s.k AS b, {_HAV} AS m, CAST(abs(c.z - s.z) AS DOUBLE) AS elev_diff, 500 - abs(date_diff('day', c.f, s.f)) AS days FROM v AS c JOIN v AS s ON c.canonical = s.canonical AND c.k < s.k)
 SELECT a AS source_station_key_a, b AS source_station_key_b, round(m, 4) AS distance_m, elev_diff, CAST(days AS INTEGER) AS overlap_days FROM p WHERE m <= 900 AND elev_diff <= 50 AND days >= 365""")
 def closest_station_pairs(spark: SparkSession, d: str) -> DataFrame:
     s, c = (network(spark, d, n).withColumns({"source_station_id": F.col("id").cast("string"), "elev_m": F.col("id") % 7 * F.lit(20.0)}) for n in ("supplier", "customer"))
