@@ -6,29 +6,33 @@ import argparse
 import json
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.operators import corrections, crosswalk, daily, diagnostics, fabric, manifest, por, release, rules
+from skyledger import schema
+from skyledger.operators import corrections, crosswalk, daily, diagnostics, fabric, manifest, por, release, rules, update, validation
 from skyledger.session import get_session, ship
 from skyledger.sources import acquire, readers, registry
 
 
-def normalize(spark: SparkSession, source: str, raw: str, out: str, *, profile: str = "strict", mask: int | None = None, start: date | None = None, end: date | None = None, dry_run: bool = False) -> DataFrame:
-    """Raw files to checked canonical rows, partitioned by source and date."""
-    s = registry.get_source(source)
-    df = s.read(spark, raw)
-    ts = "date" if "date" in df.columns else "datetime_utc"
-    df = por.in_dates(df, ts, start, end) if ts == "datetime_utc" else df
-    df = rules.apply_pipeline(df, rules.default_pipeline(source, qcr_mask=mask or rules.QCR_PROFILES[profile]), source=source)
-    if ts == "datetime_utc":
-        df = df.withColumn("obs_date", F.to_date(ts))
-    else:
-        df = df.withColumn("obs_date", F.col("date"))
-    if not dry_run:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        df.write.mode("overwrite").partitionBy("source", "obs_date").parquet(out)
-    return df
+def jobs_of(a: argparse.Namespace) -> list[acquire.Job]:
+    """The files that ingest is asked for."""
+    root, names = a.root, (a.stations or "").split(",") if a.stations else []
+    years = tuple(int(y) for y in a.years.split("-")) if a.years else (date.today().year,) * 2
+    start, end = a.start or date(years[0], 1, 1), a.end or date.today()
+    if a.source == "madis":
+        jobs = acquire.madis_jobs(start, end, root)
+        if a.user:
+            jobs = [acquire.Job(j.key, tuple(acquire.basic_auth(u, a.user, a.password or "") for u in j.urls), j.to) for j in jobs]
+        return jobs
+    if a.source == "gdas":
+        return acquire.gdas_jobs(start, end, root)
+    by_name = {
+        "isd": lambda: acquire.isd_jobs([f"data/{y}/{n}-{y}.gz" for y in range(years[0], years[-1] + 1) for n in names], root), "ghcnh": lambda: acquire.ghcnh_jobs(names, root), "ndbc": lambda: acquire.ndbc_jobs(names, (years[0], years[-1]), root),
+        "raws": lambda: [j for n in names for j in acquire.raws_jobs(n, start, end, root)], "snotel": lambda: [j for n in names for j in acquire.snotel_jobs(n, start, end, root)],
+    }
+    if a.source not in by_name:
+        raise KeyError(f"{a.source!r} has no download")
+    return by_name[a.source]()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -40,7 +44,7 @@ def parser() -> argparse.ArgumentParser:
         for a in positional:
             c.add_argument(a)
         for f in flags:
-            if f in ("overwrite", "dry-run", "resume"):
+            if f in ("overwrite", "dry-run", "keep-extra"):
                 c.add_argument(f"--{f}", action="store_true")
             elif f in ("start", "end"):
                 c.add_argument(f"--{f}", type=date.fromisoformat)
@@ -48,11 +52,13 @@ def parser() -> argparse.ArgumentParser:
                 c.add_argument(f"--{f}")
 
     command("sources")
-    command("ingest", "urls", "threads", positional=("source",))
-    command("normalize", "raw", "out", "profile", "mask", "start", "end", "dry-run", positional=("source",))
+    command("ingest", "root", "stations", "years", "start", "end", "threads", "user", "password", "dry-run", positional=("source",))
+    command("normalize", "raw", "out", "manifest", "profile", "mask", "start", "end", "overwrite", "dry-run", positional=("source",))
+    command("update", "raw", "out", "manifest", "daily", "profile", "end", "dry-run")
+    command("validate", "pairs", "ours", "theirs", "logs", "variables", "out")
     command("qaqc", "rows", "out", positional=("source",))
     command("build-hourly", "rows", "out", positional=("source",))
-    command("build-daily", "rows", "out", "start", "end", positional=("source",))
+    command("build-daily", "rows", "out", "start", "end", "keep-extra", positional=("source",))
     command("build-station-por", "rows", "out", "start", "end", "min-days", positional=("source",))
     command("inventory", "rows", "out")
     command("crosswalk-index", "rows", "out")
@@ -74,29 +80,39 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(registry.list_sources()))
         return 0
     if a.command == "ingest":
-        with open(a.urls) as f:  # lines: url destination
-            jobs = [tuple(line.split()[:2]) for line in f if line.strip()]
-        print(json.dumps(acquire.fetch_all(jobs, threads=int(a.threads or 8))))
-        return 0
+        jobs = jobs_of(a)
+        if a.dry_run:
+            print("\n".join(f"{u if isinstance(u, str) else u.full_url} {j.to}" for j in jobs for u in j.urls))
+            return 0
+        done = registry.get_source(a.source).fetch_raw(jobs, **({"threads": int(a.threads)} if a.threads else {}))
+        print(json.dumps(done))
+        return int(any(state == "failed" for _, state, _ in done))
     spark = ship(get_session())
     read = spark.read.parquet
     save = lambda df: df.write.mode("overwrite").parquet(a.out) if a.out else df.show(50, False)
     if a.command == "normalize":
-        normalize(spark, a.source, a.raw, a.out, profile=a.profile or "strict", mask=int(a.mask) if a.mask else None, start=a.start, end=a.end, dry_run=a.dry_run)
+        state = manifest.Manifest(spark, a.manifest or f"{a.out}_manifest")
+        print(update.normalize_pending(spark, a.source, a.raw, a.out, state, start=a.start, end=a.end, profile=a.profile or "strict", mask=int(a.mask) if a.mask else None, again=a.overwrite, dry_run=a.dry_run))
+    elif a.command == "update":
+        raw = dict(x.split("=", 1) for x in a.raw.split(","))
+        for done in update.update(spark, raw, a.out, a.manifest or f"{a.out}_manifest", days_out=a.daily, profile=a.profile or "permissive", end=a.end, dry_run=a.dry_run):
+            print(done)
+    elif a.command == "validate":
+        logs = spark.read.text(a.logs).select(F.input_file_name().alias("path"), F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line")) if a.logs else None
+        print(json.dumps(validation.run_validation(read(a.pairs), read(a.ours), read(a.theirs), a.out, variables=a.variables.split(","), logs=logs)))
     elif a.command == "qaqc":
         save(rules.apply_pipeline(read(a.rows), rules.default_pipeline(a.source), source=a.source))
     elif a.command == "build-hourly":
-        from skyledger import schema
-
-        wide = read(a.rows)
-        save(schema.conform(readers.to_long(wide, list(schema.QC_COLUMNS[a.source])), schema.HOURLY_LONG))
+        long = readers.to_long(read(a.rows), list(schema.QC_COLUMNS[a.source]))
+        none = {c: F.lit(None).cast("string") for c in ("raw_source_uri", "raw_file_hash") if c not in long.columns}
+        save(schema.conform_hourly(long.withColumns(none)))
     elif a.command == "build-daily":
-        save(daily.aggregate_daily_wide(daily.drop_failed(por.in_dates(read(a.rows), "datetime_utc", a.start, a.end)), source=None if a.source == "all" else a.source))
+        days = daily.aggregate_daily_wide(daily.drop_failed(por.in_dates(read(a.rows), "datetime_utc", a.start, a.end)), source=None if a.source == "all" else a.source)
+        save(schema.conform_daily(days, keep_extra=a.keep_extra))
     elif a.command == "build-station-por":
         done = por.build_station_por(read(a.rows), source=a.source, start=a.start, end=a.end, min_por_days=int(a.min_days or 0), already_daily=registry.get_source(a.source).daily)
         por.write_station_por(done.series, a.out)
-        done.skipped.write.mode("overwrite").json(f"{a.out}_skipped")
-        done.qc_skipped.write.mode("overwrite").json(f"{a.out}_qc_skipped")
+        por.write_failure_report(done, a.out, a.source)
     elif a.command == "inventory":
         save(por.inventory(read(a.rows)))
     elif a.command == "crosswalk-index":

@@ -97,6 +97,13 @@ def build_station_por(
     return StationPor(series, skipped, how.where("reason is not null").select("station_key", "reason"))
 
 
+def write_failure_report(done: StationPor, path: str, source: str) -> None:
+    """Beside the series: the stations that were left out, and the checks that were, with reasons, as JSON lines."""
+    out = done.skipped.select(F.lit(source).alias("source"), F.lit("series").alias("phase"), "station_key", "reason", F.col("days").cast("string").alias("details"))
+    checks = done.qc_skipped.select(F.lit(source).alias("source"), F.lit("rs_period_ratio").alias("phase"), "station_key", "reason", F.lit("").alias("details"))
+    out.unionByName(checks).write.mode("overwrite").json(f"{path}_failures_{source}")
+
+
 def inventory(series: DataFrame) -> DataFrame:
     """Days, first and last date and states of each station."""
     return series.groupBy("station_key").agg(

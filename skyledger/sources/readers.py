@@ -23,6 +23,13 @@ from skyledger.operators.temporal import keep_first
 from skyledger.sources import netcdf
 
 
+Paths = str | list[str]  # what every reader takes: a path or a list of them
+
+
+def _parquet(spark: SparkSession, path: Paths) -> DataFrame:
+    return spark.read.parquet(*([path] if isinstance(path, str) else path))
+
+
 def provenance(df: DataFrame, source: str, run_id: str | None = None) -> DataFrame:
     have = set(df.columns)
     new = {"source": F.lit(source), "transform_version": F.lit(schema.VERSION), "qc_rules_version": F.lit(schema.VERSION), "ingest_run_id": F.lit(run_id).cast("string")}
@@ -42,7 +49,7 @@ def _ts(*parts: Column) -> Column:
 
 
 # -- ISD ---------------------------------------------------------------------------------------------------------
-def read_isd(spark: SparkSession, path: str, *, apply_qc: bool = True, run_id: str | None = None) -> DataFrame:
+def read_isd(spark: SparkSession, path: Paths, *, apply_qc: bool = True, run_id: str | None = None) -> DataFrame:
     """Fixed-width records (plain or gz) of 105 characters at least."""
     return parse_isd(spark.read.text(path), apply_qc=apply_qc, run_id=run_id)
 
@@ -77,7 +84,7 @@ GHCNH = {
 GHCNH_BAD = ("3", "6", "7")
 
 
-def read_ghcnh(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+def read_ghcnh(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Pipe-separated station files; values of codes 3, 6, 7 are nulled and fail; pressures from hPa to Pa."""
     raw = spark.read.csv(path, sep="|", header=True)
     return normalize_ghcnh(raw.withColumn("__file", F.input_file_name()), run_id)
@@ -114,7 +121,7 @@ GHCND = {"TMAX": ("tmax", 0.1), "TMIN": ("tmin", 0.1), "TAVG": ("tmean", 0.1), "
 GHCND_FLAGS = ("D", "I", "K", "L", "N", "O", "R", "S", "T", "W", "X")
 
 
-def read_ghcnd(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+def read_ghcnd(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Daily CSV with VALUE and VALUE_ATTRIBUTES columns; the second attribute is the quality flag: the value is
     kept, its own state and the row's fail."""
     return normalize_ghcnd(spark.read.csv(path, header=True, quote='"', escape='"'), run_id)
@@ -177,7 +184,7 @@ def parse_stdmet(files: DataFrame) -> DataFrame:
     return lines.select("path", "line_no", ts.alias("datetime_utc"), *(c.alias(v) for v, c in cols.items())).where("datetime_utc is not null")
 
 
-def _decode(spark: SparkSession, path: str, decode, fields: str) -> DataFrame:
+def _decode(spark: SparkSession, path: Paths, decode, fields: str) -> DataFrame:
     """Whole files through a Python decoder, one file at a time on executors; rows carry the file's path.  A file that
     cannot be decoded gives one row with its error, so that it is reported and the rest goes on."""
     schema_ = T._parse_datatype_string(f"{fields}, path string, error string")
@@ -207,7 +214,7 @@ def unzip(path: str, content: bytes) -> bytes:
     return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else bytes(content)
 
 
-def read_ndbc_text(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+def read_ndbc_text(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Standard meteorological files (plain or gz); of a station's rows of one time the first file's stays, history before latest."""
     files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
     return normalize_ndbc(parse_stdmet(files), run_id)
@@ -220,9 +227,9 @@ def normalize_ndbc(rows: DataFrame, run_id: str | None = None) -> DataFrame:
     return provenance(keep_first(df, ["source_station_id", "datetime_utc"], ["__late", "path", "line_no"]).drop("__late", "path", "line_no"), "ndbc", run_id)
 
 
-def read_ndbc_parquet(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+def read_ndbc_parquet(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Parsed files: the first column whose name has date or time in it is the time, else the first."""
-    return normalize_ndbc_parsed(spark.read.parquet(path), F.upper(stem(F.input_file_name())), run_id)
+    return normalize_ndbc_parsed(_parquet(spark, path), F.upper(stem(F.input_file_name())), run_id)
 
 
 def normalize_ndbc_parsed(df: DataFrame, station: Column, run_id: str | None = None) -> DataFrame:
@@ -264,9 +271,10 @@ def normalize_raws(df: DataFrame, run_id: str | None = None) -> DataFrame:
     return provenance(df.withColumns({"day_basis": F.lit("local"), "obs_count": F.lit(1)}), "raws_wrcc", run_id)
 
 
-def read_raws(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+def read_raws(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """CSV or Parquet of daily measures; the station is the file's name."""
-    df = spark.read.parquet(path) if path.endswith("parquet") else spark.read.csv(path, header=True)
+    first = path if isinstance(path, str) else path[0]
+    df = _parquet(spark, path) if first.endswith("parquet") else spark.read.csv(path, header=True)
     df = df.withColumns({"source_station_id": stem(F.input_file_name()), "date": F.col("date").try_cast("date")})
     return normalize_raws(df, run_id)
 
@@ -277,7 +285,7 @@ SNOTEL_DAILY = {"swe": "swe", "tmin": "tmin", "tmax": "tmax", "tavg": "tmean", "
 SNOTEL_HOURLY = {"WTEQ": "swe", "SNWD": "snow_depth", "PREC": "prcp", "TOBS": "tair"}
 
 
-def read_snotel_daily(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+def read_snotel_daily(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Legacy daily CSV; precipitation is cumulative."""
     return normalize_snotel_daily(spark.read.csv(path, header=True).withColumn("__file", F.input_file_name()), run_id)
 
@@ -301,9 +309,9 @@ def normalize_snotel_daily(raw: DataFrame, run_id: str | None = None) -> DataFra
     return provenance(df.withColumns({"day_basis": F.lit("local"), "obs_count": F.lit(1)}), "snotel", run_id)
 
 
-def read_snotel_hourly(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+def read_snotel_hourly(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Hourly Parquet in UTC; elevation in feet; the id is the triplet's first part, else the file's name."""
-    return normalize_snotel_hourly(spark.read.parquet(path), stem(F.input_file_name()), run_id)
+    return normalize_snotel_hourly(_parquet(spark, path), stem(F.input_file_name()), run_id)
 
 
 def normalize_snotel_hourly(df: DataFrame, station: Column, run_id: str | None = None) -> DataFrame:
@@ -332,7 +340,7 @@ ECCC = {"Temp": ("tair", 1.0), "Dew Point Temp": ("td", 1.0), "Rel Hum": ("rh",
 ECCC_FAIL, ECCC_SUSPECT, ECCC_PASS = ("M", "N", "Y"), ("E", "A", "C", "L", "B", "F", "^", "D"), ("", "S", "T", "†")
 
 
-def read_eccc(spark: SparkSession, path: str, *, province: str | None = None, run_id: str | None = None) -> DataFrame:
+def read_eccc(spark: SparkSession, path: Paths, *, province: str | None = None, run_id: str | None = None) -> DataFrame:
     """Hourly CSV in Latin-1 and local standard time.  Flags give states; a failed value is nulled, trace precipitation
     is 0; of rows of one time the first file's stays."""
     return normalize_eccc(spark.read.csv(path, header=True, encoding="ISO-8859-1").withColumn("__file", F.input_file_name()), province=province, run_id=run_id)
@@ -399,12 +407,12 @@ MADIS_FIELDS = (
 )
 
 
-def scan_madis(spark: SparkSession, path: str) -> DataFrame:
+def scan_madis(spark: SparkSession, path: Paths) -> DataFrame:
     """Native rows of hourly netCDF files, and a row with its error for each file that cannot be read."""
     return _decode(spark, path, decode_madis, MADIS_FIELDS)
 
 
-def read_madis(spark: SparkSession, path: str, *, bounds: tuple[float, float, float, float] | None = None, qcr_mask: int = 115, run_id: str | None = None) -> DataFrame:
+def read_madis(spark: SparkSession, path: Paths, *, bounds: tuple[float, float, float, float] | None = None, qcr_mask: int = 115, run_id: str | None = None) -> DataFrame:
     """Hourly netCDF files; bounds west, south, east, north, half open; then the extract checks and canonical columns.
     Files that cannot be read are in decode_failures(scan_madis(...))."""
     return extract_madis(scan_madis(spark, path), bounds=bounds, qcr_mask=qcr_mask, run_id=run_id)
@@ -466,8 +474,8 @@ def normalize_gdas(df: DataFrame, run_id: str | None = None) -> DataFrame:
     return out.withColumns({"station_key": F.concat_ws(":", "source", "source_station_id"), **new})
 
 
-def read_gdas_parquet(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    return normalize_gdas(spark.read.parquet(path), run_id)
+def read_gdas_parquet(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
+    return normalize_gdas(_parquet(spark, path), run_id)
 
 
 def archive_members(path: str, content: bytes) -> list[tuple[str, int, bytes]]:
@@ -525,6 +533,11 @@ def readable_parquet(spark: SparkSession, path: str, source: str = "") -> tuple[
     return good, report
 
 
+def failures_of(spark: SparkSession, source: str, paths: Paths) -> DataFrame | None:
+    """The failure report of raw files of a source that decodes whole files; None for the others."""
+    return decode_failures(scan_madis(spark, paths), "madis") if source == "madis" else None
+
+
 def station_metadata(df: DataFrame) -> DataFrame:
     """One row for each station: the latest place, by an aggregate that merges on the map side."""
     cols = [c for c in ("source", "source_station_id", "lat", "lon", "elev_m") if c in df.columns]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
@@ -9,6 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.sources import acquire
 from skyledger.sources import readers as R
 
 
@@ -22,17 +24,32 @@ class Source:
     parallel: bool = True
     note: str = ""
 
+    def fetch_raw(self, jobs: list[acquire.Job], **how) -> list[tuple[str, str, str]]:
+        """(key, state, message) of the files that are had from the source's addresses."""
+        return acquire.run_jobs(jobs, threads=how.pop("threads", 8 if self.parallel else 1), **how)
 
-def _snotel(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    def output_filename(self, key: str) -> str:
+        return f"{key.removesuffix('.gz').replace('/', '_')}.parquet"
+
+
+def _has_parquet(spark: SparkSession, path: R.Paths) -> bool:
+    """Whether there are Parquet files: among the named ones, or in the folder, of any file system."""
+    if not isinstance(path, str):
+        return any(p.endswith(".parquet") for p in path)
+    if path.endswith(".parquet"):
+        return True
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    return not names.where("path like '%.parquet'").isEmpty()
+
+
+def _snotel(spark: SparkSession, path: R.Paths, run_id: str | None = None) -> DataFrame:
     """Hourly where there are Parquet files, else the daily CSV."""
-    p = Path(path)
-    hourly = path.endswith(".parquet") or (p.is_dir() and any(p.glob("*.parquet")))
+    hourly = _has_parquet(spark, path)
     return (R.read_snotel_hourly if hourly else R.read_snotel_daily)(spark, path, run_id)
 
 
-def _ndbc(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    p = Path(path)
-    parsed = path.endswith(".parquet") or (p.is_dir() and any(p.glob("*.parquet")))
+def _ndbc(spark: SparkSession, path: R.Paths, run_id: str | None = None) -> DataFrame:
+    parsed = _has_parquet(spark, path)
     return (R.read_ndbc_parquet if parsed else R.read_ndbc_text)(spark, path, run_id)
 
 
@@ -71,5 +88,7 @@ def discover_keys(name: str, root: str, start: date | None = None, end: date | N
     files = sorted(f for f in base.rglob("*") if f.is_file() and (f.name.endswith(tuple(x for x in s.suffixes if x)) or ("" in s.suffixes and not f.suffix)))
     if s.keys == "year_files":
         return [f"{f.parent.name}/{f.name}" for f in files if not start or not f.parent.name.isdigit() or start.year <= int(f.parent.name) <= (end or start).year]
+    if name == "eccc":
+        return sorted({m[1].upper() for f in files if (m := re.search(r"_([A-Za-z]{2}_[0-9A-Za-z]+)_[^_]*$", f.name))})
     stems = {f.name.split(".")[0] for f in files if "inventory" not in f.name}
     return sorted({x.upper() for x in stems} if name == "ndbc" else stems)
