@@ -341,8 +341,9 @@ def _tiles(batches: Iterator[pa.RecordBatch], values) -> Iterator[tuple[tuple, l
         yield tile(now, held)
 
 
-def _sift(pct: int):
-    """The rows (pfp, pn, x, y, a, part, c) that have a candidate in their tile, by the orders B and C."""
+def _sift(pct: int, apart_: bool):
+    """The rows (pfp, pn, x, y, a, part, c) that have a candidate in their tile, by the orders B and C.  A few sets go under
+    their least id (pn -1), so that what several groups share is sent once; apart_: under all their ids (pn below -1)."""
 
     def values(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         for n, sign in zip(*(v.to_pylist() for v in columns(batch, "n", "signature"))):
@@ -358,9 +359,9 @@ def _sift(pct: int):
             n = np.array([r[3][0] for r in rows], np.int64)
             ok = _candidates(n, [[r[3][1][k] for r in rows] for k in range(len(ORDERS))], apart, pct)
             kept = [rows[i] for i in np.flatnonzero(ok.any(0))]
-            if key[2] == key[3] and 0 < len(kept) <= FEW:  # named by its ids: the same few sets of several groups are sent once
+            if key[2] == key[3] and 0 < len(kept) <= FEW:
                 ids = np.sort(np.array([r[0] for r in kept], np.int64))
-                name = -1 - int(X.gram_hashes(ids.view(U64), len(ids), seed=13)[0] >> U64(1))
+                name = -2 - int(X.gram_hashes(ids.view(U64), len(ids), seed=13)[0] >> U64(2)) if apart_ else -1
                 out += [(int(ids[0]), name, 0, 0, a, 0, c) for a, _, c, _ in kept]
             else:
                 out += [(*key, *r[:3]) for r in kept]
@@ -425,7 +426,13 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
         key = ["pfp", "pn", "x", "y"]
         signed = named.hint("merge").join(described.select(F.col("doc_id").alias("a"), "signature"), "a").select(*_TILE.names, "n", "signature")
         kinds = "pfp long, pn long, x int, y int, a long, part int, c long"
-        sifted = stored(signed.repartition(*key).sortWithinPartitions(*key).mapInArrow(_sift(pct), kinds).distinct())
+        dealt = signed.repartition(*key).sortWithinPartitions(*key)
+        sifted = stored(dealt.mapInArrow(_sift(pct, False), kinds).distinct())
+        # An id that is the least of very many small groups has them apart, so that no tile grows with their number.
+        large = stored(sifted.where("pn = -1").groupBy("pfp", "pn").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > MOST_SETS), ids=True)
+        if not large.isEmpty():
+            again = dealt.mapInArrow(_sift(pct, True), kinds).where("pn < -1").join(large.select("pfp"), "pfp", "left_semi").distinct()
+            sifted = stored(sifted.join(large, ["pfp", "pn"], "left_anti").select(*_TILE.names).union(again.select(*_TILE.names)))
         full = sifted.hint("merge").join(docs.select(F.col("doc_id").alias("a"), "text"), "a").select(*_TILE.names, "text")
         return stored(full.repartition(*key).sortWithinPartitions(*key).mapInArrow(_search(size, pct), "a long, b long"))
 

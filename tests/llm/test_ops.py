@@ -143,6 +143,23 @@ def test_jaccard_large_group(spark, monkeypatch, most):
     assert got == jaccard_brute(texts, 90, 3)
 
 
+def test_jaccard_least_of_many_groups(spark, monkeypatch):
+    """An id that is the least of many small groups: these go apart, with the same components."""
+    r = random.Random(9)
+    base = [f"w{k}" for k in range(400)]
+    texts = [(0, " ".join(base))]
+    for i in range(1, 16):  # each shares the first text's words but for a stretch of its own
+        w = list(base)
+        w[25 * i : 25 * i + 5] = [f"x{i}y{j}" for j in range(5)]
+        texts.append((i, " ".join(w)))
+    texts += [(20 + i, " ".join(r.choice(base) for _ in range(30))) for i in range(10)]
+    monkeypatch.setattr(jaccard_join, "MOST_SETS", 3)
+    monkeypatch.setattr(jaccard_join, "FEW", 40)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(df, spark).collect()}
+    assert got == jaccard_brute(texts, 90, 3)
+
+
 def test_jaccard_hot_tokens(spark, docs, rows, monkeypatch):
     """Tokens of more classes than one task is to group (here all that repeat in a batch): same components."""
     used, hot = [], jaccard_join._hot_groups
