@@ -2,12 +2,14 @@
 
 Each partition sends the cells that it touches with their counts, as 16-bit places within blocks of 65,536 cells; blocks
 merge on executors, one at a time, and come back as bits.  The number of cells follows the input between two bounds
-(2 rows of 2^20 to 2^29 cells, two bits a cell: 256 MB at most).  It overestimates, so no repeated hash is lost; a sketch
+(2 rows of 2^20 to 2^29 cells, a bit each: 128 MB at most, sent packed; cells that are touched very often are a list, which
+holds less than one for OFTEN of the input's hashes).  It overestimates, so no repeated hash is lost; a sketch
 that is too small only lets more through to the exact pass.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -21,7 +23,7 @@ from skyledger.llm._spark import columns
 
 ROWS = 2
 LEAST_LOG, MOST_LOG = 20, 29
-CELLS_EACH = 8  # cells for each hash that is expected
+CELLS_EACH = 4  # cells for each hash that is expected
 OFTEN = 1 << 16  # counts from which a hash is dealt out by its surroundings
 U64 = X.U64
 
@@ -35,22 +37,29 @@ def _cells(h: np.ndarray, row: int, log_cells: int) -> np.ndarray:
 @dataclass
 class Sketch:
     repeated: np.ndarray  # one bit a cell
-    often: np.ndarray
+    often: np.ndarray  # the sorted numbers of cells
     log_cells: int
 
-    def _all(self, h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    def __getstate__(self) -> tuple[bytes, np.ndarray, int]:
+        return zlib.compress(self.repeated.tobytes(), 1), self.often, self.log_cells
+
+    def __setstate__(self, state: tuple[bytes, np.ndarray, int]) -> None:
+        self.repeated, self.often, self.log_cells = np.frombuffer(zlib.decompress(state[0]), np.uint8), state[1], state[2]
+
+    def may_repeat(self, h: np.ndarray) -> np.ndarray:
         ok = np.ones(len(h), bool)
         for row in range(ROWS):
             cell = _cells(h, row, self.log_cells)
             at = (cell >> np.uint32(3)).astype(np.int64) + ((row << self.log_cells) >> 3)
-            ok &= (bits[at] >> (cell & np.uint32(7)).astype(np.uint8)) & 1 > 0
+            ok &= (self.repeated[at] >> (cell & np.uint32(7)).astype(np.uint8)) & 1 > 0
         return ok
 
-    def may_repeat(self, h: np.ndarray) -> np.ndarray:
-        return self._all(h, self.repeated)
-
     def may_be_often(self, h: np.ndarray) -> np.ndarray:
-        return self._all(h, self.often) if len(self.often) else np.zeros(len(h), bool)
+        ok = np.full(len(h), len(self.often) > 0)
+        for row in range(ROWS if len(self.often) else 0):
+            cell = _cells(h, row, self.log_cells).astype(np.int64) + (row << self.log_cells)
+            ok &= self.often[np.minimum(np.searchsorted(self.often, cell), len(self.often) - 1)] == cell
+        return ok
 
 
 def log_cells_for(docs: DataFrame, share: float) -> int:
@@ -79,9 +88,9 @@ def _touch(hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], log_cells:
 
 
 def _merge(often: int):
-    def bits(total: np.ndarray) -> tuple[bytes, bytes | None]:
-        many = total >= often
-        return np.packbits(total > 1, bitorder="little").tobytes(), np.packbits(many, bitorder="little").tobytes() if many.any() else None
+    def bits(total: np.ndarray) -> tuple[bytes, bytes]:
+        packed = zlib.compress(np.packbits(total > 1, bitorder="little").tobytes(), 1)
+        return packed, np.flatnonzero(total >= often).astype(np.uint16).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total, done = None, None, []
@@ -105,10 +114,8 @@ def sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
     rows = df.mapInArrow(_touch(hashes, log_cells), "block int, cells binary, counts binary").repartition("block").sortWithinPartitions("block")
     rows = rows.mapInArrow(_merge(often), "block int, repeated binary, often binary")
     size = (ROWS << log_cells) >> 3
-    out, many = np.zeros(size, np.uint8), None
-    for block, bits, hot in rows.collect():  # two bits a cell at most
-        out[block << 13 : (block + 1) << 13] = np.frombuffer(bits, np.uint8)
-        if hot is not None:
-            many = np.zeros(size, np.uint8) if many is None else many
-            many[block << 13 : (block + 1) << 13] = np.frombuffer(hot, np.uint8)
-    return Sketch(out, np.zeros(0, np.uint8) if many is None else many, log_cells)
+    out, many = np.zeros(size, np.uint8), [np.zeros(0, np.int64)]
+    for block, bits, hot in rows.collect():  # a bit a cell at most, and few cells
+        out[block << 13 : (block + 1) << 13] = np.frombuffer(zlib.decompress(bits), np.uint8)
+        many.append(np.frombuffer(hot, np.uint16).astype(np.int64) + (block << 16))
+    return Sketch(out, np.sort(np.concatenate(many)), log_cells)
