@@ -44,6 +44,7 @@ MOST_SETS, MOST_TOKENS = 2048, 1 << 21  # of a part, about; a longer set is a pa
 MOST_CLASSES = 1 << 20  # of a token that one task groups; those of more are dealt out over SALTS
 SALTS = 64
 ORDERS = (11, 12)  # seeds of the orders B and C
+NEAR = 8  # classes of a token that are held against one another by place
 FEW = 6  # sets up to which pairs are compared one by one
 BLOCK = 1024  # columns of a matrix product
 
@@ -147,27 +148,31 @@ def _level(count: int) -> int:
     return int(min(np.log2(1.0 + count) * 4, 255))
 
 
-def _prefix_tokens(batch: pa.RecordBatch, size: int, pct: int, logs: np.ndarray, level: int, hot: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token, fp, n): the prefix tokens under A of each different set of the batch, either the hot ones or the others."""
-    seen, tokens, fps, ns = set(), [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+def _prefix_tokens(batch: pa.RecordBatch, size: int, pct: int, logs: np.ndarray, level: int, hot: bool) -> tuple[np.ndarray, ...]:
+    """(token, fp, n, place): the prefix tokens under A of each different set of the batch, either the hot ones or the
+    others; place: how far along the prefix a token stands, in 255ths, rounded down."""
+    seen, tokens, fps, ns, places = set(), [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.uint8)]
     for s in shingle_sets(columns(batch, "text")[0], size):
         n, fp = len(s), _fingerprint(s)
         if not n or (n, int(fp)) in seen:
             continue
         seen.add((n, int(fp)))
         p = _prefix(n, pct)
-        key = np.partition(_order_a(s, logs), p - 1)[:p]
-        key = key[(key >> U64(56) > U64(level)) == hot]
+        key = np.sort(np.partition(_order_a(s, logs), p - 1)[:p])
+        place = (np.searchsorted(key, key) * 255 // p).astype(np.uint8)
+        some = (key >> U64(56) > U64(level)) == hot
+        key = key[some]
         tokens.append(X.mix(key, 5))
         fps.append(np.full(len(key), fp))
         ns.append(np.full(len(key), min(n, 0xFFFFFFFF), np.uint32))
-    return np.concatenate(tokens), np.concatenate(fps), np.concatenate(ns)
+        places.append(place[some])
+    return np.concatenate(tokens), np.concatenate(fps), np.concatenate(ns), np.concatenate(places)
 
 
 def _emit_hot(size: int, pct: int, order, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            t, fp, n = _prefix_tokens(batch, size, pct, order.value, level, True)
+            t, fp, n, _ = _prefix_tokens(batch, size, pct, order.value, level, True)
             yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(fp), pa.array(n.astype(np.int64))], ["token", "fp", "n"])
 
     return run
@@ -187,14 +192,14 @@ def _emit(size: int, pct: int, order, level: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            t, fp, n = _prefix_tokens(batch, size, pct, order.value, level, False)
+            t, fp, n, place = _prefix_tokens(batch, size, pct, order.value, level, False)
             if not len(t):
                 continue
             bucket = ((t >> U64(32)) % U64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
             cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(buckets, dtype=np.int32)), X.blobs(t[by].astype(np.uint32), cut), X.blobs(fp[by], cut), X.blobs(n[by], cut)], ["bucket", "token", "fp", "n"]
+                [pa.array(np.arange(buckets, dtype=np.int32)), X.blobs(t[by].astype(np.uint32), cut), X.blobs(fp[by], cut), X.blobs(n[by], cut), X.blobs(place[by], cut)], ["bucket", "token", "fp", "n", "place"]
             ).filter(pa.array(np.diff(cut) > 0))
 
     return run
@@ -202,24 +207,33 @@ def _emit(size: int, pct: int, order, level: int, buckets: int):
 
 def _buckets(pct: int):
     """From tokens to groups: rows (fp, n, pfp, pn), the classes that share a token and the least class among them.
-    Sizes with a gap that no link can cross are apart."""
+    Sizes with a gap that no link can cross are apart.  In a group of up to NEAR classes, one stays only if the token can
+    be the first under A that it shares with another: what follows the token in both must be enough for a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for batch in batches:
-            for bucket, *blobs in zip(*(c.to_pylist() for c in columns(batch, "bucket", "token", "fp", "n"))):
-                held.setdefault(bucket, []).append(tuple(np.frombuffer(x, d) for x, d in zip(blobs, (np.uint32, np.int64, np.uint32))))
+            for bucket, *blobs in zip(*(c.to_pylist() for c in columns(batch, "bucket", "token", "fp", "n", "place"))):
+                held.setdefault(bucket, []).append(tuple(np.frombuffer(x, d) for x, d in zip(blobs, (np.uint32, np.int64, np.uint32, np.uint8))))
         for bucket in list(held):
-            t, fp, n = (np.concatenate(x) for x in zip(*held.pop(bucket)))
-            order = np.lexsort((fp, n, t))
-            t, fp, n = t[order], fp[order], n[order].astype(np.int64)
+            t, fp, n, place = (np.concatenate(x) for x in zip(*held.pop(bucket)))
+            order = np.lexsort((place, fp, n, t))  # of a class's places the first stays, should two of its tokens share t
+            t, fp, n, place = t[order], fp[order], n[order].astype(np.int64), place[order]
             fresh = np.ones(len(t), bool)
             fresh[1:] = (t[1:] != t[:-1]) | (fp[1:] != fp[:-1]) | (n[1:] != n[:-1])
-            t, fp, n = t[fresh], fp[fresh], n[fresh]
+            t, fp, n, place = t[fresh], fp[fresh], n[fresh], place[fresh]
             new = np.concatenate(([True], (t[1:] != t[:-1]) | (n[:-1] * 100 < n[1:] * pct)))
             run_ = np.cumsum(new) - 1
-            many = np.bincount(run_)[run_] > 1
-            fp, n, run_ = fp[many], n[many], run_[many]
+            count = np.bincount(run_)[run_]
+            # Tokens from this one on, at most: place is rounded down.
+            rest = n - -(-place.astype(np.int64) * (n - -(-pct * n // 100) + 1) // 255)
+            kept = count > NEAR
+            for d in range(1, min(NEAR, len(n))):
+                need = -(-pct * (n[d:] + n[:-d]) // (100 + pct))
+                pair = np.flatnonzero((run_[d:] == run_[:-d]) & (rest[d:] >= need) & (rest[:-d] >= need))
+                kept[pair] = kept[pair + d] = True
+            kept &= count > 1
+            fp, n, run_ = fp[kept], n[kept], run_[kept]
             if not len(fp):
                 continue
             rank = X.mix(fp.view(U64) ^ n.view(U64), 31)
@@ -408,7 +422,7 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
     stored = scratch.stored
     described = stored(docs.mapInArrow(_describe(size, pct), "doc_id long, n long, fp long, signature binary"))
     classes = stored(described.where("n > 0").groupBy("n", "fp").agg(F.min("doc_id").alias("id")), ids=True)
-    members = docs.select("text").mapInArrow(_emit(size, pct, order, level, buckets), "bucket int, token binary, fp binary, n binary")
+    members = docs.select("text").mapInArrow(_emit(size, pct, order, level, buckets), "bucket int, token binary, fp binary, n binary, place binary")
     members = members.repartition("bucket").mapInArrow(_buckets(pct), "fp long, n long, pfp long, pn long")
     if logs.max() > level:
         members = members.union(_hot_groups(docs, size, pct, order, level))

@@ -143,6 +143,23 @@ def test_jaccard_large_group(spark, monkeypatch, most):
     assert got == jaccard_brute(texts, 90, 3)
 
 
+@pytest.mark.parametrize("near", [1, 8, 1000])
+@pytest.mark.parametrize("pct,size", [(90, 3), (80, 5), (60, 1)])
+def test_jaccard_by_place(spark, monkeypatch, near, pct, size):
+    """The filter by place loses no link, whatever the size of the groups that it looks at."""
+    r = random.Random(near + pct)
+    monkeypatch.setattr(jaccard_join, "NEAR", near)
+    texts = []
+    for i in range(60):
+        w = texts[r.randrange(len(texts))][1].split() if texts and r.random() < 0.7 else [f"v{r.randrange(400)}" for _ in range(r.randint(5, 90))]
+        for _ in range(r.randint(0, 4)):
+            k = r.randrange(len(w) + 1)
+            w[k : k + r.randint(0, 2)] = [f"v{r.randrange(400)}"] * r.randint(0, 2)
+        texts.append((i, " ".join(w)))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), spark, pct=pct, size=size).collect()}
+    assert got == jaccard_brute(texts, pct, size)
+
+
 def test_jaccard_least_of_many_groups(spark, monkeypatch):
     """An id that is the least of many small groups: these go apart, with the same components."""
     r = random.Random(9)
