@@ -196,9 +196,3 @@ def keep_below(docs: DataFrame, model: Model, features: Features, spark: SparkSe
 
 def verdicts(scored: DataFrame, mod: int, held: int, threshold: float = 0.3) -> DataFrame:
     return scored.select("doc_id", F.coalesce(crc_mod(F.col("doc_id"), mod) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
-
-
-def distinct_by_row(features: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct features of each row and their offsets."""
-    parts = [np.unique(features[a:b]) for a, b in zip(rows[:-1].tolist(), rows[1:].tolist())]
-    return np.concatenate([np.zeros(0, np.uint64), *parts]), np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
