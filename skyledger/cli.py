@@ -110,7 +110,9 @@ def main(argv: list[str] | None = None) -> int:
         days = daily.aggregate_daily_wide(daily.drop_failed(por.in_dates(read(a.rows), "datetime_utc", a.start, a.end)), source=None if a.source == "all" else a.source)
         save(schema.conform_daily(days, keep_extra=a.keep_extra))
     elif a.command == "build-station-por":
-        done = por.build_station_por(read(a.rows), source=a.source, start=a.start, end=a.end, min_por_days=int(a.min_days or 0), already_daily=registry.get_source(a.source).daily)
+        good, broken = readers.readable_parquet(spark, a.rows, a.source)
+        broken.write.mode("overwrite").json(f"{a.out}_unreadable_{a.source}")
+        done = por.build_station_por(spark.read.option("basePath", a.rows).parquet(*good), source=a.source, start=a.start, end=a.end, min_por_days=int(a.min_days or 0), already_daily=registry.get_source(a.source).daily)
         por.write_station_por(done.series, a.out)
         por.write_failure_report(done, a.out, a.source)
     elif a.command == "inventory":

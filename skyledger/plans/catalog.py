@@ -71,13 +71,14 @@ def daily_long(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH q AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
 s AS (SELECT *, CASE WHEN k % 7 = 0 THEN 2 WHEN k % 5 = 0 THEN 1 ELSE 0 END AS rk, CASE WHEN k % 7 = 0 THEN 'k7' WHEN k % 5 = 0 THEN 'k5' END AS reason FROM q),
-f AS (SELECT user_id, CAST(ts AS DATE) AS date, max(rk) AS rk, array_to_string(list_sort(list(DISTINCT reason) FILTER (WHERE reason IS NOT NULL)), ',') AS reasons FROM s GROUP BY ALL)
-SELECT 'ev:' || user_id AS station_key, date, CASE rk WHEN 2 THEN 'fail' WHEN 1 THEN 'suspect' ELSE 'pass' END AS qc_state, coalesce(reasons, '') AS qc_reasons FROM f""")
+o AS (SELECT user_id, CAST(ts AS DATE) AS date, reason, min(ts) AS first FROM s WHERE reason IS NOT NULL GROUP BY ALL), l AS (SELECT user_id, date, string_agg(reason, ',' ORDER BY first) AS reasons FROM o GROUP BY ALL),
+f AS (SELECT user_id, CAST(ts AS DATE) AS date, max(rk) AS rk FROM s GROUP BY ALL)
+SELECT 'ev:' || f.user_id AS station_key, f.date, CASE rk WHEN 2 THEN 'fail' WHEN 1 THEN 'suspect' ELSE 'pass' END AS qc_state, coalesce(reasons, '') AS qc_reasons FROM f LEFT JOIN l ON l.user_id = f.user_id AND l.date = f.date""")
 def daily_qc_rollup(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("k")
     rows = hourly(spark, d).withColumns({"qc_state": F.when(k % 7 == 0, "fail").when(k % 5 == 0, "suspect").otherwise("pass"), "qc_reason_codes": F.when(k % 7 == 0, "k7").when(k % 5 == 0, "k5").otherwise("")})
     out = daily.aggregate_daily_wide(rows.drop("source"), source="madis")
-    return out.select("station_key", "date", "qc_state", F.array_join(F.array_sort(F.filter(F.split("qc_reason_codes", ","), lambda x: x != "")), ",").alias("qc_reasons"))
+    return out.select("station_key", "date", "qc_state", F.col("qc_reason_codes").alias("qc_reasons"))
 
 
 @query("""WITH m AS (SELECT *, median(value) OVER (PARTITION BY event_type, month(ts)) AS med, count(*) OVER (PARTITION BY event_type, month(ts)) AS n FROM events),

@@ -510,8 +510,10 @@ def read_gdas_archive(spark: SparkSession, path: str, decode, fields: str, run_i
 
 # -- all ---------------------------------------------------------------------------------------------------------
 def readable_parquet(spark: SparkSession, path: str, source: str = "") -> tuple[list[str], DataFrame]:
-    """The Parquet files under a path that can be opened, and a failure report of the others.  Footers are read in tasks;
-    only names come to the driver, which needs them to scan."""
+    """The Parquet files under a path that can be opened, and a failure report of the others.
+
+    A scan without columns reads footers only and passes over files that it cannot open; only the files that it did not
+    see (broken, or without rows) are looked at as bytes.  Names come to the driver, which needs them to scan."""
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
@@ -526,11 +528,17 @@ def readable_parquet(spark: SparkSession, path: str, source: str = "") -> tuple[
                     errors.append(f"{type(e).__name__}: {str(e).splitlines()[0][:200]}")
             yield pd.DataFrame({"path": frame["path"], "error": errors})
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
-    probed = files.select("path", "content").mapInPandas(probe, "path string, error string").persist()
-    good = sorted(r.path for r in probed.where("error is null").select("path").collect())  # names of files
-    report = decode_failures(probed, source).withColumn("phase", F.lit("read"))
-    return good, report
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    names = {r.path for r in listed.load(path).select("path").collect()}  # names of files
+    opened = spark.read.schema("`none` string").option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    plain = lambda p: re.sub("^file:/+", "/", p)
+    seen = {plain(r[0]) for r in opened.parquet(path).select(F.input_file_name()).distinct().collect()}  # names of files
+    odd = sorted(p for p in names if plain(p) not in seen)
+    if not odd:
+        return sorted(names), spark.createDataFrame([], schema.FAILURE)
+    probed = spark.read.format("binaryFile").load(odd).select("path", "content").mapInPandas(probe, "path string, error string").persist()
+    bad = {r.path for r in probed.where("error is not null").select("path").collect()}  # names of files
+    return sorted(names - bad), decode_failures(probed, source).withColumn("phase", F.lit("read"))
 
 
 def failures_of(spark: SparkSession, source: str, paths: Paths) -> DataFrame | None:
