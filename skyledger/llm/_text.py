@@ -182,8 +182,8 @@ def equal_stretches(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.nda
     out = np.zeros(len(a), bool)
     cut = np.concatenate(([0], np.cumsum(size)))
     lo = 0
-    while lo < len(a):  # some four MB at a time
-        hi = max(int(np.searchsorted(cut, cut[lo] + (1 << 22), "right")) - 1, lo + 1)
+    while lo < len(a):  # some quarter of a MB at a time
+        hi = max(int(np.searchsorted(cut, cut[lo] + (1 << 18), "right")) - 1, lo + 1)
         at = cut[lo:hi] - cut[lo]
         step = np.arange(cut[hi] - cut[lo]) - np.repeat(at, size[lo:hi])
         same = data[np.repeat(a[lo:hi], size[lo:hi]) + step] == data[np.repeat(b[lo:hi], size[lo:hi]) + step]

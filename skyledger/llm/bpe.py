@@ -27,7 +27,7 @@ from skyledger.llm import _text as X
 from skyledger.llm._spark import columns
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
-SLICE = 4 << 20  # bytes whose distinct pretokens are encoded together
+SLICE = 2 << 20  # bytes whose distinct pretokens are encoded together
 LONG = 48  # bytes from which a pretoken runs by itself
 
 
@@ -367,14 +367,19 @@ def codec(path: str) -> Codec:
 CHUNK = 1 << 16  # ids that the decoder is fed at once
 
 
-def _run(path: str, keep: bool):
+def _run(path: str, keep: tuple[str, ...]):
+    """A batch for each slice of texts, so that what is held follows the slice."""
+    kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(), "ids": pa.binary(), "decoded": pa.string()}
+    names = [n for n in kinds if n in keep or n not in KEPT]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for batch in batches:
             doc, texts = columns(batch, "doc_id", "text")
-            out = []
-            for _, ids, rows in c.encode(texts):
+            doc = doc.cast(pa.int64())
+            for first, ids, rows in c.encode(texts):
                 raw = ids.astype("<u4")
+                out: dict[str, list] = {n: [] for n in names}
                 for lo, hi in zip(rows[:-1].tolist(), rows[1:].tolist()):
                     mine, decoder, digest, pieces = raw[lo:hi], StreamDecoder(c), hashlib.sha256(), []
                     for k in range(0, hi - lo, CHUNK):
@@ -382,17 +387,24 @@ def _run(path: str, keep: bool):
                         digest.update(pieces[-1].encode())
                     pieces.append(decoder.close())
                     digest.update(pieces[-1].encode())
-                    out.append((hi - lo, hashlib.sha256(mine.tobytes()).hexdigest(), digest.hexdigest(), mine.tobytes() if keep else None, "".join(pieces) if keep else None))
-            cols = list(zip(*out)) if out else [[]] * 5
-            arrays = [pa.array(v, k) for v, k in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([doc.cast(pa.int64()), *arrays[: 5 if keep else 3]], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: 6 if keep else 4])
+                    out["n_tokens"].append(hi - lo)
+                    out["ids_sha256"].append(hashlib.sha256(mine.tobytes()).hexdigest())
+                    out["decoded_sha256"].append(digest.hexdigest())
+                    if "ids" in keep:
+                        out["ids"].append(mine.tobytes())
+                    if "decoded" in keep:
+                        out["decoded"].append("".join(pieces))
+                yield pa.RecordBatch.from_arrays([doc.slice(first, len(rows) - 1), *(pa.array(out[n], kinds[n]) for n in names)], ["doc_id", *names])
 
     return run
 
 
-def bpe_round_trip(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", keep: bool = True) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]): ids as little-endian unsigned 32-bit integers.
+KEPT = ("ids", "decoded")  # what is returned besides the counts and digests, unless it is not asked for
+
+
+def bpe_round_trip(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = KEPT) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids][, decoded]): ids as little-endian unsigned 32-bit integers.
     No shuffle; ``path`` is a rank file that every worker can read."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * keep
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * ("ids" in keep) + ", decoded string" * ("decoded" in keep)
     return docs.mapInArrow(_run(path, keep), schema)

@@ -47,7 +47,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.bpe_round_trip(table(ship(spark), sf_dir, "documents"), vocabulary(), keep=False)
+    return bpe.bpe_round_trip(table(ship(spark), sf_dir, "documents"), vocabulary(), keep=())
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
