@@ -42,7 +42,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each document; null and empty texts have no ids."""
     ship(spark)
-    return bpe.bpe_round_trip(docs, vocabulary()).drop("decoded")
+    return bpe.bpe_round_trip(docs, vocabulary(), keep=("ids",))
 
 
 STAGES = [("toxicity", toxic), ("exact_dedup", exact), ("ngram_jaccard_join", near), ("decontamination", clean), ("bpe", tokens)]
