@@ -49,7 +49,7 @@ def isd_records(spark: SparkSession, d: str) -> DataFrame:
         F.lit("FM-15"), text("%+05d", F.when(u % 13 == 0, 9999).otherwise(u % 3000)), F.lit(" " * 9), text("%03d", F.when(e % 17 == 0, 999).otherwise(e % 360)), (e % 6).cast("string"), F.lit("N"),
         text("%04d", e % 400), F.lit("1"), F.lit(" " * 17), text("%+05d", F.when(e % 11 == 0, 9999).otherwise(t)), (e % 10).cast("string"), text("%+05d", t - 50), F.lit("5"), text("%05d", 9500 + e % 1000), F.lit("9"),
     )
-    lines = b.select(line.alias("value")).union(b.select(F.substring(line, 1, 104))).union(b.select(F.regexp_replace(line, r"^(.{15}).{12}", "$1202499010000")))
+    lines = b.select(line.alias("value")).select(F.explode(F.array("value", F.substring("value", 1, 104), F.regexp_replace("value", r"^(.{15}).{12}", "$1202499010000"))).alias("value"))
     out = readers.parse_isd(lines)
     return out.select(F.col("source_station_id").alias("station"), at("datetime_utc").alias("at"), "lat", "lon", "elev_m", "wind_dir", "wind", "tair", "td", "slp")
 

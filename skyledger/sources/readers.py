@@ -165,13 +165,16 @@ def parse_stdmet(files: DataFrame) -> DataFrame:
     lines = files.select("path", F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line")).withColumn("f", F.split(F.trim("line"), r"\s+"))
     heads = F.regexp_replace(F.upper(F.col("f")[0]), "^#+", "").isin("YY", "YYYY") & F.array_contains("f", "MM")
     heading = F.when(heads, F.concat(F.array(F.lit("YY")), F.slice("f", 2, F.size("f"))))
+    # Where each native name stands is found once for a heading, and handed down to its lines.
+    wanted = {n: k for k, n in enumerate((*NDBC_COLUMNS[:5], *NDBC))}
+    places = F.when(heads, F.transform(F.array(*map(F.lit, wanted)), lambda n: F.array_position(heading, n).cast("int")))
+    usual = F.array(*(F.lit(NDBC_COLUMNS.index(n) + 1 if n in NDBC_COLUMNS else 0) for n in wanted))
     before = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = lines.withColumn("names", F.coalesce(F.last(heading, ignorenulls=True).over(before), F.array(*map(F.lit, NDBC_COLUMNS))))
+    lines = lines.withColumn("places", places).withColumn("places", F.coalesce(F.last("places", ignorenulls=True).over(before), usual))
     lines = lines.where(F.col("f")[0].rlike(r"^\d{2,4}$"))
 
     def field(*names: str) -> Column:
-        found = [F.when(F.array_contains("names", n), F.get("f", F.array_position("names", n).cast("int") - 1)) for n in names]
-        return F.coalesce(*found)
+        return F.coalesce(*(F.get("f", F.col("places")[wanted[n]] - 1) for n in names))
 
     y = field("YY").try_cast("int")
     year = F.when(y > 99, y).when(y >= 70, y + 1900).otherwise(y + 2000)
