@@ -43,12 +43,13 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self._tables = spark, []
 
-    def stored(self, df: DataFrame, *, ids: bool = False) -> DataFrame:
+    def stored(self, df: DataFrame, *, ids: bool = False, by: str | None = None) -> DataFrame:
+        """by: a column that the rows are written into folders by."""
         path = f"{shared_dir(self.spark)}/skyledger-{uuid.uuid4().hex}"
         if ids:
             df = df.coalesce(max(8, shuffle_partitions(self.spark) // ID_SHARE))
-        df.write.parquet(path)
-        out = self.spark.read.parquet(path)
+        df.write.parquet(path, partitionBy=by)
+        out = (self.spark.read.schema(df.schema) if by else self.spark.read).parquet(path)
         self._tables.append((path, out))
         return out
 

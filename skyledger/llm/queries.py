@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, packing, quality, substring_dedup, suffix_dedup, toxicity
+from skyledger.llm import bpe, decontaminate, erasure, exact_dedup, html_extract, jaccard_join, line_dedup, packing, quality, substring_dedup, suffix_dedup, toxicity, vector_codes
 from skyledger.llm._spark import table
 from skyledger.session import ship
 
@@ -58,10 +58,23 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), ship(spark), keep_bytes=False)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"), ship(spark), keep_text=False)
+
+
+def op12_cascading_erasure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return erasure.cascading_erasure(*(table(spark, sf_dir, t) for t in ("clients", "clicks", "sales", "sale_lines")), ship(spark))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"), ship(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_exact_dedup, op2_ngram_jaccard_join, op3_benchmark_decontamination, op4_toxicity, op5_html_extraction,
         op6_token_id_output, op7_substring_dedup, op8_byte_level_bpe, op9_quality_classifier, op10_suffix_array_dedup,
+        op11_line_dedup, op12_cascading_erasure, op13_vector_codes,
     )
     return {f.__name__: f for f in found}
 
@@ -133,5 +146,41 @@ FROM doc d LEFT JOIN total USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
 
+OP11_SQL = r"""
+WITH doc AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+line AS (SELECT doc_id, k, l[k] AS line, translate(trim(l[k], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM doc, unnest(range(1, len(l) + 1)) AS t(k)),
+repeated AS (SELECT key, max(doc_id) AS top FROM line WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (SELECT doc_id, k, line, r.key IS NOT NULL AND doc_id <> top AS gone FROM line LEFT JOIN repeated r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+def _op13_sql(rounds: int = 4) -> str:
+    """Rounds of assigning and moving, as a chain of tables; doubles hold all numbers exactly."""
+    near = """a{k} AS MATERIALIZED (
+  SELECT vec_id, label, part, x, arg_min(k, ROW(d, k)) AS k, min(d) AS d FROM (
+    SELECT v.*, c.k, list_dot_product(v.x, v.x) - 2 * list_dot_product(v.x, c.x) + list_dot_product(c.x, c.x) AS d FROM part v JOIN c{k} c USING (part)
+  ) GROUP BY vec_id, label, part, x)"""
+    move = """m{k} AS (SELECT part, k, list(floor(s / n) ORDER BY i) AS x FROM (SELECT part, k, i, sum(x[i]) AS s, count(*) AS n FROM a{k}, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY part, k, i) GROUP BY part, k),
+c{j} AS MATERIALIZED (SELECT c.part, c.k, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN m{k} m USING (part, k))"""
+    steps = ",\n".join(x for k in range(rounds) for x in (near.format(k=k), move.format(k=k, j=k + 1)))
+    return f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+part AS MATERIALIZED (SELECT vec_id, label, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS x FROM kept, unnest(range(4)) AS t(part)),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS k, x FROM part QUALIFY k < 256),
+{steps},
+{near.format(k=rounds)},
+coded AS MATERIALIZED (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', k), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY part, k)) FROM c{rounds}) AS codebooks_sha256
+FROM coded
+"""
+
+
+OP13_SQL = _op13_sql()
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op2_ngram_jaccard_join": OP2_SQL, "op3_benchmark_decontamination": OP3_SQL, "op7_substring_dedup": OP7_SQL, "op10_suffix_array_dedup": OP10_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op2_ngram_jaccard_join": OP2_SQL, "op3_benchmark_decontamination": OP3_SQL, "op7_substring_dedup": OP7_SQL, "op10_suffix_array_dedup": OP10_SQL, "op11_line_dedup": OP11_SQL, "op13_vector_codes": OP13_SQL}

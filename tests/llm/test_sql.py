@@ -9,7 +9,7 @@ from skyledger.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_matches_sql(spark, sf, name):
     db = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     got = queries.queries()[name](spark, sf)
     want = db.execute(queries.oracle_sql()[name])
