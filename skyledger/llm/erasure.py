@@ -24,7 +24,9 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import urlsplit
 
 import pandas as pd
@@ -35,7 +37,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm._spark import Scratch, delete, shared_dir
+from skyledger.llm._spark import Scratch, delete, shared_dir, shuffle_partitions
 
 
 @dataclass(frozen=True)
@@ -47,6 +49,8 @@ class Kind:
 
 
 KINDS = {"clients": Kind("master_id", "balance"), "clicks": Kind("client_id", "value"), "sales": Kind("client_id", "total"), "sale_lines": Kind("sale_id", "amount")}
+MOVERS = 8
+TABLES_AT_ONCE = 4
 REPORT = "file_no long, n_rows long, n_erased long, cents long, ids_sha256 string, staged string"
 
 
@@ -112,13 +116,11 @@ class Files:
             starts = self.spark.createDataFrame(offsets, f"{source} string, {offset} long")
             rows = placed.withColumns({source: F.col("_metadata.file_name"), self.rank: F.col("_metadata.row_index")}).join(F.broadcast(starts), source)
             rows = rows.withColumn(self.rank, F.col(self.rank) + F.col(offset)).withColumn(self.at, F.floor(F.col(self.rank) / (1 + n // files)))
-            rows = rows.repartition(self.at).sortWithinPartitions(self.at, self.rank).select(*(f"`{c}`" for c in names), self.at)
+            rows = rows.repartition(min(files, shuffle_partitions(self.spark)), self.at).sortWithinPartitions(self.at, self.rank).select(*(f"`{c}`" for c in names), self.at)
             rows.write.option("maxRecordsPerFile", 0).partitionBy(self.at).parquet(moved)
-            found = self._fs.listFiles(self._hadoop(moved), True)
-            while found.hasNext():
-                p = found.next().getPath()
-                if p.getName().startswith("part-"):
-                    self.move(p.toString(), self.name(int(p.getParent().getName().rpartition("=")[2])))
+            found = [f.getPath().toString() for f in self._fs.globStatus(self._hadoop(f"{moved}/*/part-*"))]
+            with ThreadPoolExecutor(MOVERS) as pool:  # a file system answers slowly, but many at a time
+                list(pool.map(lambda p: self.move(p, self.name(int(p.split("/")[-2].rpartition("=")[2]))), found))
             delete(self.spark, moved)
         scratch.close()
 
@@ -211,16 +213,18 @@ def cascading_erasure(clients: DataFrame, clicks: DataFrame, sales: DataFrame, s
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
     owner = scratch.stored(sales.where("sale_id IS NOT NULL").groupBy(F.col("sale_id").alias("__sale")).agg(F.min("client_id").alias("__client")), ids=True)
     tables = {"clients": clients, "clicks": clicks, "sales": sales, "sale_lines": sale_lines}
-    laid = {}
-    for name, df in tables.items():
-        laid[name] = Files(spark, f"{folder}/{name}", df)
+    laid = {name: Files(spark, f"{folder}/{name}", df) for name, df in tables.items()}
+
+    def lay(name: str) -> None:
+        df, client = tables[name], "client_id"
         if name == "sale_lines":
             sale, client = fresh("sale", df.columns), fresh("client", df.columns)
-            joined = df.join(owner.select(F.col("__sale").alias(sale), F.col("__client").alias(client)), F.col("sale_id") == F.col(sale), "left")
-            laid[name].write(joined, text_crc(F.col(client)), files)
-        else:
-            laid[name].write(df, text_crc(F.col("client_id")), files)
+            df = df.join(owner.select(F.col("__sale").alias(sale), F.col("__client").alias(client)), F.col("sale_id") == F.col(sale), "left")
+        laid[name].write(df, text_crc(F.col(client)), files)
+
 
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:  # jobs of several tables fill each other's gaps
+        list(pool.map(lay, tables))
     masters = scratch.stored(victim_masters(clients, clicks, one_in), ids=True)
     gone = clients.select(F.col("master_id").alias("key"), "client_id").join(masters, "key", "left_semi")
     gone = scratch.stored(gone.where("client_id IS NOT NULL").select(F.col("client_id").alias("key")).distinct(), ids=True)
@@ -228,11 +232,11 @@ def cascading_erasure(clients: DataFrame, clicks: DataFrame, sales: DataFrame, s
     sold = scratch.stored(sold.where("sale_id IS NOT NULL").select(F.col("sale_id").alias("key")).distinct(), ids=True)
     victims = {"clients": masters, "clicks": gone, "sales": gone, "sale_lines": sold}
 
-    out = None
-    for name in tables:
-        own = rewrite(laid[name], victims[name], KINDS[name], scratch, staging).withColumn("table_name", F.lit(name))
-        out = own if out is None else out.union(own)
-    out = scratch.stored(out.coalesce(1))
+    def erase(name: str) -> DataFrame:
+        return rewrite(laid[name], victims[name], KINDS[name], scratch, staging).withColumn("table_name", F.lit(name))
+
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        out = scratch.stored(reduce(DataFrame.union, pool.map(erase, tables)).coalesce(1))
     delete(spark, staging)
     scratch.close(out)
     return out

@@ -35,6 +35,7 @@ FOLLOWING = bytes(range(0x80, 0xC0))  # bytes that begin no code point
 SLOTS = 64  # folders that tasks write their lines to; batches are made of whole ones
 BATCH_ROWS = 1 << 26  # lines of a batch, as long as SLOTS batches do
 BUCKET_ROWS = 1 << 22  # lines whose keys go to one bucket of a run, about
+RUN = "hi long, lo long, n long, top long"
 SPREAD = 32  # parts that the lines of a hot key are dealt out over
 MOST_HOT = 4096  # hot keys at most: each has more than its share of all lines, so there cannot be more
 
@@ -94,7 +95,7 @@ class LineRuns:
     def _merged(self, names: list[str]) -> DataFrame:
         """Runs as one.  They are read as plain files and dealt out anew, as Spark takes a union of bucketed tables for bucketed
         itself but does not read it so when the scans are columnar: keys would not meet."""
-        both = self.spark.read.parquet(*(self._paths[n] for n in names)).repartition(self.buckets, "hi", "lo")
+        both = self.spark.read.schema(RUN).parquet(*(self._paths[n] for n in names)).repartition(self.buckets, "hi", "lo")
         return both.groupBy("hi", "lo").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
 
     def unknown(self, lines: DataFrame) -> DataFrame:
