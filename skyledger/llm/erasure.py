@@ -184,7 +184,7 @@ def rewrite(files: Files, victims: DataFrame, kind: Kind, scratch: Scratch, stag
         rows = files.read(*touched).withColumn(amount, cents(F.col(kind.money)))
         new = rows.groupBy(at).cogroup(pairs.groupBy(at)).applyInArrow(_rewrite(names, kind.key, files.rank, amount, staging), REPORT)
         report = report.union(new.withColumn("rewritten", F.lit(True)))
-    report = scratch.stored(report.coalesce(1))  # some hundred rows
+    report = scratch.stored(report)
     for file_no, staged in report.where("rewritten").select("file_no", "staged").collect():
         if staged:
             files.move(staged, files.name(file_no, True))
