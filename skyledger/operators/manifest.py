@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger import schema
 
@@ -37,11 +38,14 @@ class Manifest:
         self.spark, self.path = spark, path.rstrip("/")
 
     def log(self) -> DataFrame:
+        return self._read(self.path, schema.MANIFEST)
+
+    def _read(self, path: str, kind: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(schema.MANIFEST).parquet(self.path)
+            return self.spark.read.schema(kind).parquet(path)
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" in str(e):
-                return self.spark.createDataFrame([], schema.MANIFEST)
+                return self.spark.createDataFrame([], kind)
             raise
 
     def update(self, rows: list[tuple[str, str, str, str]], run_id: str | None = None) -> None:
@@ -50,10 +54,20 @@ class Manifest:
             if state not in schema.MANIFEST_STATES:
                 raise ValueError(f"invalid state {state!r}")
         run = run_id or uuid.uuid4().hex[:12]
-        df = self.spark.createDataFrame(rows, "source string, key string, state string, message string")
+        self.append(self.spark.createDataFrame(rows, "source string, key string, state string, message string"), run)
+
+    def append(self, df: DataFrame, run: str) -> None:
+        """Rows (source, key, state, message) of any number."""
         df = df.withColumns({"updated_utc": F.current_timestamp(), "run_id": F.lit(run)}).select(*schema.MANIFEST.names)
         df.coalesce(1).write.mode("append").parquet(self.path)
 
+    def files(self) -> DataFrame:
+        """The raw files that runs have seen: (source, key, uri, length, modified, run_id)."""
+        return self._read(f"{self.path}_files", schema.RAW_FILE)
+
+    def saw(self, files: DataFrame, run: str) -> None:
+        files.select("source", "key", "uri", "length", "modified", F.lit(run).alias("run_id")).coalesce(1).write.mode("append").parquet(f"{self.path}_files")
+
     def get_state(self, source: str, key: str) -> str | None:
         row = latest(self.log()).where((F.col("source") == source) & (F.col("key") == key)).first()
         return row["state"] if row else None

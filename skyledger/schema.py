@@ -35,6 +35,7 @@ DAILY_METRICS = (
     "sst", "wave_height", "sunshine_dur",
 )
 MANIFEST = _struct(("source", "key", "state"), source=S, key=S, state=S, updated_utc=TS, run_id=S, message=S)
+RAW_FILE = _struct(("source", "key", "uri"), source=S, key=S, uri=S, length=T.LongType(), modified=TS, run_id=S)
 RELEASE = _struct(("product", "path", "sha256"), product=S, path=S, sha256=S, row_count=T.LongType(), date_min=DT, date_max=DT, qc_summary=S)
 CROSSWALK_MATCH = _struct(("source_station_key", "canonical_station_id"), source_station_key=S, canonical_station_id=S, confidence=S, match_method=S, distance_m=D)
 FAILURE = _struct(("source", "phase"), source=S, phase=S, input_file=S, error_type=S, error=S)

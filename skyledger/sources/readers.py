@@ -24,6 +24,16 @@ from skyledger.sources import netcdf
 
 
 Paths = str | list[str]  # what every reader takes: a path or a list of them
+RAW = "raw_source_uri"  # the column that names a row's raw file, in every reader's rows
+
+
+def of_file(df: DataFrame) -> DataFrame:
+    """Rows just read, with their file's name as __file."""
+    return df.withColumn("__file", F.col("_metadata.file_path"))
+
+
+def _raw(df: DataFrame) -> dict[str, Column]:
+    return {RAW: F.col("__file")} if "__file" in df.columns else {}
 
 
 def _parquet(spark: SparkSession, path: Paths) -> DataFrame:
@@ -51,7 +61,7 @@ def _ts(*parts: Column) -> Column:
 # -- ISD ---------------------------------------------------------------------------------------------------------
 def read_isd(spark: SparkSession, path: Paths, *, apply_qc: bool = True, run_id: str | None = None) -> DataFrame:
     """Fixed-width records (plain or gz) of 105 characters at least."""
-    return parse_isd(spark.read.text(path), apply_qc=apply_qc, run_id=run_id)
+    return parse_isd(of_file(spark.read.text(path)), apply_qc=apply_qc, run_id=run_id)
 
 
 def parse_isd(lines: DataFrame, *, apply_qc: bool = True, run_id: str | None = None) -> DataFrame:
@@ -66,7 +76,7 @@ def parse_isd(lines: DataFrame, *, apply_qc: bool = True, run_id: str | None = N
         number(28, 34, 1000, "+99999").alias("lat"), number(34, 41, 1000, "+999999").alias("lon"), number(46, 51, 1, "+9999").alias("elev_m"),
         number(60, 63, 1, "999").alias("wind_dir"), at(63, 64).alias("wind_dir_qc"), number(65, 69, 10, "9999").alias("wind"), at(69, 70).alias("wind_qc"),
         number(87, 92, 10, "+9999").alias("tair"), at(92, 93).alias("tair_qc"), number(93, 98, 10, "+9999").alias("td"), at(98, 99).alias("td_qc"),
-        (number(99, 104, 10, "99999") * 100).alias("slp"), at(104, 105).alias("slp_qc"),
+        (number(99, 104, 10, "99999") * 100).alias("slp"), at(104, 105).alias("slp_qc"), *(c.alias(k) for k, c in _raw(lines).items()),
     ).where("datetime_utc is not null")
     if apply_qc:
         from skyledger.operators.rules import isd_mask
@@ -87,7 +97,7 @@ GHCNH_BAD = ("3", "6", "7")
 def read_ghcnh(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Pipe-separated station files; values of codes 3, 6, 7 are nulled and fail; pressures from hPa to Pa."""
     raw = spark.read.csv(path, sep="|", header=True)
-    return normalize_ghcnh(raw.withColumn("__file", F.input_file_name()), run_id)
+    return normalize_ghcnh(of_file(raw), run_id)
 
 
 def normalize_ghcnh(raw: DataFrame, run_id: str | None = None) -> DataFrame:
@@ -98,7 +108,7 @@ def normalize_ghcnh(raw: DataFrame, run_id: str | None = None) -> DataFrame:
     station = next((text(n) for n in ("station_id", "station") if n in col), stem(F.col("__file")) if "__file" in col else F.lit(None))
     out: dict[str, Column] = {
         "source_station_id": station, "datetime_utc": _ts(text("year"), text("month"), text("day"), F.coalesce(text("hour"), F.lit("00")), F.coalesce(text("minute"), F.lit("00"))),
-        "lat": C.num(text("latitude")), "lon": C.num(text("longitude")), "elev_m": C.num(text("elevation")),
+        "lat": C.num(text("latitude")), "lon": C.num(text("longitude")), "elev_m": C.num(text("elevation")), **_raw(raw),
     }
     reasons, failed = [], []
     for native, v in GHCNH.items():
@@ -124,7 +134,7 @@ GHCND_FLAGS = ("D", "I", "K", "L", "N", "O", "R", "S", "T", "W", "X")
 def read_ghcnd(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Daily CSV with VALUE and VALUE_ATTRIBUTES columns; the second attribute is the quality flag: the value is
     kept, its own state and the row's fail."""
-    return normalize_ghcnd(spark.read.csv(path, header=True, quote='"', escape='"'), run_id)
+    return normalize_ghcnd(of_file(spark.read.csv(path, header=True, quote='"', escape='"')), run_id)
 
 
 def normalize_ghcnd(raw: DataFrame, run_id: str | None = None) -> DataFrame:
@@ -133,7 +143,7 @@ def normalize_ghcnd(raw: DataFrame, run_id: str | None = None) -> DataFrame:
     opt = lambda c: C.num(F.col(c)) if has(c) else F.lit(None).cast("double")
     out: dict[str, Column] = {
         "source_station_id": F.trim("STATION"), "date": F.col("DATE").try_cast("date"), "lat": opt("LATITUDE"), "lon": opt("LONGITUDE"), "elev_m": opt("ELEVATION"),
-        "day_basis": F.lit("local"), "obs_count": F.lit(1),
+        "day_basis": F.lit("local"), "obs_count": F.lit(1), **_raw(raw),
     }
     reasons, failed = [], []
     for native, (v, scale) in GHCND.items():
@@ -203,7 +213,7 @@ def _decode(spark: SparkSession, path: Paths, decode, fields: str) -> DataFrame:
                     out = pa.Table.from_pylist([{"path": path_, "error": f"{type(e).__name__}: {e}"}], kinds)
                 yield from out.to_batches()
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"), "content")
     return files.mapInArrow(run, schema_)
 
 
@@ -217,9 +227,20 @@ def unzip(path: str, content: bytes) -> bytes:
     return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else bytes(content)
 
 
+def scan_text(spark: SparkSession, path: Paths) -> DataFrame:
+    """Whole text files, plain or gz, as (text, path, error): a file that cannot be unpacked gives its error."""
+    return _decode(spark, path, lambda p, c: [{"text": unzip(p, c).decode("utf-8", "replace")}], "text string")
+
+
+def isd_of_text(files: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Fixed-width records of whole files (text, path)."""
+    lines = files.select(F.col("path").alias("__file"), F.explode(F.split("text", r"\r?\n")).alias("value"))
+    return parse_isd(lines, run_id=run_id)
+
+
 def read_ndbc_text(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Standard meteorological files (plain or gz); of a station's rows of one time the first file's stays, history before latest."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     return normalize_ndbc(parse_stdmet(files), run_id)
 
 
@@ -227,17 +248,18 @@ def normalize_ndbc(rows: DataFrame, run_id: str | None = None) -> DataFrame:
     """Parsed rows with the station of their path, one of each time."""
     sid = F.upper(F.regexp_extract("path", r"([^/]+?)(?:_latest|h\d{4})?\.txt(?:\.gz)?$", 1))
     df = rows.withColumns({"source_station_id": sid, "__late": F.col("path").contains("_latest")})
-    return provenance(keep_first(df, ["source_station_id", "datetime_utc"], ["__late", "path", "line_no"]).drop("__late", "path", "line_no"), "ndbc", run_id)
+    return provenance(keep_first(df, ["source_station_id", "datetime_utc"], ["__late", "path", "line_no"]).drop("__late", "line_no").withColumnRenamed("path", RAW), "ndbc", run_id)
 
 
 def read_ndbc_parquet(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Parsed files: the first column whose name has date or time in it is the time, else the first."""
-    return normalize_ndbc_parsed(_parquet(spark, path), F.upper(stem(F.input_file_name())), run_id)
+    df = _parquet(spark, path)
+    return normalize_ndbc_parsed(df.select("*", F.col("_metadata.file_path").alias(RAW)), F.upper(stem(F.col(RAW))), run_id)
 
 
 def normalize_ndbc_parsed(df: DataFrame, station: Column, run_id: str | None = None) -> DataFrame:
     names = {"air_temp": "tair", "dewpoint": "td", "wind_speed": "wind", "pressure": "slp", "visibility": "vis"}
-    ts = next((c for c in df.columns if re.search("date|time", c.lower())), df.columns[0])
+    ts = next((c for c in df.columns if re.search("date|time", c.lower()) and c != RAW), df.columns[0])
     df = df.withColumnRenamed(ts, "datetime_utc").withColumn("source_station_id", station)
     df = df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
     if "slp" in df.columns:
@@ -278,7 +300,7 @@ def read_raws(spark: SparkSession, path: Paths, run_id: str | None = None) -> Da
     """CSV or Parquet of daily measures; the station is the file's name."""
     first = path if isinstance(path, str) else path[0]
     df = _parquet(spark, path) if first.endswith("parquet") else spark.read.csv(path, header=True)
-    df = df.withColumns({"source_station_id": stem(F.input_file_name()), "date": F.col("date").try_cast("date")})
+    df = df.select("*", F.col("_metadata.file_path").alias(RAW)).withColumns({"source_station_id": stem(F.col(RAW)), "date": F.col("date").try_cast("date")})
     return normalize_raws(df, run_id)
 
 
@@ -290,7 +312,7 @@ SNOTEL_HOURLY = {"WTEQ": "swe", "SNWD": "snow_depth", "PREC": "prcp", "TOBS": "t
 
 def read_snotel_daily(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Legacy daily CSV; precipitation is cumulative."""
-    return normalize_snotel_daily(spark.read.csv(path, header=True).withColumn("__file", F.input_file_name()), run_id)
+    return normalize_snotel_daily(of_file(spark.read.csv(path, header=True)), run_id)
 
 
 def snotel_station(file: Column) -> Column:
@@ -306,7 +328,7 @@ def normalize_snotel_daily(raw: DataFrame, run_id: str | None = None) -> DataFra
     raw = raw.toDF(*(c.lower() for c in raw.columns))
     met = [c for c in SNOTEL_DAILY if c in raw.columns]
     df = raw.withColumns({c: C.num(c) for c in met}).withColumn("date", F.col("date").try_cast("date")).dropna(how="all", subset=met)
-    df = df.select("source_station_id", "date", *(F.col(c).alias(SNOTEL_DAILY[c]) for c in met))
+    df = df.select("source_station_id", "date", F.col("__file").alias(RAW), *(F.col(c).alias(SNOTEL_DAILY[c]) for c in met))
     if "prcp" in df.columns:
         df = increments(df, "prcp", keys=["source_station_id"], order=["date"])
     return provenance(df.withColumns({"day_basis": F.lit("local"), "obs_count": F.lit(1)}), "snotel", run_id)
@@ -314,7 +336,8 @@ def normalize_snotel_daily(raw: DataFrame, run_id: str | None = None) -> DataFra
 
 def read_snotel_hourly(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """Hourly Parquet in UTC; elevation in feet; the id is the triplet's first part, else the file's name."""
-    return normalize_snotel_hourly(_parquet(spark, path), stem(F.input_file_name()), run_id)
+    df = of_file(_parquet(spark, path))
+    return normalize_snotel_hourly(df, stem(F.col("__file")), run_id)
 
 
 def normalize_snotel_hourly(df: DataFrame, station: Column, run_id: str | None = None) -> DataFrame:
@@ -330,7 +353,7 @@ def normalize_snotel_hourly(df: DataFrame, station: Column, run_id: str | None =
         at = C.to_utc(at, F.col("tz_offset") * 60)
     out = df.select(
         F.coalesce(own, station).alias("source_station_id"), at.alias("datetime_utc"), *(F.col(c).cast("double").alias(SNOTEL_HOURLY[c]) for c in met),
-        *(F.col(k).cast("double").alias(v) for k, v in opt.items() if k in df.columns), *([(F.col("elev_ft") * 0.3048).alias("elev_m")] if "elev_ft" in df.columns else []),
+        *(F.col(k).cast("double").alias(v) for k, v in opt.items() if k in df.columns), *([(F.col("elev_ft") * 0.3048).alias("elev_m")] if "elev_ft" in df.columns else []), *(c.alias(k) for k, c in _raw(df).items()),
     )
     if "prcp" in out.columns:
         out = increments(out, "prcp", keys=["source_station_id"], order=["datetime_utc"])
@@ -346,7 +369,7 @@ ECCC_FAIL, ECCC_SUSPECT, ECCC_PASS = ("M", "N", "Y"), ("E", "A", "C", "L", "B",
 def read_eccc(spark: SparkSession, path: Paths, *, province: str | None = None, run_id: str | None = None) -> DataFrame:
     """Hourly CSV in Latin-1 and local standard time.  Flags give states; a failed value is nulled, trace precipitation
     is 0; of rows of one time the first file's stays."""
-    return normalize_eccc(spark.read.csv(path, header=True, encoding="ISO-8859-1").withColumn("__file", F.input_file_name()), province=province, run_id=run_id)
+    return normalize_eccc(of_file(spark.read.csv(path, header=True, encoding="ISO-8859-1")), province=province, run_id=run_id)
 
 
 def normalize_eccc(raw: DataFrame, *, province: str | None = None, run_id: str | None = None) -> DataFrame:
@@ -375,7 +398,7 @@ def normalize_eccc(raw: DataFrame, *, province: str | None = None, run_id: str |
         reasons.append(F.when(rank > 0, F.concat(F.lit(f"{v}:"), flag)))
     out |= {"qc_state": C.state_of(F.greatest(F.lit(0), F.lit(0), *ranks)), "qc_reason_codes": C.join_reasons(*reasons) if reasons else F.lit("")}
     df = raw.select(*(c.alias(k) for k, c in out.items())).where("datetime_utc is not null")
-    return provenance(keep_first(df, ["source_station_id", "datetime_utc"], ["__file"]).drop("__file"), "eccc", run_id)
+    return provenance(keep_first(df, ["source_station_id", "datetime_utc"], ["__file"]).withColumnRenamed("__file", RAW), "eccc", run_id)
 
 
 # -- MADIS -------------------------------------------------------------------------------------------------------
@@ -439,6 +462,7 @@ def in_bounds(df: DataFrame, west: float, south: float, east: float, north: floa
 def normalize_madis(df: DataFrame, run_id: str | None = None) -> DataFrame:
     """Native to canonical wide columns; descriptors and check results are carried."""
     keep = [c for c in df.columns if c.endswith(("DD", "QCR")) or c == "qc_passed"]
+    keep += [F.col("path").alias(RAW)] if "path" in df.columns else []
     out = df.select(
         F.trim("stationId").alias("source_station_id"), F.col("observationTime").cast("timestamp").alias("datetime_utc"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"),
         F.col("elevation").alias("elev_m"), *(fn(C.num(n)).alias(v) for n, (v, fn) in MADIS.items() if n in df.columns), *keep,
@@ -454,7 +478,7 @@ def to_long(wide: DataFrame, variables: list[str], *, flags: dict[str, list[str]
         if v in wide.columns:
             native = [c for c in (flags or {}).get(v, []) if c in wide.columns]
             cells.append(F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("value"), F.lit(units.CANONICAL.get(v)).alias("unit"), (F.to_json(F.struct(*native)) if native else F.lit("{}")).alias("qc_flags_native")))
-    keys = [c for c in ("station_key", "source", "source_station_id", "datetime_utc", "transform_version", "qc_rules_version", "ingest_run_id") if c in wide.columns]
+    keys = [c for c in ("station_key", "source", "source_station_id", "datetime_utc", RAW, "transform_version", "qc_rules_version", "ingest_run_id") if c in wide.columns]
     return wide.select(*keys, state.alias("qc_state"), F.inline(F.array(*cells))).where("value is not null and station_key is not null and datetime_utc is not null")
 
 
@@ -471,14 +495,14 @@ def normalize_gdas(df: DataFrame, run_id: str | None = None) -> DataFrame:
     out = df.select(
         F.concat(F.lit("gdas_"), F.lower("msg_type")).alias("source"), F.trim(F.col("station_id").cast("string")).alias("source_station_id"), F.col(ts).cast("timestamp").alias("datetime_utc"), *([c for c in ("cycle", "msg_type") if c in df.columns]),
         F.col("latitude").cast("double").alias("lat"), lon.cast("double").alias("lon"), *([F.col("elevation").cast("double").alias("elev_m")] if "elevation" in df.columns else []),
-        *(F.when(F.abs(C.num(n)) <= 1e10, C.num(n)).alias(v) for n, v in GDAS.items() if n in df.columns), *marks,
+        *(F.when(F.abs(C.num(n)) <= 1e10, C.num(n)).alias(v) for n, v in GDAS.items() if n in df.columns), *marks, *(c.alias(k) for k, c in _raw(df).items()),
     )
     new = {"transform_version": F.lit(schema.VERSION), "qc_rules_version": F.lit(schema.VERSION), "ingest_run_id": F.lit(run_id).cast("string"), "qc_state": F.lit("pass"), "qc_reason_codes": F.lit("")}
     return out.withColumns({"station_key": F.concat_ws(":", "source", "source_station_id"), **new})
 
 
 def read_gdas_parquet(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
-    return normalize_gdas(_parquet(spark, path), run_id)
+    return normalize_gdas(of_file(_parquet(spark, path)), run_id)
 
 
 def archive_members(path: str, content: bytes) -> list[tuple[str, int, bytes]]:
@@ -512,25 +536,35 @@ def read_gdas_archive(spark: SparkSession, path: str, decode, fields: str, run_i
 
 
 # -- all ---------------------------------------------------------------------------------------------------------
-def readable_parquet(spark: SparkSession, path: str, source: str = "") -> tuple[list[str], DataFrame]:
-    """The Parquet files under a path that can be opened, and a failure report of the others.
-
-    A scan without columns reads footers only and passes over files that it cannot open; only the files that it did not
-    see (broken, or without rows) are looked at as bytes.  Names come to the driver, which needs them to scan."""
+def probed(spark: SparkSession, path: Paths) -> DataFrame:
+    """(path, error) of files that are opened as their names say: Parquet footers, gz to its end; error is null if all is well."""
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
 
         for frame in frames:
             errors = []
-            for content in frame["content"]:
+            for name, content in zip(frame["path"], frame["content"]):
                 try:
-                    pq.ParquetFile(io.BytesIO(content)).schema_arrow  # noqa: B018
+                    if name.endswith(".parquet"):
+                        pq.ParquetFile(io.BytesIO(content)).schema_arrow  # noqa: B018
+                    elif name.endswith(".gz"):
+                        gzip.decompress(content)
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001
-                    errors.append(f"{type(e).__name__}: {str(e).splitlines()[0][:200]}")
+                    errors.append(f"{type(e).__name__}: {(str(e).splitlines() or [''])[0][:200]}")
             yield pd.DataFrame({"path": frame["path"], "error": errors})
 
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"), "content")
+    return files.mapInPandas(probe, "path string, error string")
+
+
+def readable_parquet(spark: SparkSession, path: str, source: str = "") -> tuple[list[str], DataFrame]:
+    """The Parquet files under a path that can be opened, and a failure report of the others.
+
+    A scan without columns reads footers only and passes over files that it cannot open; only the files that it did not
+    see (broken, or without rows) are looked at as bytes.  Names come to the driver, which needs them to scan."""
+
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     names = {r.path for r in listed.load(path).select("path").collect()}  # names of files
     opened = spark.read.schema("`none` string").option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
@@ -539,14 +573,10 @@ def readable_parquet(spark: SparkSession, path: str, source: str = "") -> tuple[
     odd = sorted(p for p in names if plain(p) not in seen)
     if not odd:
         return sorted(names), spark.createDataFrame([], schema.FAILURE)
-    probed = spark.read.format("binaryFile").load(odd).select("path", "content").mapInPandas(probe, "path string, error string").persist()
-    bad = {r.path for r in probed.where("error is not null").select("path").collect()}  # names of files
-    return sorted(names - bad), decode_failures(probed, source).withColumn("phase", F.lit("read"))
-
-
-def failures_of(spark: SparkSession, source: str, paths: Paths) -> DataFrame | None:
-    """The failure report of raw files of a source that decodes whole files; None for the others."""
-    return decode_failures(scan_madis(spark, paths), "madis") if source == "madis" else None
+    broken = [tuple(r) for r in probed(spark, odd).where("error is not null").collect()]  # names of files
+    bad = {plain(p) for p, _ in broken}
+    report = spark.createDataFrame(broken, "path string, error string")
+    return sorted(p for p in names if plain(p) not in bad), decode_failures(report, source).withColumn("phase", F.lit("read"))
 
 
 def station_metadata(df: DataFrame) -> DataFrame:

@@ -23,6 +23,9 @@ class Source:
     daily: bool = False
     parallel: bool = True
     note: str = ""
+    #: For files that are decoded as wholes: their native rows with (path, error), and what makes canonical rows of these.
+    scan: Callable[[SparkSession, R.Paths], DataFrame] | None = None
+    shape: Callable[..., DataFrame] | None = None
 
     def fetch_raw(self, jobs: list[acquire.Job], **how) -> list[tuple[str, str, str]]:
         """(key, state, message) of the files that are had from the source's addresses."""
@@ -56,7 +59,7 @@ def _ndbc(spark: SparkSession, path: R.Paths, run_id: str | None = None) -> Data
 _ALL = {
     s.name: s
     for s in (
-        Source("madis", R.read_madis, "days", (".gz", ".nc")), Source("isd", R.read_isd, "year_files", (".gz", ""), note="superseded by ghcnh"), Source("ghcnh", R.read_ghcnh, "stems", (".psv",)),
+        Source("madis", R.read_madis, "days", (".gz", ".nc"), scan=R.scan_madis, shape=R.extract_madis), Source("isd", R.read_isd, "year_files", (".gz", ""), note="superseded by ghcnh", scan=R.scan_text, shape=R.isd_of_text), Source("ghcnh", R.read_ghcnh, "stems", (".psv",)),
         Source("ghcnd", R.read_ghcnd, "stems", (".csv",), daily=True), Source("gdas", R.read_gdas_parquet, "days", (".parquet",)), Source("raws", R.read_raws, "stems", (".csv", ".parquet"), daily=True, parallel=False),
         Source("ndbc", _ndbc, "stems", (".parquet", ".txt", ".txt.gz")), Source("snotel", _snotel, "stems", (".parquet", ".csv")), Source("eccc", R.read_eccc, "stems", (".csv",)),
     )

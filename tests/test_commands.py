@@ -1,5 +1,6 @@
 """Commands, update, downloads and reports, end to end on small files."""
 
+import gzip
 import json
 import io
 import urllib.error
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skyledger import cli, schema
 from skyledger.operators import crosswalk, daily, manifest, por, update, validation
-from skyledger.sources import acquire, registry
+from skyledger.sources import acquire, readers, registry
 from skyledger.streaming.daily import daily_stream, run_available
 from tests.test_engine import madis_file
 
@@ -198,3 +199,98 @@ def test_late_rows_in_append_mode(spark, tmp_path):
     put([("s", at(1, 5), 99.0), ("s", at(9, 1), 2.0)], "b")
     go()
     assert read() == {(1, 23.0, 24)}
+
+
+def test_update_counts_rows_by_their_file(spark, tmp_path):
+    """Rows whose station is not the file's name: year and name of a record file, a name with more than the station."""
+    line = "0000" + "010010" + "99999" + "202401020600" + "4" + "+40167" + "-105167" + "FM-15" + "+1541" + " " * 9 + "170" + "1" + "N" + "0052" + "1" + " " * 17 + "+0031" + "1" + "-0058" + "1" + "10010" + "1"
+    (tmp_path / "isd/2024").mkdir(parents=True)
+    (tmp_path / "isd/2024/010010-99999-2024.gz").write_bytes(gzip.compress(line.encode()))
+    (tmp_path / "isd/2024/010020-99999-2024.gz").write_bytes(gzip.compress(line.encode())[:-9])  # cut short
+    (tmp_path / "ghcnh").mkdir()
+    ghcnh(tmp_path / "ghcnh/GHCNh_USW00024153_por.psv", "USW00024153", range(3))
+    for source, failed in (("isd", 1), ("ghcnh", 0)):
+        out, state = str(tmp_path / f"{source}-out"), manifest.Manifest(spark, str(tmp_path / f"{source}-state"))
+        done = update.normalize_pending(spark, source, str(tmp_path / source), out, state)
+        rows = update.committed(spark, out, state.log())
+        assert (done.failed, rows.count(), rows.select("raw_source_uri").distinct().count()) == (failed, {"isd": 1, "ghcnh": 3}[source], 1)
+    report = spark.read.json(str(tmp_path / "isd-out_failures")).collect()
+    assert [(r.phase, r.input_file.rsplit("/", 1)[1]) for r in report] == [("decode", "010020-99999-2024.gz")]
+
+
+def test_update_keeps_evening_rows(spark, tmp_path):
+    """Rows of 21:30 stand in the next day's file and count with it; an unreadable Parquet file is reported."""
+    raw, out, days = (str(tmp_path / n) for n in ("raw", "out", "days"))
+    kind = "station_id string, latitude double, longitude double, elevation double, msg_type string, datetime_utc timestamp, cycle int, pressure double, temperature double, u_wind double, v_wind double"
+
+    def put(day, *times):
+        rows = [("72", 40.0, -100.0, 5.0, "ADPSFC", t, 0, 900.0, 5.0 + t.hour, 1.0, 1.0) for t in times]
+        spark.createDataFrame(rows, kind).toPandas().to_parquet(str(tmp_path / "raw" / f"{day}.parquet"), coerce_timestamps="us")
+
+    (tmp_path / "raw").mkdir()
+    put("20240102", datetime(2024, 1, 1, 21, 30), datetime(2024, 1, 2, 3))
+    state = str(tmp_path / "state")
+    update.update(spark, {"gdas": raw}, out, state, days_out=days)
+    put("20240103", datetime(2024, 1, 2, 21, 30), datetime(2024, 1, 3, 3))
+    (tmp_path / "raw/20240104.parquet").write_bytes(b"PAR1 no footer")
+    done = update.update(spark, {"gdas": raw}, out, state, days_out=days)[0]
+    assert (done.todo, done.failed) == (2, 1)
+    log = manifest.Manifest(spark, state)
+    assert update.committed(spark, out, log.log()).count() == 4
+    assert {(r.date.day, r.obs_count) for r in spark.read.parquet(days).collect()} == {(1, 1), (2, 2), (3, 1)}
+    assert log.get_state("gdas", "20240104") == "failed" and spark.read.json(f"{out}_failures").count() == 1
+
+
+def test_update_tries_failed_days_again(spark, tmp_path):
+    """A day that failed below the high-water mark, once it is repaired; a day whose file changed; some files at a time."""
+    raw, out, state = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "state")
+    raw.mkdir()
+    (raw / "20240101_0000.gz").write_bytes(b"broken")
+    for d in (2, 3):
+        (raw / f"2024010{d}_0000.gz").write_bytes(madis_file())
+    go = lambda **how: update.update(spark, {"madis": str(raw)}, out, state, **how)[0]
+    assert (lambda d: (d.todo, d.failed))(go()) == (3, 1)
+    assert (lambda d: (d.todo, d.failed))(go()) == (1, 1)  # still broken, and still tried
+    (raw / "20240101_0000.gz").write_bytes(madis_file())
+    assert (lambda d: (d.todo, d.failed))(go()) == (1, 0)
+    log = manifest.Manifest(spark, state)
+    before = update.committed(spark, out, log.log()).count()
+    assert before == 3 * update.committed(spark, out, log.log()).where("raw_key = '20240101'").count() > 0
+    assert go().todo == 0
+    (raw / "20240102_0100.gz").write_bytes(madis_file())  # one more hour of a day below the mark
+    assert go().todo == 1 and update.committed(spark, out, log.log()).count() == before * 4 // 3
+    done = update.normalize_pending(spark, "madis", str(raw), out, log, again=True, files_at_once=1)
+    assert (done.todo, done.failed) == (3, 0) and update.committed(spark, out, log.log()).count() == before * 4 // 3
+    runs = manifest.latest(log.log()).select("run_id").distinct().count()
+    assert runs > 1  # each part was committed by itself
+    (raw / "20240103_0000.gz").write_bytes(b"broken later")
+    assert go().failed == 1 and update.committed(spark, out, log.log()).count() == before * 4 // 3  # what was had stays
+
+
+def test_days_that_lose_their_rows(spark, tmp_path):
+    """A day is removed when the file that had it is replaced by one without it."""
+    raw, out, days, state = (str(tmp_path / n) for n in ("raw", "out", "days", "state"))
+    (tmp_path / "raw").mkdir()
+    ghcnh(tmp_path / "raw/A.psv", "A", range(3), day="2")
+    update.update(spark, {"ghcnh": raw}, out, state, days_out=days)
+    ghcnh(tmp_path / "raw/A.psv", "A", range(4), day="5")
+    update.update(spark, {"ghcnh": raw}, out, state, days_out=days)
+    assert {(r.date.day, r.obs_count) for r in spark.read.parquet(days).collect()} == {(5, 4)}
+
+
+def test_files_are_decoded_once(spark, tmp_path, monkeypatch):
+    """Good rows and failures come from one pass."""
+    count = spark.sparkContext.accumulator(0)
+    decode = readers.decode_madis
+
+    def counting(path, content):
+        count.add(1)
+        return decode(path, content)
+
+    monkeypatch.setattr(readers, "decode_madis", counting)
+    (tmp_path / "raw").mkdir()
+    for k in range(4):
+        (tmp_path / f"raw/20240101_0{k}00.gz").write_bytes(madis_file() if k else b"broken")
+    log = manifest.Manifest(spark, str(tmp_path / "state"))
+    assert update.normalize_pending(spark, "madis", str(tmp_path / "raw"), str(tmp_path / "out"), log).failed == 1
+    assert count.value == 4
