@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import columns as C
+from skyledger.operators.footers import file_statistics
 
 GHCN = ("ghcnh", "ghcnd")
 
 
-def station_index(rows: DataFrame, *, ts: str = "datetime_utc") -> DataFrame:
-    """One row per source and station: median coordinates, first and last time, row count."""
-    return rows.groupBy("source", "source_station_id").agg(
+# Sources of daily and of hourly rows.
+RESOLUTION = {"daily": ("ghcnd", "raws_wrcc"), "hourly": ("ghcnh", "isd", "snotel", "eccc", "ndbc", "madis", "gdas")}
+
+
+def temporal_res(source: Column, default: str = "unknown") -> Column:
+    known = [F.when(source.isin(*names), kind) for kind, names in RESOLUTION.items()]
+    return F.coalesce(*known, F.lit(default))
+
+
+def station_index(rows: DataFrame, *, ts: str = "datetime_utc", resolution: str = "unknown") -> DataFrame:
+    """One row per source and station: median coordinates, first and last time, row count, resolution (for sources that
+    are not known: as given)."""
+    out = rows.groupBy("source", "source_station_id").agg(
         F.min("station_key").alias("canonical_id"), F.median("lat").alias("lat"), F.median("lon").alias("lon"), F.median("elev_m").alias("elev_m"),
-        F.min(ts).alias("por_start"), F.max(ts).alias("por_end"), F.count(F.lit(1)).alias("n_obs"),
+        F.min(ts).alias("por_start"), F.max(ts).alias("por_end"), F.count(F.lit(1)).alias("obs_count"),
     )
+    return out.withColumn("temporal_res", temporal_res(F.col("source"), resolution))
 
 
 def build_station_index(tables: dict[str, DataFrame], *, exclude: tuple[str, ...] = ("isd",)) -> DataFrame:
@@ -93,7 +106,11 @@ def candidate_pairs(crosswalk: DataFrame, overlap: DataFrame, *, most_m: float,
 def sampled(names: list[str], most: int) -> list[str]:
     """At most so many of the sorted names, evenly spread from the first to the last."""
     names = sorted(names)
-    return names if len(names) <= most else [names[k * (len(names) - 1) // (most - 1)] if most > 1 else names[0] for k in range(most)]
+    return [names[k] for k in sampled_places(len(names), most)]
+
+
+def sampled_places(n: int, most: int) -> list[int]:
+    return list(range(n)) if n <= most else [k * (n - 1) // (most - 1) if most > 1 else 0 for k in range(most)]
 
 
 def sampled_days(rows: DataFrame, most: int, *, ts: str = "datetime_utc") -> DataFrame:
@@ -108,6 +125,27 @@ def sampled_days(rows: DataFrame, most: int, *, ts: str = "datetime_utc") -> Dat
 
 
 def index_per_day_source(rows: DataFrame, *, sample_days: int = 30) -> DataFrame:
-    """The index of a source with one file a day: coordinates and counts from a sample of days, the period from the first
-    and last days of the sample."""
-    return station_index(sampled_days(rows, sample_days))
+    """The index of a source with one file a day: coordinates and counts from a sample of days; the period, for all
+    stations, from the first to the last time of the first and the last day."""
+    some = sampled_days(rows, sample_days)
+    first, last = some.agg(F.min("datetime_utc"), F.max("datetime_utc")).first()
+    return _of_period(station_index(some, resolution="hourly"), first, last)
+
+
+def _of_period(index: DataFrame, first: datetime | None, last: datetime | None) -> DataFrame:
+    return index.withColumns({"por_start": F.lit(first).cast("timestamp"), "por_end": F.lit(last).cast("timestamp")})
+
+
+def index_of_day_files(spark: SparkSession, root: str, *, sample_files: int = 30) -> DataFrame:
+    """The same from the Parquet files themselves: names are listed, ``sample_files`` of them are read, and the period comes from
+    the statistics in the first and the last file's footer."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).select("path")
+    ranks = listed.where("path not like '%/manifest.parquet'").withColumn("n", F.row_number().over(Window.orderBy("path")) - 1)  # a name a day
+    n = ranks.count()
+    if not n:
+        raise ValueError(f"no files under {root}")
+    places = sampled_places(n, sample_files)
+    names = {r.n: r.path for r in ranks.where(F.col("n").isin(places)).collect()}
+    ends = [file_statistics(spark, names[k], "datetime_utc").first() for k in (0, n - 1)]
+    rows = spark.read.parquet(*names.values())
+    return _of_period(station_index(rows, resolution="hourly"), ends[0] and ends[0].low, ends[1] and ends[1].high)

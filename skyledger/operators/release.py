@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import schema
+from skyledger.operators.footers import file_statistics
 
 
 def file_hashes(spark: SparkSession, pattern: str) -> DataFrame:
@@ -21,14 +22,16 @@ def file_hashes(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def file_facts(spark: SparkSession, pattern: str) -> DataFrame:
-    """(path, row_count, date_min, date_max, qc_summary) of Parquet files."""
-    df = spark.read.option("recursiveFileLookup", "true").parquet(pattern).withColumn("path", F.regexp_replace(F.input_file_name(), "^file:(//)?", ""))
-    day = F.col("date").cast("date") if "date" in df.columns else F.to_date("datetime_utc") if "datetime_utc" in df.columns else F.lit(None).cast("date")
-    state = F.col("qc_state") if "qc_state" in df.columns else F.lit("pass")
-    by_state = df.select("path", day.alias("d"), state.alias("s")).groupBy("path", "s").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("a"), F.max("d").alias("b"))
-    return by_state.groupBy("path").agg(
-        F.sum("n").alias("row_count"), F.min("a").alias("date_min"), F.max("b").alias("date_max"), F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.coalesce("s", F.lit("missing")), "n"))))).alias("qc_summary")
-    )
+    """(path, row_count, date_min, date_max, qc_summary) of Parquet files: counts and days from the footers, and the states
+    from a scan of that one column."""
+    df = spark.read.option("recursiveFileLookup", "true").parquet(pattern)
+    ts = next((c for c in ("date", "datetime_utc") if c in df.columns), None)
+    plain = F.regexp_replace("path", "^file:(//)?", "").alias("path")
+    facts = file_statistics(spark, pattern, ts).select(plain, F.col("n_rows").alias("row_count"), F.to_date("low").alias("date_min"), F.to_date("high").alias("date_max"))
+    state = F.coalesce("qc_state", F.lit("missing")) if "qc_state" in df.columns else F.lit("pass")
+    counts = df.select(F.col("_metadata.file_path").alias("path"), state.alias("s")).groupBy("path", "s").agg(F.count(F.lit(1)).alias("n"))
+    states = counts.groupBy("path").agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("s", "n"))))).alias("qc_summary"))
+    return facts.join(states.select(plain, "qc_summary"), "path", "left")
 
 
 def build_release(spark: SparkSession, root: str, version: str, channel: str, products: dict[str, str], provenance: dict | None = None) -> Path:

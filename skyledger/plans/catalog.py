@@ -225,7 +225,7 @@ def station_crosswalk(spark: SparkSession, d: str) -> DataFrame:
 def station_index(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events")
     rows = e.select(F.col("event_type").alias("source"), F.col("user_id").cast("string").alias("source_station_id"), F.lit("k").alias("station_key"), F.col("value").alias("lat"), F.lit(0.0).alias("lon"), F.lit(0.0).alias("elev_m"), F.col("ts").alias("datetime_utc"))
-    return crosswalk.station_index(rows).select("source", "source_station_id", "lat", "n_obs", "por_start", "por_end")
+    return crosswalk.station_index(rows).select("source", "source_station_id", "lat", F.col("obs_count").alias("n_obs"), "por_start", "por_end")
 
 
 @query("""WITH b AS (SELECT user_id, CAST(ts AS DATE) AS date, value, CASE event_type WHEN 'view' THEN 0 WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 END AS r, event_type AS s, user_id % 11 = 0 AND event_type = 'view' AS bad FROM events),

@@ -11,7 +11,7 @@ from skyledger import schema
 from skyledger.functions import columns as C
 from skyledger.functions import units
 from skyledger.functions.humidity import compile_humidity
-from skyledger.operators import corrections, crosswalk, daily, diagnostics, fabric, por, temporal, validation
+from skyledger.operators import corrections, crosswalk, daily, diagnostics, fabric, por, temporal, update, validation
 from skyledger.plans.feeds import _AT, _B, at, base, cols
 from skyledger.plans.registry import query, r6, read
 from skyledger.sources import readers
@@ -58,6 +58,18 @@ def fabric_sources(spark: SparkSession, d: str) -> DataFrame:
     return fabric.precedence_audit(fabric.apply_precedence(rows, {"tmax": ["view", "click"]}, keys=["u", "date"]))
 
 
+@query("""SELECT event_type AS source, 'u' || user_id AS key, 'r' || event_id % 3 AS run, count(*) AS n, min(event_id) AS first_id FROM events
+WHERE event_id % 3 = CASE WHEN user_id % 4 = 0 THEN 2 WHEN user_id % 3 <> 0 THEN 1 WHEN user_id % 5 <> 0 THEN 0 END GROUP BY ALL""")
+def committed_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of three runs over each key, of which those of the last run that did it count: later runs failed, or all did."""
+    u, e, k, t, v = cols()
+    rows = base(spark, d).select(F.col("type").alias("raw_source"), F.concat(F.lit("u"), u.cast("string")).alias("raw_key"), F.concat(F.lit("r"), (e % 3).cast("string")).alias("run"), "e", "u")
+    states = F.array(*(F.struct(F.lit(f"r{n}").alias("run_id"), F.lit(n).alias("n"), F.when(good, "done").otherwise("failed").alias("state")) for n, good in enumerate((u % 5 != 0, u % 3 != 0, u % 4 == 0))))
+    log = rows.select(F.col("raw_source").alias("source"), F.col("raw_key").alias("key"), "u").distinct().select("source", "key", F.inline(states))
+    log = log.select("source", "key", "state", F.timestamp_seconds("n").alias("updated_utc"), "run_id", F.lit("").alias("message"))
+    return update.counted(rows, log).groupBy(F.col("raw_source").alias("source"), F.col("raw_key").alias("key"), "run").agg(F.count(F.lit(1)).alias("n"), F.min("e").alias("first_id"))
+
+
 @query("""SELECT event_type AS source, max(ts) AS last_utc, round((epoch(TIMESTAMP '2024-03-01') - floor(epoch(max(ts)))) / 3600, 6) AS hours FROM events GROUP BY event_type""")
 def latency(spark: SparkSession, d: str) -> DataFrame:
     out = diagnostics.latency(base(spark, d).select(F.col("type").alias("source"), F.col("ts").alias("datetime_utc")), now="2024-03-01 00:00:00")
@@ -116,17 +128,17 @@ def station_index_of_all(spark: SparkSession, d: str) -> DataFrame:
     hourly = base(spark, d).where(F.col("type") == "view").select(*place(u, v), F.col("ts").alias("datetime_utc"))
     days = read(spark, d, "orders").select(*place(F.col("o_custkey"), F.col("o_totalprice")), F.to_date("o_orderdate").alias("date"))
     out = crosswalk.build_station_index({"madis": hourly, "ghcnd": days, "isd": hourly})
-    return out.select("source", "source_station_id", "lat", "n_obs", F.to_date("por_start").alias("por_start"), F.to_date("por_end").alias("por_end"))
+    return out.select("source", "source_station_id", "lat", F.col("obs_count").alias("n_obs"), F.to_date("por_start").alias("por_start"), F.to_date("por_end").alias("por_end"))
 
 
 @query("""WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events), n AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS i, count(*) OVER () AS n FROM d), s AS (SELECT DISTINCT n.day FROM n, range(0, 7) AS r(j) WHERE n.i = (r.j * (n.n - 1)) // 6)
-SELECT event_type AS source, CAST(user_id AS VARCHAR) AS source_station_id, median(value) AS lat, count(*) AS n_obs, min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day FROM events WHERE CAST(ts AS DATE) IN (SELECT day FROM s) GROUP BY ALL""")
+SELECT event_type AS source, CAST(user_id AS VARCHAR) AS source_station_id, median(value) AS lat, count(*) AS n_obs, 'hourly' AS temporal_res, (SELECT min(CAST(ts AS DATE)) FROM events) AS first_day, (SELECT max(CAST(ts AS DATE)) FROM events) AS last_day FROM events WHERE CAST(ts AS DATE) IN (SELECT day FROM s) GROUP BY event_type, user_id""")
 def sampled_station_index(spark: SparkSession, d: str) -> DataFrame:
     """The index from seven days, evenly spread."""
     u, e, k, t, v = cols()
     rows = base(spark, d).select(F.col("type").alias("source"), u.cast("string").alias("source_station_id"), u.cast("string").alias("station_key"), v.alias("lat"), F.lit(0.0).alias("lon"), F.lit(0.0).alias("elev_m"), F.col("ts").alias("datetime_utc"))
     out = crosswalk.index_per_day_source(rows, sample_days=7)
-    return out.select("source", "source_station_id", "lat", "n_obs", F.to_date("por_start").alias("first_day"), F.to_date("por_end").alias("last_day"))
+    return out.select("source", "source_station_id", "lat", F.col("obs_count").alias("n_obs"), "temporal_res", F.to_date("por_start").alias("first_day"), F.to_date("por_end").alias("last_day"))
 
 
 @query("""WITH x AS (SELECT user_id, ts, event_id, user_id % 5 AS m, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)

@@ -6,7 +6,7 @@ import gzip
 import io
 import re
 import tarfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -198,7 +198,8 @@ def parse_stdmet(files: DataFrame) -> DataFrame:
 
 
 def _decode(spark: SparkSession, path: Paths, decode, fields: str) -> DataFrame:
-    """Whole files through a Python decoder, one file at a time on executors; rows carry the file's path.  A file that
+    """Whole files through a Python decoder (to a table or to rows as dicts), one at a time on executors; rows carry the
+    file's path.  A file that
     cannot be decoded gives one row with its error, so that it is reported and the rest goes on."""
     schema_ = T._parse_datatype_string(f"{fields}, path string, error string")
     kinds = to_arrow_schema(schema_)
@@ -207,8 +208,10 @@ def _decode(spark: SparkSession, path: Paths, decode, fields: str) -> DataFrame:
         for batch in batches:
             for path_, content in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
                 try:
-                    rows = [{**r, "path": path_} for r in decode(path_, content)]
-                    out = pa.Table.from_pylist(rows, kinds)
+                    out = decode(path_, content)
+                    out = out if isinstance(out, pa.Table) else pa.Table.from_pylist(list(out), pa.schema(list(kinds)[:-2]))
+                    same = (pa.array([x] * len(out), pa.string()) for x in (path_, None))
+                    out = pa.Table.from_arrays([*(out.column(k.name).cast(k.type) for k in list(kinds)[:-2]), *same], schema=kinds)
                 except Exception as e:  # noqa: BLE001
                     out = pa.Table.from_pylist([{"path": path_, "error": f"{type(e).__name__}: {e}"}], kinds)
                 yield from out.to_batches()
@@ -411,20 +414,30 @@ MADIS_CORE = ("temperature", "dewpoint", "relHumidity", "windSpeed", "windDir")
 MADIS_IDS = ("stationId", "dataProvider")
 
 
-def decode_madis(path: str, content: bytes) -> list[dict]:
-    """Rows of an hourly netCDF file: absent measures are null, absent ids empty, texts stripped."""
+def madis_columns(path: str, content: bytes, wanted: Callable[[dict[str, np.ndarray], int], np.ndarray] | None = None) -> dict[str, pa.Array]:
+    """The columns of an hourly netCDF file: absent measures are null, absent ids empty, texts stripped; of the rows only
+    that are wanted, by a mask over the numbers (NaN where missing)."""
     f = netcdf.variables(unzip(path, content))
     names = [*MADIS_IDS, "latitude", "longitude", "elevation", "observationTime", *MADIS, *(f"{v}{s}" for v in MADIS_CORE for s in ("DD", "QCR"))]
     n = len(f["latitude"])
+    numbers = {k: np.where(np.isfinite(x := f[k].astype(float)), x, np.nan) for k in names if k in f and f[k].dtype.kind != "S"}
+    at = np.flatnonzero(wanted(numbers, n)) if wanted else np.arange(n)
     cols = {}
     for name in names:
-        if name not in f:
-            cols[name] = ["" if name in MADIS_IDS else None] * n
-        elif f[name].dtype.kind == "S":
-            cols[name] = [x.split(b"\0")[0].decode("utf-8", "replace").strip() for x in f[name].tolist()]
+        if name in numbers:
+            cols[name] = pa.array(numbers[name][at], pa.float64(), from_pandas=True)
+        elif name in f:
+            cols[name] = pa.array([x.split(b"\0")[0].decode("utf-8", "replace").strip() for x in f[name][at].tolist()], pa.string())
+        elif name in MADIS_IDS:
+            cols[name] = pa.array([""] * len(at), pa.string())
         else:
-            cols[name] = [float(x) if np.isfinite(x) else None for x in f[name].tolist()]
-    return [dict(zip(cols, r)) for r in zip(*cols.values())]
+            cols[name] = pa.nulls(len(at), pa.string() if name.endswith("DD") else pa.float64())
+    return cols
+
+
+def decode_madis(path: str, content: bytes) -> pa.Table:
+    """Rows of an hourly netCDF file."""
+    return pa.table(madis_columns(path, content))
 
 
 MADIS_FIELDS = (
