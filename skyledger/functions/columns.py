@@ -125,9 +125,8 @@ def offset_minutes(province: Column, lon: Column) -> Column:
     """Standard-time offset of a Canadian province in minutes; longitude decides where a province has several."""
     # Hours from UTC.
     hours = {"NL": -3.5, "NS": -4, "NB": -4, "PE": -4, "QC": -5, "ON": -5, "NU": -5, "MB": -6, "SK": -6, "AB": -7, "YT": -7, "NT": -7, "BC": -8}
-    out = F.lit(-360)
-    for p, h in hours.items():
-        out = F.when(province == p, F.lit(int(h * 60))).otherwise(out)
+    table = F.create_map(*(F.lit(x) for p, h in hours.items() for x in (p, int(h * 60))))
+    out = F.coalesce(F.try_element_at(table, province), F.lit(-360))
     north = F.when(lon < -102, -420).when(lon < -85, -360).otherwise(-300)
     return F.when((province == "ON") & (lon < -85), -360).when(province.isin("NT", "NU") & lon.isNotNull(), north).otherwise(out)
 

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -172,16 +172,25 @@ NDBC_VARS = tuple(dict.fromkeys(NDBC.values()))
 def parse_stdmet(files: DataFrame) -> DataFrame:
     """Rows (path, text) of standard meteorological files to (path, datetime_utc, variables): the file's heading, with or
     without a sign before it, else the usual columns; a units line; two-digit years; missing minutes.  Column functions only."""
-    lines = files.select("path", F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line")).withColumn("f", F.split(F.trim("line"), r"\s+"))
-    heads = F.regexp_replace(F.upper(F.col("f")[0]), "^#+", "").isin("YY", "YYYY") & F.array_contains("f", "MM")
-    heading = F.when(heads, F.concat(F.array(F.lit("YY")), F.slice("f", 2, F.size("f"))))
-    # Where each native name stands is found once for a heading, and handed down to its lines.
+    # Headings, few in a file, are found in the array of lines with what stands where in them; each line then takes the last one
+    # above it, so that no line leaves its task.
+    lines = F.split("text", r"\r?\n")
+    maybe = F.filter(F.transform(lines, lambda x, i: F.named_struct(F.lit("i"), i, F.lit("line"), x)), lambda h: h["line"].rlike(r"(?i)^ *#*YY(YY)?(\s|$)"))
+    fields = F.transform(maybe, lambda h: F.named_struct(F.lit("i"), h["i"], F.lit("f"), F.split(F.trim(h["line"]), r"\s+")))
+    heads = F.filter(fields, lambda h: F.array_contains(h["f"], "MM"))
     wanted = {n: k for k, n in enumerate((*NDBC_COLUMNS[:5], *NDBC))}
-    places = F.when(heads, F.transform(F.array(*map(F.lit, wanted)), lambda n: F.array_position(heading, n).cast("int")))
+    names = F.array(*map(F.lit, wanted))
+
+    def places_in(h: Column) -> Column:
+        heading = F.concat(F.array(F.lit("YY")), F.slice(h["f"], 2, F.size(h["f"])))
+        return F.named_struct(F.lit("i"), h["i"], F.lit("places"), F.transform(names, lambda n: F.array_position(heading, n).cast("int")))
+
     usual = F.array(*(F.lit(NDBC_COLUMNS.index(n) + 1 if n in NDBC_COLUMNS else 0) for n in wanted))
-    before = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = lines.withColumn("places", places).withColumn("places", F.coalesce(F.last("places", ignorenulls=True).over(before), usual))
+    whole = files.select("path", F.transform(heads, places_in).alias("heads"), lines.alias("lines"))  # once a file, before its lines
+    lines = whole.select("path", "heads", F.posexplode("lines").alias("line_no", "line")).withColumn("f", F.split(F.trim("line"), r"\s+"))
     lines = lines.where(F.col("f")[0].rlike(r"^\d{2,4}$"))
+    above = F.filter("heads", lambda h: h["i"] < F.col("line_no"))
+    lines = lines.withColumn("places", F.when(F.size(above) > 0, F.element_at(above, -1)["places"]).otherwise(usual))
 
     def field(*names: str) -> Column:
         return F.coalesce(*(F.get("f", F.col("places")[wanted[n]] - 1) for n in names))
@@ -380,7 +389,10 @@ def normalize_eccc(raw: DataFrame, *, province: str | None = None, run_id: str |
     find = lambda start: next((c for c in raw.columns if c.lower().startswith(start.lower()) and "flag" not in c.lower()), None)
     flag_of = lambda start: next((c for c in raw.columns if c.lower().startswith(f"{start.lower()} flag")), None)
     file = F.col("__file")
-    prov = F.lit(province) if province else F.upper(F.regexp_extract(file, r"_([A-Za-z]{2})_[0-9A-Za-z]+_[^/]*$", 1))
+    # The province stands in the file's name: a column of its own, as it is compared with many others.
+    named_by_file = F.lit(province) if province else F.upper(F.regexp_extract(file, r"_([A-Za-z]{2})_[0-9A-Za-z]+_[^/]*$", 1))
+    raw = raw.withColumn("__province", named_by_file)
+    prov = F.col("__province")
     named = lambda s: next((F.col(f"`{c}`") for c in raw.columns if s in c.lower()), F.lit(None).cast("string"))
     lon, lat = C.num(named("longitude")), C.num(named("latitude"))
     local = F.coalesce(F.try_to_timestamp(named("date/time"), F.lit("yyyy-MM-dd HH:mm")), F.try_to_timestamp(named("date/time")))
