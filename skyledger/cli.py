@@ -61,10 +61,10 @@ def parser() -> argparse.ArgumentParser:
     command("build-daily", "rows", "out", "start", "end", "keep-extra", positional=("source",))
     command("build-station-por", "rows", "out", "start", "end", "min-days", positional=("source",))
     command("inventory", "rows", "out")
-    command("crosswalk-index", "rows", "out")
+    command("crosswalk-index", "rows", "out", "sample-files")
     command("crosswalk-build", "index", "out")
     command("precedence-study", "a", "b", "out", "keys", "variables")
-    command("build-fabric", "rows", "crosswalk", "out", "kind", "precedence", "start", "end")
+    command("build-fabric", "rows", "crosswalk", "out", "kind", "precedence", "start", "end", "table")
     command("corrections", "obs", "baseline", "variable", "method", "out")
     command("diagnostics", "rows", "by", positional=("report",))
     command("release-build", "root", "version", "channel", "products")
@@ -118,14 +118,15 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "inventory":
         save(por.inventory(read(a.rows)))
     elif a.command == "crosswalk-index":
-        save(crosswalk.station_index(read(a.rows)))
+        save(crosswalk.index_of_day_files(spark, a.rows, sample_files=int(a.sample_files)) if a.sample_files else crosswalk.station_index(read(a.rows)))
     elif a.command == "crosswalk-build":
         save(crosswalk.build_crosswalk(read(a.index)))
     elif a.command == "precedence-study":
         save(diagnostics.precedence_study(read(a.a), read(a.b), keys=a.keys.split(","), variables=a.variables.split(",")))
     elif a.command == "build-fabric":
         kind = a.kind or "daily"
-        save(fabric.build_fabric(read(a.rows), read(a.crosswalk), precedence=fabric.load_precedence(a.precedence)[kind], time="date" if kind == "daily" else "datetime_utc", start=a.start, end=a.end))
+        time = "date" if kind == "daily" else "datetime_utc"
+        fabric.write_fabric(fabric.build_fabric(read(a.rows), read(a.crosswalk), precedence=fabric.load_precedence(a.precedence)[kind], time=time, start=a.start, end=a.end), a.out, table=a.table, time=time)
     elif a.command == "corrections":
         save(corrections.monthly_factors(read(a.obs), read(a.baseline), variable=a.variable, keys=["station_key"], method=a.method or "ratio"))
     elif a.command == "diagnostics":

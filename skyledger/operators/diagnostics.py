@@ -9,9 +9,13 @@ from skyledger.operators.corrections import paired
 
 
 def coverage(rows: DataFrame, variables: list[str]) -> DataFrame:
-    """(variable, source, n, stations) with totals (null source), exact counts and approximate stations."""
+    """(variable, source, n, stations) with totals (null source).  Stations are merged before they are counted, so that
+    no task holds all of a source's."""
     long = rows.select("source", "station_key", *variables).unpivot(["source", "station_key"], variables, "variable", "value").where("value is not null")
-    return long.rollup("variable", "source").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("station_key").alias("stations")).where("variable is not null")
+    each = long.groupBy("variable", "source", "station_key").agg(F.count(F.lit(1)).alias("n"))
+    sums = [F.sum("n").alias("n"), F.count(F.lit(1)).alias("stations")]
+    total = each.groupBy("variable", "station_key").agg(F.sum("n").alias("n")).groupBy("variable").agg(*sums)
+    return each.groupBy("variable", "source").agg(*sums).unionByName(total.withColumn("source", F.lit(None).cast("string")))
 
 
 def latency(rows: DataFrame, *, now: str | None = None) -> DataFrame:

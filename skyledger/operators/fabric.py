@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger import schema
+from skyledger.operators import tables
 from skyledger.operators.por import bucket
+from skyledger.operators.tables import BUCKETS
 
 
 def load_precedence(path: str | None = None) -> dict[str, dict[str, list[str]]]:
@@ -57,11 +59,24 @@ def apply_precedence(rows: DataFrame, precedence: dict[str, list[str]], *, keys:
     return out.select(*keys, *cells, used.cast("int").alias("n_sources"))
 
 
+def name_rows(rows: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """Source rows with their canonical station and their distance from it."""
+    ids = crosswalk.select(F.col("source_station_key").alias("station_key"), "canonical_station_id", "distance_m")
+    return rows.drop("lat", "lon", "elev_m").join(ids, "station_key")
+
+
+def colocate(rows: DataFrame, crosswalk: DataFrame, table: str, path: str, *, time: str = "date", buckets: int = BUCKETS) -> DataFrame:
+    """Named rows as a table that lies by canonical station, so that fabrics of it, of whatever box, dates and order of
+    precedence, are built and joined where the rows lie.  One shuffle, once."""
+    return tables.write(name_rows(rows, crosswalk), table, path, "canonical_station_id", sort=(time,), buckets=buckets)
+
+
 def build_fabric(
     rows: DataFrame, crosswalk: DataFrame, *, precedence: dict[str, list[str]], time: str = "date", bbox: tuple[float, float, float, float] | None = None, start: date | None = None, end: date | None = None
 ) -> DataFrame:
     """Source rows (station_key, source, time, variables) merged by canonical station.  bbox: west, south, east, north,
-    closed.  Of several stations of one source, the one with the least crosswalk distance, then id, comes first."""
+    closed.  Of several stations of one source, the one with the least crosswalk distance, then id, comes first.  rows
+    may be named already (``colocate``)."""
     x = crosswalk
     if bbox:
         w, s, e, n = bbox
@@ -71,8 +86,13 @@ def build_fabric(
     if end:
         rows = rows.where(F.col(time) < F.date_add(F.lit(end).cast("date"), 1))
     place = x.groupBy("canonical_station_id").agg(F.median("lat").alias("lat"), F.median("lon").alias("lon"), F.median("elev_m").alias("elev_m"))
-    ids = x.select(F.col("source_station_key").alias("station_key"), "canonical_station_id", "distance_m")
-    named = rows.drop("lat", "lon", "elev_m").join(ids, "station_key")
+    if "canonical_station_id" in rows.columns:
+        named = rows
+        if bbox:  # by the canonical station alone, as the rows lie by it; it has few stations
+            inside = x.groupBy("canonical_station_id").agg(F.collect_set("source_station_key").alias("__inside"))
+            named = rows.join(inside, "canonical_station_id").where(F.array_contains("__inside", F.col("station_key"))).drop("__inside")
+    else:
+        named = name_rows(rows, x)
     tie = [F.coalesce(F.col("distance_m"), F.lit(1e12)), F.col("station_key")]
     return apply_precedence(named, precedence, keys=["canonical_station_id", time], tie=tie).join(place, "canonical_station_id")
 
@@ -84,7 +104,10 @@ def precedence_audit(fabric: DataFrame) -> DataFrame:
     return long.groupBy("variable", "source").agg(F.count(F.lit(1)).alias("n"))
 
 
-def write_fabric(fabric: DataFrame, path: str) -> None:
-    """One folder for each hash bucket of stations, sorted by station."""
-    rows = fabric.withColumn("bucket", bucket(F.col("canonical_station_id")))
+def write_fabric(fabric: DataFrame, path: str, *, table: str | None = None, time: str = "date", buckets: int = BUCKETS) -> None:
+    """One folder for each hash bucket of stations, sorted by station; or, with a name, a table that lies by station."""
+    if table:
+        tables.write(fabric, table, path, "canonical_station_id", sort=(time,), buckets=buckets)
+        return
+    rows = fabric.withColumn("bucket", bucket(F.col("canonical_station_id"), buckets))
     rows.repartition("bucket").sortWithinPartitions("bucket", "canonical_station_id").write.mode("overwrite").partitionBy("bucket").parquet(path)

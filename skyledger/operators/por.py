@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from skyledger import schema
 from skyledger.operators import daily as D
+from skyledger.operators import tables
 from skyledger.operators import temporal as T
+from skyledger.operators.tables import BUCKETS
 
 DAILY_NATIVE = ("ghcnd", "raws", "raws_wrcc", "snotel_daily")
 
@@ -79,7 +81,7 @@ def build_station_por(
     need = schema.required_hours(source) if not already_daily else 1
     enough = F.count(F.when(F.col("obs_count") >= need, 1)).over(Window.partitionBy("station_key"))
     days = days.withColumn("__days", enough)
-    skipped = days.where(F.col("__days") < min_por_days).groupBy("station_key").agg(F.max("__days").alias("days"), F.count(F.lit(1)).alias("rows")).withColumn("reason", F.lit("min_por_days"))
+    skipped = days.where(F.col("__days") < min_por_days).groupBy("station_key").agg(F.max("__days").alias("days"), F.count(F.lit(1)).alias("rows")).withColumn("reason", F.lit("insufficient_por_days"))
     kept = days.where(F.col("__days") >= min_por_days).drop("__days")
     has = set(kept.columns)
     if index is not None:
@@ -99,7 +101,9 @@ def build_station_por(
 
 def write_failure_report(done: StationPor, path: str, source: str) -> None:
     """Beside the series: the stations that were left out, and the checks that were, with reasons, as JSON lines."""
-    out = done.skipped.select(F.lit(source).alias("source"), F.lit("series").alias("phase"), "station_key", "reason", F.col("days").cast("string").alias("details"))
+    hours = schema.required_hours(source)
+    details = F.concat(F.lit("sufficient_days="), F.col("days").cast("string"), F.lit(f",required_hours={hours}"))
+    out = done.skipped.select(F.lit(source).alias("source"), F.lit("min_por_days").alias("phase"), "station_key", "reason", details.alias("details"))
     checks = done.qc_skipped.select(F.lit(source).alias("source"), F.lit("rs_period_ratio").alias("phase"), "station_key", "reason", F.lit("").alias("details"))
     out.unionByName(checks).write.mode("overwrite").json(f"{path}_failures_{source}")
 
@@ -119,9 +123,6 @@ def with_coordinates(days: DataFrame, index: DataFrame) -> DataFrame:
     return joined.withColumns({c: F.coalesce(v, F.col(f"__{c}")) for c, v in own.items()}).drop(*(f"__{c}" for c in own))
 
 
-BUCKETS = 100  # fixed value: folders that stations are dealt out over
-
-
 def bucket(key: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
@@ -130,9 +131,12 @@ def safe_name(station_key: str) -> str:
     return station_key.replace(":", "_").replace("/", "_")
 
 
-def write_station_por(series: DataFrame, path: str, *, buckets: int = BUCKETS) -> None:
+def write_station_por(series: DataFrame, path: str, *, buckets: int = BUCKETS, table: str | None = None) -> None:
     """One folder for each hash bucket of stations, sorted by station and date, so that a station is found in one folder
-    by the statistics of its files."""
+    by the statistics of its files; or, with a name, a table that lies by station (``tables``)."""
+    if table:
+        tables.write(series, table, path, "station_key", sort=("date",), buckets=buckets)
+        return
     rows = series.withColumn("bucket", bucket(F.col("station_key"), buckets))
     rows.repartition("bucket").sortWithinPartitions("bucket", "station_key", "date").write.mode("overwrite").partitionBy("bucket").parquet(path)
 

@@ -300,12 +300,12 @@ def box_and_dates(spark: SparkSession, d: str) -> DataFrame:
     return readers.in_bounds(rows, -1, 100, 1, 300, lat="value", lon="lon").select("event_id")
 
 
-@query("""SELECT event_type AS variable, CAST(user_id % 7 AS VARCHAR) AS source, count(*) AS n FROM events GROUP BY ROLLUP (event_type, CAST(user_id % 7 AS VARCHAR)) HAVING event_type IS NOT NULL""")
+@query("""SELECT event_type AS variable, CAST(user_id % 7 AS VARCHAR) AS source, count(*) AS n, count(DISTINCT user_id) AS stations FROM events GROUP BY ROLLUP (event_type, CAST(user_id % 7 AS VARCHAR)) HAVING event_type IS NOT NULL""")
 def coverage_rollup(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events")
     kinds = [r[0] for r in e.select("event_type").distinct().orderBy("event_type").collect()]  # a handful of variables
     rows = e.select((F.col("user_id") % 7).cast("string").alias("source"), F.col("user_id").alias("station_key"), *(F.when(F.col("event_type") == k, F.col("value")).alias(k) for k in kinds))
-    return diagnostics.coverage(rows, kinds).select("variable", "source", "n")
+    return diagnostics.coverage(rows, kinds).select("variable", "source", "n", "stations")
 
 
 @query("""SELECT event_type AS source, count(*) AS n, round(avg(CASE WHEN user_id % 5 > 1 THEN 1.0 ELSE 0.0 END), 6) AS pass_rate, round(avg(CASE WHEN user_id % 5 = 1 THEN 1.0 ELSE 0.0 END), 6) AS suspect_rate, round(avg(CASE WHEN user_id % 5 = 0 THEN 1.0 ELSE 0.0 END), 6) AS fail_rate FROM events GROUP BY event_type""")

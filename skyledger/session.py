@@ -12,8 +12,9 @@ _shipped: set[str] = set()
 
 
 def get_session(app: str = "skyledger", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with the settings every operator assumes: UTC and adaptive execution."""
+    """A session with the settings every operator assumes: UTC, adaptive execution, joins where tables lie."""
     b = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").config("spark.ui.enabled", "false")
+    b = b.config("spark.sql.requireAllClusterKeysForCoPartition", "false")  # tables that lie by station are joined by station and time where they lie
     if master:
         b = b.master(master)
     if shuffle_partitions:

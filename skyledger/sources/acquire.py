@@ -140,10 +140,12 @@ def gdas_jobs(start: date, end: date, root: str) -> list[Job]:
 
 
 def ndbc_location(text: str) -> tuple[float | None, float | None]:
-    """Latitude and longitude of a place such as 30.517 N 152.127 E (30 31'2" N 152 7'38" E)."""
+    """Latitude and longitude of a place such as 30.517 N 152.127 E (30 31'2" N 152 7'38" E), or of its second form alone."""
     found = re.match(r"\s*([\d.]+)\s*([NS])\s+([\d.]+)\s*([EW])", text)
-    if not found:
-        return None, None
+    if not found:  # degrees, minutes and seconds alone
+        sides = {h: (int(d) + int(m) / 60 + int(s) / 3600) * (-1 if h in "SW" else 1) for d, m, s, h in re.findall(r"(\d+)\D+?(\d+)\D+?(\d+)[^\dNSEW]*([NSEW])", text)}
+        lat, lon = ([v for h, v in sides.items() if h in pair] for pair in ("NS", "EW"))
+        return (lat[0], lon[0]) if lat and lon else (None, None)
     lat, lon = float(found[1]), float(found[3])
     return -lat if found[2] == "S" else lat, -lon if found[4] == "W" else lon
 

@@ -154,6 +154,8 @@ def test_addresses():
     assert acquire.ghcnh_files('<a href="A1.psv">x</a><a href="B.csv">') == ["A1.psv"] and acquire.ghcnh_jobs(["A1.psv"], "/r")[0].key == "A1"
     table = "# ID | OWNER | TTYPE | HULL | NAME | PAYLOAD | LOCATION | TZ\n41001|N|b|h|EAST|p|34.700 N 72.700 W (34 42'0\" N)|E\n13001|N|b|h|S|p|12.0 S 23.0 E|E\nbad|line\nxx|a|b|c|d|e|nowhere|f"
     assert [(s["source_station_id"], s["lat"], s["lon"]) for s in acquire.ndbc_stations(table)] == [("41001", 34.7, -72.7), ("13001", -12.0, 23.0), ("XX", None, None)]
+    lat, lon = acquire.ndbc_location("42 30'36\" S 70 15'0\" W")
+    assert (round(lat, 6), round(lon, 6)) == (-42.51, -70.25) and acquire.ndbc_location("42 30'36\" S") == (None, None)
     assert [j.key for j in acquire.ndbc_jobs(["41001"], (2020, 2021), "/r")] == ["41001/2020", "41001/2021", "41001/latest"]
     assert acquire.raws_stations("rawMAIN.pl?idIABC rawMAIN.pl?idIABD rawMAIN.pl?idIABC") == ["idIABC", "idIABD"]
     posts = acquire.raws_jobs("idIABC", date(2010, 5, 1), date(2020, 2, 1), "/r")

@@ -125,7 +125,7 @@ def test_gdas_stitching(spark):
 
 def test_least_record(spark):
     done = por.build_station_por(hours(spark, range(48)).withColumn("rh", F.lit(50.0)), source="ndbc", min_por_days=30)
-    assert done.series.count() == 0 and done.skipped.first().reason == "min_por_days" and done.qc_skipped.count() == 0
+    assert done.series.count() == 0 and done.skipped.first().reason == "insufficient_por_days" and done.qc_skipped.count() == 0
 
 
 def test_crosswalk(spark):
