@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import urllib.request
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -14,9 +15,11 @@ from skyledger.session import get_session, ship
 from skyledger.sources import acquire, readers, registry
 
 
-def jobs_of(a: argparse.Namespace) -> list[acquire.Job]:
-    """The files that ingest is asked for."""
+def jobs_of(a: argparse.Namespace, opener=urllib.request.urlopen) -> list[acquire.Job]:
+    """The files that ingest is asked for: of the named stations, or of all that the source lists."""
     root, names = a.root, (a.stations or "").split(",") if a.stations else []
+    if not names and a.source in ("ghcnh", "ndbc", "raws", "snotel"):
+        names = acquire.listed_stations(a.source, opener, regions=a.regions.split(",") if a.regions else acquire.RAWS_REGIONS)
     years = tuple(int(y) for y in a.years.split("-")) if a.years else (date.today().year,) * 2
     start, end = a.start or date(years[0], 1, 1), a.end or date.today()
     if a.source == "madis":
@@ -27,8 +30,8 @@ def jobs_of(a: argparse.Namespace) -> list[acquire.Job]:
     if a.source == "gdas":
         return acquire.gdas_jobs(start, end, root)
     by_name = {
-        "isd": lambda: acquire.isd_jobs([f"data/{y}/{n}-{y}.gz" for y in range(years[0], years[-1] + 1) for n in names], root), "ghcnh": lambda: acquire.ghcnh_jobs(names, root), "ndbc": lambda: acquire.ndbc_jobs(names, (years[0], years[-1]), root),
-        "raws": lambda: [j for n in names for j in acquire.raws_jobs(n, start, end, root)], "snotel": lambda: [j for n in names for j in acquire.snotel_jobs(n, start, end, root)],
+        "isd": lambda: acquire.isd_jobs(acquire.isd_archive(range(years[0], years[-1] + 1), opener) if not names else [f"data/{y}/{n}-{y}.gz" for y in range(years[0], years[-1] + 1) for n in names], root), "ghcnh": lambda: acquire.ghcnh_jobs(names, root), "ndbc": lambda: acquire.ndbc_jobs(names, (years[0], years[-1]), root),
+        "raws": lambda: [j for n in names for j in acquire.raws_jobs(n, start, end, root)], "snotel": lambda: [acquire.Job("inventory", (acquire.snotel_inventory(),), f"{root}/{readers.INVENTORY}"), *(j for n in names for j in acquire.snotel_jobs(n, start, end, root))],
     }
     if a.source not in by_name:
         raise KeyError(f"{a.source!r} has no download")
@@ -52,7 +55,7 @@ def parser() -> argparse.ArgumentParser:
                 c.add_argument(f"--{f}")
 
     command("sources")
-    command("ingest", "root", "stations", "years", "start", "end", "threads", "user", "password", "dry-run", positional=("source",))
+    command("ingest", "root", "stations", "regions", "years", "start", "end", "threads", "pace", "user", "password", "manifest", "dry-run", positional=("source",))
     command("normalize", "raw", "out", "manifest", "profile", "mask", "start", "end", "overwrite", "dry-run", positional=("source",))
     command("update", "raw", "out", "manifest", "daily", "profile", "end", "dry-run")
     command("validate", "pairs", "ours", "theirs", "logs", "variables", "out")
@@ -74,17 +77,20 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, opener=urllib.request.urlopen) -> int:
     a = parser().parse_args(argv)
     if a.command == "sources":
         print("\n".join(registry.list_sources()))
         return 0
     if a.command == "ingest":
-        jobs = jobs_of(a)
+        opener = acquire.Pace(float(a.pace), opener) if a.pace else opener
+        jobs = jobs_of(a, opener)
         if a.dry_run:
             print("\n".join(f"{u if isinstance(u, str) else u.full_url} {j.to}" for j in jobs for u in j.urls))
             return 0
-        done = registry.get_source(a.source).fetch_raw(jobs, **({"threads": int(a.threads)} if a.threads else {}))
+        done = registry.get_source(a.source).fetch_raw(jobs, opener=opener, **({"threads": int(a.threads)} if a.threads else {}))
+        if a.manifest:  # states of downloads stand beside those of keys
+            manifest.Manifest(ship(get_session()), a.manifest).update([(f"{a.source}_files", *d) for d in done])
         print(json.dumps(done))
         return int(any(state == "failed" for _, state, _ in done))
     spark = ship(get_session())

@@ -39,6 +39,8 @@ def key_of(source: str, path: Column) -> Column:
     if source == "eccc":
         return F.upper(F.nullif(F.regexp_extract(name, r"_([A-Za-z]{2}_[0-9A-Za-z]+)_[^_]*$", 1), F.lit("")))
     stem = F.when(~name.contains("inventory"), F.substring_index(name, ".", 1))
+    if source == "raws":
+        return F.regexp_replace(stem, r"_\d{8}$", "")
     if source == "ndbc":
         return F.upper(F.regexp_replace(stem, r"(_latest|h\d{4})$", ""))
     return readers.snotel_station(name) if source == "snotel" else stem

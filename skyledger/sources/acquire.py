@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import re
+import threading
 import time
 import urllib.error
 import urllib.request
@@ -13,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, timedelta
 from pathlib import Path
-from urllib.parse import urlencode
+from urllib.parse import urlencode, urlsplit
 
 
 Request = str | urllib.request.Request
@@ -38,13 +39,40 @@ def fetch(url: Request, to: str, *, tries: int = 3, timeout: int = 600, pause: C
                 return False
             if k == tries - 1:
                 raise
+            wait = retry_after(e)
         except OSError:
             if k == tries - 1:
                 raise
-        pause(2.0**k)
+            wait = 0.0
+        pause(max(2.0**k, wait))
     return False
 
 
+def retry_after(e: urllib.error.HTTPError) -> float:
+    """The seconds that a busy server asks to wait for."""
+    text = (e.headers or {}).get("Retry-After") or ""
+    return float(text) if text.isdigit() else 0.0
+
+
+class Pace:
+    """An opener that leaves so many seconds between two requests to one host, whichever thread asks."""
+
+    def __init__(self, seconds: float, opener=urllib.request.urlopen, clock: Callable[[], float] = time.monotonic, pause: Callable[[float], None] = time.sleep):
+        self.seconds, self.opener, self.clock, self.pause = seconds, opener, clock, pause
+        self._next: dict[str, float] = {}
+        self._lock = threading.Lock()
+
+    def __call__(self, url: Request, timeout: int | None = None):
+        host = urlsplit(url if isinstance(url, str) else url.full_url).netloc
+        with self._lock:
+            now = self.clock()
+            at = max(now, self._next.get(host, now))
+            self._next[host] = at + self.seconds
+        if at > now:
+            self.pause(at - now)
+        return self.opener(url, timeout=timeout)
+
+
 def fetch_all(jobs: list[tuple[str, str]], *, threads: int = 8, **how) -> dict[str, bool]:
     """{destination: there} for (url, destination) pairs."""
     with ThreadPoolExecutor(threads) as pool:
@@ -93,6 +121,11 @@ NDBC_LATEST_URL = "https://www.ndbc.noaa.gov/data/l_stdmet"
 RAWS_URL = "https://raws.dri.edu"
 RAWS_DATA_URL = "https://wrcc.dri.edu/cgi-bin/wea_dysimts2.pl"
 SNOTEL_URL = "https://wcc.sc.egov.usda.gov/awdbRestApi/services/v1"
+# The archive's list pages of stations.
+RAWS_REGIONS = (
+    "wa", "or", "sid", "nidwmt", "emt", "wy", "nca", "cca", "sca", "nvut", "co", "az", "nm", "nd", "sd", "ne", "ks", "ok", "tx", "mn", "ia", "mo", "ar", "la", "ak",
+)
+# The service's names of measures and of a station's fields.
 SNOTEL_ELEMENTS = ("WTEQ", "SNWD", "PREC", "TOBS")
 SNOTEL_FIELDS = ("stationTriplet", "name", "latitude", "longitude", "elevation", "stationDataTimeZone", "beginDate", "endDate")
 RAWS_YEARS, SNOTEL_YEARS = 5, 5  # of one request
@@ -207,6 +240,56 @@ def snotel_jobs(triplet: str, start: date, end: date, root: str, elements: tuple
     return jobs
 
 
+def text_of(url: Request, opener=urllib.request.urlopen) -> str:
+    with opener(url, timeout=60) as r:
+        return r.read().decode("utf-8", "replace")
+
+
+def isd_archive(years: Iterable[int], opener=urllib.request.urlopen) -> list[str]:
+    """All keys of some years, page by page: each page begins after the last key of the one before."""
+    out = []
+    for y in years:
+        after, more = None, True
+        while more:
+            keys, more = isd_keys(text_of(isd_listing(y, after), opener))
+            out += keys
+            more, after = more and bool(keys), keys[-1] if keys else None
+    return out
+
+
+def listed_stations(source: str, opener=urllib.request.urlopen, *, regions: Iterable[str] = RAWS_REGIONS) -> list[str]:
+    """The stations that a source's own listing names: what ``ingest`` takes without any."""
+    if source == "ghcnh":
+        return ghcnh_files(text_of(f"{GHCNH_URL}/", opener))
+    if source == "ndbc":
+        return [s["source_station_id"] for s in ndbc_stations(text_of(NDBC_TABLE_URL, opener))]
+    if source == "raws":
+        return sorted({s for r in regions for s in raws_stations(text_of(f"{RAWS_URL}/wraws/{r}lst.html", opener))})
+    if source == "snotel":
+        return sorted(s["stationTriplet"] for s in json.loads(text_of(snotel_inventory(), opener)) if s.get("networkCode", "SNTL") == "SNTL")
+    raise KeyError(f"{source!r} has no listing")
+
+
+RAWS_FACTS = {"location": "Location", "lat": "Latitude", "lon": "Longitude", "elev_m": "Elevation", "ness_id": "NESS ID", "nws_id": "NWS ID", "agency": "Agency"}  # fixed values: labels of the page
+
+
+def raws_facts(page: str) -> dict[str, str | float]:
+    """What a station's page says of it: cells after bold labels; degrees west are negative, feet become metres."""
+    cells = {k.strip().lower(): v.strip() for k, v in re.findall(r"<b>([^<]+)</b>\s*</td>\s*<td>([^<\n]*)", page, re.I)}
+    out: dict[str, str | float] = {}
+    for name, label in RAWS_FACTS.items():
+        text = cells.get(label.lower(), "")
+        numbers = [float(x) for x in re.findall(r"\d+(?:\.\d+)?", text)]
+        if name in ("lat", "lon") and numbers:
+            degrees = sum(x / 60**k for k, x in enumerate(numbers[:3]))
+            out[name] = -degrees if name == "lon" else degrees
+        elif name == "elev_m" and numbers:
+            out[name] = numbers[0] * 0.3048
+        elif text and name not in ("lat", "lon", "elev_m"):
+            out[name] = text
+    return out
+
+
 def snotel_rows(answer: str) -> list[dict]:
     """(triplet, datetime_local, element, value) of an answer."""
     out = []

@@ -308,6 +308,13 @@ def normalize_raws(df: DataFrame, run_id: str | None = None) -> DataFrame:
     return provenance(df.withColumns({"day_basis": F.lit("local"), "obs_count": F.lit(1)}), "raws_wrcc", run_id)
 
 
+def read_raws_html(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
+    """Answer pages as they were downloaded, named by station and first day."""
+    pages = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias(RAW), F.col("value").alias("html"))
+    pages = pages.withColumn("source_station_id", F.regexp_replace(stem(F.col(RAW)), r"_\d{8}$", ""))
+    return normalize_raws(parse_raws_html(pages, keys=("source_station_id", RAW)), run_id)
+
+
 def read_raws(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
     """CSV or Parquet of daily measures; the station is the file's name."""
     first = path if isinstance(path, str) else path[0]
@@ -352,6 +359,28 @@ def read_snotel_hourly(spark: SparkSession, path: Paths, run_id: str | None = No
     return normalize_snotel_hourly(df, stem(F.col("__file")), run_id)
 
 
+# The shape of the service's answers.
+SNOTEL_ANSWER = "array<struct<stationTriplet:string,data:array<struct<stationElement:struct<elementCode:string,storedUnitCode:string>,values:array<struct<date:string,value:double>>>>>>"
+SNOTEL_STATIONS = "array<struct<stationTriplet:string,networkCode:string,name:string,latitude:double,longitude:double,elevation:double,dataTimeZone:double>>"
+INVENTORY = "station_inventory.json"
+
+
+def read_snotel_json(spark: SparkSession, path: Paths, run_id: str | None = None) -> DataFrame:
+    """Hourly answers as they were downloaded, with the inventory beside them for places and time zones: inches and degrees
+    Fahrenheit become millimetres and degrees Celsius, local times UTC.  Stations without a time zone give no rows."""
+    first = path if isinstance(path, str) else path[0]
+    folder = re.sub(r"[^/]*$", "", first) if first.endswith(".json") else f"{first}/"
+    places = spark.read.text(f"{folder}{INVENTORY}", wholetext=True).select(F.inline(F.from_json("value", SNOTEL_STATIONS))).where("dataTimeZone is not null")
+    places = places.groupBy(F.col("stationTriplet").alias("triplet")).agg(*(F.first(a).alias(b) for a, b in (("dataTimeZone", "tz_offset"), ("latitude", "lat"), ("longitude", "lon"), ("elevation", "elev_ft"))))
+    whole = of_file(spark.read.text(path, wholetext=True)).where(~F.col("__file").endswith(INVENTORY))
+    series = whole.select("__file", F.inline(F.from_json("value", SNOTEL_ANSWER))).select("__file", F.col("stationTriplet").alias("triplet"), F.inline("data"))
+    values = series.select("__file", "triplet", F.col("stationElement.elementCode").alias("code"), F.col("stationElement.storedUnitCode").alias("unit"), F.inline("values"))
+    metric = F.when(F.col("unit") == "in", F.col("value") * 25.4).when(F.col("unit") == "degF", units.f_to_c(F.col("value"))).otherwise(F.col("value"))
+    wide = values.groupBy("__file", "triplet", F.try_to_timestamp("date").alias("datetime_local")).agg(*(F.max(F.when(F.col("code") == c, metric)).alias(c) for c in SNOTEL_HOURLY))
+    rows = wide.where("datetime_local is not null").join(F.broadcast(places), "triplet")  # a row a station
+    return normalize_snotel_hourly(rows, stem(F.col("__file")), run_id)
+
+
 def normalize_snotel_hourly(df: DataFrame, station: Column, run_id: str | None = None) -> DataFrame:
     """The same from rows; station: the id where there is no triplet.  Times with a column tz_offset (hours) are local."""
     from skyledger.operators.temporal import increments

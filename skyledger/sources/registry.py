@@ -9,6 +9,7 @@ from datetime import date, timedelta
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.sources import acquire
 from skyledger.sources import readers as R
@@ -35,33 +36,39 @@ class Source:
         return f"{key.removesuffix('.gz').replace('/', '_')}.parquet"
 
 
-def _has_parquet(spark: SparkSession, path: R.Paths) -> bool:
-    """Whether there are Parquet files: among the named ones, or in the folder, of any file system."""
+def _has(spark: SparkSession, path: R.Paths, suffix: str = ".parquet") -> bool:
+    """Whether there are files of a kind: among the named ones, or in the folder, of any file system."""
     if not isinstance(path, str):
-        return any(p.endswith(".parquet") for p in path)
-    if path.endswith(".parquet"):
+        return any(p.endswith(suffix) for p in path)
+    if path.endswith(suffix):
         return True
     names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
-    return not names.where("path like '%.parquet'").isEmpty()
+    return not names.where(F.col("path").endswith(suffix)).isEmpty()
 
 
 def _snotel(spark: SparkSession, path: R.Paths, run_id: str | None = None) -> DataFrame:
-    """Hourly where there are Parquet files, else the daily CSV."""
-    hourly = _has_parquet(spark, path)
+    """Answers of the service or hourly Parquet where there are any, else the daily CSV."""
+    if _has(spark, path, ".json"):
+        return R.read_snotel_json(spark, path, run_id)
+    hourly = _has(spark, path)
     return (R.read_snotel_hourly if hourly else R.read_snotel_daily)(spark, path, run_id)
 
 
 def _ndbc(spark: SparkSession, path: R.Paths, run_id: str | None = None) -> DataFrame:
-    parsed = _has_parquet(spark, path)
+    parsed = _has(spark, path)
     return (R.read_ndbc_parquet if parsed else R.read_ndbc_text)(spark, path, run_id)
 
 
+def _raws(spark: SparkSession, path: R.Paths, run_id: str | None = None) -> DataFrame:
+    return (R.read_raws_html if _has(spark, path, ".html") else R.read_raws)(spark, path, run_id)
+
+
 _ALL = {
     s.name: s
     for s in (
         Source("madis", R.read_madis, "days", (".gz", ".nc"), scan=R.scan_madis, shape=R.extract_madis), Source("isd", R.read_isd, "year_files", (".gz", ""), note="superseded by ghcnh", scan=R.scan_text, shape=R.isd_of_text), Source("ghcnh", R.read_ghcnh, "stems", (".psv",)),
-        Source("ghcnd", R.read_ghcnd, "stems", (".csv",), daily=True), Source("gdas", R.read_gdas_parquet, "days", (".parquet",)), Source("raws", R.read_raws, "stems", (".csv", ".parquet"), daily=True, parallel=False),
-        Source("ndbc", _ndbc, "stems", (".parquet", ".txt", ".txt.gz")), Source("snotel", _snotel, "stems", (".parquet", ".csv")), Source("eccc", R.read_eccc, "stems", (".csv",)),
+        Source("ghcnd", R.read_ghcnd, "stems", (".csv",), daily=True), Source("gdas", R.read_gdas_parquet, "days", (".parquet",)), Source("raws", _raws, "stems", (".csv", ".parquet", ".html"), daily=True, parallel=False),
+        Source("ndbc", _ndbc, "stems", (".parquet", ".txt", ".txt.gz")), Source("snotel", _snotel, "stems", (".parquet", ".csv", ".json")), Source("eccc", R.read_eccc, "stems", (".csv",)),
     )
 }
 

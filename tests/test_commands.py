@@ -296,3 +296,59 @@ def test_files_are_decoded_once(spark, tmp_path, monkeypatch):
     log = manifest.Manifest(spark, str(tmp_path / "state"))
     assert update.normalize_pending(spark, "madis", str(tmp_path / "raw"), str(tmp_path / "out"), log).failed == 1
     assert count.value == 4
+
+
+RAWS_PAGE = "<PRE>\n" + "\n".join(f" 01/{d:02d}/2024  2024  {d}  {d}  2.5  3.0  180  9.0  {d}.5  9.0  -1.0  50  80  20  1.5" for d in (1, 2, 3)) + "\n</PRE>"
+
+
+def test_downloads_become_rows(spark, tmp_path, capsys):
+    """ingest lists the stations itself, and normalize reads what it had; the manifest has downloads and keys; asked again, nothing is."""
+    at = lambda n: str(tmp_path / n)
+    raws = Answers({f"{acquire.RAWS_URL}/wraws/ncalst.html": b"<a href='rawMAIN.pl?caCABC'>x</a>", acquire.RAWS_DATA_URL: RAWS_PAGE.encode()})
+    ask = ["ingest", "raws", "--root", at("raws"), "--regions", "nca", "--start", "2024-01-01", "--end", "2024-01-03", "--manifest", at("m")]
+    assert cli.main(ask, raws) == 0
+    cli.main(["normalize", "raws", "--raw", at("raws"), "--out", at("r"), "--manifest", at("m")])
+    log = manifest.Manifest(spark, at("m"))
+    rows = update.committed(spark, at("r"), log.log()).orderBy("date").collect()
+    assert [(r.station_key, r.date.day, r.tmean, r.prcp) for r in rows] == [("raws_wrcc:caCABC", d, d + 0.5, 1.5) for d in (1, 2, 3)]
+    assert log.get_state("raws_files", "caCABC/20240101") == "done" and log.get_state("raws", "caCABC") == "done"
+    n = len(raws.asked)
+    cli.main(ask, raws)
+    assert len(raws.asked) == n + 1  # the list alone
+
+    inventory = [{"stationTriplet": "100:ID:SNTL", "networkCode": "SNTL", "latitude": 44.0, "longitude": -115.0, "elevation": 1000.0, "dataTimeZone": -8.0}, {"stationTriplet": "7:ID:COOP", "networkCode": "COOP"}]
+    series = lambda code, unit, *v: {"stationElement": {"elementCode": code, "storedUnitCode": unit}, "values": [{"date": f"2024-01-01 0{h}:00", "value": x} for h, x in enumerate(v)]}
+    answer = [{"stationTriplet": "100:ID:SNTL", "data": [series("TOBS", "degF", 32.0, 50.0, None), series("WTEQ", "in", 1.0, 2.0, 3.0)]}]
+    job = acquire.snotel_jobs("100:ID:SNTL", date(2024, 1, 1), date(2024, 1, 1), at("snotel"))[0]
+    snotel = Answers({acquire.snotel_inventory(): json.dumps(inventory).encode(), job.urls[0]: json.dumps(answer).encode()})
+    assert cli.main(["ingest", "snotel", "--root", at("snotel"), "--start", "2024-01-01", "--end", "2024-01-01", "--manifest", at("m")], snotel) == 0
+    cli.main(["normalize", "snotel", "--raw", at("snotel"), "--out", at("s"), "--manifest", at("m")])
+    rows = update.committed(spark, at("s"), log.log()).orderBy("datetime_utc").collect()
+    assert [(r.station_key, r.datetime_utc, r.tair, r.swe) for r in rows] == [("snotel:100", datetime(2024, 1, 1, 8 + h), t, s) for h, t, s in ((0, 0.0, 25.4), (1, 10.0, 50.8), (2, None, 25.4 * 3))]
+    assert (rows[0].lat, round(rows[0].elev_m, 2)) == (44.0, 304.8) and log.get_state("snotel", "100") == "done"
+    capsys.readouterr()
+
+
+def test_crawling(tmp_path):
+    """Pages after a cursor; a server that asks to wait; a pace for each host."""
+    page = lambda keys, more: (f"<IsTruncated>{str(more).lower()}</IsTruncated>" + "".join(f"<Key>{k}</Key>" for k in keys)).encode()
+    pages = Answers({acquire.isd_listing(2024): page(["data/2024/a.gz", "data/2024/b.gz"], True), acquire.isd_listing(2024, "data/2024/b.gz"): page(["data/2024/c.gz"], False)})
+    assert acquire.isd_archive([2024], pages) == ["data/2024/a.gz", "data/2024/b.gz", "data/2024/c.gz"] and len(pages.asked) == 2
+    waits, busy = [], iter([urllib.error.HTTPError("u", 429, "busy", {"Retry-After": "30"}, None)])
+
+    def opener(url, timeout=None):
+        for e in busy:
+            raise e
+        return io.BytesIO(b"x")
+
+    assert acquire.fetch("u", str(tmp_path / "f"), opener=opener, pause=waits.append) and waits == [30.0]
+    now, slept = [0.0], []
+    paced = acquire.Pace(5.0, lambda url, timeout=None: url, clock=lambda: now[0], pause=slept.append)
+    for url in ("https://a/1", "https://a/2", "https://b/1", "https://a/3"):
+        paced(url)
+    assert slept == [5.0, 10.0]
+    table = Answers({acquire.NDBC_TABLE_URL: b"41001|N|b|h|EAST|p|34.7 N 72.7 W|E", f"{acquire.GHCNH_URL}/": b'<a href="A1.psv">'})
+    assert acquire.listed_stations("ndbc", table) == ["41001"] and acquire.listed_stations("ghcnh", table) == ["A1.psv"]
+    cell = lambda k, v: f"<b>{k} </b></td>\n<td> {v} \n"
+    facts = acquire.raws_facts(cell("Location", "Hill, CA") + cell("Latitude", "39° 30' 36\"") + cell("Longitude", "120 15 0") + cell("Elevation", "1000 ft.") + cell("NESS ID", "3248A"))
+    assert (facts["location"], round(facts["lat"], 4), facts["lon"], round(facts["elev_m"], 1), facts["ness_id"]) == ("Hill, CA", 39.51, -120.25, 304.8, "3248A")
