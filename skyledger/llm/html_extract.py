@@ -43,10 +43,25 @@ BESIDE_WORDS = set(
     "ad ads advert advertisement advertorial banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header login masthead menu modal nav navbar navigation newsletter notice alert pagination popup promo promoted "
     "recommended related reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe teaser toolbar topbar widget copyright complementary contentinfo search".split()
 )
+COMMENT_WORDS = {"comment", "comments", "disqus", "reply", "replies", "respond"}
+#: Words of names that tell how a page is laid out (with-sidebar, header-fixed) and not what the element is.
+LAYOUT_WORDS = {"with", "without", "has", "no", "fixed", "required", "enabled"}
 HEAD_WORDS = {"header", "masthead", "banner"}
 MAIN_WORDS = set("article content entry main post story body text".split())
 
 
+def beside_words(value: str) -> set[str]:
+    """The words of an attribute's names that say that an element stands beside the text: of names that are made up of such
+    words by half at least (site-footer, cookie-consent, not share-price-analysis), and not of names of a layout."""
+    out = set()
+    for name in value.lower().split():
+        words = WORDS.findall(name)
+        hits = BESIDE_WORDS.intersection(words)
+        if 2 * len(hits) >= len(words) and not LAYOUT_WORDS.intersection(words):
+            out |= hits
+    return out
+
+
 @dataclass
 class Block:
     text: str
@@ -60,8 +75,10 @@ class Block:
 def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, int]] = []  # element, main and boilerplate elements so far
-    main = beside = 0
+    outer: list[int] = []  # each block's elements beside the text, wrappers too
+    # Element; elements so far that are main, boilerplate, boilerplate only by their names, and these from the last article on.
+    stack: list[tuple[str, int, int, int, int]] = []
+    main = beside = named_beside = inner = 0
     link = -1  # the depth of elements at which an open link began; -1: none
     wide = False  # whether that link goes on over the ends of blocks
     heading = False
@@ -74,7 +91,8 @@ def blocks_of(page: str) -> list[Block]:
             if body:
                 words = len(body.split())
                 n = min(words, len(html_lib.unescape(" ".join(linked)).split()))
-                out.append(Block(body, words, n, heading, main, beside))
+                outer.append(beside + named_beside)
+                out.append(Block(body, words, n, heading, main, beside + inner))
             text.clear()
         linked.clear()
 
@@ -115,22 +133,35 @@ def blocks_of(page: str) -> list[Block]:
                     if stack[i][0] == name or stack[i][0] == "p" or stack[i][0] in HEADINGS:
                         del stack[i:]
                         break
-            main, beside = stack[-1][1:] if stack else (0, 0)
-            named = {w for a in NAMED.finditer(m[4]) for w in WORDS.findall((a[2] or a[3] or a[4] or "").lower())} if m[4] else set()
-            around = BESIDE_WORDS - HEAD_WORDS if main or named & MAIN_WORDS else BESIDE_WORDS  # an article's own header is of the article
-            if name in BESIDE or (name == "header" and not main) or (named & around and name not in ("body", "html", "article", "main")):
+            main, beside, named_beside, inner = stack[-1][1:] if stack else (0, 0, 0, 0)
+            values = [a[2] or a[3] or a[4] or "" for a in NAMED.finditer(m[4])] if m[4] else []
+            named = {w for v in values for w in WORDS.findall(v.lower())}
+            said = {w for v in values for w in beside_words(v)}
+            if main or named & MAIN_WORDS:  # an article's own header is of the article
+                said -= HEAD_WORDS
+            if name in BESIDE or (name == "header" and not main) or (said & COMMENT_WORDS and name not in ("body", "html")):
                 beside += 1
-            elif name in MAIN or named & MAIN_WORDS:
+            elif name in MAIN:
+                main += 1
+                inner = 0
+            elif said and name not in ("body", "html"):
+                named_beside += 1
+                inner += 1
+            elif named & MAIN_WORDS:
                 main += 1
             if not m[4].endswith("/"):
-                stack.append((name, main, beside))
+                stack.append((name, main, beside, named_beside, inner))
         if link > len(stack):
             link = -1
-        main, beside = stack[-1][1:] if stack else (0, 0)
+        main, beside, named_beside, inner = stack[-1][1:] if stack else (0, 0, 0, 0)
         heading = any(s[0] in HEADINGS for s in stack[-2:])
     if at < len(page):
         text.append(page[at:])
     close()
+    # What holds the page's only articles is a wrapper, whatever its name; where others stand free, it is not.
+    if any(b.main and not n for b, n in zip(out, outer)):
+        for b, n in zip(out, outer):
+            b.beside = n
     return out
 
 
@@ -157,8 +188,9 @@ TABLE = [
     ((1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 1), 0), ((1, 1.0, 1, 1.0, 8, 0.0, 0, 0, 1), 0), ((8, 0.0, 1, 1.0, 12, 0.0, 0, 0, 1), 0), ((12, 0.0, 1, 1.0, 7, 0.0, 0, 0, 1), 0),
     ((7, 0.0, 8, 0.0, 9, 0.0, 1, 1, 0), 1), ((12, 0.0, 8, 0.0, 31, 0.0, 1, 1, 0), 1), ((9, 0.0, 7, 0.0, 24, 0.0, 0, 1, 0), 1), ((1, 0.0, 88, 0.0, 59, 0.0, 0, 1, 0), 1),
     ((64, 0.0, 5, 0.0, 9, 0.0, 0, 1, 0), 1), ((5, 0.0, 42, 0.0, 9, 0.0, 0, 1, 0), 1), ((9, 0.0, 64, 0.0, 0, 0.0, 0, 0, 1), 0), ((11, 0.0, 1, 0.0, 0, 0.0, 0, 0, 1), 0),
-    # links only, even within the article
-    ((4, 1.0, 60, 0.0, 4, 1.0, 0, 1, 0), 0), ((2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 0), 0), ((6, 1.0, 5, 1.0, 0, 0.0, 0, 2, 0), 0), ((3, 0.9, 30, 0.0, 3, 1.0, 0, 1, 0), 0),
+    # links within the article: bylines, lists of sources, and what stands next to them
+    ((4, 1.0, 60, 0.0, 4, 1.0, 0, 1, 0), 1), ((2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 0), 1), ((6, 1.0, 5, 1.0, 0, 0.0, 0, 2, 0), 1), ((3, 0.9, 30, 0.0, 3, 1.0, 0, 1, 0), 1),
+    ((3, 0.7, 3, 0.0, 40, 0.0, 0, 1, 0), 1), ((40, 0.0, 3, 0.7, 30, 0.0, 0, 1, 0), 1), ((3, 0.0, 2, 1.0, 4, 0.0, 1, 1, 0), 1), ((3, 0.0, 9, 0.9, 20, 0.0, 1, 1, 0), 1),
     # menus, sidebars, adverts, notices, forms, footers, comments: inside or outside of the article
     ((1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 1), 0), ((1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 1), 0), ((8, 0.0, 1, 1.0, 9, 0.0, 0, 0, 1), 0), ((30, 0.0, 80, 0.0, 0, 0.0, 0, 0, 1), 0),
     ((70, 0.0, 6, 0.0, 60, 0.0, 0, 0, 1), 0), ((45, 0.0, 50, 0.0, 40, 0.0, 0, 0, 2), 0), ((90, 0.0, 90, 0.0, 3, 0.0, 0, 1, 1), 0), ((12, 0.0, 100, 0.0, 80, 0.0, 0, 1, 1), 0),

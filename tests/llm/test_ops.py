@@ -734,3 +734,27 @@ def test_pretokens_that_share_a_hash(library, monkeypatch):
     monkeypatch.setattr(X, "word_hashes", lambda b, starts, ends, seed=0: np.zeros(len(starts), np.uint64))
     for first, ids, at in c.encode(pa.array(texts)):
         assert [ids[at[k] : at[k + 1]].tolist() for k in range(len(at) - 1)] == [library.encode_ordinary(t) for t in texts[first : first + len(at) - 1]]
+
+
+BODY = "A long paragraph of the article that says what there is to say about the floods in the spring of this year."
+
+
+@pytest.mark.parametrize("name", ["page with-sidebar", "has-comments", "no-search", "layout header-fixed", "login-required", "sidebar-layout", "menu"])
+def test_wrappers_do_not_erase_pages(name):
+    """A name with a word such as sidebar around the page's only article; the real sidebar in it goes all the same."""
+    aside = '<div class="sidebar"><p>Buy this now please, it is cheap</p></div>'
+    page = f'<body><div class="{name}"><article><h1>Floods in spring</h1><p>{BODY}</p></article>{aside}</div></body>'
+    assert html_extract.main_text(page) == f"Floods in spring\n{BODY}"
+    teaser = f'<main><p>{BODY}</p></main><div class="related-posts"><article><p>Another long text that is not of this page at all, but of one beside it.</p></article></div>'
+    assert html_extract.main_text(teaser) == BODY
+
+
+def test_links_and_names_within_an_article():
+    """Names made up of other words by more than half; bylines, linked paragraphs and headings after them, whatever stood before."""
+    for name in ("share-price-analysis", "comment-free-zone"):
+        assert html_extract.main_text(f'<article><h1>T</h1><section id="{name}"><p>{BODY}</p></section></article>') == f"T\n{BODY}"
+    for menu in ("<nav><a>Home</a><a>Contact us</a></nav>", "<nav><ul><li><a>Contact us now</a></li><li><a>All of our news</a></li></ul></nav>"):
+        page = f"{menu}<article><h1>Floods in spring</h1><p>By <a>Jane Doe</a></p><p>{BODY}</p><p><a>{BODY}</a></p><h2>Then</h2><p>{BODY}</p><ul><li><a>A source</a></li></ul></article>"
+        assert html_extract.main_text(page).split("\n") == ["Floods in spring", "By Jane Doe", BODY, BODY, "Then", BODY, "A source"]
+    comments = f'<div id="comments"><article class="comment"><p>{BODY}</p></article><article><p>nice text, thank you</p></article></div>'
+    assert html_extract.main_text(f"<article><h1>Floods</h1><p>{BODY}</p>{comments}</article><section class='comments'><article><p>hm yes</p></article></section>") == f"Floods\n{BODY}"
