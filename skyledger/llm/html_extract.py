@@ -91,8 +91,9 @@ def blocks_of(page: str) -> list[Block]:
             if body:
                 words = len(body.split())
                 n = min(words, len(html_lib.unescape(" ".join(linked)).split()))
-                outer.append(beside + named_beside)
-                out.append(Block(body, words, n, heading, main, beside + inner))
+                card = int(wide and link >= 0 and n == words)  # a link around whole blocks leads to another page
+                outer.append(beside + named_beside + card)
+                out.append(Block(body, words, n, heading, main, beside + inner + card))
             text.clear()
         linked.clear()
 
@@ -190,7 +191,10 @@ TABLE = [
     ((64, 0.0, 5, 0.0, 9, 0.0, 0, 1, 0), 1), ((5, 0.0, 42, 0.0, 9, 0.0, 0, 1, 0), 1), ((9, 0.0, 64, 0.0, 0, 0.0, 0, 0, 1), 0), ((11, 0.0, 1, 0.0, 0, 0.0, 0, 0, 1), 0),
     # links within the article: bylines, lists of sources, and what stands next to them
     ((4, 1.0, 60, 0.0, 4, 1.0, 0, 1, 0), 1), ((2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 0), 1), ((6, 1.0, 5, 1.0, 0, 0.0, 0, 2, 0), 1), ((3, 0.9, 30, 0.0, 3, 1.0, 0, 1, 0), 1),
+    ((1, 1.0, 60, 0.0, 40, 0.0, 0, 1, 0), 0), ((1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 0), 0), ((1, 1.0, 0, 0.0, 50, 0.0, 0, 1, 0), 0), ((1, 1.0, 90, 0.0, 0, 0.0, 0, 2, 0), 0),  # one-word links: print, share
     ((3, 0.7, 3, 0.0, 40, 0.0, 0, 1, 0), 1), ((40, 0.0, 3, 0.7, 30, 0.0, 0, 1, 0), 1), ((3, 0.0, 2, 1.0, 4, 0.0, 1, 1, 0), 1), ((3, 0.0, 9, 0.9, 20, 0.0, 1, 1, 0), 1),
+    # headings and short blocks of an article after a menu of several words
+    ((3, 0.0, 2, 1.0, 3, 0.0, 1, 1, 0), 1), ((4, 0.0, 3, 1.0, 2, 0.5, 1, 1, 0), 1), ((3, 0.0, 3, 1.0, 0, 0.0, 0, 1, 0), 1), ((2, 0.0, 4, 1.0, 1, 0.0, 1, 2, 0), 1), ((6, 0.0, 3, 1.0, 0, 0.0, 0, 1, 0), 1), ((4, 0.0, 2, 1.0, 2, 1.0, 0, 1, 0), 1),
     # menus, sidebars, adverts, notices, forms, footers, comments: inside or outside of the article
     ((1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 1), 0), ((1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 1), 0), ((8, 0.0, 1, 1.0, 9, 0.0, 0, 0, 1), 0), ((30, 0.0, 80, 0.0, 0, 0.0, 0, 0, 1), 0),
     ((70, 0.0, 6, 0.0, 60, 0.0, 0, 0, 1), 0), ((45, 0.0, 50, 0.0, 40, 0.0, 0, 0, 2), 0), ((90, 0.0, 90, 0.0, 3, 0.0, 0, 1, 1), 0), ((12, 0.0, 100, 0.0, 80, 0.0, 0, 1, 1), 0),
