@@ -32,7 +32,7 @@ def summary(log: DataFrame) -> DataFrame:
 
 
 class Manifest:
-    """The log at a path.  Updates append; compact() keeps the last entries, written aside and then swapped by name."""
+    """The log at a path.  Updates append a file each; compact() makes one of them."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -72,12 +72,25 @@ class Manifest:
         row = latest(self.log()).where((F.col("source") == source) & (F.col("key") == key)).first()
         return row["state"] if row else None
 
-    def compact(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path, aside, old = (jvm.org.apache.hadoop.fs.Path(self.path + x) for x in ("", ".new", ".old"))
-        latest(self.log()).select(*schema.MANIFEST.names).coalesce(1).write.mode("overwrite").parquet(self.path + ".new")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(old, True)
-        fs.rename(path, old)
-        fs.rename(aside, path)
-        fs.delete(old, True)
+    def compact(self, most_files: int = 0) -> bool:
+        """Leaves of each key its last entry and the last that is done, and of the files seen each once; only where a log has more
+        than so many files.  The smaller log is moved in before the old files go, and entries that stand twice count once, so
+        a reader or a run that breaks off in between finds all of it."""
+        log = self.log()
+        small = latest(log).unionByName(latest(log.where("state = 'done'"))).select(*schema.MANIFEST.names).distinct()
+        return any([self._replace(self.path, log, small, most_files), self._replace(f"{self.path}_files", self.files(), self.files().distinct(), most_files)])
+
+    def _replace(self, path: str, log: DataFrame, small: DataFrame, most_files: int) -> bool:
+        old = log.inputFiles()  # a file a run, since the last time
+        if len(old) <= max(most_files, 1):
+            return False
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop(path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        aside = f"{path}.{uuid.uuid4().hex}"
+        small.coalesce(1).write.parquet(aside)
+        for f in fs.globStatus(hadoop(f"{aside}/part-*")):
+            fs.rename(f.getPath(), hadoop(f"{path}/{f.getPath().getName()}"))
+        for f in old:
+            fs.delete(hadoop(f), False)
+        fs.delete(hadoop(aside), True)
+        return True

@@ -25,6 +25,7 @@ SOURCE_START = {
     "madis": date(2001, 7, 1), "ghcnh": date(1900, 1, 1), "ghcnd": date(1840, 1, 1), "gdas": date(1997, 1, 1), "raws": date(1990, 1, 1), "ndbc": date(1970, 1, 1), "snotel": date(1980, 1, 1),
 }
 FILES_AT_ONCE = 20_000  # raw files of one step: so many names are held by the driver
+LOG_FILES = 64  # files of the manifest's logs from which they are made one
 HOURLY = ("madis", "ghcnh", "gdas", "ndbc")  # sources whose days are built
 
 
@@ -200,5 +201,7 @@ def update(
         did.append(done)
         if days_out and source in HOURLY and done.todo > done.failed and not dry_run:
             build_days(spark, source, out, days_out, state.log(), done.run_id)
+    if not dry_run:
+        state.compact(LOG_FILES)
     return did
 

@@ -352,3 +352,24 @@ def test_crawling(tmp_path):
     cell = lambda k, v: f"<b>{k} </b></td>\n<td> {v} \n"
     facts = acquire.raws_facts(cell("Location", "Hill, CA") + cell("Latitude", "39° 30' 36\"") + cell("Longitude", "120 15 0") + cell("Elevation", "1000 ft.") + cell("NESS ID", "3248A"))
     assert (facts["location"], round(facts["lat"], 4), facts["lon"], round(facts["elev_m"], 1), facts["ness_id"]) == ("Hill, CA", 39.51, -120.25, 304.8, "3248A")
+
+
+def test_compaction_loses_nothing(spark, tmp_path, monkeypatch):
+    """What counts, what is pending and what failed are the same after it; a key that was done and failed later keeps its rows."""
+    raw, out, state = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "state")
+    raw.mkdir()
+    monkeypatch.setattr(update, "LOG_FILES", 3)
+    go = lambda: update.update(spark, {"madis": str(raw)}, out, state)[0]
+    log, sizes = manifest.Manifest(spark, state), []
+    for k, data in enumerate((madis_file(), b"broken", madis_file(), b"broken", b"broken, longer")):
+        (raw / "20240101_0000.gz").write_bytes(data)
+        (raw / f"2024010{k + 2}_0000.gz").write_bytes(madis_file())
+        go()
+        sizes.append(len(log.log().inputFiles()))
+    assert sizes == [1, 2, 3, 1, 2] and log.get_state("madis", "20240101") == "failed"
+    rows = lambda: sorted((r.raw_key, r.run) for r in update.committed(spark, out, log.log()).select("raw_key", "run").collect())
+    before, pending = rows(), go().todo
+    assert {k for k, _ in before} == {f"2024010{d}" for d in range(1, 7)} and pending == 1  # the broken day, tried again
+    assert log.compact() and len(log.log().inputFiles()) == 1 and len(log.files().inputFiles()) == 1
+    assert rows() == before and not log.compact()
+    assert update.update(spark, {"madis": str(raw)}, out, state, dry_run=True)[0].todo == 1
