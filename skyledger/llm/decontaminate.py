@@ -1,8 +1,10 @@
 """Operator 3: benchmark decontamination by suffix arrays over the training words.
 
 Each slice of documents gets a suffix array of its words (ranks of 1, 2, 4, 8, ... words by doubling; suffixes end with
-their document).  Each suffix of the benchmark that begins a full window is searched in it by bisection; all places that
-share the window are extended to the longest verbatim match, whose length and place are returned, and its words are hit.
+their document).  Each different window of the benchmark is searched in it by bisection, once however many items have it;
+all places that share the window are hit, and extended to the longest verbatim match by bisection among the items' suffixes
+that begin with the window.  A document has each place once a window length, and names of items as sets: neither equal
+items nor a passage that repeats within a text are multiplied with one another.
 ``longest_matches`` searches the other suffixes, too, and lists the longest match of each.  Documents are not shuffled.
 The benchmark goes out in blocks of a checked size: one broadcast as a rule, and one pass for each block where it is larger.
 
@@ -100,17 +102,66 @@ class SuffixArray:
 class Items:
     """A block of benchmark items as word hashes."""
 
-    def __init__(self, rows: list[tuple], window: int):
+    def __init__(self, rows: list[tuple]):
         data, at = X.view(pa.array([r[1] or "" for r in rows], pa.large_string()))
         data = X.lower_ascii(data)
         starts, ends, self.rows = X.words(data, at, X.ALNUM)
         self.words = X.word_hashes(data, starts, ends, 3)
         self.ids = [None if r[0] is None else str(r[0]) for r in rows]
-        self.item = X.row_of(self.rows)  # of each word
-        self.end = np.repeat(self.rows[1:], np.diff(self.rows))
-        n = np.repeat(np.diff(self.rows), np.diff(self.rows))
-        self.need = np.minimum(n, window)  # words of a window of this item
-        self.starts = np.flatnonzero(np.arange(len(self.words)) + self.need <= self.end)
+        self.item = X.row_of(self.rows).astype(np.int32)  # of each word
+        self.end = np.repeat(self.rows[1:], np.diff(self.rows)).astype(np.int32)
+
+
+class Windows:
+    """The different windows of a block of items: where one of each begins, its words, its range among the different
+    suffixes of the items in order (empty if it is a whole item), and the set of names of items that have it."""
+
+    def __init__(self, items: Items, window: int):
+        self.words, self.end = items.words, items.end
+        size = np.diff(items.rows)
+        need = np.repeat(np.minimum(size, window), size)
+        starts = np.flatnonzero(np.arange(len(need)) + need <= items.end)
+        rank = _full_ranks(items.words, items.end)
+        self.suffixes = np.unique(rank, return_index=True)[1].astype(np.int32)  # of equal ones the first
+        run = self._runs(window)
+        whole = need[starts] < window
+        name = np.where(whole, len(self.suffixes) + rank[starts], run[rank[starts]])
+        kinds, first, kind = np.unique(name, return_index=True, return_inverse=True)
+        self.starts, self.need = starts[first].astype(np.int32), need[starts[first]].astype(np.int32)
+        self.lo, self.hi = (np.searchsorted(run, kinds, side).astype(np.int32) for side in ("left", "right"))
+        self.names, number = np.unique(np.array([x or "" for x in items.ids], object), return_inverse=True) if items.ids else (np.zeros(0, object), np.zeros(0, np.int64))
+        named = np.array([x is not None for x in items.ids], bool)[items.item[starts]]
+        pairs = np.unique((kind[named].astype(np.int64) << 32) | number[items.item[starts[named]]])
+        cut = np.searchsorted(pairs >> 32, np.arange(len(kinds) + 1))
+        lists = (pairs & 0xFFFFFFFF).astype(np.int32)
+        sets: dict[bytes, int] = {}
+        self.set = np.array([sets.setdefault(lists[i:j].tobytes(), len(sets)) for i, j in zip(cut.tolist(), cut[1:].tolist())], np.int32)
+        self.sets = [np.frombuffer(x, np.int32) for x in sets]
+
+    def _runs(self, window: int) -> np.ndarray:
+        """Of the different suffixes in order, a number for those that share their first ``window`` words."""
+        s = self.suffixes.astype(np.int64)
+        same = self.end[s] - s >= window
+        same[1:] &= same[:-1]
+        same[:1] = False
+        for k in range(window):
+            i = np.flatnonzero(same)
+            same[i] = self.words[s[i] + k] == self.words[s[i - 1] + k]
+        return np.cumsum(~same) - 1
+
+
+def _full_ranks(words: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The rank of each suffix, from 0, equal ones the same: by doubling, until longer prefixes tell no more apart."""
+    rank, h = np.unique(words, return_inverse=True)[1].astype(np.int64), 1
+    while len(words):
+        then = np.zeros(len(words), np.int64)
+        inside = np.flatnonzero(np.arange(len(words)) + h < end)
+        then[inside] = rank[inside + h] + 1
+        finer = np.unique((rank << 32) | then, return_inverse=True)[1].astype(np.int64)
+        if finer.max() == rank.max():
+            break
+        rank, h = finer, 2 * h
+    return rank
 
 
 def _slices(texts: pa.Array, depth: int):
@@ -121,14 +172,13 @@ def _slices(texts: pa.Array, depth: int):
         yield a, b, SuffixArray(X.word_hashes(part, starts, ends, 3), rows, depth) if len(starts) else None, rows
 
 
-def _occurrences(sa: SuffixArray, items: Items) -> tuple[np.ndarray, np.ndarray]:
-    """(word place, index into items.starts) of all occurrences of all windows."""
-    q = items.starts
+def _occurrences(sa: SuffixArray, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """(word place, index of the window) of all occurrences of the different windows: at most one of each length a place."""
+    q, need = windows.starts.astype(np.int64), windows.need.astype(np.int64)
     if not len(q):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    need = items.need[q]
-    place = sa.search(items.words, q, q + need)
-    found = np.flatnonzero(sa.common(place, items.words, q, q + need, int(need.max())) >= need)
+    place = sa.search(windows.words, q, q + need)
+    found = np.flatnonzero(sa.common(place, windows.words, q, q + need, int(need.max())) >= need)
     at, which = [], []
     for m in np.unique(need[found]).tolist():
         some = found[need[found] == m]
@@ -142,18 +192,36 @@ def _occurrences(sa: SuffixArray, items: Items) -> tuple[np.ndarray, np.ndarray]
     return (np.concatenate(at), np.concatenate(which)) if at else (np.zeros(0, np.int64),) * 2
 
 
-def _extend(sa: SuffixArray, items: Items, at: np.ndarray, q: np.ndarray, n: np.ndarray) -> np.ndarray:
+def _extend(sa: SuffixArray, windows: Windows, at: np.ndarray, q: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Words that the document suffixes at ``at`` share with the item suffixes q, of which n are known to agree."""
     n = n.copy()
     open_ = np.arange(len(at))
     while len(open_):
         x, y = at[open_] + n[open_], q[open_] + n[open_]
-        ok = (x < sa.end[at[open_]]) & (y < items.end[q[open_]])
-        open_ = open_[ok][sa.words[x[ok]] == items.words[y[ok]]]
+        ok = (x < sa.end[at[open_]]) & (y < windows.end[q[open_]])
+        open_ = open_[ok][sa.words[x[ok]] == windows.words[y[ok]]]
         n[open_] += 1
     return n
 
 
+def _longest_at(sa: SuffixArray, windows: Windows, at: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Words of the longest match of each occurrence: its suffix is searched among those of the items that begin with the
+    window, and the suffixes that bisection looks at have the nearest two among them."""
+    lo, hi = windows.lo[which].astype(np.int64), windows.hi[which].astype(np.int64)
+    known = windows.need[which].astype(np.int64)
+    best = known.copy()
+    while (open_ := np.flatnonzero(lo < hi)).size:
+        mid = (lo[open_] + hi[open_]) >> 1
+        p, q = at[open_], windows.suffixes[mid].astype(np.int64)
+        n = _extend(sa, windows, p, q, known[open_])
+        best[open_] = np.maximum(best[open_], n)
+        more, left = p + n < sa.end[p], q + n < windows.end[q]
+        less = more & (~left | (windows.words[np.where(left, q + n, 0)] < sa.words[np.where(more, p + n, 0)]))
+        lo[open_[less]] = mid[less] + 1
+        hi[open_[~less]] = mid[~less]
+    return best
+
+
 def _depth(window: int) -> int:
     return 1 << (window - 1).bit_length()
 
@@ -164,27 +232,26 @@ VERDICT = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longe
 VERDICT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64())
 
 
-def _states(items: Items, window: int, texts: pa.Array, before: list[tuple]) -> list[tuple]:
+def _states(windows: Windows, window: int, texts: pa.Array, before: list[tuple]) -> list[tuple]:
     """For each text (words, hit words as flags, names of items, length and place of the longest match), with what is
     known before."""
     out = []
     for a, b, sa, rows in _slices(texts, _depth(window)):
         gone = np.zeros(int(rows[-1]), bool)
-        met: dict[int, set] = {}
+        met: dict[int, list[np.ndarray]] = {}
         best: dict[int, tuple[int, int]] = {}
         if sa is not None:
-            at, which = _occurrences(sa, items)
+            at, which = _occurrences(sa, windows)
             if len(at):
-                q = items.starts[which]
-                n = _extend(sa, items, at, q, items.need[q])
+                n = _longest_at(sa, windows, at, which)
                 d = np.zeros(sa.n + 1, np.int64)
                 np.add.at(d, at, 1)
-                np.add.at(d, at + items.need[q], -1)
+                np.add.at(d, at + windows.need[which], -1)
                 gone = np.cumsum(d[:-1]) > 0
                 row = np.searchsorted(rows, at, "right") - 1
-                for r, i in np.unique(np.column_stack((row, items.item[q])), axis=0).tolist():
-                    if items.ids[i] is not None:
-                        met.setdefault(r, set()).add(items.ids[i])
+                seen = np.unique((row << 32) | windows.set[which])
+                for r, k in zip((seen >> 32).tolist(), (seen & 0xFFFFFFFF).tolist()):
+                    met.setdefault(r, []).append(windows.sets[k])
                 order = np.lexsort((at, -n, row))
                 r, first = np.unique(row[order], return_index=True)
                 first = order[first]
@@ -197,7 +264,7 @@ def _states(items: Items, window: int, texts: pa.Array, before: list[tuple]) ->
             known = (longest or 0, place)
             now = best.get(r, (0, None))
             better = max((known, now), key=lambda x: (x[0], -(x[1] or 0)))
-            out.append((len(mine), mine, sorted({*(names or ()), *met.get(r, ())}), *better))
+            out.append((len(mine), mine, sorted({*(names or ()), *(windows.names[np.unique(np.concatenate(met[r]))] if r in met else ())}), *better))
     return out
 
 
@@ -206,10 +273,10 @@ def _judge(block, window: int, percent: int, text: str, state: list[str], last:
     columns after the id, "filter" keeps the rows that are clean."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: Items = block.value
+        windows: Windows = block.value
         for batch in batches:
             before = list(zip(*(c.to_pylist() for c in columns(batch, *state))))
-            found = _states(items, window, columns(batch, text)[0].cast(pa.string()), before)
+            found = _states(windows, window, columns(batch, text)[0].cast(pa.string()), before)
             bad = [bool(m.any()) and 100 * int(m.sum()) >= percent * n for n, m, *_ in found]
             own = batch.select([c for c in batch.schema.names if c not in state])
             if last == "filter":
@@ -243,8 +310,8 @@ def _blocks(benchmark: DataFrame, block_bytes: int, item_col: str, text_col: str
     return out
 
 
-def _items(part: DataFrame, window: int) -> Items:
-    return Items([tuple(r) for r in part.select("item", "text").collect()], window)  # of a checked size
+def _items(part: DataFrame) -> Items:
+    return Items([tuple(r) for r in part.select("item", "text").collect()])  # of a checked size
 
 
 def _through_blocks(df: DataFrame, benchmark: DataFrame, spark: SparkSession, text: str, window: int, percent: int, item_col: str, item_text_col: str, block_bytes: int, last: str) -> DataFrame:
@@ -256,7 +323,7 @@ def _through_blocks(df: DataFrame, benchmark: DataFrame, spark: SparkSession, te
     df = df.withColumns({c: F.lit(None).cast(k) for c, k in zip(state, kinds)})
     blocks = _blocks(benchmark, block_bytes, item_col, item_text_col)
     for i, part in enumerate(blocks):
-        block = spark.sparkContext.broadcast(_items(part, window))
+        block = spark.sparkContext.broadcast(Windows(_items(part), window))
         if i == len(blocks) - 1:
             schema = own if last == "filter" else "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest long, longest_at long"
             return df.mapInArrow(_judge(block, window, percent, text, state, last), schema)
@@ -307,7 +374,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, spark: SparkSession,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = []
     for part in _blocks(benchmark, block_bytes, "item_id", "text"):
-        block = spark.sparkContext.broadcast(_items(part, least))
+        block = spark.sparkContext.broadcast(_items(part))
         found.append(docs.mapInArrow(_longest(block, least), "item string, item_word long, doc_id long, doc_word long, n_words long"))
     return reduce(DataFrame.unionAll, found)
 

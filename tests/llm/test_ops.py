@@ -238,6 +238,36 @@ def test_decontamination(spark, docs, rows):
     assert sorted(r["items"] for r in decontaminate.remove_contaminated(same, bench, spark).collect()) == ["w", "y"]
 
 
+def test_decontamination_of_equal_items_and_repeats(spark):
+    """Items that share windows and differ after them, equal items, short ones, and texts that repeat a window often."""
+    r = random.Random(9)
+    base = [f"w{r.randrange(3)}" for _ in range(60)]
+    items = [(f"i{k}", " ".join(base[r.randrange(20) : r.randrange(25, 60)] + ["z"] * (k % 3))) for k in range(30)]
+    items += [("p", "a " * 20), ("q", "a " * 20), ("s", "a b"), ("t", "a B"), (None, "a b"), ("", "w0 w1"), ("u", "a " * 13)]
+    texts = ["a " * 50 + "b", " ".join(base * 3), " ".join(base[5:40] + ["z"] * 4), "a b", "w0 w1 a", None, " ".join(base[3:16]), "a " * 14]
+    texts += [" ".join(f"w{r.randrange(3)}" for _ in range(200)) for _ in range(4)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    want = benchmark_brute([(i, t or "") for i, t in rows], items)
+    for block in (1 << 20, 300):
+        assert {x[0]: tuple(x[1:]) for x in decontaminate.contamination(docs, bench, spark, block_bytes=block).collect()} == want
+
+
+def test_decontamination_does_not_multiply(spark):
+    """3,000 equal items and a text with the passage 3,000 times: each place of the text is found once."""
+    passage = " ".join(f"w{k}" for k in range(20))
+    items = decontaminate.Items([(str(k), passage) for k in range(3000)])
+    windows = decontaminate.Windows(items, 13)
+    assert len(windows.starts) == 8 and [len(x) for x in windows.sets] == [3000]
+    texts = pa.array([f"{passage} " * 3000])
+    ((_, _, sa, _),) = decontaminate._slices(texts, 16)
+    at, which = decontaminate._occurrences(sa, windows)
+    assert len(at) == 8 * 3000
+    ((n, hit, names, longest, place),) = decontaminate._states(windows, 13, texts, [(None, None, None, None)])
+    assert (n, int(hit.sum()), len(names), longest, place) == (60000, 60000, 3000, 20, 0)
+
+
 def test_longest_matches_in_blocks(spark):
     """Lengths and places of the longest matches, the same for one block of items and for several."""
     r = random.Random(4)
