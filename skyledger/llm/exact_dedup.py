@@ -1,8 +1,8 @@
 """Operator 1: exact deduplication by 128-bit content hash, compared byte by byte inside each group.
 
 Native DataFrame operations only.  Copies are merged on the map side, so a group that holds a third of all rows
-sends one row for each task; its rows find their group's verdict by a join that deals groups of two and more out over
-SALTS parts.  Edge cases: a null text counts as empty, and empty texts are copies of one another; rows that repeat an id
+sends one row for each task; its rows find their group's verdict by a join that deals the few large groups out over
+SALTS parts and leaves all others in one.  Edge cases: a null text counts as empty, and empty texts are copies of one another; rows that repeat an id
 count in ``group_size`` and share its decision in ``exact_groups``, while ``drop_copies`` leaves one of them; a null id
 is less than all others, in both; an empty table gives an empty result; further columns, of any type, do not matter
 but to choose between rows of one id and text in ``drop_copies``.
@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-SALTS = 32  # parts that a group of two rows and more is dealt out over
+SALTS = 32  # parts that a large group is dealt out over
+MOST_LARGE = 1 << 16  # large groups at most: each has more than its share of all rows, so there cannot be more
+LEAST_LARGE = 10_000  # rows of a large group at least
 
 
 def _ordered(kind: T.DataType) -> bool:
@@ -33,8 +35,8 @@ def md5_128(text: Column) -> Column:
 
 
 def exact_groups(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", hash128: Callable[[Column], Column] = md5_128
-) -> DataFrame:
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", hash128: Callable[[Column], Column] = md5_128, least_large: int = LEAST_LARGE,
+) -> DataFrame:
     """One row per row of docs: id, keep_id, group_size, kept, text_sha256.
 
     Texts that share the 128-bit hash are grouped again by their bytes, so a collision of the hash never merges
@@ -50,11 +52,13 @@ def exact_groups(
     by_bytes = rows.groupBy("__h", "__t").agg(F.count(F.lit(1)).alias("__n"), best.alias("__best"))
     groups = by_bytes.select("__h", sha.alias("__s"), "__n", "__best").groupBy("__h", "__s").agg(F.first("__n").alias("group_size"), F.first("__best").alias("__best"), F.count(F.lit(1)).alias("__texts"))
     size = F.when(F.col("__texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share both hashes")).cast("long"))
-    # A single row's part follows from its id; the rows of larger groups are in all parts.
-    salt = F.pmod(F.xxhash64("__id"), F.lit(SALTS)).cast("int")
-    parts = F.when(F.col("group_size") > 1, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(salt))
-    groups = groups.select("__h", "__s", size.alias("group_size"), F.col("__best.__id").alias("__id")).select("__h", "__s", "group_size", F.col("__id").alias("keep_id"), F.explode(parts).alias("__part"))
-    members = rows.select("__id", "__h", sha.alias("__s"), salt.alias("__part"))
+    # A large group is in all parts, and each of its rows in one by its id.
+    most = max(docs.count() // MOST_LARGE, least_large)
+    large = F.broadcast(rows.groupBy("__h").agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > most).select("__h", F.lit(True).alias("__large")))
+    parts = F.when(F.col("__large"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    groups = groups.join(large, "__h", "left").select("__h", "__s", size.alias("group_size"), F.col("__best.__id").alias("keep_id"), F.explode(parts).alias("__part"))
+    part = F.when(F.col("__large"), F.pmod(F.xxhash64("__id"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    members = rows.select("__id", "__h", sha.alias("__s")).join(large, "__h", "left").select("__id", "__h", "__s", part.alias("__part"))
     return members.hint("merge").join(groups, ["__h", "__s", "__part"]).select(
         F.col("__id").alias(id_col), "keep_id", "group_size", F.col("__id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("__s")).alias("text_sha256")
     )

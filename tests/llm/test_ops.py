@@ -72,6 +72,7 @@ def test_exact_dedup(spark, docs, rows, keep):
     pick = min if keep == "min" else max
     for how in (exact_dedup.md5_128, lambda c: F.lit(b"same")):  # the second makes every pair collide
         got = {r.doc_id: r for r in exact_dedup.exact_groups(docs, keep=keep, hash128=how).collect()}
+        assert exact_dedup.exact_groups(docs, keep=keep, hash128=how, least_large=1).exceptAll(exact_dedup.exact_groups(docs, keep=keep, hash128=how)).isEmpty()
         assert len(got) == len(rows)
         for i, t in rows:
             g = got[i]
@@ -83,6 +84,27 @@ def test_exact_dedup(spark, docs, rows, keep):
         exact_dedup.exact_groups(docs, keep="any")
 
 
+def test_small_groups_are_not_multiplied(spark):
+    """20,000 pairs are 20,000 rows of the join's one side, and those of a large group are dealt out."""
+    df = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % 20_000).cast("string")).alias("text"))
+    df = df.union(spark.range(40_000, 52_000).selectExpr("id AS doc_id", "'copy' AS text"))
+    out = exact_dedup.exact_groups(df)
+    assert {(r.group_size, r.n) for r in out.groupBy("group_size").agg(F.count(F.lit(1)).alias("n")).collect()} == {(2, 40_000), (12_000, 12_000)}
+    metrics, plans = [], [out._jdf.queryExecution().executedPlan()]
+    out.collect()
+    while plans:
+        p = plans.pop()
+        inner = p.children()
+        plans += [inner.apply(k) for k in range(inner.size())]
+        if p.nodeName() == "Generate":
+            metrics.append(p.metrics().apply("numOutputRows").value())
+        if p.nodeName() == "AdaptiveSparkPlan":
+            plans.append(p.executedPlan())
+        if "QueryStage" in p.nodeName():
+            plans.append(p.plan())
+    assert metrics == [20_000 + exact_dedup.SALTS]
+
+
 def test_repeated_rows_leave_one(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (None, "x"), (None, "y")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.text) for r in exact_dedup.drop_copies(df, keep="max").collect()) == [(0, "y"), (1, "x")]
@@ -325,6 +347,14 @@ def test_suffix_dedup_repeated_rows(spark, parts):
     assert sorted((x.doc_id, x.n_bytes, x.n_removed) for x in got) == [(1, 700, 0), (1, 700, 0), (1, 1000, 0), (2, 700, 700), (3, 1000, 1000), (3, 1000, 1000)]
 
 
+def test_buckets_follow_the_input():
+    from skyledger.llm._spark import BUCKET_BYTES, LEAST_BUCKETS, buckets_of
+
+    assert buckets_of(0) == buckets_of(10 * BUCKET_BYTES) == LEAST_BUCKETS
+    assert buckets_of(200 * BUCKET_BYTES) == 200 and buckets_of(400 * BUCKET_BYTES) == 400
+    assert buckets_of(10**14) * BUCKET_BYTES >= 10**14 and buckets_of(10**14) < 2**31
+
+
 @pytest.mark.parametrize("documents", [1, 2, (1 << 23) + 3])
 def test_marks_of_many_documents(documents):
     """Two marks far apart stay two, whatever the number of documents; touching and nested ones become one."""
