@@ -75,15 +75,16 @@ def send(parts: list[Segments], buckets: int, across: bool) -> Iterator[pa.Recor
     head = np.maximum.accumulate(np.where(alike, 0, np.arange(len(order)))) if len(order) else order
     later = alike & ((doc > doc[head]) if across else (doc > doc[head]) | (start > start[head]))
     out = np.flatnonzero(~alike)
-    cut = np.searchsorted(bucket[out], np.arange(buckets + 1))
+    heads = np.flatnonzero(np.diff(bucket[out], prepend=-1))  # only buckets that the batch has: their number is the input's
+    cut = np.append(heads, len(out))
     ends = np.concatenate(([0], np.cumsum(size[out]))).astype(np.int64)
     data = np.concatenate([np.zeros(0, np.uint8), *(raw(i) for i in out.tolist())])
-    for lo in range(0, buckets, TOGETHER):
-        c, x = cut[lo : min(lo + TOGETHER, buckets) + 1] - cut[lo], out[cut[lo] : cut[min(lo + TOGETHER, buckets)]]
-        e = ends[cut[lo : lo + len(c)]]
+    for lo in range(0, len(heads), TOGETHER):
+        c = cut[lo : lo + TOGETHER + 1]
+        x, e, c = out[c[0] : c[-1]], ends[c], c - c[0]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(lo, lo + len(c) - 1, dtype=np.int32)), *(X.blobs(v[x].astype(k), c) for v, k in zip((gram, doc, start, n, size), KINDS)), X.blobs(data[e[0] : e[-1]], e - e[0])], NAMES
-        ).filter(pa.array(np.diff(c) > 0))
+            [pa.array(bucket[x[c[:-1]]].astype(np.int32)), *(X.blobs(v[x].astype(k), c) for v, k in zip((gram, doc, start, n, size), KINDS)), X.blobs(data[e[0] : e[-1]], e - e[0])], NAMES
+        )
     if later.any():  # marks, under negative buckets
         m = mark_rows(doc[later], start[later], n[later])
         d, k = m.column(0).to_numpy(), m.num_rows

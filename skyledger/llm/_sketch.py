@@ -62,9 +62,8 @@ class Sketch:
         return ok
 
 
-def log_cells_for(docs: DataFrame, share: float) -> int:
-    """For texts of which so many hashes a byte are expected."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def log_cells_for(size: int, share: float) -> int:
+    """For so many bytes of text, of which so many hashes a byte are expected."""
     return int(np.clip(np.ceil(np.log2(max(size * share * CELLS_EACH, 1))), LEAST_LOG, MOST_LOG))
 
 

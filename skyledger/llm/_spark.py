@@ -17,6 +17,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_bytes(texts: DataFrame) -> int:
+    """UTF-8 bytes of the column text."""
+    return texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+LEAST_BUCKETS = 64  # of a small input, so that all cores have some
+BUCKET_BYTES = 2 << 20  # of text a bucket
+
+
+def buckets_of(size: int, each: int = BUCKET_BYTES) -> int:
+    """Buckets for so many bytes of text: their number follows the input, whatever the session's settings."""
+    return max(LEAST_BUCKETS, -(-size // each))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset
     (single-machine runs and tests)."""

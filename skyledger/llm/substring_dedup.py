@@ -26,7 +26,7 @@ from skyledger.llm import _segments as S
 from skyledger.llm import _text as X
 from skyledger.llm._marks import MARKS, cover, marked_starts, with_marks
 from skyledger.llm._sketch import OFTEN, Sketch, log_cells_for, sketch
-from skyledger.llm._spark import columns, shuffle_partitions
+from skyledger.llm._spark import buckets_of, columns, text_bytes
 
 U64 = X.U64
 SHARE = 0.05  # least grams for each byte, about
@@ -140,9 +140,10 @@ def repeated_windows(
     docs: DataFrame, spark: SparkSession, *, window: int = 13, log_cells: int | None = None, often: int = OFTEN, hash_of: Callable[[np.ndarray, int], np.ndarray] = _hash_windows
 ) -> DataFrame:
     """Marks (doc_id, starts, lengths): runs of window starts whose words also start in a smaller document."""
-    buckets = max(64, 4 * shuffle_partitions(spark))
     texts = docs.select("text")
-    counts = spark.sparkContext.broadcast(sketch(texts, _grams(window), log_cells or log_cells_for(texts, SHARE), often))
+    size = text_bytes(texts)
+    buckets = buckets_of(size)
+    counts = spark.sparkContext.broadcast(sketch(texts, _grams(window), log_cells or log_cells_for(size, SHARE), often))
     rows = docs.select("doc_id", "text").mapInArrow(_runs(window, counts, buckets), S.ROW)
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(S.settle(_windows(window, hash_of), across=True), MARKS)
 

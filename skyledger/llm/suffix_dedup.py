@@ -25,7 +25,7 @@ from skyledger.llm import _segments as S
 from skyledger.llm import _text as X
 from skyledger.llm._marks import MARKS, cover, marked_starts, with_marks
 from skyledger.llm._sketch import OFTEN, Sketch, log_cells_for, sketch
-from skyledger.llm._spark import columns, shuffle_partitions
+from skyledger.llm._spark import buckets_of, columns, text_bytes
 from skyledger.llm._suffixes import Suffixes
 
 U64 = X.U64
@@ -134,9 +134,10 @@ def suffix_dedup(
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept_bytes]) for each row of docs."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    buckets = max(64, 4 * shuffle_partitions(spark))
     texts = docs.select("text")
-    counts = spark.sparkContext.broadcast(sketch(texts, _grams(window), log_cells or log_cells_for(texts, SHARE), often))
+    size = text_bytes(texts)
+    buckets = buckets_of(size)
+    counts = spark.sparkContext.broadcast(sketch(texts, _grams(window), log_cells or log_cells_for(size, SHARE), often))
     rows = docs.mapInArrow(_runs(window, counts, buckets), S.ROW)
     marks = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(S.settle(_windows(window), across=False), MARKS)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * keep_bytes
