@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import _text as X
-from skyledger.llm._spark import Scratch, columns, shuffle_partitions
+from skyledger.llm._spark import Scratch, buckets_of, columns, text_bytes
 from skyledger.llm.components import connected_components
 
 U64 = X.U64
@@ -197,26 +197,37 @@ def _emit(size: int, pct: int, order, level: int, buckets: int):
                 continue
             bucket = ((t >> U64(32)) % U64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
+            heads = np.flatnonzero(np.diff(bucket[by], prepend=-1))
+            cut = np.append(heads, len(by))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(buckets, dtype=np.int32)), X.blobs(t[by].astype(np.uint32), cut), X.blobs(fp[by], cut), X.blobs(n[by], cut), X.blobs(place[by], cut)], ["bucket", "token", "fp", "n", "place"]
-            ).filter(pa.array(np.diff(cut) > 0))
+                [pa.array(bucket[by[heads]].astype(np.int32)), X.blobs(t[by].astype(np.uint32), cut), X.blobs(fp[by], cut), X.blobs(n[by], cut), X.blobs(place[by], cut)], ["bucket", "token", "fp", "n", "place"]
+            )
 
     return run
 
 
+def _each_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The arrays of one bucket at a time, from rows sorted by bucket."""
+    now, held = None, []
+    for batch in batches:
+        for bucket, *blobs in zip(*(c.to_pylist() for c in columns(batch, "bucket", "token", "fp", "n", "place"))):
+            if bucket != now and held:
+                yield held
+                held = []
+            now = bucket
+            held.append(tuple(np.frombuffer(x, d) for x, d in zip(blobs, (np.uint32, np.int64, np.uint32, np.uint8))))
+    if held:
+        yield held
+
+
 def _buckets(pct: int):
     """From tokens to groups: rows (fp, n, pfp, pn), the classes that share a token and the least class among them.
     Sizes with a gap that no link can cross are apart.  In a group of up to NEAR classes, one stays only if the token can
     be the first under A that it shares with another: what follows the token in both must be enough for a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple]] = {}
-        for batch in batches:
-            for bucket, *blobs in zip(*(c.to_pylist() for c in columns(batch, "bucket", "token", "fp", "n", "place"))):
-                held.setdefault(bucket, []).append(tuple(np.frombuffer(x, d) for x, d in zip(blobs, (np.uint32, np.int64, np.uint32, np.uint8))))
-        for bucket in list(held):
-            t, fp, n, place = (np.concatenate(x) for x in zip(*held.pop(bucket)))
+        for held in _each_bucket(batches):
+            t, fp, n, place = (np.concatenate(x) for x in zip(*held))
             order = np.lexsort((place, fp, n, t))  # of a class's places the first stays, should two of its tokens share t
             t, fp, n, place = t[order], fp[order], n[order].astype(np.int64), place[order]
             fresh = np.ones(len(t), bool)
@@ -414,7 +425,7 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
     """(doc_id, n_shingles, component_id): links join texts whose shingle sets have 100*|A and B| >= pct*|A or B|;
     component_id is the smallest doc_id that links reach."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    buckets = 4 * shuffle_partitions(spark)
+    buckets = buckets_of(text_bytes(docs))
     logs, level = _token_order(docs, size, ORDER_CELLS), _level(most_classes)
     order = spark.sparkContext.broadcast(logs)
 
@@ -423,7 +434,7 @@ def jaccard_components(docs: DataFrame, spark: SparkSession, *, pct: int = 90, s
     described = stored(docs.mapInArrow(_describe(size, pct), "doc_id long, n long, fp long, signature binary"))
     classes = stored(described.where("n > 0").groupBy("n", "fp").agg(F.min("doc_id").alias("id")), ids=True)
     members = docs.select("text").mapInArrow(_emit(size, pct, order, level, buckets), "bucket int, token binary, fp binary, n binary, place binary")
-    members = members.repartition("bucket").mapInArrow(_buckets(pct), "fp long, n long, pfp long, pn long")
+    members = members.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_buckets(pct), "fp long, n long, pfp long, pn long")
     if logs.max() > level:
         members = members.union(_hot_groups(docs, size, pct, order, level))
     members = stored(members.distinct())
