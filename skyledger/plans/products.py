@@ -98,6 +98,73 @@ def radiation_period_ratio(spark: SparkSession, d: str) -> DataFrame:
     return out.select("e", r6(F.nullif("rs_period_factor", F.lit(float("nan")))).alias("factor"), r6(F.nullif("rs_corrected", F.lit(float("nan")))).alias("rs_corrected"), "rs_state")
 
 
+# Series of tier 2 in SQL.  The largest ratios of a period that stay are always the last of their order, so the despiking is the first
+# of them from which on their means meet the limits.
+_SCORED = ("td", "tmax", "rsds", "rh")
+_RUNS = ("td", "tmax", "prcp", "rsds", "rh")
+_each = lambda names, text: ", ".join(text.replace("#", n) for n in names)
+_SERIES = """d AS (SELECT o_custkey % 2 AS s, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS p, max(o_orderkey) AS k FROM orders GROUP BY ALL),
+v AS (SELECT s, date, k, (p / 100000) * (p / 100000) + CASE WHEN k % 100 = 0 THEN 40 ELSE 0 END AS td, p / 50000 + 4 AS tmin, CASE WHEN day(date) <= 14 THEN 7.0 WHEN day(date) = 20 THEN 0.0 WHEN day(date) = 21 THEN NULL ELSE day(date) END AS tmax, p / 500 AS prcp,
+  20.0 + k % 60 AS rh, 25.0 + k % 60 AS rhmax, CASE WHEN k % 40 = 0 THEN 0.0 ELSE p / CASE year(date) % 4 WHEN 1 THEN 2100 WHEN 2 THEN 900 ELSE 1500 END END AS rsds, 200.0 + 10 * (((dayofyear(date) - 1) % 365 + 1) % 7) AS rso FROM d)"""
+_DESPIKED = """o AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY date) - 1 AS i, max(rso) OVER (PARTITION BY s) AS most, count(*) OVER (PARTITION BY s) AS days FROM v),
+c AS (SELECT *, i // 60 AS part, CASE WHEN rsds <> 0 AND rsds <= 2 * most THEN rsds END AS x FROM o), r AS (SELECT *, row_number() OVER (PARTITION BY s, part ORDER BY x / rso DESC NULLS LAST, i) AS place FROM c),
+g AS (SELECT s, part, place, avg(x / rso) OVER w AS ratio, avg(x - rso) OVER w AS excess FROM r WHERE place <= 6 AND x IS NOT NULL WINDOW w AS (PARTITION BY s, part ORDER BY place DESC)),
+h AS (SELECT *, lead(ratio) OVER (PARTITION BY s, part ORDER BY place) AS after FROM g),
+f AS (SELECT s, part, 1 / arg_min(ratio, place) AS f FROM h WHERE after IS NULL OR abs(ratio - after) / greatest(abs(ratio), 1e-12) <= 0.02 AND excess < 75 GROUP BY ALL),
+rs AS (SELECT r.*, CASE WHEN days >= 60 THEN f END AS factor, CASE WHEN days < 60 THEN rsds WHEN f IS NULL OR f BETWEEN 0.97 AND 1.03 THEN x WHEN f BETWEEN 0.5 AND 1.5 THEN x * f END AS rs_corrected,
+  CASE WHEN days >= 60 AND x IS NOT NULL AND NOT f BETWEEN 0.5 AND 1.5 AND x > rso THEN 2 ELSE 0 END AS bad_rs FROM r LEFT JOIN f USING (s, part))"""
+
+
+def _series(spark: SparkSession, d: str) -> DataFrame:
+    """Daily series of two stations in all the variables that tier 2 looks at."""
+    p, k, day = F.col("p"), F.col("k"), F.dayofmonth("date")
+    rows = read(spark, d, "orders").groupBy((F.col("o_custkey") % 2).alias("station_key"), F.to_date("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("p"), F.max("o_orderkey").alias("k"))
+    tmax = F.when(day <= 14, 7.0).when(day == 20, 0.0).when(day != 21, day.cast("double"))
+    return rows.select(
+        "station_key", "date", "k", (p / 100000 * (p / 100000) + F.when(k % 100 == 0, 40).otherwise(0)).alias("td"), (p / 50000 + 4).alias("tmin"), tmax.alias("tmax"), (p / 500).alias("prcp"), (20.0 + k % 60).alias("rh"), (25.0 + k % 60).alias("rhmax"),
+        F.when(k % 40 == 0, 0.0).otherwise(p / F.when(F.year("date") % 4 == 1, 2100).when(F.year("date") % 4 == 2, 900).otherwise(1500)).alias("rsds"),
+    )
+
+
+def _sky(spark: SparkSession) -> DataFrame:
+    return spark.range(2).select(F.col("id").alias("station_key"), F.explode(F.sequence(F.lit(1), F.lit(365))).alias("doy")).withColumn("rso", F.lit(200.0) + 10 * (F.col("doy") % 7))
+
+
+@query(f"WITH {_SERIES}, {_DESPIKED} SELECT s AS station_key, date, round(factor, 6) AS factor, round(rs_corrected, 6) AS rs_corrected, CASE bad_rs WHEN 2 THEN 'fail' ELSE 'pass' END AS rs_state FROM rs")
+def radiation_despiked(spark: SparkSession, d: str) -> DataFrame:
+    """Clear sky joined by day of year, and the ratio by period under the limits that are its defaults, despiking included."""
+    out = temporal.rs_period_ratio(temporal.with_clear_sky(_series(spark, d), _sky(spark)), key="station_key")
+    number = lambda c: r6(F.nullif(c, F.lit(float("nan"))))
+    return out.select("station_key", "date", number("rs_period_factor").alias("factor"), number("rs_corrected").alias("rs_corrected"), "rs_state")
+
+
+@query(f"""WITH {_SERIES}, {_DESPIKED},
+m AS (SELECT *, {_each(_SCORED, "median(#) OVER w AS med_#, count(#) OVER w AS n_#, count(#) OVER (PARTITION BY s) AS all_#")} FROM rs WINDOW w AS (PARTITION BY s, month(date))),
+a AS (SELECT *, {_each(_SCORED, "median(abs(# - med_#)) OVER (PARTITION BY s, month(date)) AS mad_#")} FROM m),
+z AS (SELECT *, {_each(_SCORED, "coalesce(CASE WHEN n_# >= 90 AND all_# >= 90 AND mad_# > 0 THEN 0.6745 * abs(# - med_#) / mad_# END, 0) AS z_#")} FROM a),
+zr AS (SELECT *, {_each(_SCORED, "CASE WHEN z_# > 7 THEN 2 WHEN z_# > 3.5 THEN 1 ELSE 0 END AS bad_#")}, {_each(_RUNS, "# IS NOT NULL AND # <> 0 AS live_#")} FROM z),
+nw AS (SELECT *, {_each(_RUNS, "CASE WHEN # IS NOT DISTINCT FROM lag(#) OVER (PARTITION BY s, live_# ORDER BY date) AND row_number() OVER (PARTITION BY s, live_# ORDER BY date) > 1 THEN 0 ELSE 1 END AS new_#")} FROM zr),
+ru AS (SELECT *, {_each(_RUNS, "sum(new_#) OVER (PARTITION BY s, live_# ORDER BY date ROWS UNBOUNDED PRECEDING) AS run_#")} FROM nw),
+st AS (SELECT *, {_each(_RUNS, "CASE WHEN live_# AND count(*) OVER (PARTITION BY s, live_#, run_#) >= 12 THEN 1 ELSE 0 END AS stuck_#")}, CASE WHEN prcp > 610 THEN 2 ELSE 0 END AS wet, CASE WHEN td > tmin + 3 THEN 2 ELSE 0 END AS moist,
+  row_number() OVER (PARTITION BY s, year(date) ORDER BY rhmax DESC NULLS LAST, date) AS rank_rh, count(rhmax) OVER (PARTITION BY s, year(date)) AS n_year FROM ru),
+tp AS (SELECT *, avg(CASE WHEN rank_rh <= greatest(1, ceil(n_year * 0.01)) THEN rhmax END) OVER (PARTITION BY s, year(date)) AS top_rh FROM st),
+sc AS (SELECT *, CASE WHEN days >= 365 AND top_rh > 0 THEN least(greatest(rhmax * 100 / top_rh, 0), 100) ELSE rhmax END / rhmax AS scale, CASE WHEN k % 50 = 0 THEN 1 ELSE 0 END AS seed FROM tp),
+names AS (SELECT ['pass', 'suspect', 'fail'] AS q)
+SELECT s AS station_key, date, q[1 + greatest(seed, bad_td, bad_tmax, bad_rsds, bad_rh, wet, bad_rs, moist, stuck_td, stuck_tmax, stuck_prcp, stuck_rsds, stuck_rh)] AS qc_state,
+  array_to_string(list_filter([CASE seed WHEN 1 THEN 'given' END, {_each(_SCORED, "CASE WHEN bad_# > 0 THEN 'zscore_#' END")}, CASE WHEN wet > 0 THEN 'prcp_exceeds_daily_max' END, CASE WHEN bad_rs > 0 THEN 'rs_period_ratio' END,
+    CASE WHEN moist > 0 THEN 'td_exceeds_tmin_daily' END, CASE WHEN greatest(stuck_td, stuck_tmax, stuck_prcp, stuck_rsds, stuck_rh) > 0 THEN 'stuck_sensor' END], lambda x: x IS NOT NULL), ',') AS qc_reason_codes,
+  q[1 + greatest(CASE WHEN k % 30 = 0 THEN 1 ELSE 0 END, bad_td, moist, stuck_td)] AS td_qc_state, q[1 + greatest(bad_tmax, stuck_tmax)] AS tmax_qc_state, q[1 + greatest(wet, stuck_prcp)] AS prcp_qc_state,
+  q[1 + greatest(bad_rsds, bad_rs, stuck_rsds)] AS rsds_qc_state, q[1 + greatest(bad_rh, stuck_rh)] AS rh_qc_state, round(factor, 6) AS rs_period_factor,
+  round(least(greatest(rh * scale, 0), 100), 6) AS rh_corrected, round(least(greatest(rhmax * scale, 0), 100), 6) AS rhmax_corrected FROM sc, names""")
+def tier2_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All checks of tier 2 under the limits that are its defaults, with the further ones, reasons given before, and fails
+    written to the variables' own states."""
+    rows = _series(spark, d).withColumns({"qc_state": F.when(F.col("k") % 50 == 0, "suspect").otherwise("pass"), "qc_reason_codes": F.when(F.col("k") % 50 == 0, "given"), "td_qc_state": F.when(F.col("k") % 30 == 0, "suspect").otherwise("pass")})
+    out = temporal.tier2(rows, list(_RUNS), rso=_sky(spark), extra=True, propagate=True)
+    states = [f"{v}_qc_state" for v in _RUNS]
+    return out.select("station_key", "date", "qc_state", "qc_reason_codes", *states, r6(F.nullif("rs_period_factor", F.lit(float("nan")))).alias("rs_period_factor"), r6("rh_corrected").alias("rh_corrected"), r6("rhmax_corrected").alias("rhmax_corrected"))
+
+
 @query("""WITH c AS (SELECT 'a:' || c_custkey AS key, 40.0 + c_custkey % 37 * 0.001 AS lat, c_custkey % 50 AS can, c_custkey % 7 * 10.0 AS z FROM customer WHERE c_custkey % 3 = 0),
 p AS (SELECT a.key AS ka, b.key AS kb, 2 * 6371000.0 * asin(sqrt(least(power(sin((radians(b.lat) - radians(a.lat)) / 2), 2), 1.0))) AS m, abs(a.z - b.z) AS dz FROM c a JOIN c b ON a.can = b.can AND a.key < b.key)
 SELECT ka AS source_station_key_a, kb AS source_station_key_b, round(m, 4) AS distance_m FROM p WHERE dz <= 20 AND m <= 3000 ORDER BY round(m, 4), ka, kb LIMIT 25""")
@@ -238,12 +305,13 @@ def daily_contract(spark: SparkSession, d: str) -> DataFrame:
     return out.select("station_key", "date", "day_basis", "obs_count", r6("tmax").alias("tmax"), F.lit(len(out.columns)).alias("n_columns"))
 
 
-@query("""SELECT count(*) AS stations, count(DISTINCT c_custkey) AS distinct_stations, true AS in_range, true AS same_again FROM customer""")
+@query("""SELECT 'st:' || user_id AS station_key, count(*) AS n, round(sum(value), 4) AS total, 1::BIGINT AS buckets FROM events GROUP BY user_id""")
 def hash_buckets(spark: SparkSession, d: str) -> DataFrame:
-    """Every station has one bucket of a hundred, the same each time."""
-    key = F.concat(F.lit("st:"), F.col("c_custkey").cast("string"))
-    b = read(spark, d, "customer").select(key.alias("k"), por.bucket(key).alias("x"), por.bucket(F.concat(F.lit("st"), F.lit(":"), F.col("c_custkey").cast("string"))).alias("y"))
-    return b.agg(F.count(F.lit(1)).alias("stations"), F.count_distinct("k").alias("distinct_stations"), F.bool_and(F.col("x").between(0, 99)).alias("in_range"), F.bool_and(F.col("x") == F.col("y")).alias("same_again"))
+    """The contents of the hundred buckets, each by itself, and in how many of them a station's rows are."""
+    rows = base(spark, d).select(F.concat(F.lit("st:"), F.col("u").cast("string")).alias("station_key"), F.col("v"))
+    held = rows.groupBy(por.bucket(F.col("station_key")).alias("bucket"), "station_key").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
+    held = held.where(F.col("bucket").between(0, 99))
+    return held.groupBy("station_key").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 4).alias("total"), F.count_distinct("bucket").alias("buckets"))
 
 
 @query("""SELECT 'ev:' || user_id AS station_key, count(DISTINCT CAST(ts AS DATE)) AS days, min(CAST(ts AS DATE)) AS first_date, max(CAST(ts AS DATE)) AS last_date, 0::BIGINT AS failed_days FROM events GROUP BY user_id""")
