@@ -1,7 +1,8 @@
 """Segments: runs of windows with one least gram, dealt out to buckets by that gram with the bytes that they span.
 
 Equal windows have equal least grams, so they meet in one bucket.  A partition batch sends equal segments once, for the
-first place, and marks the others.  The windows of a gram that the sketch counts very often (a line that many documents
+first place, and marks the others.  Where only smaller documents count, the smallest document's further places are sent too,
+without bytes: another batch may hold a still smaller document, for which all of them go.  The windows of a gram that the sketch counts very often (a line that many documents
 share) are segments of their own and dealt out by their own hash, so no bucket holds all that surrounds a hot gram.
 Hashes only bring together; what is marked has the same bytes.
 """
@@ -74,11 +75,15 @@ def send(parts: list[Segments], buckets: int, across: bool) -> Iterator[pa.Recor
         alike[i] = np.array_equal(raw(i), raw(i - 1))
     head = np.maximum.accumulate(np.where(alike, 0, np.arange(len(order)))) if len(order) else order
     later = alike & ((doc > doc[head]) if across else (doc > doc[head]) | (start > start[head]))
-    out = np.flatnonzero(~alike)
+    # The first document's further places, without bytes, behind the first; rows that repeat an id repeat its places.
+    again = alike & ~later & across
+    again[1:] &= (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])
+    size = np.where(again, 0, size)
+    out = np.flatnonzero(~alike | again)
     heads = np.flatnonzero(np.diff(bucket[out], prepend=-1))  # only buckets that the batch has: their number is the input's
     cut = np.append(heads, len(out))
     ends = np.concatenate(([0], np.cumsum(size[out]))).astype(np.int64)
-    data = np.concatenate([np.zeros(0, np.uint8), *(raw(i) for i in out.tolist())])
+    data = np.concatenate([np.zeros(0, np.uint8), *(raw(i) for i in out[~again[out]].tolist())])
     for lo in range(0, len(heads), TOGETHER):
         c = cut[lo : lo + TOGETHER + 1]
         x, e, c = out[c[0] : c[-1]], ends[c], c - c[0]
@@ -94,7 +99,7 @@ def send(parts: list[Segments], buckets: int, across: bool) -> Iterator[pa.Recor
 
 @dataclass
 class Bucket:
-    """Segments of a bucket that differ, by (doc, start): windows, and where their bytes begin and end in data."""
+    """Segments of a bucket that differ, or are of one document, by (doc, start): windows, and where their bytes begin and end in data."""
 
     doc: np.ndarray
     start: np.ndarray
@@ -105,11 +110,12 @@ class Bucket:
 
 
 def _distinct(rows: list[tuple], across: bool) -> tuple[Bucket | None, tuple]:
-    """The segments of a bucket that differ, and the marks of those that repeat one whole."""
+    """The segments of a bucket that repeat none whole, and the marks of the others."""
     gram, doc, start, n, size = (np.frombuffer(b"".join(x), k) for x, k in zip(zip(*(r[:5] for r in rows)), KINDS))
     start, n, size = (x.astype(np.int64) for x in (start, n, size))
     raw = b"".join(r[5] for r in rows)
-    a = np.cumsum(size) - size
+    lead = np.maximum.accumulate(np.where(size > 0, np.arange(len(size)), 0))  # places without bytes have those before them
+    a, size = (np.cumsum(size) - size)[lead], size[lead]
     # A gram's only segment repeats nothing, but where a longer one repeats within itself and that counts.
     by, cut = X.groups(gram)
     alone = np.repeat(np.diff(cut) == 1, np.diff(cut))
@@ -119,7 +125,7 @@ def _distinct(rows: list[tuple], across: bool) -> tuple[Bucket | None, tuple]:
     first: dict[bytes, int] = {}
     head = np.array([first.setdefault(raw[x:y], i) for i, (x, y) in enumerate(zip(a.tolist(), b.tolist()))], np.int64)
     later = (doc > doc[head]) if across else (doc > doc[head]) | (start > start[head])
-    keep = head == np.arange(len(head))
+    keep = ~later if across else head == np.arange(len(head))
     marks = (doc[later], start[later], n[later])
     rest = Bucket(*(x[keep] for x in (doc, start, n, a, b)), np.frombuffer(raw, np.uint8)) if keep.any() else None
     return rest, marks

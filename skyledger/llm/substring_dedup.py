@@ -5,10 +5,11 @@ have equal least grams, so the count of a window's least gram overestimates that
 gram occurs once is unique.  Second pass: runs of windows whose least gram may be repeated go, as their words, to the
 bucket of that gram; there equal runs are settled whole and the windows of the others are grouped by a hash and compared
 word by word, so results never rest on a hash.  A partition sends equal runs once, for the smallest document, and marks
-the others there and then, so a passage that a third of all documents hold costs one entry for each partition batch.
+those of other documents there and then, so a passage that a third of all documents hold costs one entry for each partition
+batch.  The smallest document's further places of a run go with it, without its words.
 
 Edge cases: a null or empty text has no words; texts shorter than a window lose nothing; repeats within one document
-do not count; rows that repeat an id are one document to this rule; a row with a null id is never marked and marks
+do not count, but all of them go where a smaller document has the window; rows that repeat an id are one document to this rule; a row with a null id is never marked and marks
 nothing; an empty table gives an empty result.
 """
 

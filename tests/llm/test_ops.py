@@ -320,6 +320,21 @@ def test_substring_dedup(spark, docs, rows, how):
         assert (r.n_words, r.n_removed, r.kept_text, r.kept_sha256) == (len(w), sum(gone), kept, hashlib.sha256(kept.encode()).hexdigest())
 
 
+@pytest.mark.parametrize("how", [{}, {"often": 2}])
+def test_repeats_within_a_document_that_a_smaller_one_has(spark, how):
+    """All of a document's places of a passage go, in whichever partition the smaller document is; also where its own runs
+    are equal and the smaller document's run is longer."""
+    p = [f"p{k}" for k in range(30)]
+    texts = {1: p + ["a"], 5: p + ["b"] + p + ["c"] + p, 6: ["d"] + p[2:20] + ["e"] + p[2:20], 7: ["f"] + p[4:18] + ["g"] + p[4:18]}
+    held = {i: sum(x[0] == "p" for x in w) for i, w in texts.items()}
+    for order in ([1, 5, 6, 7], [7, 6, 5, 1], [5, 7, 6, 1]):
+        rows = [(i, " ".join(texts[i])) for i in order]
+        docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "doc_id long, text string")
+        for df in (docs, docs.coalesce(1)):
+            got = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(df, spark, log_cells=SMALL, **how).collect()}
+            assert got == held | {1: 0}
+
+
 @pytest.mark.parametrize("window,how", [(100, {}), (7, {}), (40, {"often": 2}), (100, {"often": 3})])
 def test_suffix_dedup(spark, docs, rows, window, how):
     seen = set()
