@@ -124,9 +124,11 @@ def sampled_days(rows: DataFrame, most: int, *, ts: str = "datetime_utc") -> Dat
     return rows.withColumn("__day", day).join(F.broadcast(days.where(hit).select("__day")), "__day", "left_semi").drop("__day")  # at most ``most`` rows
 
 
-def index_per_day_source(rows: DataFrame, *, sample_days: int = 30) -> DataFrame:
-    """The index of a source with one file a day: coordinates and counts from a sample of days; the period, for all
-    stations, from the first to the last time of the first and the last day."""
+def index_per_day_source(rows: DataFrame, *, sample_days: int | None = None) -> DataFrame:
+    """The index of a source with one file a day, over all its days, each station with its own period.  sample_days: coordinates
+    and counts from so many days, and one period for all stations, from the first to the last time of the first and the last day."""
+    if sample_days is None:
+        return station_index(rows, resolution="hourly")
     some = sampled_days(rows, sample_days)
     first, last = some.agg(F.min("datetime_utc"), F.max("datetime_utc")).first()
     return _of_period(station_index(some, resolution="hourly"), first, last)

@@ -198,13 +198,12 @@ def station_index_of_all(spark: SparkSession, d: str) -> DataFrame:
     return out.select("source", "source_station_id", "lat", F.col("obs_count").alias("n_obs"), F.to_date("por_start").alias("por_start"), F.to_date("por_end").alias("por_end"))
 
 
-@query("""WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events), n AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS i, count(*) OVER () AS n FROM d), s AS (SELECT DISTINCT n.day FROM n, range(0, 7) AS r(j) WHERE n.i = (r.j * (n.n - 1)) // 6)
-SELECT event_type AS source, CAST(user_id AS VARCHAR) AS source_station_id, median(value) AS lat, count(*) AS n_obs, 'hourly' AS temporal_res, (SELECT min(CAST(ts AS DATE)) FROM events) AS first_day, (SELECT max(CAST(ts AS DATE)) FROM events) AS last_day FROM events WHERE CAST(ts AS DATE) IN (SELECT day FROM s) GROUP BY event_type, user_id""")
+@query("""SELECT event_type AS source, CAST(user_id AS VARCHAR) AS source_station_id, median(value) AS lat, count(*) AS n_obs, 'hourly' AS temporal_res, min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day FROM events GROUP BY event_type, user_id""")
 def sampled_station_index(spark: SparkSession, d: str) -> DataFrame:
-    """The index from seven days, evenly spread."""
+    """The index of a source with one file a day, from all its days."""
     u, e, k, t, v = cols()
     rows = base(spark, d).select(F.col("type").alias("source"), u.cast("string").alias("source_station_id"), u.cast("string").alias("station_key"), v.alias("lat"), F.lit(0.0).alias("lon"), F.lit(0.0).alias("elev_m"), F.col("ts").alias("datetime_utc"))
-    out = crosswalk.index_per_day_source(rows, sample_days=7)
+    out = crosswalk.index_per_day_source(rows)
     return out.select("source", "source_station_id", "lat", F.col("obs_count").alias("n_obs"), "temporal_res", F.to_date("por_start").alias("first_day"), F.to_date("por_end").alias("last_day"))
 
 

@@ -47,3 +47,11 @@ def test_query_matches_sql(spark, sf, db, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_day_source_index_reads_every_day(spark, sf, db):
+    """All rows count, and each station has its own period."""
+    got = catalog.queries()["sampled_station_index"](spark, sf).collect()
+    assert sum(r.n_obs for r in got) == db.execute("SELECT count(*) FROM events").fetchone()[0]
+    want = db.execute("SELECT event_type, CAST(user_id AS VARCHAR), min(CAST(ts AS DATE)), max(CAST(ts AS DATE)) FROM events GROUP BY ALL").fetchall()
+    assert sorted((r.source, r.source_station_id, r.first_day, r.last_day) for r in got) == sorted(want)
