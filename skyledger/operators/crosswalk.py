@@ -68,6 +68,16 @@ def nearest(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("lid").agg(best).select("lid", F.col("b.rid").alias("rid"), F.col("b.distance_m").alias("distance_m"))
 
 
+def nearest_within(left: DataFrame, right: DataFrame, **how) -> DataFrame:
+    """``nearest`` of ``near_pairs``, by places: stations of one place have one answer, and of the right stations of a place
+    only the smallest can be it, so no join grows with the stations that share a place or a cell."""
+    at = left.where("lat is not null and lon is not null").select("lid", "lat", "lon")
+    spots = right.where("lat is not null and lon is not null").groupBy("lat", "lon").agg(F.min("rid").alias("rid"))
+    places = at.select("lat", "lon").distinct().select(F.struct("lat", "lon").alias("lid"), "lat", "lon")
+    best = nearest(near_pairs(places, spots, **how)).select("lid.lat", "lid.lon", "rid", "distance_m")
+    return nearest(at.join(best, ["lat", "lon"]))
+
+
 def build_crosswalk(index: DataFrame, *, degrees: float = 0.02, most_m: float = 1000.0) -> DataFrame:
     """Canonical ids: stations of the two GHCN sources share theirs by id, others take the nearest GHCN station's
     within reach, and the rest keep their own."""
@@ -76,7 +86,7 @@ def build_crosswalk(index: DataFrame, *, degrees: float = 0.02, most_m: float =
     exact = ghcn.withColumns({"confidence": F.lit("exact_match"), "match_method": F.lit("ghcn_id"), "distance_m": F.lit(0.0)})
     places = ghcn.groupBy(F.col("canonical_station_id").alias("rid")).agg(F.median("lat").alias("lat"), F.median("lon").alias("lon"))
     others = base.where(~F.col("source").isin(*GHCN))
-    found = nearest(near_pairs(others.select(F.col("source_station_key").alias("lid"), "lat", "lon"), places, degrees=degrees, most_m=most_m))
+    found = nearest_within(others.select(F.col("source_station_key").alias("lid"), "lat", "lon"), places, degrees=degrees, most_m=most_m)
     rest = others.join(found, others.source_station_key == found.lid, "left").drop("lid")
     hit = F.col("rid").isNotNull()
     rest = rest.withColumns({

@@ -206,7 +206,7 @@ n AS (SELECT *, row_number() OVER (PARTITION BY lid ORDER BY m, rid) AS k FROM p
 SELECT lid, rid, round(m, 4) AS distance_m FROM n WHERE k = 1""")
 def nearest_station(spark: SparkSession, d: str) -> DataFrame:
     left, right = network(spark, d, "customer").withColumnRenamed("id", "lid"), network(spark, d, "supplier").withColumnRenamed("id", "rid")
-    return crosswalk.nearest(crosswalk.near_pairs(left, right)).select("lid", "rid", F.round("distance_m", 4).alias("distance_m"))
+    return crosswalk.nearest_within(left, right).select("lid", "rid", F.round("distance_m", 4).alias("distance_m"))
 
 
 @query(f"""WITH {_NETS}, g AS (SELECT 'ghcnh' AS source, CAST(id AS VARCHAR) AS sid, lat, lon FROM s UNION ALL SELECT 'ghcnd', CAST(id AS VARCHAR), lat, lon FROM s WHERE id % 2 = 0),
