@@ -97,16 +97,35 @@ def build_crosswalk(index: DataFrame, *, degrees: float = 0.02, most_m: float =
     return exact.select(cols).unionByName(rest.select(cols))
 
 
+PART = 1000  # stations of one canonical id that one task holds against all of that id
+
+
 def candidate_pairs(crosswalk: DataFrame, overlap: DataFrame, *, most_m: float, most_elev: float, least_days: int, limit: int | None = None, digits: int = 6) -> DataFrame:
-    """Pairs of stations of one canonical id by distance, elevation (known of both) and days in common; the ``limit`` closest."""
-    a, b = (crosswalk.select(*(F.col(c).alias(f"{c}_{s}") for c in ("source_station_key", "lat", "lon", "elev_m")), "canonical_station_id") for s in ("a", "b"))
-    pairs = a.join(b, "canonical_station_id").where("source_station_key_a < source_station_key_b")
-    pairs = pairs.withColumns({"distance_m": C.haversine(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b")), "elev_diff": F.abs(F.col("elev_m_a") - F.col("elev_m_b"))})
-    o = overlap.select("station_key", "por_start", "por_end")
-    for s in ("a", "b"):
-        pairs = pairs.join(o.select(F.col("station_key").alias(f"source_station_key_{s}"), F.col("por_start").alias(f"from_{s}"), F.col("por_end").alias(f"to_{s}")), f"source_station_key_{s}")
+    """Pairs of stations of one canonical id by distance, elevation (known of both) and days in common; the ``limit`` closest.
+
+    Periods are joined to stations, never to pairs.  Pairs are made where an id's stations meet, in parts of some PART by all,
+    and no shuffle or sort sees a pair but those that stay and, under a limit, not even these.
+    """
+    spark = crosswalk.sparkSession
+    o = overlap.select(F.col("station_key").alias("source_station_key"), F.col("por_start").alias("from"), F.col("por_end").alias("to"))
+    stations = crosswalk.select("source_station_key", "lat", "lon", "elev_m", "canonical_station_id").where("elev_m is not null").join(o, "source_station_key")
+    if limit is not None:
+        # Stations alike in all but the key pair alike, so of these only the limit + 1 smallest keys can be in the closest pairs: were
+        # the greater key of a pair behind them, limit smaller ones at least would pair with the other station in its stead.
+        alike = Window.partitionBy("canonical_station_id", "lat", "lon", "elev_m", "from", "to").orderBy("source_station_key")
+        stations = stations.withColumn("__n", F.dense_rank().over(alike)).where(F.col("__n") <= limit + 1).drop("__n")
+    parts = stations.groupBy("canonical_station_id").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("__parts"))
+    stations = stations.join(parts, "canonical_station_id")
+    part = {"a": F.pmod(F.xxhash64("source_station_key"), F.col("__parts")).cast("int"), "b": F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))}
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a number of them, as their work follows the pairs and not the bytes
+    a, b = (
+        stations.select(*(F.col(c).alias(f"{c}_{s}") for c in ("source_station_key", "lat", "lon", "elev_m", "from", "to")), "canonical_station_id", part[s].alias("__part")).repartition(tasks, "canonical_station_id", "__part")
+        for s in ("a", "b")
+    )
+    distance, elev = C.haversine(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b")), F.abs(F.col("elev_m_a") - F.col("elev_m_b"))
     days = F.greatest(F.datediff(F.least("to_a", "to_b"), F.greatest("from_a", "from_b")), F.lit(0))
-    out = pairs.withColumn("overlap_days", days).where((F.col("distance_m") <= most_m) & (F.col("elev_diff") <= most_elev) & (F.col("overlap_days") >= least_days))
+    pairs = a.join(b, ["canonical_station_id", "__part"]).where((F.col("source_station_key_a") < F.col("source_station_key_b")) & (elev <= most_elev) & (days >= least_days) & (distance <= most_m))
+    out = pairs.drop("__part").withColumns({"distance_m": distance, "elev_diff": elev, "overlap_days": days})
     if limit is None:
         return out
     # Equal distances differ in their last bits: ties go by the keys from ``digits`` places on.

@@ -147,6 +147,47 @@ def test_closest_pairs(spark):
     assert found(least_days=365) == [("a:1", "b:2", 730)] and len(found(least_days=1, limit=2)) == 2
 
 
+def test_nearest_by_places(spark, monkeypatch):
+    """Stations that share a place are not paired with one another, and have the answer of all pairs."""
+    made = []
+
+    def counted(*a, **k):
+        made.append(near_pairs(*a, **k))
+        return made[-1]
+
+    near_pairs = crosswalk.near_pairs
+    left = spark.range(300).select(F.col("id").alias("lid"), (40 + F.col("id") % 3 * 0.004).alias("lat"), F.when(F.col("id") % 50 != 7, -100 + F.col("id") % 2 * 0.004).alias("lon"))
+    right = spark.range(400).select((1000 - F.col("id")).alias("rid"), (40 + F.col("id") % 2 * 0.005).alias("lat"), F.lit(-100.001).alias("lon"))
+    want = sorted(map(tuple, crosswalk.nearest(near_pairs(left, right)).collect()))
+    monkeypatch.setattr(crosswalk, "near_pairs", counted)
+    assert sorted(map(tuple, crosswalk.nearest_within(left, right).collect())) == want and len(want) == 294
+    index = left.select(F.lit("madis").alias("source"), "lid", "lat", "lon").union(right.select(F.lit("ghcnd"), "rid", "lat", "lon")).withColumnRenamed("lid", "source_station_id").withColumn("elev_m", F.lit(1.0))
+    assert crosswalk.build_crosswalk(index).where("confidence = 'probable_match'").count() == 294
+    assert len(made) == 2 and all(m.count() <= 6 * 2 for m in made)
+
+
+@pytest.mark.parametrize("limit", [None, 1, 7, 40])
+def test_pairs_in_parts(spark, monkeypatch, limit):
+    """An id's stations in parts, many of them alike: the pairs of brute force; no pair is joined with a period."""
+    monkeypatch.setattr(crosswalk, "PART", 4, raising=False)
+    rows = [(f"s:{k}", 40 + k % 3 * 0.001, -100.0, 10.0 * (k % 2) if k % 11 else None, f"c{k % 4}", date(2020, 1, 1 + k % 5), date(2020, 3, 1)) for k in range(90)]
+    walk = spark.createDataFrame([r[:5] for r in rows], "source_station_key string, lat double, lon double, elev_m double, canonical_station_id string")
+    spans = spark.createDataFrame([(r[0], *r[5:]) for r in rows], "station_key string, por_start date, por_end date")
+    out = crosswalk.candidate_pairs(walk, spans, most_m=150.0, most_elev=5.0, least_days=57, limit=limit)
+    got = sorted((round(r.distance_m, 6), r.source_station_key_a, r.source_station_key_b, r.elev_diff, r.overlap_days) for r in out.collect())
+    want = []
+    for a in rows:
+        for b in rows:
+            if a[0] < b[0] and a[4] == b[4] and None not in (a[3], b[3]) and a[3] == b[3] and abs(a[1] - b[1]) < 0.0012:
+                days = (date(2020, 3, 1) - max(a[5], b[5])).days
+                if days >= 57:
+                    want.append((a[0], b[0], days, abs(a[1] - b[1]) > 1e-9))
+    order = sorted((far, a, b, days) for a, b, days, far in want)[:limit]
+    assert sorted((a, b, d) for _, a, b, _, d in got) == sorted((a, b, d) for _, a, b, d in order) and len(want) > 100
+    first = next(x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x)
+    assert first.count("canonical_station_id") == 2
+
+
 def test_fabric_precedence(spark):
     d = [date(2024, 1, k) for k in (1, 2, 3)]
     rows = [("ghcnd", d[0], 25.0, "pass"), ("ghcnd", d[1], 99.0, "fail"), ("ghcnd", d[2], 27.0, "pass"), ("snotel", d[1], 25.5, "pass"), ("snotel", d[0], 1.0, "pass")]
