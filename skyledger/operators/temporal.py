@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -11,22 +13,59 @@ from pyspark.sql import functions as F
 from skyledger.functions import columns as C
 
 
+def medians(df: DataFrame, groups: list[str], values: list[str], *, near: float = 0.002, accuracy: int = 10_000) -> DataFrame:
+    """(groups, __value, n, median): how many values each group has of each column, and their exact median, for groups of any size.
+
+    Sketches of a group give bounds ``near`` the middle on both sides, which hold it as their error is at most 1/accuracy; values below are
+    counted and those between are ranked, so no task holds a group.
+    """
+    long = df.select(*groups, F.explode(F.array(*(F.struct(F.lit(v).alias("__value"), F.col(v).cast("double").alias("x")) for v in values))).alias("e"))
+    long = long.select(*groups, "e.*").where("x is not null")
+    keys = [*groups, "__value"]
+    sketched = F.percentile_approx(F.when(F.isnan("x"), F.lit(float("inf"))).otherwise(F.col("x")), [0.5 - near, 0.5 + near], accuracy)
+    bounds = long.groupBy(*keys).agg(sketched.alias("__b"), F.count(F.lit(1)).alias("n"))
+    # Few groups are small beside the rows of theirs; in a session that broadcasts nothing, many rows of a group would meet in a task.
+    rows = joined(long, bounds, keys)
+    low, high = F.col("__b")[0], F.when(F.col("__b")[1] == float("inf"), float("nan")).otherwise(F.col("__b")[1])
+    at = F.when(F.col("x") >= low, F.col("x"))  # null: below
+    counts = rows.where(F.col("x") <= high).groupBy(*keys, at.alias("x")).agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))
+    order = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("x"))
+    upto = counts.withColumn("upto", F.sum("c").over(order))
+    first, second = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
+    held = lambda k: (F.col("upto") - F.col("c") <= k) & (k < F.col("upto"))
+    out = upto.groupBy(*keys).agg(F.first("n").alias("n"), F.max(F.when(held(first), F.col("x"))).alias("a"), F.max(F.when(held(second), F.col("x"))).alias("b"))
+    return out.select(*keys, "n", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(0.5 * F.col("a") + 0.5 * F.col("b")).alias("median"))
+
+
+def joined(df: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """df with the columns of facts, a row of which there is for each different keys, null being a key like others."""
+    facts = facts.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    return df.join(facts, reduce(and_, (F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys)), "left").drop(*(f"__k_{k}" for k in keys))
+
+
 def monthly_zscores(df: DataFrame, names: dict[str, str], *, keys: list[str], date: str = "date", least: int = 90, suspect: float = 3.5, fail: float = 7.0) -> DataFrame:
     """Adds {out}_z and {out}_state for each value: out of ``names``, by the modified z-score within each calendar month
-    across years.  All values share two windows by month and one by series, so one sort serves any number of them.
+    across years.  Medians of all values are found together and joined to the rows, so no task holds a month or a series.
 
     Series of fewer than ``least`` values, and months of fewer, pass; where the median deviation is 0 all pass.
     """
-    month = Window.partitionBy(*keys, F.month(date))
-    series = Window.partitionBy(*keys)
-    df = df.withColumns({f"__total_{o}": F.count(v).over(series) for v, o in names.items()})
-    df = df.withColumns({k: c for v, o in names.items() for k, c in ((f"__n_{o}", F.count(v).over(month)), (f"__med_{o}", F.median(v).over(month)))})
-    dev = {o: F.abs(F.col(v) - F.col(f"__med_{o}")) for v, o in names.items()}
-    df = df.withColumns({f"__mad_{o}": F.median(d).over(month) for o, d in dev.items()})
-    z = {o: F.when((F.col(f"__n_{o}") >= least) & (F.col(f"__total_{o}") >= least) & (F.col(f"__mad_{o}") > 0), F.lit(0.6745) * d / F.col(f"__mad_{o}")) for o, d in dev.items()}
+    df = df.withColumn("__month", F.month(date))
+    groups = [*keys, "__month"]
+
+    def with_medians(df: DataFrame, columns: dict[str, str], n: str | None, median: str) -> DataFrame:
+        found = medians(df, groups, list(columns))
+        wide = found.groupBy(*groups).agg(*(F.max(F.when(F.col("__value") == c, F.col(x))).alias(f"__{k}_{o}") for c, o in columns.items() for k, x in ((n, "n"), (median, "median")) if k))
+        if n:  # a row a month of a series
+            wide = wide.withColumns({f"__total_{o}": F.sum(f"__{n}_{o}").over(Window.partitionBy(*keys)) for o in columns.values()})
+        return joined(df, wide, groups)
+
+    df = with_medians(df, names, "n", "med")
+    df = df.withColumns({f"__dev_{o}": F.abs(F.col(v) - F.col(f"__med_{o}")) for v, o in names.items()})
+    df = with_medians(df, {f"__dev_{o}": o for o in names.values()}, None, "mad")
+    z = {o: F.when((F.col(f"__n_{o}") >= least) & (F.col(f"__total_{o}") >= least) & (F.col(f"__mad_{o}") > 0), F.lit(0.6745) * F.col(f"__dev_{o}") / F.col(f"__mad_{o}")) for o in names.values()}
     df = df.withColumns({f"{o}_z": c for o, c in z.items()})
     df = df.withColumns({f"{o}_state": F.when(F.col(f"{o}_z") > fail, "fail").when(F.col(f"{o}_z") > suspect, "suspect").otherwise("pass") for o in z})
-    return df.drop(*(f"__{k}_{o}" for k in ("n", "total", "med", "mad") for o in z))
+    return df.drop("__month", *(f"__{k}_{o}" for k in ("n", "total", "med", "dev", "mad") for o in z))
 
 
 def monthly_zscore(df: DataFrame, value: str, *, out: str | None = None, **how) -> DataFrame:

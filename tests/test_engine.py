@@ -147,6 +147,19 @@ def test_closest_pairs(spark):
     assert found(least_days=365) == [("a:1", "b:2", 730)] and len(found(least_days=1, limit=2)) == 2
 
 
+def test_medians(spark):
+    """Of groups of any size, with equal values, signs, nulls, infinities and not-numbers, as Spark's own; a month's rows never meet in a window."""
+    x = F.when(F.col("id") % 13 == 0, None).when(F.col("id") % 5 == 0, 3.0).otherwise(F.hash("id") % 1000 / 7.0)
+    y = F.when(F.col("id") % 3 == 0, float("nan")).when(F.col("id") % 3 == 1, float("inf")).otherwise(F.col("id") * -1.0)
+    g = F.when(F.col("id") < 1, 0).when(F.col("id") < 3, 1).when(F.col("id") < 6, 2).when(F.col("id") < 1000, 3).when(F.col("id") < 30000, 4)
+    df = spark.range(60000).select("id", g.alias("g"), x.alias("x"), y.alias("y"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 700).cast("int")).alias("date"))
+    want = {(r.g, v): (r[f"n_{v}"], r[f"m_{v}"]) for r in df.groupBy("g").agg(*(f(v).alias(f"{k}_{v}") for v in ("x", "y") for f, k in ((F.count, "n"), (F.median, "m")))).collect() for v in ("x", "y") if r[f"n_{v}"]}
+    got = {(r.g, r["__value"]): (r.n, r["median"]) for r in temporal.medians(df, ["g"], ["x", "y"]).collect()}
+    assert repr(sorted(got.items(), key=repr)) == repr(sorted(want.items(), key=repr)) and len(got) > 9
+    plan = temporal.monthly_zscore(df, "x", keys=["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Window [" in line and "median" in line]
+
+
 def test_nearest_by_places(spark, monkeypatch):
     """Stations that share a place are not paired with one another, and have the answer of all pairs."""
     made = []
