@@ -145,23 +145,42 @@ def _despike(ratio: np.ndarray, excess: np.ndarray, change: float, most: float)
     return keep
 
 
+BLOCK = 6000  # rows of a series that are numbered together
+PERIODS = 100  # periods of a series that are looked at together
+
+
 def rs_period_ratio(df: DataFrame, *, key: str, date: str = "date", rs: str = "rsds", rso: str = "rso", period: int = 60, largest: int = 6, change: float = 0.02, most_excess: float = 75.0) -> DataFrame:
     """Adds rs_period_factor, rs_corrected and rs_state to a daily series with clear-sky radiation.
 
     In each period of 60 rows the largest ratios of measured to clear-sky radiation, without spikes, give a factor;
     outside 0.5..1.5 the period is removed, within 0.97..1.03 it is left alone.  Values beyond twice the largest clear sky
-    and zeros are removed first, and are not judged.  A value that its period removes and that exceeds the clear sky fails.  Series of fewer than 60 rows pass.  One group is one station's daily series.
+    and zeros are removed first, and are not judged.  A value that its period removes and that exceeds the clear sky fails.
+    Series of fewer than 60 rows pass.  Rows are numbered along their series in blocks of its span, and a group of the map is
+    PERIODS periods, so a series may have any number of rows.
     """
+    names = df.columns
+    order = F.col(date).cast("double") if dict(df.dtypes)[date] not in ("date", "timestamp", "timestamp_ntz") else F.col(date).cast("timestamp").cast("double")
+    number = F.when(~F.isnan(F.col(rso).cast("double")), F.col(rso).cast("double"))
+    finite = F.max(F.abs(number) < float("inf"))
+    facts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), F.min(order).alias("__from"), F.max(order).alias("__to"), F.max(number).alias("__most"), F.coalesce(finite, F.lit(False)).alias("__any"))
+    rows = joined(df, F.broadcast(facts), [key])  # a row a station
+    blocks = F.greatest(F.col("__rows") / BLOCK, F.lit(1)).cast("long")
+    at = F.floor((order - F.col("__from")) / (F.col("__to") - F.col("__from")) * blocks)
+    rows = rows.withColumn("__block", F.least(F.coalesce(at, F.when(order.isNull(), blocks - 1), F.lit(0)), blocks - 1).cast("long")).drop("__from", "__to")
+    held = rows.groupBy(key, "__block").agg(F.count(F.lit(1)).alias("__c"))
+    before = held.withColumn("__before", F.sum("__c").over(Window.partitionBy(key).orderBy("__block")) - F.col("__c")).drop("__c")  # a row a block
+    within = F.row_number().over(Window.partitionBy(key, "__block").orderBy(F.asc_nulls_last(date))) - 1
+    rows = joined(rows.withColumn("__in", within), before, [key, "__block"]).withColumn("__i", F.col("__before") + F.col("__in")).drop("__block", "__before", "__in")
 
     def fix(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(date, kind="stable").reset_index(drop=True)
-        x, top = pdf[rs].to_numpy(float).copy(), pdf[rso].to_numpy(float)
+        pdf = pdf.sort_values("__i").reset_index(drop=True)
+        x, top, part_of = pdf[rs].to_numpy(float).copy(), pdf[rso].to_numpy(float), pdf["__i"].to_numpy() // period
         factor, fixed = np.full(len(x), np.nan), x.copy()
-        if len(x) >= period and np.isfinite(top).any():
-            clean = np.where((x > 2 * np.nanmax(top)) | (x == 0), np.nan, x)
+        if pdf["__rows"].iloc[0] >= period and pdf["__any"].iloc[0]:
+            clean = np.where((x > 2 * pdf["__most"].iloc[0]) | (x == 0), np.nan, x)
             fixed = clean.copy()
-            for lo in range(0, len(x), period):
-                part = slice(lo, min(lo + period, len(x)))
+            cut = np.flatnonzero(np.diff(part_of, prepend=-1, append=-1))
+            for part in map(slice, cut[:-1].tolist(), cut[1:].tolist()):
                 with np.errstate(invalid="ignore", divide="ignore"):
                     ratio = clean[part] / top[part]
                 some = np.flatnonzero(np.isfinite(ratio))
@@ -180,10 +199,10 @@ def rs_period_ratio(df: DataFrame, *, key: str, date: str = "date", rs: str = "r
             state = np.where(np.isfinite(clean) & np.isnan(fixed) & (clean > top), "fail", "pass")
         else:
             state = np.full(len(x), "pass")
-        return pdf.assign(rs_period_factor=factor, rs_corrected=fixed, rs_state=state)
+        return pdf[names].assign(rs_period_factor=factor, rs_corrected=fixed, rs_state=state)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.groupBy(key).applyInPandas(fix, f"{kinds}, rs_period_factor double, rs_corrected double, rs_state string")
+    return rows.groupBy(key, F.floor(F.col("__i") / (period * PERIODS)).alias("__group")).applyInPandas(fix, f"{kinds}, rs_period_factor double, rs_corrected double, rs_state string")
 
 
 def clear_sky_table(stations: DataFrame) -> DataFrame:

@@ -160,6 +160,24 @@ def test_medians(spark):
     assert not [line for line in plan.splitlines() if "Window [" in line and "median" in line]
 
 
+def test_ratio_of_a_long_series_in_groups(spark, monkeypatch):
+    """Unevenly spaced dates, missing ones and null stations: numbered by blocks and looked at by groups as all at once, and no
+    group has a whole series."""
+    i = F.col("id")
+    day = F.when(i % 97 != 5, F.date_add(F.lit("1990-01-01").cast("date"), (i * i / 700).cast("int") + (i / 2000).cast("int") * 4000))
+    df = spark.range(5000).select("id", F.when(i % 3 != 0, i % 3).alias("station_key"), day.alias("date"), F.when(i % 40 != 0, F.hash("id") % 90 + 100.0).otherwise(0.0).alias("rsds"), F.when(i % 41 != 0, 150.0 + i % 7).alias("rso"))
+    df = df.where("date is not null or id in (102, 103, 104)").dropDuplicates(["station_key", "date"])
+    seen = []
+    for block, periods in ((10**9, 10**9), (50, 2), (7, 1)):
+        monkeypatch.setattr(temporal, "BLOCK", block, raising=False)
+        monkeypatch.setattr(temporal, "PERIODS", periods, raising=False)
+        out = temporal.rs_period_ratio(df.repartition(7), key="station_key", change=0.5, most_excess=1e9)
+        seen.append(sorted((str(tuple(r)) for r in out.drop("id").collect())))
+    assert seen[0] == seen[1] == seen[2] and len({r.split(", ")[-3] for r in seen[0]}) > 20
+    groups = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "FlatMapGroupsInPandas" in x]
+    assert groups and all("__group" in x for x in groups)
+
+
 def test_nearest_by_places(spark, monkeypatch):
     """Stations that share a place are not paired with one another, and have the answer of all pairs."""
     made = []
